@@ -25,7 +25,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", "16g")
+    b = b.config("spark.driver.memory", "16g").config("spark.ui.showConsoleProgress", "false")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
