@@ -1 +1,153 @@
-"""(filled in below)"""
+"""Merge queries on the S1 three-source forcing stand-in."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from firn.functions.numeric import rnd, rnd_sql
+from firn.operators import merge as M
+from firn.plans.registry import register
+from firn.sources import standins as S
+from firn.sources.tables import Tables
+
+CELL_TIME = ["lat_i", "lon_i", "time"]
+ROW = ["source", "lat_i", "lon_i", "time", "value"]
+
+
+def q(body: str, *names: str, extra: str = "") -> str:
+    return S.with_ctes(body, *(names or ("s1",)), extra=extra)
+
+
+def by_source(t: Tables, src: str, cols=ROW):
+    return S.s1(t).where(F.col("source") == src).select(*cols)
+
+
+def drifting_sources(t: Tables):
+    """Sources whose variables differ: reanalysis (value, t2m), hindcast
+    (value, sp), continuous forecast (value, t2m, sp)."""
+    s = S.s1_surface(t)
+    k = ["prio", *CELL_TIME, "value"]
+    return M.concat(s.where(F.col("source") == "reanalysis").select(*k, "t2m"),
+                    s.where(F.col("source") == "daily_fc").select(*k, "sp"),
+                    s.where(F.col("source") == "cont_fc").select(*k, "t2m", "sp"))
+
+
+_DRIFT = """
+u AS (SELECT prio, lat_i, lon_i, time, value, t2m, CAST(NULL AS DOUBLE) AS sp FROM s1_surface WHERE source = 'reanalysis'
+      UNION ALL SELECT prio, lat_i, lon_i, time, value, CAST(NULL AS DOUBLE), sp FROM s1_surface WHERE source = 'daily_fc'
+      UNION ALL SELECT prio, lat_i, lon_i, time, value, t2m, sp FROM s1_surface WHERE source = 'cont_fc')"""
+
+
+@register("j01_priority_merge", q("""
+SELECT lat_i, lon_i, time,
+       min_by(value, prio) FILTER (WHERE value IS NOT NULL) AS value,
+       min_by(t2m, prio) FILTER (WHERE t2m IS NOT NULL) AS t2m,
+       min_by(sp, prio) FILTER (WHERE sp IS NOT NULL) AS sp
+FROM u GROUP BY lat_i, lon_i, time""", "s1_surface", extra=_DRIFT))
+def j01_priority_merge(t: Tables):
+    """Per cell and variable: reanalysis > daily hindcast > continuous forecast."""
+    return M.priority_merge(drifting_sources(t), CELL_TIME, ["value", "t2m", "sp"])
+
+
+@register("j02_gap_fill", q("""
+, r AS (SELECT * FROM s1 WHERE source = 'reanalysis'),
+  gx AS (SELECT unnest(generate_series((SELECT min(time) FROM r), (SELECT max(time) FROM r), INTERVAL 1 HOUR)) AS time),
+  gd AS (SELECT DISTINCT CAST(time AS DATE) AS d FROM (SELECT time FROM gx EXCEPT SELECT time FROM r)),
+  u AS (SELECT * FROM r UNION ALL
+        SELECT * FROM s1 WHERE source = 'daily_fc' AND CAST(time AS DATE) IN (SELECT d FROM gd))
+SELECT lat_i, lon_i, time, min_by(value, prio) FILTER (WHERE value IS NOT NULL) AS value FROM u GROUP BY ALL"""))
+def j02_gap_fill(t: Tables):
+    """Hindcast days used only where reanalysis misses an hour inside its span."""
+    cols = ["prio", *CELL_TIME, "value"]
+    return M.gap_limited_fill(by_source(t, "reanalysis", cols), by_source(t, "daily_fc", cols),
+                              [], CELL_TIME, ["value"])
+
+
+@register("j03_append", q("""
+, r AS (SELECT * FROM s1 WHERE source = 'reanalysis'),
+  inst AS (SELECT unnest(generate_series((SELECT min(time) FROM r), (SELECT max(time) FROM r), INTERVAL 1 DAY)) AS time),
+  md AS (SELECT CAST(time AS DATE) AS d FROM inst WHERE time NOT IN (SELECT time FROM r))
+SELECT source, lat_i, lon_i, time, value FROM r
+UNION ALL SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source = 'daily_fc' AND CAST(time AS DATE) IN (SELECT d FROM md)
+UNION ALL SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source = 'cont_fc'"""))
+def j03_append(t: Tables):
+    """Reanalysis + hindcasts of missing days + all continuous, no dedupe."""
+    return M.append_missing_days(by_source(t, "reanalysis"), by_source(t, "daily_fc"),
+                                 by_source(t, "cont_fc"))
+
+
+@register("j04_forecast_overlay", q("""
+, b AS (SELECT greatest((SELECT min(time) FROM s1 WHERE source = 'reanalysis'),
+                        (SELECT min(time) FROM s1 WHERE source = 'cont_fc')) AS o0,
+               least((SELECT max(time) FROM s1 WHERE source = 'reanalysis'),
+                     (SELECT max(time) FROM s1 WHERE source = 'cont_fc')) AS o1)
+SELECT source, lat_i, lon_i, time, value FROM s1, b
+WHERE source = 'reanalysis' AND (o1 <= o0 OR time <= o0 - INTERVAL 1 HOUR)
+UNION ALL SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source = 'cont_fc'"""))
+def j04_forecast_overlay(t: Tables):
+    """Earlier data cut before the forecast start, forecast appended."""
+    return M.overlay(by_source(t, "reanalysis"), by_source(t, "cont_fc"))
+
+
+_J05 = """
+, r AS (SELECT lat_i, lon_i, time, value FROM s1 WHERE source = 'reanalysis'),
+  d AS (SELECT lat_i, lon_i, time, value FROM s1 WHERE source = 'daily_fc')"""
+
+
+@register("j05_outer_merge", q("""
+SELECT coalesce(r.lat_i, d.lat_i) AS lat_i, coalesce(r.lon_i, d.lon_i) AS lon_i, coalesce(r.time, d.time) AS time,
+       coalesce(r.value, d.value) AS value
+FROM r FULL OUTER JOIN d ON r.lat_i = d.lat_i AND r.lon_i = d.lon_i AND r.time = d.time""", extra=_J05))
+def j05_outer_merge(t: Tables):
+    """Full outer merge of reanalysis and hindcast; reanalysis value first."""
+    c = CELL_TIME + ["value"]
+    return M.outer_merge(by_source(t, "reanalysis", c), by_source(t, "daily_fc", c), CELL_TIME, ["value"])
+
+
+@register("j05_conflicts", q("""
+SELECT r.lat_i, r.lon_i, r.time, r.value AS left_value, d.value AS right_value, 'value' AS variable
+FROM r JOIN d ON r.lat_i = d.lat_i AND r.lon_i = d.lon_i AND r.time = d.time WHERE r.value <> d.value""", extra=_J05))
+def j05_conflicts(t: Tables):
+    """Keys where both sources hold different values (the merge error list)."""
+    c = CELL_TIME + ["value"]
+    return M.merge_conflicts(by_source(t, "reanalysis", c), by_source(t, "daily_fc", c), CELL_TIME, ["value"])
+
+
+@register("u01_concat", q("""
+SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source = 'reanalysis'
+UNION ALL SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source = 'daily_fc'"""))
+def u01_concat(t: Tables):
+    """Concatenation along time, duplicates kept."""
+    return M.concat(by_source(t, "reanalysis"), by_source(t, "daily_fc"))
+
+
+@register("so04_merge_time", q("""
+SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source IN ('daily_fc', 'cont_fc')"""))
+def so04_merge_time(t: Tables):
+    """Time-ordered merge of both forecast sources; duplicates not removed."""
+    return M.merge_time(by_source(t, "daily_fc"), by_source(t, "cont_fc"))
+
+
+def regrid_targets(spark):
+    """Target points of the common grid: lat 33..45 by 3, lon 60..80 by 10."""
+    i = F.col("id")
+    return spark.range(15).select(i.alias("t_id"), (F.lit(33.0) + F.lit(3.0) * F.floor(i / 3)).cast("double").alias("t_lat"),
+                                  (F.lit(60.0) + F.lit(10.0) * (i % 3)).cast("double").alias("t_lon"))
+
+
+@register("j19_bilinear", q(f"""
+, tg AS (SELECT range AS t_id, CAST(33.0 + 3.0 * (range // 3) AS DOUBLE) AS t_lat,
+                CAST(60.0 + 10.0 * (range % 3) AS DOUBLE) AS t_lon FROM range(15)),
+  f AS (SELECT *, (t_lat - 32.0) / 3.5 AS fy, (t_lon - 59.0) / 22.0 AS fx FROM tg),
+  c AS (SELECT t_id, t_lat, t_lon, CAST(floor(fy) AS INT) + di AS lat_i, CAST(floor(fx) AS INT) + dj AS lon_i,
+               (CASE WHEN di = 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END)
+               * (CASE WHEN dj = 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) AS w
+        FROM f, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) d(di, dj))
+SELECT t_id, t_lat, t_lon, time, CASE WHEN count(value) = 4 THEN {rnd_sql('sum(w * value)')} END AS value
+FROM c JOIN (SELECT * FROM s1 WHERE source = 'reanalysis') r USING (lat_i, lon_i)
+GROUP BY t_id, t_lat, t_lon, time"""))
+def j19_bilinear(t: Tables):
+    """Reanalysis regridded bilinearly to a common grid; NULL where a corner is missing."""
+    src = by_source(t, "reanalysis", ["lat_i", "lon_i", "time", "value"])
+    out = M.bilinear_regrid(src, regrid_targets(t.spark), ["time"], "value", 32.0, 3.5, 59.0, 22.0)
+    return out.withColumn("value", rnd("value"))
