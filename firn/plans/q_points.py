@@ -1 +1,188 @@
-"""(filled in below)"""
+"""Point series and raster queries on S4a/S4b (pixels, cluster series) and
+S5 (archive and latest point series)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from firn.functions.geodesy import tm_forward_sql
+from firn.functions.numeric import rnd, rnd_sql
+from firn.operators import points as PT
+from firn.operators import raster as R
+from firn.plans.registry import register
+from firn.sources import standins as S
+from firn.sources import textio
+from firn.sources.tables import Tables
+
+VARS = ["swe", "snd", "rof", "gst"]
+# The J12 target grid (degrees) and the source pixel size (m).
+TARGET = dict(lon0=66.625, lat_top=40.64, res=0.005, n_lon=54, n_lat=38)
+PIXEL = 500.0
+_S5_DESC = ", ".join(f"{c} DESC" for c in S.S5_ORDER)
+
+
+def q(body: str, *names: str, extra: str = "") -> str:
+    return S.with_ctes(body, *names, extra=extra)
+
+
+def s5_split(t: Tables):
+    s = S.s5(t)
+    return s.where(F.col("src") == "archive"), s.where(F.col("src") == "latest")
+
+
+@register("a07_keep_last", q(f"""
+SELECT src, prio, cluster, date, swe, snd FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster, date ORDER BY prio DESC, {_S5_DESC}) AS rn FROM s5)
+WHERE rn = 1""", "s5"))
+def a07_keep_last(t: Tables):
+    """Archive overlaid by latest: whole row of the last copy per (cluster, date)."""
+    a, l = s5_split(t)
+    return PT.keep_last(a, l, ["cluster", "date"]).drop("ord")
+
+
+@register("a07_one_sided", q("SELECT src, prio, cluster, date, swe, snd FROM s5 WHERE src = 'archive'", "s5"))
+def a07_one_sided(t: Tables):
+    """Only the archive exists: it passes through unchanged, duplicates kept."""
+    a, _ = s5_split(t)
+    return PT.keep_last(a, None, ["cluster", "date"]).drop("ord")
+
+
+@register("j20_concat_runs", q("""
+SELECT src, 'FSM_pt_' || CAST(cluster AS VARCHAR) AS name, date, swe, snd FROM s5
+WHERE cluster IN (SELECT cluster FROM s5 WHERE src = 'archive')""", "s5"))
+def j20_concat_runs(t: Tables):
+    """Runs concatenated per point; point list taken from the first run."""
+    s = S.s5(t).select("src", PT.point_name(F.col("cluster")).alias("name"), "date", "swe", "snd")
+    return PT.concat_runs(s, "src", "name", "archive")
+
+
+@register("u02_point_names", q("""
+SELECT 'FSM_pt_' || CAST(cluster AS VARCHAR) AS name FROM s5 WHERE src = 'archive'
+UNION SELECT 'FSM_pt_' || CAST(cluster AS VARCHAR) FROM s5 WHERE src = 'latest'""", "s5"))
+def u02_point_names(t: Tables):
+    """Distinct union of the point names of archive and latest."""
+    a, l = s5_split(t)
+    nm = lambda d: d.select(PT.point_name(F.col("cluster")).alias("name"))
+    return PT.name_union(nm(a), nm(l))
+
+
+@register("so01_natural_sort", q("""
+SELECT name, array_to_string(list_transform(regexp_extract_all(name, '([0-9]+|[^0-9]+)', 1),
+         lambda x: CASE WHEN regexp_full_match(x, '[0-9]+') THEN lpad(x, 20, '0') ELSE lower(x) END), '|') AS sort_key
+FROM (SELECT DISTINCT CASE WHEN cluster % 3 = 0 THEN 'fsm_pt_' ELSE 'FSM_pt_' END || CAST(cluster AS VARCHAR) AS name FROM s5)""", "s5"))
+def so01_natural_sort(t: Tables):
+    """Point names in natural order (digit runs numeric, case folded)."""
+    c = F.col("cluster")
+    names = S.s5(t).select(F.concat(F.when(c % 3 == 0, "fsm_pt_").otherwise("FSM_pt_"),
+                                    c.cast("string")).alias("name")).distinct()
+    return names.select("name", PT.natural_sort_key(F.col("name")).alias("sort_key")).orderBy("sort_key")
+
+
+@register("so02_hydro_sort", q("""
+SELECT cluster, date, swe, snd, CAST(CASE WHEN month(date) < 9 THEN month(date) + 12 ELSE month(date) END AS INT) AS hydro_month,
+       CAST(day(date) AS INT) AS dom
+FROM s5 WHERE src = 'archive'""", "s5"))
+def so02_hydro_sort(t: Tables):
+    """Archive series in hydrological order (Sep first, year ignored, stable)."""
+    a, _ = s5_split(t)
+    return PT.hydro_sort(a, ["cluster"], "date", "ord").select("cluster", "date", "swe", "snd", "hydro_month", "dom")
+
+
+@register("io03_text_roundtrip", q(f"""
+SELECT cluster, CAST(date AS TIMESTAMP) AS time, {', '.join(f"{rnd_sql(v)} AS {v}" for v in VARS)} FROM s4b""", "s4b"))
+def io03_text_roundtrip(t: Tables):
+    """Cluster series written as per-point whitespace text and parsed back."""
+    path = textio.scratch_path(t.spark, "points")
+    s = S.s4b(t).select(PT.point_name(F.col("cluster")).alias("point"),
+                        F.col("date").cast("timestamp_ntz").alias("time"), *VARS)
+    textio.write_point_text(s, path, "point", "time", VARS)
+    back = textio.read_point_text(t.spark, path, VARS)
+    return back.select("cluster", "time", *[rnd(v).alias(v) for v in VARS])
+
+
+_LONG = """
+, lg AS (SELECT cluster, date, variable, value FROM s4b UNPIVOT (value FOR variable IN (swe, snd, rof, gst)))"""
+
+
+def s4b_long(t: Tables):
+    return S.s4b(t).unpivot(["cluster", "date"], VARS, "variable", "value")
+
+
+@register("a11_var_by_cluster", q(f"SELECT cluster, date, variable, {rnd_sql('value')} AS value FROM lg", "s4b", extra=_LONG))
+def a11_var_by_cluster(t: Tables):
+    """Point variables gathered long: (cluster, date, variable, value)."""
+    return s4b_long(t).withColumn("value", rnd("value"))
+
+
+@register("p17_product_names", q(f"""
+SELECT cluster, date, variable,
+       CASE variable WHEN 'swe' THEN 'SWE' WHEN 'snd' THEN 'HS' WHEN 'rof' THEN 'ROF' WHEN 'gst' THEN 'GST' ELSE upper(variable) END AS product,
+       CASE variable WHEN 'swe' THEN 'mm' WHEN 'snd' THEN 'm' WHEN 'rof' THEN 'mm' WHEN 'gst' THEN 'k' END AS unit,
+       {rnd_sql('value')} AS value FROM lg""", "s4b", extra=_LONG))
+def p17_product_names(t: Tables):
+    """Model variables renamed to product names and units."""
+    name, unit = R.product_names(F.col("variable"))
+    return s4b_long(t).select("cluster", "date", "variable", name.alias("product"), unit.alias("unit"),
+                              rnd("value").alias("value"))
+
+
+@register("p21_first_band", q(f"""
+SELECT cluster, date, 1 AS band, {rnd_sql('swe')} AS value FROM s4b""", "s4b"))
+def p21_first_band(t: Tables):
+    """First band of a stacked raster (bands = swe, snd, rof, gst)."""
+    stack = s4b_long(t).withColumn("band", (F.array_position(F.array(*[F.lit(v) for v in VARS]),
+                                                             F.col("variable"))).cast("int"))
+    return R.first_band(stack).select("cluster", "date", "band", rnd("value").alias("value"))
+
+
+@register("p22_first_timestep", q("""
+SELECT lat_i, lon_i, CAST(time AS DATE) AS date, min_by(value, time) AS value, min(time) AS first_time
+FROM s1 WHERE source = 'reanalysis' GROUP BY 1, 2, 3""", "s1"))
+def p22_first_timestep(t: Tables):
+    """Per cell and day the value of the first timestep of that day."""
+    s = S.s1(t).where(F.col("source") == "reanalysis")
+    return R.first_timestep(s, ["lat_i", "lon_i"], "time", "value")
+
+
+@register("g05_grid_coords", q(f"""
+SELECT pixel, row_i, col_i,
+       (SELECT min(x - col_i * {PIXEL}) FROM s4a) - {PIXEL / 2} + col_i * {PIXEL} AS x_corner,
+       (SELECT max(y + row_i * {PIXEL}) FROM s4a) + {PIXEL / 2} - row_i * {PIXEL} AS y_corner
+FROM s4a""", "s4a"))
+def g05_grid_coords(t: Tables):
+    """Pixel corner coordinates from the rebuilt grid origin."""
+    return R.corner_coords(S.s4a(t), PIXEL, PIXEL).select("pixel", "row_i", "col_i", "x_corner", "y_corner")
+
+
+@register("j15_cluster_to_pixel", q(f"""
+SELECT pixel, row_i, col_i, date, {', '.join(f"{rnd_sql(v)} AS {v}" for v in VARS)}
+FROM s4a JOIN s4b USING (cluster)""", "s4a", "s4b"))
+def j15_cluster_to_pixel(t: Tables):
+    """Cluster series spread over their pixels."""
+    j = R.cluster_to_pixel(S.s4a(t), S.s4b(t))
+    return j.select("pixel", "row_i", "col_i", "date", *[rnd(v).alias(v) for v in VARS])
+
+
+_EX, _NY = tm_forward_sql("t_lon", "t_lat")
+_J12 = f"""
+, tg AS (SELECT CAST(range // {TARGET['n_lon']} AS INT) AS t_row, CAST(range % {TARGET['n_lon']} AS INT) AS t_col
+         FROM range({TARGET['n_lon'] * TARGET['n_lat']})),
+  tc AS (SELECT t_row, t_col, {TARGET['lon0']} + (t_col + 0.5) * {TARGET['res']} AS t_lon,
+                {TARGET['lat_top']} - (t_row + 0.5) * {TARGET['res']} AS t_lat FROM tg),
+  org AS (SELECT min(x) - {PIXEL / 2} AS x_left, max(y) + {PIXEL / 2} AS y_top FROM s4a),
+  tp AS (SELECT t_row, t_col, CAST(floor(({_EX} - x_left) / {PIXEL}) AS INT) AS col_i,
+                CAST(floor((y_top - {_NY}) / {PIXEL}) AS INT) AS row_i FROM tc, org)"""
+
+
+@register("j12_reproject", q(f"""
+SELECT t_row, t_col, date, {rnd_sql('swe')} AS swe
+FROM tp JOIN s4a USING (row_i, col_i) JOIN s4b USING (cluster)""", "s4a", "s4b", extra=_J12))
+def j12_reproject(t: Tables):
+    """Daily SWE reprojected from the UTM pixel grid to a lon/lat grid (nearest)."""
+    px = S.s4a(t)
+    x_left = px.agg(F.min("x")).scalar() - F.lit(PIXEL / 2)
+    y_top = px.agg(F.max("y")).scalar() + F.lit(PIXEL / 2)
+    tg = R.target_grid(t.spark, **TARGET)
+    m = R.reproject_nearest(tg, px.select("row_i", "col_i", "cluster"), x_left, y_top, PIXEL)
+    j = R.cluster_to_pixel(m, S.s4b(t).select("cluster", "date", "swe"))
+    return j.select("t_row", "t_col", "date", rnd("swe").alias("swe"))
