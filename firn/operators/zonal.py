@@ -38,7 +38,8 @@ def filter_water_year(df: DataFrame, year: int, date_col: str = "date",
 
 
 def zonal_mean(values: DataFrame, zones: list[str], keys=("variable", "date"),
-               zone_col: str = "zone", value_col: str = "value") -> DataFrame:
+               zone_col: str = "zone", value_col: str = "value",
+               key_rows: DataFrame | None = None) -> DataFrame:
     """Mean of valid pixel values per key and zone; every zone appears for
     every key present, NULL when it has no valid pixel (A01).
 
@@ -48,8 +49,14 @@ def zonal_mean(values: DataFrame, zones: list[str], keys=("variable", "date"),
     explicit pivot list then fills absent zones with NULL without a join.
     """
     keys = list(keys)
-    wide = (values.withColumn(value_col, nodata_to_null(F.col(value_col)))
-            .groupBy(*keys).pivot(zone_col, zones).agg(F.avg(value_col)))
+    v = values.select(*keys, zone_col, nodata_to_null(F.col(value_col)).alias(value_col))
+    if key_rows is not None:
+        # keys that must appear even where no zone has a pixel (e.g. every
+        # raster date): a marker row with a NULL zone creates the group
+        v = v.unionByName(key_rows.select(*keys).distinct()
+                          .withColumn(zone_col, F.lit(None).cast("string"))
+                          .withColumn(value_col, F.lit(None).cast("double")))
+    wide = v.groupBy(*keys).pivot(zone_col, zones).agg(F.avg(value_col))
     return wide.unpivot(keys, zones, zone_col, "mean")
 
 

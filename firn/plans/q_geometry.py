@@ -1 +1,100 @@
-"""(filled in below)"""
+"""Zone polygons (S6) over the S4a pixel grid; zonal means of the S4b
+cluster series through them."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from firn.functions.geodesy import tm_inverse
+from firn.functions.numeric import rnd, rnd_sql
+from firn.operators import geometry as G
+from firn.operators import raster as R
+from firn.operators import zonal as Z
+from firn.plans.registry import register
+from firn.sources import standins as S
+from firn.sources.tables import Tables
+
+PIXEL = 500.0
+
+
+def q(body: str, *names: str, extra: str = "") -> str:
+    return S.with_ctes(body, *names, extra=extra)
+
+
+def _inside_sql(dx: float, dy: float) -> str:
+    return f"""
+zp AS (SELECT e.zone, p.pixel FROM s4a p JOIN s6 e
+         ON ((e.y1 <= p.y + {dy}) <> (e.y2 <= p.y + {dy}))
+        AND p.x + {dx} < e.x1 + (p.y + {dy} - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+       GROUP BY e.zone, p.pixel HAVING count(*) % 2 = 1)"""
+
+
+@register("j11_zone_pixels", q("SELECT zone, pixel FROM zp", "s4a", "s6", extra=_inside_sql(0.0, 0.0)))
+def j11_zone_pixels(t: Tables):
+    """Pixels whose centre lies in each zone (scanline fill, equi-joins only)."""
+    return G.zone_pixels(S.s6(t.spark), S.s4a(t), PIXEL).select("zone", "pixel")
+
+
+@register("j11_corner_as_center", q("SELECT zone, pixel FROM zp", "s4a", "s6",
+                                    extra=_inside_sql(-PIXEL / 2, PIXEL / 2)))
+def j11_corner_as_center(t: Tables):
+    """Same with the upper-left corner tested (half-pixel NW shift as coded)."""
+    return G.zone_pixels(S.s6(t.spark), S.s4a(t), PIXEL, coord="corner_as_center").select("zone", "pixel")
+
+
+_A01P = _inside_sql(0.0, 0.0) + f""",
+zn AS (SELECT DISTINCT zone FROM s6),
+dt AS (SELECT DISTINCT date FROM s4b),
+v AS (SELECT zp.zone, s4b.date, s4b.swe FROM zp JOIN s4a USING (pixel) JOIN s4b USING (cluster))
+"""
+
+
+_A01P_BODY = f"""
+SELECT dt.date, zn.zone, {rnd_sql('avg(v.swe)')} AS mean
+FROM dt CROSS JOIN zn LEFT JOIN v ON v.date = dt.date AND v.zone = zn.zone
+GROUP BY dt.date, zn.zone"""
+
+
+def polygon_inputs(t: Tables):
+    edges = S.s6(t.spark)
+    zones = Z.zones_of(edges)
+    zp = G.zone_pixels(edges, S.s4a(t), PIXEL)
+    return zp, zones
+
+
+@register("a01_polygon_zonal_mean", q(_A01P_BODY, "s4a", "s4b", "s6", extra=_A01P))
+def a01_polygon_zonal_mean(t: Tables):
+    """Daily zonal mean of SWE over polygon pixels; an empty zone is NULL."""
+    zp, zones = polygon_inputs(t)
+    s4b = S.s4b(t)
+    vals = R.cluster_to_pixel(zp, s4b.select("cluster", "date", "swe"))
+    zm = Z.zonal_mean(vals.select("date", "zone", F.col("swe").alias("value")), zones, keys=("date",),
+                      key_rows=s4b)
+    return zm.select("date", "zone", rnd("mean").alias("mean"))
+
+
+@register("m02_factorised_mean", q(_A01P_BODY, "s4a", "s4b", "s6", extra=_A01P))
+def m02_factorised_mean(t: Tables):
+    """The same zonal mean from per-(zone, cluster) pixel counts; no pixel x day table."""
+    zp, zones = polygon_inputs(t)
+    zm = G.factorised_zonal_mean(zp, S.s4b(t), ["date"], "swe", zones)
+    return zm.select("date", "zone", rnd("mean").alias("mean"))
+
+
+def wgs84_rings(t: Tables):
+    """S6 zones as lon/lat rings (what a polygon file without CRS holds)."""
+    e = S.s6(t.spark)
+    g = (e.groupBy("zone", "region")
+         .agg(F.sort_array(F.collect_list(F.struct("edge", "x1", "y1"))).alias("v")))
+    def to_ll(p):
+        lon, lat = tm_inverse(p["x1"], p["y1"])
+        return F.struct(lon.alias("lon"), lat.alias("lat"))
+    return g.select("zone", "region", F.transform("v", to_ll).alias("ring"))
+
+
+@register("io11_zone_load", q("""
+SELECT zone, region, edge, round(x1, 2) AS x1, round(y1, 2) AS y1, round(x2, 2) AS x2, round(y2, 2) AS y2 FROM s6""", "s6"))
+def io11_zone_load(t: Tables):
+    """Zone rings loaded as WGS84, projected to grid metres, split into edges."""
+    e = G.ring_to_edges(G.project_rings(wgs84_rings(t)))
+    return e.select("zone", "region", "edge", *[F.round(c, 2).alias(c) for c in ("x1", "y1", "x2", "y2")])
