@@ -1 +1,240 @@
-"""(filled in below)"""
+"""Publishing queries: file classes and names, CSV/TSV tables, partitioned
+rasters, publish paths, allow-list, skip-published and bundles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from firn.functions.numeric import rnd, rnd_sql
+from firn.operators import publish as PB
+from firn.operators import raster as R
+from firn.operators import zonal as Z
+from firn.plans import q_zonal as QZ
+from firn.plans.registry import ORACLES, register
+from firn.sources import files as FL
+from firn.sources import standins as S
+from firn.sources.tables import Tables
+from firn.sources.textio import scratch_path
+
+# Query parameters.
+MODEL = "snowmodel"
+PUBLISHED_BEFORE = "1997-03-01"
+REFRESH_FROM = "1997-02-20"
+BUNDLE_DAYS = 10
+OPEN_BUNDLE_START = "1997-06-01"
+
+
+def q(body: str, *names: str, extra: str = "") -> str:
+    return S.with_ctes(body, *names, extra=extra)
+
+
+def zm_sql(body: str) -> str:
+    return S.with_ctes(body, "s3", extra=QZ._ZM)
+
+
+def s1_files(t: Tables):
+    d = F.col("time")
+    name = (F.when(F.col("source") == "reanalysis", F.concat(F.lit("PLEV_"), F.date_format(d, "yyyyMMdd")))
+            .when(F.col("source") == "daily_fc", F.concat(F.lit("PLEV_FC_"), F.date_format(d, "yyyy-MM-dd")))
+            .otherwise(F.lit("PLEV_FC")))
+    return S.s1(t).select("lat_i", "lon_i", "time", "value", name.alias("file"))
+
+
+@register("io01_scan_by_class", q("SELECT source AS class, lat_i, lon_i, time, value FROM s1", "s1"))
+def io01_scan_by_class(t: Tables):
+    """Forcing written one folder per file name, scanned back by name class."""
+    path = scratch_path(t.spark, "forcing-files")
+    FL.write_partitioned(s1_files(t), path, ["file"])
+    parts = [FL.scan_class(t.spark, path, "file", c).select(F.lit(c).alias("class"), "lat_i", "lon_i", "time", "value")
+             for c in FL.CLASS_PATTERNS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def product_file_names(t: Tables):
+    """File names of the WY-1996 rasters in the three dated formats, plus a
+    bad name (month 13) for every 31st."""
+    d = QZ.wy_values(t).select("variable", "date").distinct()
+    dt = F.col("date")
+    good = (F.when(F.col("variable") == "SWE", F.concat(F.lit("SWE_"), F.date_format(dt, "yyyyMMdd"), F.lit(".nc")))
+            .when(F.col("variable") == "HS", F.concat(F.lit("HS_FC_"), F.date_format(dt, "yyyy-MM-dd"), F.lit(".nc")))
+            .otherwise(F.concat(F.lit("ROF_"), F.date_format(dt, "yyyyMM"), F.lit(".nc"))))
+    bad = F.concat(F.lit("SWE_"), F.date_format(dt, "yyyy"), F.lit("13"), F.date_format(dt, "dd"), F.lit(".nc"))
+    return d.select(good.alias("name")).union(d.where(F.dayofmonth(dt) == 31).select(bad.alias("name")))
+
+
+_NAMES = f"""
+, d AS (SELECT DISTINCT variable, date FROM s3 WHERE {QZ._WY}),
+  nm AS (SELECT CASE variable WHEN 'SWE' THEN 'SWE_' || strftime(date, '%Y%m%d') || '.nc'
+                              WHEN 'HS' THEN 'HS_FC_' || strftime(date, '%Y-%m-%d') || '.nc'
+                              ELSE 'ROF_' || strftime(date, '%Y%m') || '.nc' END AS name FROM d
+         UNION ALL
+         SELECT 'SWE_' || strftime(date, '%Y') || '13' || strftime(date, '%d') || '.nc' FROM d WHERE day(date) = 31),
+  nd AS (SELECT name, CAST(coalesce(try_strptime(regexp_extract(name, '_(\\d{{8}})\\.', 1), '%Y%m%d'),
+                                    try_strptime(regexp_extract(name, '_FC_(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), '%Y-%m-%d'),
+                                    try_strptime(regexp_extract(name, '_(\\d{{6}})(?:\\D|$)', 1), '%Y%m')) AS DATE) AS date FROM nm)"""
+
+
+@register("io02_date_from_name", q("SELECT name, date FROM nd WHERE date IS NOT NULL", "s3", extra=_NAMES))
+def io02_date_from_name(t: Tables):
+    """Dates parsed from raster file names; names without a valid date skipped."""
+    return FL.dated_files(product_file_names(t))
+
+
+@register("so03_sort_by_date", q("SELECT name, date FROM nd WHERE date IS NOT NULL", "s3", extra=_NAMES))
+def so03_sort_by_date(t: Tables):
+    """Raster files ordered by the date in their name."""
+    return FL.dated_files(product_file_names(t)).orderBy("date", "name")
+
+
+def _zone_schema_cols(t: Tables):
+    return Z.zones_of(QZ.zone_region(t))
+
+
+@register("io05_wide_csv_scan", zm_sql(f"SELECT date, zone, {rnd_sql('mean')} AS mean FROM zm WHERE variable = 'SWE'"))
+def io05_wide_csv_scan(t: Tables):
+    """Wide SWE table written as CSV with header, scanned back to long."""
+    zones = _zone_schema_cols(t)
+    wide = QZ.a03_pivot_wide(t)
+    path = scratch_path(t.spark, "wide-csv")
+    FL.write_wide_csv(wide, path)
+    return FL.read_wide_csv(t.spark, path, "date", zones)
+
+
+@register("io06_wide_csv_sink", zm_sql(f"SELECT variable, date, zone, {rnd_sql('mean')} AS mean FROM zm"))
+def io06_wide_csv_sink(t: Tables):
+    """One wide CSV table per variable (one write job), read back to long."""
+    zones = _zone_schema_cols(t)
+    zm, _ = QZ.wy_zone_means(t)
+    wide = (zm.withColumn("mean", rnd("mean")).groupBy("variable", "date")
+            .pivot("zone", zones).agg(F.first("mean")))
+    path = scratch_path(t.spark, "wide-csv-by-var")
+    FL.write_wide_csv(wide, path, by=["variable"])
+    return FL.read_wide_csv(t.spark, path, "date", zones, extra=["variable"])
+
+
+@register("io07_zone_tsv", ORACLES["j14_zone_product"])
+def io07_zone_tsv(t: Tables):
+    """Per-zone product written as tab-separated files, read back."""
+    prod = QZ.j14_zone_product(t)
+    path = scratch_path(t.spark, "zone-tsv")
+    FL.write_zone_tsv(prod, path)
+    fields = [T.StructField("date", T.DateType())] + [
+        T.StructField(c, T.DoubleType()) for c in prod.columns[2:-1]] + [T.StructField("FC", T.BooleanType())]
+    back = t.spark.read.option("sep", "\t").option("header", True).schema(T.StructType(fields)).csv(path)
+    return back.select(*prod.columns)
+
+
+@register("io08_split_by_day", q("SELECT CAST(time AS DATE) AS day, count(*) AS n_rows FROM s1 GROUP BY 1", "s1"))
+def io08_split_by_day(t: Tables):
+    """Series split into one folder per calendar day; rows per day read back."""
+    path = scratch_path(t.spark, "by-day")
+    s = S.s1(t).select("lat_i", "lon_i", "time", "value", F.to_date("time").alias("day"))
+    FL.write_partitioned(s, path, ["day"])
+    back = t.spark.read.parquet(path)
+    return back.groupBy(F.col("day").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("io09_raster_per_day", q("""
+SELECT upper(variable) AS variable, date, upper(variable) || '_' || strftime(date, '%Y%m%d') AS name,
+       CASE variable WHEN 'swe' THEN 'mm' WHEN 'snd' THEN 'm' WHEN 'rof' THEN 'mm' WHEN 'gst' THEN 'k' END AS unit,
+       count(*) AS n_pixels, count(value) AS n_valid
+FROM (SELECT date, variable, value FROM s4a JOIN s4b USING (cluster)
+      UNPIVOT INCLUDE NULLS (value FOR variable IN (swe, snd, rof, gst)))
+GROUP BY 1, 2, 3, 4""", "s4a", "s4b"))
+def io09_raster_per_day(t: Tables):
+    """Daily pixel rasters written one folder per (variable, date), read back."""
+    px = R.cluster_to_pixel(S.s4a(t), S.s4b(t))
+    long = px.unpivot(["pixel", "row_i", "col_i", "date"], ["swe", "snd", "rof", "gst"], "var", "value")
+    _, unit = R.product_names(F.col("var"))
+    long = long.select("pixel", "row_i", "col_i", "value", F.upper("var").alias("variable"), "date", unit.alias("unit"))
+    path = scratch_path(t.spark, "rasters")
+    FL.write_partitioned(long, path, ["variable", "date"])
+    back = t.spark.read.parquet(path)
+    name = F.concat_ws("_", F.col("variable"), F.date_format("date", "yyyyMMdd"))
+    return (back.groupBy("variable", F.col("date").cast("date").alias("date"), name.alias("name"), "unit")
+            .agg(F.count(F.lit(1)).alias("n_pixels"), F.count("value").alias("n_valid")))
+
+
+@register("io10_publish_paths", q(f"""
+SELECT DISTINCT variable AS parameter, date,
+       '{MODEL}/' || CASE WHEN date >= DATE '{QZ.AS_OF}' THEN 'forecast/' ELSE '' END || variable || '/' ||
+       strftime(date, '%Y') || '/' || strftime(date, '%Y%m') || '/' || variable || '_' || strftime(date, '%Y%m%d') AS path
+FROM s3 WHERE {QZ._WY}""", "s3"))
+def io10_publish_paths(t: Tables):
+    """Publish layout path per (parameter, date); forecast days under forecast/."""
+    d = QZ.wy_values(t).select(F.col("variable").alias("parameter"), "date").distinct()
+    return PB.with_publish_path(d, MODEL, forecast=F.col("date") >= F.lit(QZ.AS_OF).cast("date"))
+
+
+@register("p08_allow_list", q("""
+SELECT parameter, count(*) AS n_rows FROM (
+  SELECT CASE variable WHEN 'swe' THEN 'SWE' WHEN 'snd' THEN 'HS' WHEN 'rof' THEN 'ROF' WHEN 'gst' THEN 'GST' ELSE upper(variable) END AS parameter
+  FROM s4b UNPIVOT (value FOR variable IN (swe, snd, rof, gst)))
+WHERE parameter NOT IN ('HS', 'SWE', 'ROF', 'HS24') GROUP BY parameter""", "s4b"))
+def p08_allow_list(t: Tables):
+    """Products that would be refused by the publish allow-list (GST)."""
+    long = S.s4b(t).unpivot(["cluster", "date"], ["swe", "snd", "rof", "gst"], "variable", "value")
+    name, _ = R.product_names(F.col("variable"))
+    v = PB.allow_list_violations(long.select(name.alias("parameter")))
+    return v.groupBy("parameter").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def wy_partitions(t: Tables):
+    return QZ.wy_values(t).select("variable", "date").distinct()
+
+
+@register("j16_skip_published", q(f"""
+SELECT DISTINCT variable, date FROM s3 WHERE {QZ._WY} AND date >= DATE '{PUBLISHED_BEFORE}'""", "s3"))
+def j16_skip_published(t: Tables):
+    """Partitions still to publish when days before March are already out."""
+    c = wy_partitions(t)
+    return PB.skip_published(c, c.where(F.col("date") < F.lit(PUBLISHED_BEFORE).cast("date")), ["variable", "date"])
+
+
+@register("j16_refresh", q(f"""
+SELECT DISTINCT variable, date FROM s3 WHERE {QZ._WY} AND date >= DATE '{REFRESH_FROM}'""", "s3"))
+def j16_refresh(t: Tables):
+    """Same with revisions: days from the refresh date on are published again."""
+    c = wy_partitions(t)
+    return PB.skip_published(c, c.where(F.col("date") < F.lit(PUBLISHED_BEFORE).cast("date")),
+                             ["variable", "date"], refresh_from=REFRESH_FROM)
+
+
+@register("j17_rolling_bundle", zm_sql(f"""
+, rm AS (SELECT date, region, avg(mean) AS mean FROM zm JOIN zr USING (zone) WHERE variable = 'SWE' GROUP BY 1, 2),
+  b AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM rm), (SELECT max(date) FROM rm), INTERVAL 1 DAY)) AS DATE) AS bundle_date)
+SELECT b.bundle_date, rm.date, rm.region, {rnd_sql('rm.mean')} AS mean
+FROM b JOIN rm ON rm.date BETWEEN b.bundle_date AND b.bundle_date + {BUNDLE_DAYS - 1}"""))
+def j17_rolling_bundle(t: Tables):
+    """10-day bundles of the regional SWE series for every start day."""
+    zm, zr = QZ.wy_zone_means(t)
+    rm = Z.region_mean(zm.where(F.col("variable") == "SWE"), zr).select("date", "region", "mean")
+    first, last = rm.agg(F.min("date")).scalar(), rm.agg(F.max("date")).scalar()
+    b = PB.rolling_bundles(rm, first, last, BUNDLE_DAYS)
+    return b.select("bundle_date", "date", "region", rnd("mean").alias("mean"))
+
+
+def publish_files(t: Tables):
+    """(parameter, date) of published rasters, with HS24 beside HS."""
+    p = wy_partitions(t).withColumnRenamed("variable", "parameter")
+    return p.unionByName(p.where(F.col("parameter") == "HS").withColumn("parameter", F.lit("HS24")))
+
+
+_FILES = f"""
+, p AS (SELECT DISTINCT variable AS parameter, date FROM s3 WHERE {QZ._WY}),
+  f AS (SELECT * FROM p UNION ALL SELECT 'HS24', date FROM p WHERE parameter = 'HS')"""
+
+
+@register("j18_open_bundle", q(f"SELECT parameter, date FROM f WHERE parameter = 'HS' AND date >= DATE '{OPEN_BUNDLE_START}'",
+                               "s3", extra=_FILES))
+def j18_open_bundle(t: Tables):
+    """All HS days from the start date on (exact class match)."""
+    return PB.open_bundle(publish_files(t), OPEN_BUNDLE_START, "HS")
+
+
+@register("j18_prefix_match", q(f"SELECT parameter, date FROM f WHERE starts_with(parameter, 'HS') AND date >= DATE '{OPEN_BUNDLE_START}'",
+                                "s3", extra=_FILES))
+def j18_prefix_match(t: Tables):
+    """As coded: the name prefix HS also catches HS24 files."""
+    return PB.open_bundle(publish_files(t), OPEN_BUNDLE_START, "HS", prefix_match=True)
