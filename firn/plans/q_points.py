@@ -186,3 +186,24 @@ def j12_reproject(t: Tables):
     m = R.reproject_nearest(tg, px.select("row_i", "col_i", "cluster"), x_left, y_top, PIXEL)
     j = R.cluster_to_pixel(m, S.s4b(t).select("cluster", "date", "swe"))
     return j.select("t_row", "t_col", "date", rnd("swe").alias("swe"))
+
+
+@register("m01_cluster_pixels")
+def m01_cluster_pixels(t: Tables):
+    """Pixels clustered by seven standardised features (k=10, seed 2);
+    rows-only check: labels depend on the algorithm."""
+    from firn.operators.cluster import cluster_pixels
+    assigned, _ = cluster_pixels(S.s7(t), "pixel", [f"f{i}" for i in range(7)], k=10)
+    return assigned
+
+
+@register("io04_text_sink", q("SELECT cluster, count(*) AS n_lines FROM s4b GROUP BY cluster", "s4b"))
+def io04_text_sink(t: Tables):
+    """Lines written per point file by the whitespace text sink."""
+    path = textio.scratch_path(t.spark, "points-sink")
+    s = S.s4b(t).select(PT.point_name(F.col("cluster")).alias("point"),
+                        F.col("date").cast("timestamp_ntz").alias("time"), *VARS)
+    textio.write_point_text(s, path, "point", "time", VARS)
+    back = t.spark.read.text(path)
+    cl = F.regexp_extract(F.col("point"), r"_(\d+)$", 1).cast("bigint")
+    return back.groupBy(cl.alias("cluster")).agg(F.count(F.lit(1)).alias("n_lines"))

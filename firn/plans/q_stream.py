@@ -1 +1,77 @@
-"""(filled in below)"""
+"""Streaming queries: S1 delivered as daily file drops and consumed with
+Structured Streaming; each result is read back from its sink."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from firn.plans.registry import register
+from firn.sources import standins as S
+from firn.sources.tables import Tables
+from firn.sources.textio import scratch_path
+from firn.streaming import drops as D
+
+# Delivery lag of each source in days (drop day = data day + lag).
+DELIVERY_LAG = {"reanalysis": 5, "daily_fc": 0, "cont_fc": -2}
+LOOKBACK_DAYS = 7
+DROP_EVERY = 3
+
+
+def write_drops(t: Tables):
+    """S1 rows written as one file group per delivery day."""
+    lag = F.create_map(*[x for k, v in DELIVERY_LAG.items() for x in (F.lit(k), F.lit(v))])
+    s = S.s1(t).select("source", "prio", "lat_i", "lon_i", "time", "value",
+                       F.date_add(F.to_date("time"), F.element_at(lag, F.col("source"))).alias("drop_day"))
+    path = scratch_path(t.spark, "drops")
+    s.repartition("drop_day").write.parquet(path)
+    return path, s.schema
+
+
+@register("t01_stream_dedupe", S.with_ctes("SELECT DISTINCT lat_i, lon_i, time FROM s1", "s1"))
+def t01_stream_dedupe(t: Tables):
+    """Drops streamed with a 7-day watermark; each (cell, time) kept once."""
+    path, schema = write_drops(t)
+    stream = D.read_drops(t.spark, path, schema)
+    out = scratch_path(t.spark, "t01-out")
+    d = D.dedupe_stream(stream, ["lat_i", "lon_i"])
+    D.run_to_end(d.writeStream.format("parquet").option("path", out), scratch_path(t.spark, "t01-ckpt"))
+    return t.spark.read.parquet(out).select("lat_i", "lon_i", "time")
+
+
+@register("t02_rolling_revision", S.with_ctes(
+    "SELECT lat_i, lon_i, time, min_by(value, prio) AS value FROM s1 GROUP BY ALL", "s1"))
+def t02_rolling_revision(t: Tables):
+    """Every drop re-delivers the last 7 days; day partitions are rebuilt
+    per micro-batch (reanalysis over forecast, newest delivery first)."""
+    s = S.s1(t).select("source", "prio", "lat_i", "lon_i", "time", "value", F.to_date("time").alias("day"))
+    first = s.agg(F.min("day")).scalar()
+    # a drop every 3 days from first+6; each carries the 7 days up to it
+    k_lo = F.ceil(F.datediff(F.col("day"), first) / DROP_EVERY - 2).cast("int")
+    k_hi = F.floor((F.datediff(F.col("day"), first) + LOOKBACK_DAYS - 1) / DROP_EVERY - 2).cast("int")
+    k_lo = F.greatest(k_lo, F.lit(0))
+    d = (s.where(k_lo <= k_hi).withColumn("drop_no", F.explode(F.sequence(k_lo, k_hi)))
+         .withColumn("drop_day", F.date_add(first, F.col("drop_no") * DROP_EVERY + 6)))
+    path = scratch_path(t.spark, "revision-drops")
+    d.repartition("drop_no").write.parquet(path)
+    store = D.RevisionStore(t.spark, scratch_path(t.spark, "revision-store"), ["lat_i", "lon_i", "time"], ["value"])
+    stream = D.read_drops(t.spark, path, d.schema, max_files=1)
+    D.run_to_end(stream.writeStream.foreachBatch(store.apply), scratch_path(t.spark, "t02-ckpt"))
+    return store.read().select("lat_i", "lon_i", "time", "value")
+
+
+@register("t03_day_completeness", S.with_ctes("""
+SELECT source, CAST(time AS DATE) AS day, count(DISTINCT time) AS n_hours, count(DISTINCT time) = 24 AS complete
+FROM s1 GROUP BY 1, 2""", "s1"))
+def t03_day_completeness(t: Tables):
+    """Hours present per source and tumbling day from the drop stream."""
+    path, schema = write_drops(t)
+    stream = D.read_drops(t.spark, path, schema)
+    agg = D.day_completeness_stream(stream, ["source"])
+    out = scratch_path(t.spark, "t03-out")
+
+    def sink(df, epoch):
+        df.write.mode("overwrite").parquet(out)
+    D.run_to_end(agg.writeStream.outputMode("complete").foreachBatch(sink), scratch_path(t.spark, "t03-ckpt"))
+    r = t.spark.read.parquet(out)
+    return r.select("source", F.to_date("w.start").alias("day"), "n_hours",
+                    (F.col("n_hours") == 24).alias("complete"))

@@ -156,3 +156,22 @@ def p20_fixed_columns(t: Tables):
     zm, _ = wy_zone_means(t)
     swe = zm.where(F.col("variable") == "SWE").select("date", "zone", rnd("mean").alias("SWE"))
     return Z.ensure_columns(swe, ["date", "zone", "SWE", "GST"])
+
+
+@register("p16_forecast_flag", S.with_ctes(f"""
+SELECT DISTINCT variable, date, date >= DATE '{AS_OF}' AS FC FROM s3 WHERE {_WY}""", "s3"))
+def p16_forecast_flag(t: Tables):
+    """Forecast flag per product day: FC = date >= as_of."""
+    return (wy_values(t).select("variable", "date").distinct()
+            .withColumn("FC", F.col("date") >= F.lit(AS_OF).cast("date")))
+
+
+@register("j13_quantile_copies", _zm_sql(f"""
+SELECT zone, date, {rnd_sql('mean')} AS Q5_SWE, {rnd_sql('mean')} AS Q50_SWE, {rnd_sql('mean')} AS Q95_SWE
+FROM zm WHERE variable = 'SWE'"""))
+def j13_quantile_copies(t: Tables):
+    """Q5/Q50/Q95 of SWE: three copies of the same zone mean, no self-join."""
+    zm, _ = wy_zone_means(t)
+    m = rnd("mean")
+    return zm.where(F.col("variable") == "SWE").select(
+        "zone", "date", *[m.alias(f"{q}_SWE") for q in Z.QUANTILES])
