@@ -19,9 +19,11 @@ def allow_list_violations(df: DataFrame, param: str = "parameter",
 def assert_allowed(df: DataFrame, param: str = "parameter", allowed=PUBLISH_PARAMETERS) -> DataFrame:
     """Pass rows through; the job fails on the first unknown parameter."""
     ok = F.col(param).isin(*allowed)
-    check = F.when(ok, F.lit(None)).otherwise(
-        F.raise_error(F.concat(F.lit("parameter not allowed: "), F.col(param))))
-    return df.withColumn("_chk", check).drop("_chk")
+    # a predicate that is true or raises: unlike a dropped helper column,
+    # a filter cannot be pruned away by the optimizer
+    check = F.when(ok, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("parameter not allowed: "), F.col(param))).cast("boolean"))
+    return df.where(check)
 
 
 def skip_published(candidates: DataFrame, published: DataFrame, keys: list[str],
