@@ -18,12 +18,5 @@ def distinct_values(df: DataFrame, col: str, limit: int = MAX_DIMENSION_VALUES)
     return sorted(v for v in vals if v is not None)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after checking that it has at most ``max_rows``
-    rows; otherwise return it unchanged so the planner shuffles both sides."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def nan_to_null(c):
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)

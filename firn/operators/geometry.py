@@ -58,9 +58,12 @@ def zone_pixels(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "c
     shift_x, shift_y = (0.0, 0.0) if coord == "center" else (-res / 2, res / 2)
     px = pixels.select("*", (F.col("x") + shift_x).alias("_px"), (F.col("y") + shift_y).alias("_py"))
     # grid of test points: y_r = y_top - r*res, x_c = x_left + c*res
-    y_top = px.agg(F.max(F.col("_py") + F.col(row) * res)).scalar()
-    x_left = px.agg(F.min(F.col("_px") - F.col(col) * res)).scalar()
-    max_row, max_col = px.agg(F.max(row)).scalar(), px.agg(F.max(col)).scalar()
+    # one aggregate over the pixels, referenced as a reused scalar subquery
+    g = px.agg(F.struct(F.max(F.col("_py") + F.col(row) * res).alias("y_top"),
+                        F.min(F.col("_px") - F.col(col) * res).alias("x_left"),
+                        F.max(row).alias("max_row"), F.max(col).alias("max_col"))).scalar()
+    y_top, x_left = g.getField("y_top"), g.getField("x_left")
+    max_row, max_col = g.getField("max_row"), g.getField("max_col")
     lo, hi = F.least("y1", "y2"), F.greatest("y1", "y2")
     # candidate rows (one row of margin each side), clipped to the grid
     r_first = F.greatest(F.floor((y_top - hi) / res).cast("int"), F.lit(0))

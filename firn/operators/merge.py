@@ -70,8 +70,11 @@ def overlay(earlier: DataFrame, forecast: DataFrame, time: str = "time") -> Data
     """Forecast overlay (J04): if the time ranges share more than one
     instant, keep earlier rows before the overlap start only, then append
     the forecast.  A single shared instant is not an overlap."""
-    o0 = F.greatest(earlier.agg(F.min(time)).scalar(), forecast.agg(F.min(time)).scalar())
-    o1 = F.least(earlier.agg(F.max(time)).scalar(), forecast.agg(F.max(time)).scalar())
+    def bounds(df):
+        return df.agg(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi"))).scalar()
+    e, f = bounds(earlier), bounds(forecast)
+    o0 = F.greatest(e.getField("lo"), f.getField("lo"))
+    o1 = F.least(e.getField("hi"), f.getField("hi"))
     keep = (o1 <= o0) | (F.col(time) <= add_hours(o0, -1))
     return concat(earlier.where(keep), forecast)
 

@@ -8,21 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firn.functions.geodesy import tm_forward
-from firn.operators.common import checked_broadcast
 
 # Model variable -> (product name, unit); others are upper-cased.
 PRODUCT_NAMES = {"swe": ("SWE", "mm"), "snd": ("HS", "m"), "rof": ("ROF", "mm"), "gst": ("GST", "k")}
 
 
-def cluster_to_pixel(pixels: DataFrame, series: DataFrame, cluster: str = "cluster",
-                     max_broadcast_rows: int = 5_000_000) -> DataFrame:
+def cluster_to_pixel(pixels: DataFrame, series: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Spread cluster series over their pixels (J15, inner join).
 
-    The cluster series is broadcast when its row count is within the
-    bound (then a cluster owning a third of all pixels costs nothing
-    extra); otherwise both sides shuffle on the cluster and AQE splits
-    skewed partitions."""
-    return pixels.join(checked_broadcast(series, max_broadcast_rows), cluster)
+    No hint: the planner broadcasts the series only when its size is known
+    to be under ``autoBroadcastJoinThreshold``, and AQE re-checks the
+    materialised size at runtime (then a cluster owning a third of all
+    pixels costs nothing extra).  Otherwise both sides shuffle on the
+    cluster and AQE's skew-join splits the hot cluster's partition."""
+    return pixels.join(series, cluster)
 
 
 def product_names(var: Column) -> tuple[Column, Column]:
@@ -48,8 +47,9 @@ def corner_coords(pixels: DataFrame, dx: float, dy: float, row: str = "row_i", c
                   x: str = "x", y: str = "y") -> DataFrame:
     """Upper-left corner coordinates x0 + col*dx, y0 - row*dy, with the
     origin rebuilt from the pixel centres (G05)."""
-    x0 = pixels.agg(F.min(F.col(x) - F.col(col) * dx)).scalar() - F.lit(dx / 2)
-    y0 = pixels.agg(F.max(F.col(y) + F.col(row) * dy)).scalar() + F.lit(dy / 2)
+    o = pixels.agg(F.struct(F.min(F.col(x) - F.col(col) * dx).alias("x"),
+                            F.max(F.col(y) + F.col(row) * dy).alias("y"))).scalar()
+    x0, y0 = o.getField("x") - F.lit(dx / 2), o.getField("y") + F.lit(dy / 2)
     return pixels.select("*", (x0 + F.col(col) * dx).alias("x_corner"),
                          (y0 - F.col(row) * dy).alias("y_corner"))
 

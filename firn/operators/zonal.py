@@ -66,7 +66,9 @@ def region_mean(zone_means: DataFrame, zone_region: DataFrame, keys=("variable",
     Not pixel-weighted: each catchment counts once."""
     keys = list(keys)
     zr = zone_region.select(zone_col, region_col).distinct()
-    return (zone_means.join(F.broadcast(zr), zone_col)
+    # the zone map is a small parquet-backed table: the planner broadcasts
+    # it from its size statistics (and AQE from its runtime size)
+    return (zone_means.join(zr, zone_col)
             .groupBy(*keys, region_col).agg(F.avg("mean").alias("mean")))
 
 

@@ -180,8 +180,8 @@ FROM tp JOIN s4a USING (row_i, col_i) JOIN s4b USING (cluster)""", "s4a", "s4b",
 def j12_reproject(t: Tables):
     """Daily SWE reprojected from the UTM pixel grid to a lon/lat grid (nearest)."""
     px = S.s4a(t)
-    x_left = px.agg(F.min("x")).scalar() - F.lit(PIXEL / 2)
-    y_top = px.agg(F.max("y")).scalar() + F.lit(PIXEL / 2)
+    o = px.agg(F.struct(F.min("x").alias("x"), F.max("y").alias("y"))).scalar()
+    x_left, y_top = o.getField("x") - F.lit(PIXEL / 2), o.getField("y") + F.lit(PIXEL / 2)
     tg = R.target_grid(t.spark, **TARGET)
     m = R.reproject_nearest(tg, px.select("row_i", "col_i", "cluster"), x_left, y_top, PIXEL)
     j = R.cluster_to_pixel(m, S.s4b(t).select("cluster", "date", "swe"))

@@ -210,7 +210,8 @@ def j17_rolling_bundle(t: Tables):
     """10-day bundles of the regional SWE series for every start day."""
     zm, zr = QZ.wy_zone_means(t)
     rm = Z.region_mean(zm.where(F.col("variable") == "SWE"), zr).select("date", "region", "mean")
-    first, last = rm.agg(F.min("date")).scalar(), rm.agg(F.max("date")).scalar()
+    b = rm.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    first, last = b.getField("lo"), b.getField("hi")
     b = PB.rolling_bundles(rm, first, last, BUNDLE_DAYS)
     return b.select("bundle_date", "date", "region", rnd("mean").alias("mean"))
 

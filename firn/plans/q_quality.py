@@ -235,7 +235,7 @@ def p14_sim_window(t: Tables):
     s = S.s1(t).select("source", "lat_i", "lon_i", "time", "value")
     lf = Q.last_full_day(s, ["source"])
     start = Q.add_days(ntz(f"{SIM_AS_OF} 00:00:00"), -7)
-    return (s.join(F.broadcast(lf), "source")
+    return (s.join(lf, "source")
             .where(F.col("time").between(start, F.col("last_full"))).drop("last_full"))
 
 

@@ -100,12 +100,14 @@ def s3(t: Tables, first: str | None = None, last: str | None = None) -> DataFram
           .where(_day_range(F.col("l_shipdate"), first, last))
           .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")))
     li = _geo(t, li, "s_nationkey")
-    hs = li.select(F.lit("HS").alias("variable"), F.to_date("l_shipdate").alias("date"), "zone",
-                   "region", F.col("l_quantity").alias("value"))
-    rof = li.select(F.lit("ROF").alias("variable"), F.to_date("l_shipdate").alias("date"), "zone",
-                    "region", F.when(F.col("l_returnflag") == "R", F.lit(-9999.0))
-                    .otherwise(F.col("l_extendedprice") * F.col("l_discount")).alias("value"))
-    return swe.unionByName(hs).unionByName(rof)
+    # one scan and one join of lineitem feed both of its variables
+    rof_v = F.when(F.col("l_returnflag") == "R", F.lit(-9999.0)).otherwise(
+        F.col("l_extendedprice") * F.col("l_discount"))
+    both = F.array(F.struct(F.lit("HS").alias("variable"), F.col("l_quantity").alias("value")),
+                   F.struct(F.lit("ROF").alias("variable"), rof_v.alias("value")))
+    hs_rof = li.select(F.to_date("l_shipdate").alias("date"), "zone", "region", F.explode(both).alias("_v"))
+    hs_rof = hs_rof.select("_v.variable", "date", "zone", "region", "_v.value")
+    return swe.unionByName(hs_rof)
 
 
 def s4a(t: Tables) -> DataFrame:

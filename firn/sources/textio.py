@@ -26,7 +26,10 @@ def write_point_text(df: DataFrame, path: str, point_col: str, time_col: str,
     t = F.col(time_col)
     line = F.concat_ws(" ", F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
                        *[F.col(v).cast("string") for v in variables])
-    df.select(point_col, line.alias("value")).write.partitionBy(point_col).text(path)
+    # one writer task per point (and not every task into every point
+    # folder, which multiplies small files by the task count)
+    (df.select(point_col, line.alias("value")).repartition(F.col(point_col))
+     .write.partitionBy(point_col).text(path))
 
 
 def read_point_text(spark: SparkSession, path: str, variables: list[str]) -> DataFrame:
