@@ -77,10 +77,19 @@ def step_width(step: Column, switch: int = 144, fine: int = 3, coarse: int = 6)
     return F.when(step <= switch, F.lit(fine)).otherwise(F.lit(coarse))
 
 
+def unique_knots(df: DataFrame, run_keys: list[str], step: str, value: str) -> DataFrame:
+    """One row per (run, step): repeated deliveries of a knot collapse in a
+    partial+final aggregate before any per-run window, so a window
+    partition never holds more rows than the run has steps.  A run has one
+    value per step; ``max`` only makes the choice deterministic."""
+    return df.groupBy(*run_keys, step).agg(F.max(value).alias(value))
+
+
 def deaccumulate(df: DataFrame, run_keys: list[str], acc: str, step: str = "step",
                  out: str = "rate", switch: int = 144, fine: int = 3, coarse: int = 6) -> DataFrame:
     """(a_t - a_prev) / step width, the first step minus 0 (W01).  The
     default 0 applies only at the run edge; a NULL neighbour gives NULL."""
+    df = unique_knots(df, run_keys, step, acc)
     w = Window.partitionBy(*run_keys).orderBy(step)
     prev = F.lag(F.col(acc), 1, 0.0).over(w)
     return df.withColumn(out, (F.col(acc) - prev) / step_width(F.col(step), switch, fine, coarse))
@@ -95,7 +104,7 @@ def interpolate_hourly(knots: DataFrame, run_keys: list[str], value: str, step:
     Only knots are shuffled; the hours are generated after the shuffle.
     """
     w = Window.partitionBy(*run_keys).orderBy(step)
-    k = (knots.withColumn("_s2", F.lead(step).over(w))
+    k = (unique_knots(knots, run_keys, step, value).withColumn("_s2", F.lead(step).over(w))
          .withColumn("_v2", F.lead(value).over(w)))
     hrs = F.when(F.col("_s2").isNull(), F.array(F.col(step))).otherwise(
         F.sequence(F.col(step), F.col("_s2") - 1))

@@ -80,3 +80,55 @@ def chain_zone_products(t: Tables):
                                   S.s4a(t), S.s6(t.spark), AS_OF, PIXEL)
     return p.select("level", "zone", "date",
                     *[rnd(c).alias(c) if c[0] == "Q" else F.col(c) for c in p.columns[3:-1]], "FC")
+
+
+def hourly_forcing(runs: DataFrame, reanalysis: DataFrame, run_keys: list[str], cell_to_grid,
+                   switch: int = 144, acc: str = "acc", value: str = "tp") -> DataFrame:
+    """Forecast runs -> rates (W01) -> hourly values (W02) -> valid times ->
+    latest run per cell and hour (W04) -> reanalysis over forecast (J01).
+    Shuffles: knots on (run, cell) once, hours on (cell, time) once."""
+    from firn.operators import forcing as P
+    from firn.operators import merge as M
+    rate = P.deaccumulate(runs, run_keys, acc, switch=switch).select(*run_keys, "step", "rate")
+    hourly = P.interpolate_hourly(rate, run_keys, "rate")
+    lat_i, lon_i = cell_to_grid(F.col(run_keys[1]))
+    fc = hourly.select(lat_i.alias("lat_i"), lon_i.alias("lon_i"),
+                       (F.col(run_keys[0]).cast("timestamp_ntz")
+                        + F.make_dt_interval(F.lit(0), F.col("hour").cast("int"))).alias("time"),
+                       F.col(run_keys[0]).alias("run"), F.col("rate").alias(value))
+    latest = P.latest_run(fc, ["lat_i", "lon_i", "time"], "run")
+    both = M.concat(reanalysis.select("lat_i", "lon_i", "time", value, F.lit(1).alias("prio")),
+                    latest.select("lat_i", "lon_i", "time", value, F.lit(2).alias("prio")))
+    merged = M.priority_merge(both, ["lat_i", "lon_i", "time"], [value])
+    src = both.groupBy("lat_i", "lon_i", "time").agg(
+        F.min(F.when(F.col(value).isNotNull(), F.col("prio"))).alias("src_prio"))
+    return merged.join(src, ["lat_i", "lon_i", "time"])
+
+
+def _s2_cell_to_grid(cell):
+    """S2 cell = user_id % 10 maps to S1 (lat_i, lon_i) = (cell % 5, cell div 5)."""
+    return (cell % 5).cast("int"), F.floor(cell / 5).cast("int")
+
+
+def _forcing_sql() -> str:
+    from firn.plans.q_forcing import _W02
+    return _W02 + f""",
+  fc AS (SELECT CAST(cell % 5 AS INT) AS lat_i, CAST(cell // 5 AS INT) AS lon_i,
+                CAST(run_date AS TIMESTAMP) + to_hours(CAST(hour AS BIGINT)) AS time, run_date AS run, rate AS tp FROM h),
+  lt AS (SELECT lat_i, lon_i, time, tp FROM (
+           SELECT *, row_number() OVER (PARTITION BY lat_i, lon_i, time ORDER BY run DESC) AS rn FROM fc) WHERE rn = 1),
+  u AS (SELECT lat_i, lon_i, time, value AS tp, 1 AS prio FROM s1 WHERE source = 'reanalysis'
+        UNION ALL SELECT lat_i, lon_i, time, tp, 2 FROM lt)"""
+
+
+@register("chain_hourly_forcing", S.with_ctes(f"""
+SELECT lat_i, lon_i, time, {rnd_sql('min_by(tp, prio) FILTER (WHERE tp IS NOT NULL)')} AS tp,
+       min(prio) FILTER (WHERE tp IS NOT NULL) AS src_prio
+FROM u GROUP BY lat_i, lon_i, time""", "s1", "s2", extra=_forcing_sql()))
+def chain_hourly_forcing(t: Tables):
+    """Forecast runs deaccumulated and interpolated to hours, latest run per
+    hour, then merged under the reanalysis (S2 runs, S1 reanalysis)."""
+    from firn.plans.q_forcing import S2_SWITCH
+    rean = S.s1(t).where(F.col("source") == "reanalysis").select("lat_i", "lon_i", "time", F.col("value").alias("tp"))
+    out = hourly_forcing(S.s2(t), rean, ["run_date", "cell"], _s2_cell_to_grid, switch=S2_SWITCH)
+    return out.select("lat_i", "lon_i", "time", rnd("tp").alias("tp"), "src_prio")
