@@ -5,7 +5,8 @@ def test_entry_smoke(spark):
     m = importlib.import_module("__spark_entry__")
     df = m.entry(spark)
     assert df.count() > 0
-    assert set(df.columns) == {"variable", "date", "region", "mean"}
+    assert df.columns[:3] == ["level", "zone", "date"] and df.columns[-1] == "FC"
+    assert {r.level for r in df.select("level").distinct().collect()} == {"zone", "region"}
 
 
 def test_contract_keys():

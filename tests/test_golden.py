@@ -112,6 +112,14 @@ def test_linear_knots_exact(spark):
     assert all(abs(r.v - (2 * r.hour + 1)) < 1e-12 for r in out)
 
 
+def test_interpolation_hits_every_knot(spark):
+    knots = [(0, 0, 1.0), (0, 3, 4.0), (0, 6, -2.0), (0, 12, 7.5), (0, 18, 0.0)]
+    d = spark.createDataFrame(knots, "r int, step int, v double")
+    out = {r.hour: r.v for r in P.interpolate_hourly(d, ["r"], "v").collect()}
+    assert len(out) == 19
+    assert all(out[s] == v for _, s, v in knots)
+
+
 def test_natural_sort(spark):
     d = spark.createDataFrame([("FSM_pt_10",), ("FSM_pt_2",), ("fsm_pt_1",)], "name string")
     got = [r.name for r in d.orderBy(PT.natural_sort_key(F.col("name"))).collect()]
