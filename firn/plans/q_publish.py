@@ -45,7 +45,7 @@ def s1_files(t: Tables):
 def io01_scan_by_class(t: Tables):
     """Forcing written one folder per file name, scanned back by name class."""
     path = scratch_path(t.spark, "forcing-files")
-    FL.write_partitioned(s1_files(t), path, ["file"])
+    FL.write_partitioned(s1_files(t), path, ["file"], within=["lat_i", "lon_i", "time"])
     parts = [FL.scan_class(t.spark, path, "file", c).select(F.lit(c).alias("class"), "lat_i", "lon_i", "time", "value")
              for c in FL.CLASS_PATTERNS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -130,7 +130,7 @@ def io08_split_by_day(t: Tables):
     """Series split into one folder per calendar day; rows per day read back."""
     path = scratch_path(t.spark, "by-day")
     s = S.s1(t).select("lat_i", "lon_i", "time", "value", F.to_date("time").alias("day"))
-    FL.write_partitioned(s, path, ["day"])
+    FL.write_partitioned(s, path, ["day"], within=["lat_i", "lon_i", "time"])
     back = t.spark.read.parquet(path)
     return back.groupBy(F.col("day").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -149,7 +149,7 @@ def io09_raster_per_day(t: Tables):
     _, unit = R.product_names(F.col("var"))
     long = long.select("pixel", "row_i", "col_i", "value", F.upper("var").alias("variable"), "date", unit.alias("unit"))
     path = scratch_path(t.spark, "rasters")
-    FL.write_partitioned(long, path, ["variable", "date"])
+    FL.write_partitioned(long, path, ["variable", "date"], within=["row_i", "col_i"])
     back = t.spark.read.parquet(path)
     name = F.concat_ws("_", F.col("variable"), F.date_format("date", "yyyyMMdd"))
     return (back.groupBy("variable", F.col("date").cast("date").alias("date"), name.alias("name"), "unit")

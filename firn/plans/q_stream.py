@@ -23,7 +23,7 @@ def write_drops(t: Tables):
     s = S.s1(t).select("source", "prio", "lat_i", "lon_i", "time", "value",
                        F.date_add(F.to_date("time"), F.element_at(lag, F.col("source"))).alias("drop_day"))
     path = scratch_path(t.spark, "drops")
-    s.repartition("drop_day").write.parquet(path)
+    s.repartitionByRange("drop_day", "lat_i", "lon_i", "time").write.parquet(path)
     return path, s.schema
 
 
@@ -52,7 +52,7 @@ def t02_rolling_revision(t: Tables):
     d = (s.where(k_lo <= k_hi).withColumn("drop_no", F.explode(F.sequence(k_lo, k_hi)))
          .withColumn("drop_day", F.date_add(first, F.col("drop_no") * DROP_EVERY + 6)))
     path = scratch_path(t.spark, "revision-drops")
-    d.repartition("drop_no").write.parquet(path)
+    d.repartitionByRange("drop_no", "lat_i", "lon_i", "time").write.parquet(path)
     store = D.RevisionStore(t.spark, scratch_path(t.spark, "revision-store"), ["lat_i", "lon_i", "time"], ["value"])
     stream = D.read_drops(t.spark, path, d.schema, max_files=1)
     D.run_to_end(stream.writeStream.foreachBatch(store.apply), scratch_path(t.spark, "t02-ckpt"))

@@ -39,5 +39,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="firn-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:  # set at start-up on a cluster
+        sc.setCheckpointDir(d)
     return d

@@ -15,9 +15,17 @@ from firn.functions.names import date_from_name
 CLASS_PATTERNS = {"reanalysis": r"^PLEV_20", "daily_fc": r"^PLEV_FC_20", "cont_fc": r"^PLEV_FC$"}
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parquet", **options) -> None:
-    """Partitioned write to a new path (dynamic partition layout)."""
-    w = df.write.mode("errorifexists").partitionBy(*by)
+def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parquet",
+                      within: list[str] | None = None, **options) -> None:
+    """Partitioned write to a new path.
+
+    Rows are range-partitioned on the partition columns and then on
+    ``within``: each task covers a contiguous slice, so it writes into one
+    or two folders (not every task into every folder), and a very large
+    folder (a day holding a third of the data) is split over many tasks
+    instead of landing on one."""
+    within = within or []
+    w = df.repartitionByRange(*by, *within).write.mode("errorifexists").partitionBy(*by)
     for k, v in options.items():
         w = w.option(k, v)
     w.format(fmt).save(path)

@@ -26,9 +26,10 @@ def write_point_text(df: DataFrame, path: str, point_col: str, time_col: str,
     t = F.col(time_col)
     line = F.concat_ws(" ", F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
                        *[F.col(v).cast("string") for v in variables])
-    # one writer task per point (and not every task into every point
-    # folder, which multiplies small files by the task count)
-    (df.select(point_col, line.alias("value")).repartition(F.col(point_col))
+    # range-partitioned on (point, time): a task writes into one or two
+    # point folders instead of all of them, and a very long point series
+    # is split over several tasks (several part files in its folder)
+    (df.repartitionByRange(point_col, time_col).select(point_col, line.alias("value"))
      .write.partitionBy(point_col).text(path))
 
 
