@@ -16,7 +16,8 @@ PLANNED = sorted(n for n in registry.QUERIES if not n.startswith(("t0", "io", "m
 # (run, cell) windows: at most one forecast run of steps; (zone, row)
 # windows: the crossings of one pixel row
 BOUNDED_WINDOWS = {"w01_deaccumulate", "w02_interpolate", "w03_hindcast_day", "j11_zone_pixels",
-                   "j11_corner_as_center", "a01_polygon_zonal_mean", "m02_factorised_mean"}
+                   "j11_corner_as_center", "a01_polygon_zonal_mean", "m02_factorised_mean",
+                   "chain_hourly_forcing"}
 
 
 def plan(df) -> str:
