@@ -138,11 +138,16 @@ def supersede(hindcast: DataFrame, reanalysis_days: DataFrame, day_col: str = "d
             .withColumn("state", F.when(F.col("_has"), "archive").otherwise("live")).drop("_has"))
 
 
-def recent_days(files: DataFrame, as_of_ts: str, days: int = 9, day_col: str = "date") -> DataFrame:
+def recent_days(files: DataFrame, as_of_ts: str, days: int = 9, day_col: str = "date",
+                require_rows: bool = True) -> DataFrame:
     """File days with ``day >= as_of - days`` compared as timestamps (P11):
-    the boundary day drops out unless ``as_of`` is midnight."""
+    the boundary day drops out unless ``as_of`` is midnight.  As in the
+    operational code an empty window is an error (a one-row probe)."""
     cutoff = add_days(ntz(as_of_ts), -days)
-    return files.where(F.col(day_col).cast("timestamp_ntz") >= cutoff)
+    out = files.where(F.col(day_col).cast("timestamp_ntz") >= cutoff)
+    if require_rows and out.isEmpty():
+        raise ValueError(f"no files on or after {days} days before {as_of_ts}")
+    return out
 
 
 def trim_after(forecast: DataFrame, last_time: Column, time: str = "time",

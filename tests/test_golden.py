@@ -31,6 +31,16 @@ def test_trim_day_both_cases(spark):
         assert got == cut
 
 
+def test_recent_days_boundary_and_empty(spark):
+    import pytest
+    f = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (15, 16, 17)], "date date")
+    got = [r.date.day for r in Q.recent_days(f, "2024-01-25 10:30:00").collect()]
+    assert got == [17]
+    assert [r.date.day for r in Q.recent_days(f, "2024-01-25 00:00:00").collect()] == [16, 17]
+    with pytest.raises(ValueError):
+        Q.recent_days(f, "2024-03-01 00:00:00")
+
+
 def test_overlay_single_instant_keeps_both(spark):
     e = hourly(spark, ["2024-01-04T23:00", "2024-01-05T00:00"], "e")
     f = hourly(spark, ["2024-01-05T00:00", "2024-01-05T01:00"], "f")
