@@ -37,13 +37,19 @@ def ring_to_edges(zones: DataFrame, ring: str = "ring", keys=("zone", "region"),
                     F.col(f"_e.b.{x}").alias("x2"), F.col(f"_e.b.{y}").alias("y2"))
 
 
-def project_rings(zones: DataFrame, ring: str = "ring", crs: str | None = None) -> DataFrame:
+def project_rings(zones: DataFrame, ring: str = "ring", keys=("zone", "region"),
+                  crs: str | None = None) -> DataFrame:
     """Load zone rings in lon/lat (WGS84 assumed when ``crs`` is None) and
-    project their vertices to the raster grid metres (IO11)."""
-    def proj(v):
-        ex, ny = tm_forward(v["lon"], v["lat"])
-        return F.struct(ex.alias("x"), ny.alias("y"))
-    return zones.withColumn(ring, F.transform(F.col(ring), proj))
+    project their vertices to the raster grid metres (IO11).  Vertices
+    become rows, so the projection is a plain code-generated expression;
+    each ring is then collected back in vertex order (a group holds one
+    polygon's vertices)."""
+    keys = list(keys)
+    v = zones.select(*keys, F.posexplode(ring).alias("_pos", "_v"))
+    ex, ny = tm_forward(F.col("_v.lon"), F.col("_v.lat"))
+    v = v.select(*keys, "_pos", ex.alias("x"), ny.alias("y"))
+    g = v.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "x", "y"))).alias("_r"))
+    return g.select(*keys, F.transform("_r", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias(ring))
 
 
 def zone_pixels(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "center",

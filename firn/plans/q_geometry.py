@@ -81,20 +81,53 @@ def m02_factorised_mean(t: Tables):
     return zm.select("date", "zone", rnd("mean").alias("mean"))
 
 
+# Margin (m) of the nation rectangles around their pixel centres.
+MARGIN = 123.0
+
+
+def nation_rectangles(t: Tables):
+    """Per nation the rectangle around its customers' pixel centres, in
+    metres: the zone polygons of io11, derived from the tables."""
+    px = S.s4a(t).join(t.customer.select(F.col("c_custkey").alias("pixel"), "c_nationkey"), "pixel")
+    px = px.join(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("zone"),
+                                 "n_regionkey"), "c_nationkey")
+    b = px.groupBy("zone", "n_regionkey").agg(
+        (F.min("x") - MARGIN).alias("x0"), (F.max("x") + MARGIN).alias("x1"),
+        (F.min("y") - MARGIN).alias("y0"), (F.max("y") + MARGIN).alias("y1"))
+    return b.select("zone", F.col("n_regionkey").cast("string").alias("region"), "x0", "x1", "y0", "y1")
+
+
 def wgs84_rings(t: Tables):
-    """S6 zones as lon/lat rings (what a polygon file without CRS holds)."""
-    e = S.s6(t.spark)
-    g = (e.groupBy("zone", "region")
-         .agg(F.sort_array(F.collect_list(F.struct("edge", "x1", "y1"))).alias("v")))
-    def to_ll(p):
-        lon, lat = tm_inverse(p["x1"], p["y1"])
-        return F.struct(lon.alias("lon"), lat.alias("lat"))
-    return g.select("zone", "region", F.transform("v", to_ll).alias("ring"))
+    """Nation rectangles as closed lon/lat rings (what a polygon file
+    without CRS holds): NW, NE, SE, SW, NW."""
+    r = nation_rectangles(t)
+    corners = F.array(*[F.struct(F.lit(i).alias("i"), F.col(x).alias("x"), F.col(y).alias("y"))
+                        for i, (x, y) in enumerate((("x0", "y1"), ("x1", "y1"), ("x1", "y0"),
+                                                    ("x0", "y0"), ("x0", "y1")))])
+    v = r.select("zone", "region", F.explode(corners).alias("c"))
+    lon, lat = tm_inverse(F.col("c.x"), F.col("c.y"))
+    v = v.select("zone", "region", F.struct(F.col("c.i").alias("i"), lon.alias("lon"), lat.alias("lat")).alias("p"))
+    g = v.groupBy("zone", "region").agg(F.sort_array(F.collect_list("p")).alias("_r"))
+    return g.select("zone", "region",
+                    F.transform("_r", lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("ring"))
+
+
+_RECT_SQL = f"""
+, px AS (SELECT s4a.x, s4a.y, n_name AS zone, CAST(n_regionkey AS VARCHAR) AS region
+         FROM s4a JOIN customer ON pixel = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+  b AS (SELECT zone, region, min(x) - {MARGIN} AS x0, max(x) + {MARGIN} AS x1,
+               min(y) - {MARGIN} AS y0, max(y) + {MARGIN} AS y1 FROM px GROUP BY zone, region),
+  e AS (SELECT zone, region, 1 AS edge, x0 AS x1, y1 AS y1, x1 AS x2, y1 AS y2 FROM b
+        UNION ALL SELECT zone, region, 2, x1, y1, x1, y0 FROM b
+        UNION ALL SELECT zone, region, 3, x1, y0, x0, y0 FROM b
+        UNION ALL SELECT zone, region, 4, x0, y0, x0, y1 FROM b)"""
 
 
 @register("io11_zone_load", q("""
-SELECT zone, region, edge, round(x1, 2) AS x1, round(y1, 2) AS y1, round(x2, 2) AS x2, round(y2, 2) AS y2 FROM s6""", "s6"))
+SELECT zone, region, CAST(edge AS INT) AS edge, round(x1, 2) AS x1, round(y1, 2) AS y1,
+       round(x2, 2) AS x2, round(y2, 2) AS y2 FROM e""", "s4a", extra=_RECT_SQL))
 def io11_zone_load(t: Tables):
-    """Zone rings loaded as WGS84, projected to grid metres, split into edges."""
+    """Zone rings stored in WGS84 (no CRS), loaded and projected to grid
+    metres, split into numbered edges."""
     e = G.ring_to_edges(G.project_rings(wgs84_rings(t)))
     return e.select("zone", "region", "edge", *[F.round(c, 2).alias(c) for c in ("x1", "y1", "x2", "y2")])
