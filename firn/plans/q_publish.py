@@ -52,9 +52,9 @@ def io01_scan_by_class(t: Tables):
 
 
 def product_file_names(t: Tables):
-    """File names of the WY-1996 rasters in the three dated formats, plus a
+    """File names of the rasters in the three dated formats, plus a
     bad name (month 13) for every 31st."""
-    d = QZ.wy_values(t).select("variable", "date").distinct()
+    d = QZ.product_values(t).select("variable", "date").distinct()
     dt = F.col("date")
     good = (F.when(F.col("variable") == "SWE", F.concat(F.lit("SWE_"), F.date_format(dt, "yyyyMMdd"), F.lit(".nc")))
             .when(F.col("variable") == "HS", F.concat(F.lit("HS_FC_"), F.date_format(dt, "yyyy-MM-dd"), F.lit(".nc")))
@@ -64,7 +64,7 @@ def product_file_names(t: Tables):
 
 
 _NAMES = f"""
-, d AS (SELECT DISTINCT variable, date FROM s3 WHERE {QZ._WY}),
+, d AS (SELECT DISTINCT variable, date FROM s3 WHERE {QZ._ALL}),
   nm AS (SELECT CASE variable WHEN 'SWE' THEN 'SWE_' || strftime(date, '%Y%m%d') || '.nc'
                               WHEN 'HS' THEN 'HS_FC_' || strftime(date, '%Y-%m-%d') || '.nc'
                               ELSE 'ROF_' || strftime(date, '%Y%m') || '.nc' END AS name FROM d
@@ -105,7 +105,7 @@ def io05_wide_csv_scan(t: Tables):
 def io06_wide_csv_sink(t: Tables):
     """One wide CSV table per variable (one write job), read back to long."""
     zones = _zone_schema_cols(t)
-    zm, _ = QZ.wy_zone_means(t)
+    zm, _ = QZ.zone_means(t)
     wide = (zm.withColumn("mean", rnd("mean")).groupBy("variable", "date")
             .pivot("zone", zones).agg(F.first("mean")))
     path = scratch_path(t.spark, "wide-csv-by-var")
@@ -160,10 +160,10 @@ def io09_raster_per_day(t: Tables):
 SELECT DISTINCT variable AS parameter, date,
        '{MODEL}/' || CASE WHEN date >= DATE '{QZ.AS_OF}' THEN 'forecast/' ELSE '' END || variable || '/' ||
        strftime(date, '%Y') || '/' || strftime(date, '%Y%m') || '/' || variable || '_' || strftime(date, '%Y%m%d') AS path
-FROM s3 WHERE {QZ._WY}""", "s3"))
+FROM s3 WHERE {QZ._ALL}""", "s3"))
 def io10_publish_paths(t: Tables):
     """Publish layout path per (parameter, date); forecast days under forecast/."""
-    d = QZ.wy_values(t).select(F.col("variable").alias("parameter"), "date").distinct()
+    d = QZ.product_values(t).select(F.col("variable").alias("parameter"), "date").distinct()
     return PB.with_publish_path(d, MODEL, forecast=F.col("date") >= F.lit(QZ.AS_OF).cast("date"))
 
 
@@ -180,23 +180,23 @@ def p08_allow_list(t: Tables):
     return v.groupBy("parameter").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def wy_partitions(t: Tables):
-    return QZ.wy_values(t).select("variable", "date").distinct()
+def all_partitions(t: Tables):
+    return QZ.product_values(t).select("variable", "date").distinct()
 
 
 @register("j16_skip_published", q(f"""
-SELECT DISTINCT variable, date FROM s3 WHERE {QZ._WY} AND date >= DATE '{PUBLISHED_BEFORE}'""", "s3"))
+SELECT DISTINCT variable, date FROM s3 WHERE {QZ._ALL} AND date >= DATE '{PUBLISHED_BEFORE}'""", "s3"))
 def j16_skip_published(t: Tables):
     """Partitions still to publish when days before March are already out."""
-    c = wy_partitions(t)
+    c = all_partitions(t)
     return PB.skip_published(c, c.where(F.col("date") < F.lit(PUBLISHED_BEFORE).cast("date")), ["variable", "date"])
 
 
 @register("j16_refresh", q(f"""
-SELECT DISTINCT variable, date FROM s3 WHERE {QZ._WY} AND date >= DATE '{REFRESH_FROM}'""", "s3"))
+SELECT DISTINCT variable, date FROM s3 WHERE {QZ._ALL} AND date >= DATE '{REFRESH_FROM}'""", "s3"))
 def j16_refresh(t: Tables):
     """Same with revisions: days from the refresh date on are published again."""
-    c = wy_partitions(t)
+    c = all_partitions(t)
     return PB.skip_published(c, c.where(F.col("date") < F.lit(PUBLISHED_BEFORE).cast("date")),
                              ["variable", "date"], refresh_from=REFRESH_FROM)
 
@@ -208,7 +208,7 @@ SELECT b.bundle_date, rm.date, rm.region, {rnd_sql('rm.mean')} AS mean
 FROM b JOIN rm ON rm.date BETWEEN b.bundle_date AND b.bundle_date + {BUNDLE_DAYS - 1}"""))
 def j17_rolling_bundle(t: Tables):
     """10-day bundles of the regional SWE series for every start day."""
-    zm, zr = QZ.wy_zone_means(t)
+    zm, zr = QZ.zone_means(t)
     rm = Z.region_mean(zm.where(F.col("variable") == "SWE"), zr).select("date", "region", "mean")
     b = rm.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     first, last = b.getField("lo"), b.getField("hi")
@@ -218,12 +218,12 @@ def j17_rolling_bundle(t: Tables):
 
 def publish_files(t: Tables):
     """(parameter, date) of published rasters, with HS24 beside HS."""
-    p = wy_partitions(t).withColumnRenamed("variable", "parameter")
+    p = all_partitions(t).withColumnRenamed("variable", "parameter")
     return p.unionByName(p.where(F.col("parameter") == "HS").withColumn("parameter", F.lit("HS24")))
 
 
 _FILES = f"""
-, p AS (SELECT DISTINCT variable AS parameter, date FROM s3 WHERE {QZ._WY}),
+, p AS (SELECT DISTINCT variable AS parameter, date FROM s3 WHERE {QZ._ALL}),
   f AS (SELECT * FROM p UNION ALL SELECT 'HS24', date FROM p WHERE parameter = 'HS')"""
 
 

@@ -1,4 +1,5 @@
-"""Zone statistics and zone products on the S3 stand-in (water year 1996)."""
+"""Zone statistics and zone products on the S3 stand-in, over every date of
+the tables (all water years); p10 is the one-water-year filter itself."""
 
 from __future__ import annotations
 
@@ -23,21 +24,27 @@ def zone_region(t: Tables):
 
 
 def wy_values(t: Tables):
-    """S3 rows of the water year; the range reaches the parquet scans."""
+    """S3 rows of one water year; the range reaches the parquet scans."""
     return Z.filter_water_year(S.s3(t, WY_FIRST, WY_LAST), WATER_YEAR)
 
 
-def wy_zone_means(t: Tables):
+def product_values(t: Tables):
+    """S3 rows of every date (all water years)."""
+    return S.s3(t)
+
+
+def zone_means(t: Tables):
     zr = zone_region(t)
-    return Z.zonal_mean(wy_values(t), Z.zones_of(zr)), zr
+    return Z.zonal_mean(product_values(t), Z.zones_of(zr)), zr
 
 
 # ---- DuckDB twins ---------------------------------------------------------
 _WY = f"date BETWEEN DATE '{WY_FIRST}' AND DATE '{WY_LAST}'"
+_ALL = "TRUE"
 _ZM = f"""
 v AS (SELECT variable, date, zone,
              CASE WHEN isnan(value) OR value = -9999 THEN NULL ELSE value END AS value
-      FROM s3 WHERE {_WY}),
+      FROM s3 WHERE {_ALL}),
 k AS (SELECT DISTINCT variable, date FROM v),
 zr AS (SELECT n_name AS zone, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey),
 zm AS (SELECT k.variable, k.date, zr.zone, avg(v.value) AS mean
@@ -52,7 +59,7 @@ def _zm_sql(body: str) -> str:
 @register("a01_zonal_mean", _zm_sql(f"SELECT variable, date, zone, {rnd_sql('mean')} AS mean FROM zm"))
 def a01_zonal_mean(t: Tables):
     """Zonal mean per (variable, date, zone), empty zone-days kept as NULL."""
-    zm, _ = wy_zone_means(t)
+    zm, _ = zone_means(t)
     return zm.select("variable", "date", "zone", rnd("mean").alias("mean"))
 
 
@@ -61,7 +68,7 @@ SELECT variable, date, region, {rnd_sql("avg(mean)")} AS mean
 FROM zm JOIN zr USING (zone) GROUP BY variable, date, region"""))
 def a02_region_mean(t: Tables):
     """Region roll-up: unweighted mean of catchment means, NULL skipped."""
-    zm, zr = wy_zone_means(t)
+    zm, zr = zone_means(t)
     r = Z.region_mean(zm, zr)
     return r.select("variable", "date", "region", rnd("mean").alias("mean"))
 
@@ -71,7 +78,7 @@ SELECT * FROM (PIVOT (SELECT date, zone, {rnd_sql('mean')} AS mean FROM zm WHERE
                ON zone USING first(mean) GROUP BY date)"""))
 def a03_pivot_wide(t: Tables):
     """Wide SWE table: date plus one column per zone."""
-    zm, zr = wy_zone_means(t)
+    zm, zr = zone_means(t)
     zm = zm.where(F.col("variable") == "SWE").withColumn("mean", rnd("mean"))
     return Z.pivot_wide(zm, Z.zones_of(zr))
 
@@ -118,7 +125,7 @@ FROM swe JOIN hs ON swe.zone = hs.zone AND swe.date = hs.date
          JOIN rof ON swe.zone = rof.zone AND swe.date = rof.date"""))
 def j14_zone_product(t: Tables):
     """Per-catchment product: Q5/Q50/Q95 copies of SWE, HS, ROF + FC flag."""
-    zm, _ = wy_zone_means(t)
+    zm, _ = zone_means(t)
     p = Z.zone_product(zm, AS_OF)
     return p.select("zone", "date", *[rnd(c).alias(c) for c in p.columns[2:-1]], "FC")
 
@@ -134,7 +141,7 @@ FROM swe JOIN hs ON swe.zone = hs.zone AND swe.date = hs.date
          JOIN rof ON swe.zone = rof.zone AND swe.date = rof.date"""))
 def j14_region_product(t: Tables):
     """Per-region product table from the region roll-up (no second scan)."""
-    zm, zr = wy_zone_means(t)
+    zm, zr = zone_means(t)
     rm = Z.region_mean(zm, zr)
     p = Z.zone_product(rm, AS_OF, zone_col="region")
     return p.select("region", "date", *[rnd(c).alias(c) for c in p.columns[2:-1]], "FC")
@@ -145,7 +152,7 @@ SELECT date FROM zm WHERE variable = 'SWE' INTERSECT SELECT date FROM zm WHERE v
 INTERSECT SELECT date FROM zm WHERE variable = 'ROF'"""))
 def u04_common_dates(t: Tables):
     """Dates present for all three variables."""
-    zm, _ = wy_zone_means(t)
+    zm, _ = zone_means(t)
     return Z.common_dates(*[zm.where(F.col("variable") == v) for v in Z.PRODUCT_VARIABLES])
 
 
@@ -153,16 +160,16 @@ def u04_common_dates(t: Tables):
 SELECT date, zone, {rnd_sql('mean')} AS SWE, CAST(NULL AS DOUBLE) AS GST FROM zm WHERE variable = 'SWE'"""))
 def p20_fixed_columns(t: Tables):
     """Fixed output columns; a variable that is not produced (GST) is NULL."""
-    zm, _ = wy_zone_means(t)
+    zm, _ = zone_means(t)
     swe = zm.where(F.col("variable") == "SWE").select("date", "zone", rnd("mean").alias("SWE"))
     return Z.ensure_columns(swe, ["date", "zone", "SWE", "GST"])
 
 
 @register("p16_forecast_flag", S.with_ctes(f"""
-SELECT DISTINCT variable, date, date >= DATE '{AS_OF}' AS FC FROM s3 WHERE {_WY}""", "s3"))
+SELECT DISTINCT variable, date, date >= DATE '{AS_OF}' AS FC FROM s3""", "s3"))
 def p16_forecast_flag(t: Tables):
     """Forecast flag per product day: FC = date >= as_of."""
-    return (wy_values(t).select("variable", "date").distinct()
+    return (product_values(t).select("variable", "date").distinct()
             .withColumn("FC", F.col("date") >= F.lit(AS_OF).cast("date")))
 
 
@@ -171,7 +178,7 @@ SELECT zone, date, {rnd_sql('mean')} AS Q5_SWE, {rnd_sql('mean')} AS Q50_SWE, {r
 FROM zm WHERE variable = 'SWE'"""))
 def j13_quantile_copies(t: Tables):
     """Q5/Q50/Q95 of SWE: three copies of the same zone mean, no self-join."""
-    zm, _ = wy_zone_means(t)
+    zm, _ = zone_means(t)
     m = rnd("mean")
     return zm.where(F.col("variable") == "SWE").select(
         "zone", "date", *[m.alias(f"{q}_SWE") for q in Z.QUANTILES])
