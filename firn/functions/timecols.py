@@ -26,10 +26,6 @@ def day_start(c: Column) -> Column:
     return F.to_date(c).cast("timestamp_ntz")
 
 
-def hours(n) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(n) if not isinstance(n, Column) else n)
-
-
 def add_hours(c: Column, n) -> Column:
     n = n if isinstance(n, Column) else F.lit(n)
     return c + F.make_dt_interval(F.lit(0), n)
@@ -40,11 +36,6 @@ def add_days(c: Column, n) -> Column:
     return c + F.make_dt_interval(n)
 
 
-def hours_between(later: Column, earlier: Column) -> Column:
-    """Whole hours from ``earlier`` to ``later`` (BIGINT)."""
-    return F.timestamp_diff("HOUR", earlier, later)
-
-
 def water_year(d: Column, start_month: int = 9) -> Column:
     """Hydrological year: the calendar year when month >= start_month,
     else the year before (P09)."""

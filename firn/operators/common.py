@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Largest dimension list we are willing to bring to the driver (zone names
 # for a pivot, a few hundred in practice).
@@ -17,6 +16,3 @@ def distinct_values(df: DataFrame, col: str, limit: int = MAX_DIMENSION_VALUES)
         raise ValueError(f"{col} has more than {limit} distinct values; keep it long")
     return sorted(v for v in vals if v is not None)
 
-
-def nan_to_null(c):
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)

@@ -12,7 +12,7 @@ range join and no pixel x edge product.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firn.functions.geodesy import tm_forward

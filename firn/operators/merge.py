@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firn.functions.timecols import add_hours, day_start
+from firn.functions.timecols import add_hours
 from firn.operators import quality as Q
 
 

@@ -32,7 +32,7 @@ def product_names(var: Column) -> tuple[Column, Column]:
     return F.coalesce(F.element_at(names, var), F.upper(var)), F.element_at(units, var)
 
 
-def first_band(stack: DataFrame, band: str = "band", keys: list[str] | None = None) -> DataFrame:
+def first_band(stack: DataFrame, band: str = "band") -> DataFrame:
     """Rows of the first band."""
     return stack.where(F.col(band) == 1)
 
