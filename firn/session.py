@@ -43,3 +43,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:  # set at start-up on a cluster
         sc.setCheckpointDir(d)
     return d
+
+
+def scale_conf(input_bytes: int, shuffle_fraction: float = 0.3,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster session sized from the bytes a job reads.
+
+    The initial shuffle partition count aims at ~256 MB per reducer for
+    the expected shuffle volume (``shuffle_fraction`` of the input after
+    pruning and map-side aggregation); AQE coalesces small partitions and
+    splits skewed ones at runtime, so the count is an upper bound.  E.g.
+    100 TB read, 30 % shuffled -> 122,880 initial partitions.
+    """
+    import math
+    n = max(200, math.ceil(input_bytes * shuffle_fraction / target_partition_bytes))
+    n = min(n, 200_000)
+    mb = target_partition_bytes >> 20
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
