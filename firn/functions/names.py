@@ -35,7 +35,7 @@ def natural_key(name: Column) -> Column:
 
 def cluster_from_name(name: Column) -> Column:
     """Point id from names like FSM_pt_12.txt."""
-    return F.regexp_extract(name, r"_(\d+)", 1).cast("int")
+    return F.regexp_extract(name, r"_(\d+)", 1).cast("bigint")
 
 
 def publish_path(model: str, param: Column, d: Column, forecast: Column | bool = False) -> Column:

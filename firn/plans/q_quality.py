@@ -172,7 +172,7 @@ def j06_missing_days(t: Tables):
 
 
 @register("j09_backfill_candidates", q(f"""
-SELECT date, -date_diff('day', date, DATE '{BACKFILL_AS_OF}') AS offset
+SELECT date, CAST(-date_diff('day', date, DATE '{BACKFILL_AS_OF}') AS INTEGER) AS offset
 FROM (SELECT CAST(unnest(generate_series((SELECT max(CAST(time AS DATE)) FROM s1 WHERE source = 'reanalysis') + 1,
                                          DATE '{BACKFILL_AS_OF}' - 1, INTERVAL 1 DAY)) AS DATE) AS date)
 WHERE date NOT IN (SELECT CAST(time AS DATE) FROM s1 WHERE source = 'daily_fc')
@@ -285,7 +285,8 @@ def g03_month_files(t: Tables):
 @register("g04_missing_steps", S.with_ctes("""
 SELECT r.run_date, r.cell, st.step
 FROM (SELECT DISTINCT run_date, cell FROM s2) r,
-     (SELECT unnest(generate_series(0, 12, 3)) AS step UNION ALL SELECT unnest(generate_series(18, 18, 6))) st
+     (SELECT CAST(unnest(generate_series(0, 12, 3)) AS INTEGER) AS step
+      UNION ALL SELECT CAST(unnest(generate_series(18, 18, 6)) AS INTEGER)) st
 EXCEPT SELECT run_date, cell, step FROM s2""", "s2"))
 def g04_missing_steps(t: Tables):
     """Knots of the irregular step list (3 h to 12, then 6 h) absent from each run."""
