@@ -28,7 +28,11 @@ def keep_last(archive: DataFrame | None, latest: DataFrame | None, keys: list[st
     return u.groupBy(*keys).agg(win.alias("_w")).select("_w.*")
 
 
-def point_name(cluster: Column, prefix: str = "FSM_pt_") -> Column:
+# Name prefix of point series files.
+POINT_PREFIX = "FSM_pt_"
+
+
+def point_name(cluster: Column, prefix: str = POINT_PREFIX) -> Column:
     return F.concat(F.lit(prefix), cluster.cast("string"))
 
 

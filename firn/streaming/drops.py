@@ -64,10 +64,13 @@ class RevisionStore:
         self.table = f"{self.root}/table"
 
     def _stored(self, days: list) -> DataFrame | None:
+        from pyspark.errors import AnalysisException
         try:
             t = self.spark.read.parquet(self.table)
-        except Exception:  # first batch: nothing stored yet
-            return None
+        except AnalysisException as e:  # first batch: nothing stored yet
+            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+                return None
+            raise
         return t.where(F.col(self.day_col).isin(days))
 
     def apply(self, batch: DataFrame, epoch: int) -> None:
