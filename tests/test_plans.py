@@ -41,3 +41,28 @@ def test_filters_pushed(spark):
     assert "LessThan(l_shipdate" in p
     p = plan(registry.QUERIES["p01_bbox"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in p
+
+
+@pytest.mark.parametrize("name,fn", [("a07_keep_last", "partial_max_by"), ("j01_priority_merge", "partial_min_by"),
+                                     ("w04_latest_run", "partial_max_by"), ("a06_dedupe_first", "partial_min_by")])
+def test_row_pickers_combine_map_side(spark, name, fn):
+    """Copies of a hot key are reduced before the shuffle."""
+    assert fn in plan(registry.QUERIES[name](spark, SF_SMALL))
+
+
+def test_hot_key_third_of_rows(spark):
+    """One (cluster, date) holds a third of all rows: the overlay still
+    returns one whole winning row per key."""
+    from pyspark.sql import functions as F
+
+    from firn.operators.points import keep_last
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("cluster"),
+        F.lit(1).alias("date"), (F.col("id") % 2 + 1).alias("prio"),
+        F.struct(F.col("id").alias("pos")).alias("ord"), F.col("id").cast("double").alias("swe"))
+    out = keep_last(df.where("prio = 1"), df.where("prio = 2"), ["cluster", "date"])
+    assert out.count() == out.select("cluster", "date").distinct().count() == 1 + (n - n // 3)
+    hot = out.where("cluster = 0").first()
+    # latest (prio 2 = odd ids) wins, last position among them
+    assert hot.prio == 2 and hot.swe == float(max(i for i in range(0, n, 3) if i % 2 == 1))
