@@ -21,7 +21,9 @@ def date_from_name(name: Column) -> Column:
     """First pattern that both matches and parses; NULL for bad names (IO02)."""
     out = None
     for pat, fmt in DATE_PATTERNS:
-        d = F.to_date(F.try_to_timestamp(F.regexp_extract(name, pat, 1), F.lit(fmt)))
+        text = F.regexp_extract(name, pat, 1)
+        # parse only what matched: a failed parse is costly, an empty match is not
+        d = F.when(text != "", F.to_date(F.try_to_timestamp(text, F.lit(fmt))))
         out = d if out is None else F.coalesce(out, d)
     return out
 

@@ -60,7 +60,12 @@ def product_file_names(t: Tables):
             .when(F.col("variable") == "HS", F.concat(F.lit("HS_FC_"), F.date_format(dt, "yyyy-MM-dd"), F.lit(".nc")))
             .otherwise(F.concat(F.lit("ROF_"), F.date_format(dt, "yyyyMM"), F.lit(".nc"))))
     bad = F.concat(F.lit("SWE_"), F.date_format(dt, "yyyy"), F.lit("13"), F.date_format(dt, "dd"), F.lit(".nc"))
-    return d.select(good.alias("name")).union(d.where(F.dayofmonth(dt) == 31).select(bad.alias("name")))
+    names = d.select(good.alias("name")).union(d.where(F.dayofmonth(dt) == 31).select(bad.alias("name")))
+    # materialised like the folder listing it stands for; otherwise the
+    # optimizer pushes the name parsing below the distinct into the raw scans
+    path = scratch_path(t.spark, "file-names")
+    names.write.parquet(path)
+    return t.spark.read.parquet(path)
 
 
 _NAMES = f"""
