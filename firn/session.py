@@ -66,4 +66,8 @@ def scale_conf(input_bytes: int, shuffle_fraction: float = 0.3,
         "spark.sql.files.maxPartitionBytes": f"{mb}m",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * mb}m",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        # streaming state (T01-T03) off the JVM heap, checkpointed incrementally
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
