@@ -14,3 +14,13 @@ def test_contract_keys():
     q, o = m.queries(), m.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 90
+
+
+def test_scale_conf_bounds():
+    from firn.session import scale_conf
+    small, big = scale_conf(10 ** 6), scale_conf(100 * 2 ** 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "122880"
+    assert scale_conf(10 ** 18)["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == big["spark.sql.shuffle.partitions"]
+    assert "RocksDB" in big["spark.sql.streaming.stateStore.providerClass"]
