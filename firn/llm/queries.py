@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firn.llm import chat, exact_dedup, mixing, sharding, url_rules
+from firn.llm import chat, decontaminate, exact_dedup, mixing, near_dedup, sharding, url_rules
 from firn.llm.common import SPACE
 
 from firn.sources.tables import read_table
@@ -18,6 +18,38 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the items found."""
+    found = decontaminate.find_phrases(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                       ["doc_id"])
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("row.doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+                        (hit > 0).alias("contaminated"))
+
+
+OP2_SQL = r"""
+WITH words AS (SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {}),
+d AS (SELECT row_number() OVER () AS r, doc_id, w FROM (SELECT * FROM words)),
+i AS (SELECT item_id::varchar AS item_id, w FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark) WHERE len(w) > 0),
+p AS (SELECT DISTINCT item_id, w[k:k + least(10, len(w)) - 1] AS phrase
+      FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM i)),
+n AS (SELECT DISTINCT len(phrase) AS n FROM p),
+s AS (SELECT r, k, n, w[k:k + n - 1] AS phrase
+      FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, n)),
+o AS (SELECT r, k, n, item_id FROM s JOIN p USING (phrase)),
+h AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS pos FROM o) GROUP BY r),
+x AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+      FROM (SELECT DISTINCT r, item_id FROM o) GROUP BY r)
+SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN x USING (r)
+""".replace("{}", "documents")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: the copy that stays, group size, SHA-256 of the text."""
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
@@ -30,6 +62,11 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count, component and survivor of near-duplicate documents."""
+    return near_dedup.near_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, longest fitting rule and verdict of every page."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -126,5 +163,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load() -> tuple[dict, dict]:
-    found = {f.__name__: f for f in (op3_exact_dedup, op7_url_rules, op8_mixing, op9_chat_format, op10_sharding)}
-    return found, {"op3_exact_dedup": OP3_SQL, "op7_url_rules": OP7_SQL, "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL}
+    found = {f.__name__: f for f in (op2_decontaminate, op3_exact_dedup, op4_near_dedup, op7_url_rules, op8_mixing, op9_chat_format, op10_sharding)}
+    return found, {"op2_decontaminate": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op7_url_rules": OP7_SQL, "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL}
