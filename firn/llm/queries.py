@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firn.llm import chat, decontaminate, exact_dedup, mixing, near_dedup, sharding, url_rules
+from firn.llm import chat, decontaminate, exact_dedup, language_id, maxent_lm, mixing, near_dedup, sharding, url_rules
 from firn.llm.common import SPACE
 
 from firn.sources.tables import read_table
@@ -67,6 +67,19 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language and score of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = docs.withColumn("held", language_id.held_out(F.col("doc_id")))
+    found = language_id.identify(held, language_id.learn_profiles(held.where("not held")), ["doc_id", "held"])
+    return found.select("row.doc_id", F.col("row.held").alias("held_out"), "lang_pred", "score")
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and hashed maximum-entropy score of every document."""
+    return maxent_lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, longest fitting rule and verdict of every page."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -163,5 +176,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load() -> tuple[dict, dict]:
-    found = {f.__name__: f for f in (op2_decontaminate, op3_exact_dedup, op4_near_dedup, op7_url_rules, op8_mixing, op9_chat_format, op10_sharding)}
+    found = {f.__name__: f for f in (op2_decontaminate, op3_exact_dedup, op4_near_dedup, op5_language_id, op6_lm_score, op7_url_rules, op8_mixing, op9_chat_format, op10_sharding)}
     return found, {"op2_decontaminate": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op7_url_rules": OP7_SQL, "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL}
