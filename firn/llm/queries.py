@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firn.llm import chat, decontaminate, exact_dedup, language_id, maxent_lm, mixing, near_dedup, sharding, url_rules
+from firn.llm import chat, decontaminate, exact_dedup, html_extract, language_id, maxent_lm, mixing, near_dedup, sharding, url_rules
 from firn.llm.common import SPACE
 
 from firn.sources.tables import read_table
@@ -18,6 +18,13 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(read_table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.select("row.page_id", "row.url", F.col("main_text").alias("text"),
+                        F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside benchmark windows, and the items found."""
     found = decontaminate.find_phrases(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
@@ -176,5 +183,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load() -> tuple[dict, dict]:
-    found = {f.__name__: f for f in (op2_decontaminate, op3_exact_dedup, op4_near_dedup, op5_language_id, op6_lm_score, op7_url_rules, op8_mixing, op9_chat_format, op10_sharding)}
+    found = {f.__name__: f for f in (op1_html_extract, op2_decontaminate, op3_exact_dedup, op4_near_dedup, op5_language_id, op6_lm_score, op7_url_rules, op8_mixing, op9_chat_format, op10_sharding)}
     return found, {"op2_decontaminate": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op7_url_rules": OP7_SQL, "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL}
