@@ -247,8 +247,7 @@ def _repeated(signed: DataFrame) -> bool:
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The columns of ``docs``, one row of each group of near-duplicates: that of its least id.
-    Rows of equal id count as one document, of which an arbitrary row of the kept id stays."""
-    kept = near_dedup(docs, id_col, text_col, **how).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    out = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
-    return out
+    """The columns of ``docs``, of each group of near-duplicates the document with the
+    least id (all rows that share it); rows with a null id stay."""
+    gone = stored(near_dedup(docs, id_col, text_col, **how).where("not kept").select(F.col("doc_id").alias("_gone")), "near-gone")
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")

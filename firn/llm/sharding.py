@@ -37,13 +37,13 @@ DIGITS = 3  # hex digits by which a cell is split
 SLOT_CELLS = 4096
 
 
-def _histogram(groups: DataFrame, prefixes: list[str] | None, digits: int) -> list[tuple[str, int, int]]:
-    """``(prefix, bytes, groups)`` of the cells of ``digits`` digits inside ``prefixes`` (all if None)."""
+def _histogram(rows: DataFrame, prefixes: list[str] | None, digits: int) -> dict[str, tuple[int, bool]]:
+    """Bytes of the cells of ``digits`` digits inside ``prefixes`` (all if None), and whether a cell is a single group."""
     if prefixes is not None:
-        groups = groups.where(F.substring("text_key", 1, digits - DIGITS).isin(prefixes))
-    cells = groups.groupBy(F.substring("text_key", 1, digits).alias("cell")).agg(
-        F.sum("group_bytes").alias("bytes"), F.count("*").alias("groups"))
-    return [(r["cell"], int(r["bytes"]), int(r["groups"])) for r in cells.collect()]
+        rows = rows.where(F.substring("text_key", 1, digits - DIGITS).isin(prefixes))
+    cells = rows.groupBy(F.substring("text_key", 1, digits).alias("cell")).agg(
+        F.sum("size").alias("bytes"), (F.min("text_key") == F.max("text_key")).alias("single"))
+    return {r["cell"]: (int(r["bytes"]), r["single"]) for r in cells.collect()}
 
 
 def _fill(starts: list[int], solid: list[bool], capacity: int, n: int) -> tuple[bool, list[int]]:
@@ -78,9 +78,9 @@ def _least_capacity(starts: list[int], solid: list[bool], n: int) -> int:
     return low
 
 
-def shard_cuts(groups: DataFrame, n: int) -> tuple[int, list[str]]:
-    """The least capacity and the text keys at which shards 1 to n - 1 begin."""
-    cells = {c: (size, many) for c, size, many in _histogram(groups, None, DIGITS)}
+def shard_cuts(rows: DataFrame, n: int) -> tuple[int, list[str]]:
+    """The least capacity and the text keys at which shards 1 to n - 1 begin; ``rows`` has text_key and size."""
+    cells = _histogram(rows, None, DIGITS)
     if not cells:
         return 0, []
     while True:
@@ -88,7 +88,7 @@ def shard_cuts(groups: DataFrame, n: int) -> tuple[int, list[str]]:
         starts = [0]
         for c in names:
             starts.append(starts[-1] + cells[c][0])
-        single = [cells[c][1] == 1 for c in names]
+        single = [cells[c][1] for c in names]
         low = _least_capacity(starts, single, n)
         high = _least_capacity(starts, [True] * len(names), n)
         if low == high:
@@ -108,7 +108,7 @@ def shard_cuts(groups: DataFrame, n: int) -> tuple[int, list[str]]:
             break
         for c in split:
             del cells[c]
-        cells |= {c: (size, many) for c, size, many in _histogram(groups, split, digits + DIGITS)}
+        cells |= _histogram(rows, split, digits + DIGITS)
     return low, _even_cuts(names, starts, low, n)
 
 
@@ -129,40 +129,33 @@ def _even_cuts(names: list[str], starts: list[int], capacity: int, n: int) -> li
     return cuts
 
 
-def shard(docs: DataFrame, n: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text_key, size, text_crc32, shard, slot)``, one row per document."""
-    text = F.col(text_col)
-    rows = stored(docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"),
-        F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
-        F.coalesce(F.sha2(text, 256), F.sha2(F.concat(F.lit("null:"), F.coalesce(
-            F.col(id_col).cast("string"), F.lit(""))), 256)).alias("text_key"))
-        .withColumn("size", F.col("bytes") + 1), "shard-rows")
-    groups = stored(rows.groupBy("text_key").agg(F.sum("size").alias("group_bytes")), "shard-groups")
-    cuts = shard_cuts(groups, n)[1]
+def shard(docs: DataFrame, n: int = 8, id_col: str = "doc_id", text_col: str = "text",
+          keep: list[str] | None = None) -> DataFrame:
+    """``(doc_id, size, text_crc32, shard, slot)`` of every document, or
+    its columns in ``keep`` with shard and slot."""
+    text, id_ = F.col(text_col), F.col(id_col)
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
+    key = F.coalesce(F.sha2(text, 256), F.sha2(F.concat(F.lit("null:"), F.coalesce(id_.cast("string"), F.lit(""))), 256))
+    own = F.struct(id_.alias("doc_id"), size.alias("size"), F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"))
+    rows = docs.select(own.alias("own"), key.alias("text_key"), size.alias("size"))
+    light = stored(rows, "shard-rows")
+    cuts = shard_cuts(light, n)[1]
     number = sum((F.when(F.col("text_key") >= c, 1).otherwise(0) for c in cuts), F.lit(0))
-    rows = (rows.withColumn("shard", number.cast("int"))
-            .withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SLOT_CELLS))))
-    counts = rows.groupBy("shard", "cell").agg(F.count("*").alias("n"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return (rows.withColumn("shard", number.cast("int"))
+                .withColumn("cell", F.pmod(F.xxhash64("own.doc_id", "text_key"), F.lit(SLOT_CELLS))))
+    counts = placed(light).groupBy("shard", "cell").agg(F.count("*").alias("n"))
     upto = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("shard", "cell", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_key")
-    return (rows.join(counts, ["shard", "cell"])
-            .withColumn("slot", (F.col("before") + F.row_number().over(inside) - 1).cast("long"))
-            .select("doc_id", "text_key", "size", "text_crc32", "shard", "slot"))
+    inside = Window.partitionBy("shard", "cell").orderBy("own.doc_id", "text_key")
+    rows = light if keep is None else docs.select(own.alias("own"), key.alias("text_key"), F.struct(*keep).alias("row"))
+    out = (placed(rows).join(counts, ["shard", "cell"])
+           .withColumn("slot", (F.col("before") + F.row_number().over(inside) - 1).cast("long")))
+    columns = ["own.*"] if keep is None else [F.col(f"row.`{c}`").alias(c) for c in keep]
+    return out.select(*columns, "shard", "slot")
 
 
 def sharded_documents(docs: DataFrame, n: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``shard`` and ``slot``; equal rows take the slots of their id and text in turn."""
-    placed = shard(docs.select(id_col, text_col), n, id_col, text_col)
-    slots = placed.groupBy("doc_id", "text_key").agg(F.min("shard").alias("shard"),
-                                                     F.sort_array(F.collect_list("slot")).alias("slots"))
-    key = F.coalesce(F.sha2(F.col(text_col), 256), F.sha2(F.concat(F.lit("null:"), F.coalesce(
-        F.col(id_col).cast("string"), F.lit(""))), 256))
-    copies = Window.partitionBy("_id", "_key").orderBy(F.lit(1))
-    rows = (docs.select(F.struct("*").alias("d"), F.col(id_col).alias("_id"), key.alias("_key"))
-            .withColumn("_copy", F.row_number().over(copies)))
-    return (rows.join(slots, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key")))
-            .select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns if c not in ("shard", "slot")], "shard",
-                    F.element_at("slots", F.col("_copy")).alias("slot")))
+    """``docs`` with ``shard`` and ``slot`` (columns of these names give way to them)."""
+    return shard(docs, n, id_col, text_col, [c for c in docs.columns if c not in ("shard", "slot")])
