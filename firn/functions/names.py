@@ -29,10 +29,14 @@ def date_from_name(name: Column) -> Column:
 
 
 def natural_key(name: Column) -> Column:
-    """Sortable array: digit runs zero-padded, text case-folded (SO01)."""
+    """Sortable array: a digit run as the length of its digits without leading zeros,
+    itself prefixed by how many digits that length has, then those digits; text case-folded (SO01)."""
+    def number(p: Column) -> Column:
+        digits = F.regexp_replace(p, r"^0+(?=.)", "")
+        size = F.length(digits).cast("string")
+        return F.concat(F.length(size).cast("string"), size, F.lit(":"), digits)
     parts = F.regexp_extract_all(name, F.lit(r"([0-9]+|[^0-9]+)"), 1)
-    return F.transform(parts, lambda p: F.when(p.rlike(r"^[0-9]+$"), F.lpad(p, 20, "0"))
-                       .otherwise(F.lower(p)))
+    return F.transform(parts, lambda p: F.when(p.rlike(r"^[0-9]+$"), number(p)).otherwise(F.lower(p)))
 
 
 def cluster_from_name(name: Column) -> Column:

@@ -6,19 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def cluster_pixels(features: DataFrame, id_col: str, cols: list[str], k: int, seed: int = 2,
-                   max_iter: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Equal-weight standardised features -> KMeans(k, seed).  Returns
-    (pixel -> cluster, centroids as the mean of the raw member features).
+def cluster_pixels(features: DataFrame, id_col: str, cols: list[str], k: int | None = None, members: int = 50,
+                   seed: int = 2, max_iter: int = 20) -> tuple[DataFrame, DataFrame, int]:
+    """Equal-weight standardised features -> KMeans(k, seed); ``k`` defaults to one cluster
+    for ``members`` pixels.  Returns (pixel -> cluster, with the features and whether its own centre is the
+    nearest; centroids as the mean of the raw member features; k).
     Labels are not expected to equal another implementation's."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    k = k or max(2, features.count() // members)
     va = VectorAssembler(inputCols=cols, outputCol="_raw")
     sc = StandardScaler(inputCol="_raw", outputCol="_feat", withMean=True, withStd=True)
     v = va.transform(features)
     v = sc.fit(v).transform(v)
-    km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_feat", predictionCol="cluster")
-    assigned = km.fit(v).transform(v).select(id_col, *cols, F.col("cluster").cast("int"))
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_feat", predictionCol="cluster").fit(v)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    at = vector_to_array("_feat")
+    gaps = F.transform(centres, lambda c: F.aggregate(F.zip_with(c, at, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda n, x: n + x))
+    own = F.get(gaps, F.col("cluster"))
+    assigned = model.transform(v).select(id_col, *cols, F.col("cluster").cast("int"),
+                                         (own <= F.array_min(gaps) + 1e-9).alias("nearest"))
     centroids = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_pixels"),
                                                 *[F.avg(c).alias(c) for c in cols])
-    return assigned.select(id_col, "cluster"), centroids
+    return assigned, centroids, k

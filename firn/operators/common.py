@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-# Largest dimension list we are willing to bring to the driver (zone names
-# for a pivot, a few hundred in practice).
+# Most columns a wide table gets (zone names of a pivot, a few hundred in practice).
 MAX_DIMENSION_VALUES = 10_000
 
 
@@ -16,3 +16,16 @@ def distinct_values(df: DataFrame, col: str, limit: int = MAX_DIMENSION_VALUES)
         raise ValueError(f"{col} has more than {limit} distinct values; keep it long")
     return sorted(v for v in vals if v is not None)
 
+
+
+def best_row(df: DataFrame, keys: list[str], rank: Column, least: bool = False) -> DataFrame:
+    """Per key the whole row of the highest (``least``: lowest) long rank.
+
+    Every column is picked by the same rank in one partial+final aggregate: a hash
+    aggregate while all columns have fixed widths, and copies of a hot key meet on the map side.
+    Rows of equal rank are equal candidates; all columns come from the same one.
+    """
+    pick = F.min_by if least else F.max_by
+    rest = [c for c in df.columns if c not in keys]
+    return (df.withColumn("_rank", rank.cast("bigint")).groupBy(*keys)
+            .agg(*[pick(F.col(c), F.col("_rank")).alias(c) for c in rest]).select(*df.columns))

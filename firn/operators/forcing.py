@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firn.functions.geodesy import geopotential_level, geopotential_surface
+from firn.operators.common import best_row
 
 # Default bounding box of the domain (inclusive).
 DEFAULT_LAT = (32.0, 45.0)
@@ -80,9 +81,12 @@ def step_width(step: Column, switch: int = 144, fine: int = 3, coarse: int = 6)
 def unique_knots(df: DataFrame, run_keys: list[str], step: str, value: str) -> DataFrame:
     """One row per (run, step): repeated deliveries of a knot collapse in a
     partial+final aggregate before any per-run window, so a window
-    partition never holds more rows than the run has steps.  A run has one
-    value per step; ``max`` only makes the choice deterministic."""
-    return df.groupBy(*run_keys, step).agg(F.max(value).alias(value))
+    partition never holds more rows than the run has steps.  Deliveries of
+    one knot that differ are a data error: the job fails on them rather than choose one."""
+    low, high = F.min(value), F.max(value)
+    alike = F.when(low == high, high).when(low.isNull(), high).otherwise(
+        F.raise_error(F.concat(F.lit("different values for one knot, step "), F.col(step).cast("string"))).cast("double"))
+    return df.groupBy(*run_keys, step).agg(alike.alias(value))
 
 
 def deaccumulate(df: DataFrame, run_keys: list[str], acc: str, step: str = "step",
@@ -125,17 +129,16 @@ def first_hours(df: DataFrame, run_keys: list[str], order: str, n: int = 24,
     return out
 
 
-def latest_run(df: DataFrame, keys: list[str], run_col: str) -> DataFrame:
-    """Whole row of the latest run per key (W04); a partial+final
-    aggregate, so a hot key is combined map-side."""
-    cols = [c for c in df.columns]
-    win = F.max_by(F.struct(*cols), F.col(run_col)).alias("_w")
-    return df.groupBy(*keys).agg(win).select("_w.*")
+def latest_run(df: DataFrame, keys: list[str], run_col: str, prefer: str = "latest") -> DataFrame:
+    """Whole row of one run per key (W04).  ``latest`` takes the newest run;
+    ``first`` is the variant of the operational merge, in which the row that comes first in file order
+    (the oldest run) stays.  ``run_col`` is a long or a date."""
+    run = F.col(run_col)
+    rank = F.unix_date(run) if dict(df.dtypes)[run_col] == "date" else run
+    return best_row(df, keys, rank, least=prefer == "first")
 
 
 def first_in_order(df: DataFrame, keys: list[str], rank: Column) -> DataFrame:
     """Dedupe on ``keys`` keeping the row with the lowest explicit merge
     rank (A06)."""
-    cols = [c for c in df.columns]
-    return (df.withColumn("_rank", rank).groupBy(*keys)
-            .agg(F.min_by(F.struct(*cols), F.col("_rank")).alias("_w")).select("_w.*"))
+    return best_row(df, keys, rank, least=True)

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firn.functions.geodesy import tm_forward
+from firn.operators.zonal import every_zone
 
 
 def ring_to_edges(zones: DataFrame, ring: str = "ring", keys=("zone", "region"),
                   x: str = "x", y: str = "y") -> DataFrame:
     """Explode a vertex ring (array of structs, closing vertex optional)
-    into numbered edges (zone, region, edge, x1, y1, x2, y2)."""
+    into numbered edges (zone, region, edge, x1, y1, x2, y2).  Edges of all rings of a zone
+    count together in the crossing rule, so parts add up and holes are left out."""
     keys = list(keys)
     r = F.col(ring)
     # drop a repeated closing vertex
@@ -37,19 +39,26 @@ def ring_to_edges(zones: DataFrame, ring: str = "ring", keys=("zone", "region"),
                     F.col(f"_e.b.{x}").alias("x2"), F.col(f"_e.b.{y}").alias("y2"))
 
 
+# Names of the coordinate systems that zone files come in.
+WGS84 = ("EPSG:4326", "OGC:CRS84", "WGS84")
+GRID_CRS = ("EPSG:32642",)
+
+
 def project_rings(zones: DataFrame, ring: str = "ring", keys=("zone", "region"),
                   crs: str | None = None) -> DataFrame:
-    """Load zone rings in lon/lat (WGS84 assumed when ``crs`` is None) and
-    project their vertices to the raster grid metres (IO11).  Vertices
-    become rows, so the projection is a plain code-generated expression;
-    each ring is then collected back in vertex order (a group holds one
-    polygon's vertices)."""
-    keys = list(keys)
-    v = zones.select(*keys, F.posexplode(ring).alias("_pos", "_v"))
-    ex, ny = tm_forward(F.col("_v.lon"), F.col("_v.lat"))
-    v = v.select(*keys, "_pos", ex.alias("x"), ny.alias("y"))
-    g = v.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "x", "y"))).alias("_r"))
-    return g.select(*keys, F.transform("_r", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias(ring))
+    """Zone rings in grid metres (IO11).  Rings in lon/lat (WGS84, also assumed when ``crs`` is
+    None, as a file without one) are projected in place, vertex by vertex, without a shuffle; rings
+    already in the grid's system pass through; another ``crs`` is refused.  A zone may have
+    any number of rows, one for each ring (parts and holes)."""
+    if crs is not None and crs.upper() in GRID_CRS:
+        return zones.select(*keys, ring)
+    if crs is not None and crs.upper() not in WGS84:
+        raise ValueError(f"no conversion from {crs}; give WGS84 or {GRID_CRS[0]}")
+
+    def vertex(p):
+        ex, ny = tm_forward(p["lon"], p["lat"])
+        return F.struct(ex.alias("x"), ny.alias("y"))
+    return zones.select(*keys, F.transform(ring, vertex).alias(ring))
 
 
 def zone_pixels(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "center",
@@ -93,15 +102,15 @@ def zone_pixels(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "c
 
 
 def factorised_zonal_mean(zone_pixel: DataFrame, series: DataFrame, keys: list[str],
-                          value: str, zones: list[str], zone: str = "zone",
+                          value: str, zones: DataFrame, zone: str = "zone",
                           cluster: str = "cluster") -> DataFrame:
     """Zonal mean of cluster values spread over pixels without building the
     pixel x day table (M02): weights n(zone, cluster) are counted once,
-    then sum(n*v)/sum(n) over non-NULL v per key.  Equal to the mean
-    over pixels; zones without pixels or values are NULL."""
+    then sum(n*v)/sum(n) over non-NULL v per key and zone.  Equal to the mean
+    over pixels; zones of ``zones`` without pixels or values are NULL."""
     n = zone_pixel.groupBy(zone, cluster).agg(F.count(F.lit(1)).alias("_n"))
-    j = series.select(cluster, *keys, value).join(n, cluster, "left")
+    j = series.select(cluster, *keys, value).join(n, cluster)
     v = F.col(value)
-    wide = (j.groupBy(*keys).pivot(zone, zones)
-            .agg((F.sum(F.col("_n") * v) / F.sum(F.when(v.isNotNull(), F.col("_n")))).alias("m")))
-    return wide.unpivot(keys, zones, zone, "mean")
+    means = j.groupBy(*keys, zone).agg(
+        (F.sum(F.col("_n") * v) / F.sum(F.when(v.isNotNull(), F.col("_n")))).alias("mean"))
+    return every_zone(means, zones, keys, zone, key_rows=series)

@@ -8,24 +8,26 @@ from pyspark.sql import functions as F
 
 from firn.functions.names import natural_key
 from firn.functions.timecols import hydro_month
+from firn.operators.common import best_row
 
 
-def keep_last(archive: DataFrame | None, latest: DataFrame | None, keys: list[str],
+def keep_last(archive: DataFrame | None, latest: DataFrame | None, keys: list[str], point: str = "cluster",
               order: str = "ord", prio: str = "prio") -> DataFrame:
     """Archive then latest, one row per key, the *whole* row of the latest
     wins and, inside one input, the last in file order (A07).
 
-    ``order`` is a struct column giving the file order.  When only one
-    input exists it passes through unchanged (no dedupe), as coded.
-    The winner is a partial+final ``max_by`` aggregate, so a key with
-    many copies is reduced map-side before the shuffle.
+    The rule holds per point, as each point is a file: a point that only one input has passes
+    through unchanged, duplicates kept.  ``order`` is a long below 2^61 that gives the
+    file order.  The winner is a partial+final aggregate over one long rank, so copies of a hot key
+    are combined on the map side, by hash where the columns have fixed widths.
     """
     if archive is None or latest is None:
         return archive if latest is None else latest
-    u = archive.unionByName(latest)
-    cols = u.columns
-    win = F.max_by(F.struct(*cols), F.struct(F.col(prio), F.col(order)))
-    return u.groupBy(*keys).agg(win.alias("_w")).select("_w.*")
+    both = archive.select(point).distinct().join(latest.select(point).distinct(), point, "left_semi")
+    rows = archive.unionByName(latest)
+    rank = F.col(prio).cast("bigint") * F.lit(1 << 61) + F.col(order)
+    merged = best_row(rows.join(both, point, "left_semi"), keys, rank)
+    return merged.unionByName(rows.join(both, point, "left_anti").select(*rows.columns))
 
 
 # Name prefix of point series files.
@@ -50,14 +52,14 @@ def name_union(a: DataFrame, b: DataFrame, name_col: str = "name") -> DataFrame:
 
 def natural_sort_key(name: Column, sep: str = "|") -> Column:
     """String form of the natural sort key (SO01): ordering by it equals
-    ordering by the digit-aware key."""
+    ordering by the digit-aware key, for digit runs of any length."""
     return F.array_join(natural_key(name), sep)
 
 
 def hydro_sort(df: DataFrame, keys: list[str], date_col: str, order: str,
                start_month: int = 9) -> DataFrame:
     """Hydrological order: (month with Sep first, day), stable on ``order``;
-    the year is not part of the key (SO02).  A distributed range sort."""
+    the year is not part of the key (SO02).  A distributed range sort; ``order`` breaks ties."""
     d = F.col(date_col)
     out = df.withColumn("hydro_month", hydro_month(d, start_month)).withColumn(
         "dom", F.dayofmonth(d).cast("int"))

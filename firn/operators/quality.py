@@ -87,19 +87,12 @@ def last_full_day(series: DataFrame, keys: list[str], time: str = "time") -> Dat
 
 def month_completeness(series: DataFrame, keys: list[str], time: str = "time") -> DataFrame:
     """Per monthly file: hours expected from the first day 00:00 to the last
-    day 23:00 of its month, hours present, hours missing (J08, A12)."""
-    t = F.col(time)
-    files = series.select(*keys, F.trunc(t, "month").alias("month"), t).distinct()
-    bounds = (files.select(*keys, "month").distinct()
-              .withColumn("start", F.col("month").cast("timestamp_ntz"))
-              .withColumn("end", add_hours(F.last_day("month").cast("timestamp_ntz"), 23)))
-    exp = hour_range(bounds, out=time)
-    miss = (exp.join(files, [*keys, "month", time], "left_anti")
-            .groupBy(*keys, "month").agg(F.count(F.lit(1)).alias("n_missing")))
-    present = files.groupBy(*keys, "month").agg(F.count(F.lit(1)).alias("n_present"))
-    return (present.join(miss, [*keys, "month"], "left")
-            .withColumn("n_missing", F.coalesce("n_missing", F.lit(0)).cast("bigint"))
-            .withColumn("complete", F.col("n_missing") == 0))
+    day 23:00 of its month, hours present, hours missing (J08, A12).  Times are
+    whole hours, so one aggregate of distinct hours tells how many are missing."""
+    month = F.trunc(F.col(time), "month")
+    present = series.groupBy(*keys, month.alias("month")).agg(F.count_distinct(time).alias("n_present"))
+    missing = (F.lit(24) * F.dayofmonth(F.last_day("month")) - F.col("n_present")).cast("bigint")
+    return present.withColumn("n_missing", missing).withColumn("complete", F.col("n_missing") == 0)
 
 
 def missing_days(day_classes: DataFrame, classes: tuple[str, str], first_class: str,
@@ -142,25 +135,43 @@ def recent_days(files: DataFrame, as_of_ts: str, days: int = 9, day_col: str = "
                 require_rows: bool = True) -> DataFrame:
     """File days with ``day >= as_of - days`` compared as timestamps (P11):
     the boundary day drops out unless ``as_of`` is midnight.  As in the
-    operational code an empty window is an error (a one-row probe)."""
+    operational code an empty window is an error: the job that reads the result fails
+    (a count of the window stands as a scalar beside the filter; nothing runs while the plan is built)."""
     cutoff = add_days(ntz(as_of_ts), -days)
     out = files.where(F.col(day_col).cast("timestamp_ntz") >= cutoff)
-    if require_rows and out.isEmpty():
-        raise ValueError(f"no files on or after {days} days before {as_of_ts}")
-    return out
+    if not require_rows:
+        return out
+    n = out.agg(F.count(F.lit(1))).scalar()
+    check = F.when(n > 0, F.lit(True)).otherwise(F.raise_error(
+        F.lit(f"no files on or after {days} days before {as_of_ts}")).cast("boolean"))
+    # a row of its own carries the check, so that it also runs on an empty window
+    probe = files.sparkSession.range(1).select(check.alias("_ok"))
+    kept = out.withColumn("_ok", F.lit(True))
+    return kept.unionByName(probe.where(~F.col("_ok")), allowMissingColumns=True).drop("_ok")
 
 
 def trim_after(forecast: DataFrame, last_time: Column, time: str = "time",
-               day_boundary: bool = False) -> DataFrame:
+               day_boundary: bool | str = False) -> DataFrame:
     """Forecast rows from ``last_time + 1h`` on (P12); with ``day_boundary``
     the cut is the midnight of that instant (P13, as coded: a last time of
-    15:00 keeps the same day, 23:00 starts the next)."""
+    15:00 keeps the same day, 23:00 starts the next).  ``day_boundary="next"`` is the corrected
+    cut, the midnight after ``last_time``, so no day mixes both sources."""
     cut = add_hours(last_time, 1)
-    if day_boundary:
+    if day_boundary == "next":
+        cut = add_days(day_start(last_time), 1)
+    elif day_boundary:
         cut = day_start(cut)
     return forecast.where(F.col(time) >= cut)
 
 
+def simulation_window(series: DataFrame, keys: list[str], start: Column, time: str = "time") -> DataFrame:
+    """Rows from ``start`` to the last full day of their series (P14).  The
+    bounds are one row for each series, joined back; a series that holds many rows is
+    split by the skew join or needs no shuffle when the bounds are small."""
+    bounds = last_full_day(series, keys, time)
+    return (series.join(bounds, keys).where(F.col(time).between(start, F.col("last_full"))).drop("last_full"))
+
+
 def hours_since_start(series: DataFrame, keys: list[str], time: str = "time",
                       out: str = "hours") -> DataFrame:
     """Hours since the first timestamp of each series (P18); the first

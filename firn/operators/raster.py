@@ -54,14 +54,12 @@ def corner_coords(pixels: DataFrame, dx: float, dy: float, row: str = "row_i", c
                          (y0 - F.col(row) * dy).alias("y_corner"))
 
 
-def target_grid(spark, lon0: float, lat_top: float, res: float, n_lon: int, n_lat: int) -> DataFrame:
-    """Regular lon/lat target grid of cell centres, generated in parallel
-    from ``spark.range`` (one row per cell)."""
-    i = F.col("id")
-    t_row, t_col = (i / n_lon).cast("int"), (i % n_lon).cast("int")
-    return spark.range(n_lon * n_lat).select(
-        t_row.alias("t_row"), t_col.alias("t_col"),
-        (F.lit(lon0) + (t_col + 0.5) * F.lit(res)).alias("t_lon"),
+def target_grid(rows: DataFrame, lon0: float, lat_top: float, res: float, n_lon: int) -> DataFrame:
+    """Regular lon/lat target grid of cell centres for the given rows (column
+    ``t_row``), ``n_lon`` cells each, generated where the rows are."""
+    t_row, t_col = F.col("t_row"), F.col("t_col")
+    return rows.select(t_row, F.explode(F.sequence(F.lit(0), F.lit(n_lon - 1))).alias("t_col")).select(
+        t_row, t_col, (F.lit(lon0) + (t_col + 0.5) * F.lit(res)).alias("t_lon"),
         (F.lit(lat_top) - (t_row + 0.5) * F.lit(res)).alias("t_lat"))
 
 

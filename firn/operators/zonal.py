@@ -37,7 +37,23 @@ def filter_water_year(df: DataFrame, year: int, date_col: str = "date",
     return df.where(F.col(date_col).between(date_lit(lo), date_lit(hi)))
 
 
-def zonal_mean(values: DataFrame, zones: list[str], keys=("variable", "date"),
+def every_zone(means: DataFrame, zones: DataFrame, keys=("variable", "date"), zone_col: str = "zone",
+               key_rows: DataFrame | None = None, date_col: str = "date") -> DataFrame:
+    """A row for every zone of ``zones`` and every key present, NULL where ``means`` has none.
+
+    The zones generate the days between the first and the last key, which are
+    joined to the keys by date and to the means by key and zone: equi-joins only, and the list of
+    zones stays a table.  ``key_rows`` names keys that must appear even where no zone has a value."""
+    keys = list(keys)
+    present = (means if key_rows is None else key_rows).select(*keys).distinct()
+    span = present.agg(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
+    days = F.sequence(span.getField("lo"), span.getField("hi"), F.expr("INTERVAL 1 DAY"))
+    grid = (zones.select(zone_col).where(F.col(zone_col).isNotNull()).distinct().where(span.getField("lo").isNotNull())
+            .withColumn(date_col, F.explode(days)).join(present, date_col))
+    return grid.join(means, [*keys, zone_col], "left").select(*keys, zone_col, "mean")
+
+
+def zonal_mean(values: DataFrame, zones: DataFrame, keys=("variable", "date"),
                zone_col: str = "zone", value_col: str = "value",
                key_rows: DataFrame | None = None) -> DataFrame:
     """Mean of valid pixel values per key and zone; every zone appears for
@@ -45,19 +61,13 @@ def zonal_mean(values: DataFrame, zones: list[str], keys=("variable", "date"),
 
     ``values`` carries one row per (pixel, key) already tagged with its zone
     (a pixel in overlapping zones appears once per zone).  The mean is a
-    partial+final aggregate, so a hot zone is combined map-side; the
-    explicit pivot list then fills absent zones with NULL without a join.
+    partial+final aggregate, so a hot zone is combined map-side, and stays long: the number of zones
+    is not limited.
     """
     keys = list(keys)
     v = values.select(*keys, zone_col, nodata_to_null(F.col(value_col)).alias(value_col))
-    if key_rows is not None:
-        # keys that must appear even where no zone has a pixel (e.g. every
-        # raster date): a marker row with a NULL zone creates the group
-        v = v.unionByName(key_rows.select(*keys).distinct()
-                          .withColumn(zone_col, F.lit(None).cast("string"))
-                          .withColumn(value_col, F.lit(None).cast("double")))
-    wide = v.groupBy(*keys).pivot(zone_col, zones).agg(F.avg(value_col))
-    return wide.unpivot(keys, zones, zone_col, "mean")
+    means = v.groupBy(*keys, zone_col).agg(F.avg(value_col).alias("mean"))
+    return every_zone(means, zones, keys, zone_col, key_rows)
 
 
 def region_mean(zone_means: DataFrame, zone_region: DataFrame, keys=("variable", "date"),
@@ -74,7 +84,8 @@ def region_mean(zone_means: DataFrame, zone_region: DataFrame, keys=("variable",
 
 def pivot_wide(long: DataFrame, zones: list[str], key: str = "date", zone_col: str = "zone",
                value_col: str = "mean") -> DataFrame:
-    """Long -> wide: ``key`` plus one column per zone, in the given order."""
+    """Long -> wide: ``key`` plus one column per zone, in the given order.
+    Only a wide table needs the list of zones, which becomes its columns."""
     return long.groupBy(key).pivot(zone_col, zones).agg(F.first(value_col)).select(key, *zones)
 
 
@@ -97,9 +108,12 @@ def zone_product(zone_means: DataFrame, as_of: str, zone_col: str = "zone",
     return g.select(zone_col, "date", *cols, (F.col("date") >= date_lit(as_of)).alias("FC"))
 
 
-def common_dates(*tables: DataFrame, date_col: str = "date") -> DataFrame:
-    """Dates present in every table."""
-    return reduce(lambda a, b: a.intersect(b), [t.select(date_col) for t in tables])
+def common_dates(values: DataFrame, variables, date_col: str = "date", variable_col: str = "variable") -> DataFrame:
+    """Dates that every one of ``variables`` has (U04): one aggregate over the
+    distinct (variable, date) of the source, no statistics needed."""
+    have = values.where(F.col(variable_col).isin(*variables)).select(variable_col, date_col).distinct()
+    return (have.groupBy(date_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(set(variables)))
+            .select(date_col))
 
 
 def ensure_columns(df: DataFrame, cols: list[str], dtype: str = "double") -> DataFrame:
@@ -109,4 +123,5 @@ def ensure_columns(df: DataFrame, cols: list[str], dtype: str = "double") -> Dat
 
 
 def zones_of(zone_region: DataFrame, zone_col: str = "zone") -> list[str]:
+    """Sorted zone names, for the columns of a wide table."""
     return distinct_values(zone_region, zone_col)

@@ -33,12 +33,9 @@ def zone_products_from_points(archive: DataFrame, latest: DataFrame, pixels: Dat
     name, _ = R.product_names(F.col("var"))
     long = long.select("cluster", "date", name.alias("variable"), "value")
     zp = G.zone_pixels(edges, pixels, res)
-    zones = Z.zones_of(edges)
-    # zones x variables x dates: small at any input size.  A reliable
-    # checkpoint (shared spark.checkpoint.dir) feeds both levels from one
-    # computation and cuts the lineage back to the point series.
-    zm = G.factorised_zonal_mean(zp, long, ["variable", "date"], "value", zones).checkpoint()
     zr = edges.select("zone", "region").distinct()
+    # both levels read the zone means; Spark computes their exchange once
+    zm = G.factorised_zonal_mean(zp, long, ["variable", "date"], "value", zr)
     rm = Z.region_mean(zm, zr).withColumnRenamed("region", "zone")
     cols = ["zone", "date"] + [f"{q}_{v}" for q in Z.QUANTILES for v in Z.PRODUCT_VARIABLES] + ["FC"]
     out = []
@@ -49,15 +46,15 @@ def zone_products_from_points(archive: DataFrame, latest: DataFrame, pixels: Dat
     return out[0].unionByName(out[1])
 
 
-_S5_DESC = ", ".join(f"{c} DESC" for c in S.S5_ORDER)
 _CHAIN_SQL = f"""
-, kl AS (SELECT cluster, date, swe, snd FROM (
-           SELECT *, row_number() OVER (PARTITION BY cluster, date ORDER BY prio DESC, {_S5_DESC}) AS rn FROM s5)
-         WHERE rn = 1),
-  zp AS (SELECT e.zone, p.pixel FROM s4a p JOIN s6 e
+, bo AS (SELECT cluster FROM s5 GROUP BY cluster HAVING count(DISTINCT src) = 2),
+  kl AS (SELECT cluster, date, swe, snd FROM (
+           SELECT *, row_number() OVER (PARTITION BY cluster, date ORDER BY prio DESC, ord DESC) AS rn FROM s5)
+         WHERE rn = 1 OR cluster NOT IN (SELECT cluster FROM bo)),
+  zp AS (SELECT e.zone, p.pixel FROM s4a p JOIN zones e
            ON ((e.y1 <= p.y) <> (e.y2 <= p.y)) AND p.x < e.x1 + (p.y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
          GROUP BY e.zone, p.pixel HAVING count(*) % 2 = 1),
-  zr AS (SELECT DISTINCT zone, region FROM s6),
+  zr AS (SELECT DISTINCT zone, region FROM zones),
   dt AS (SELECT DISTINCT date FROM kl),
   v AS (SELECT zp.zone, kl.date, kl.swe, kl.snd FROM zp JOIN s4a USING (pixel) JOIN kl USING (cluster)),
   zm AS (SELECT dt.date, zr.zone, zr.region, avg(v.swe) AS swe, avg(v.snd) AS hs
@@ -71,13 +68,13 @@ SELECT level, zone, date,
 FROM lv"""
 
 
-@register("chain_zone_products", S.with_ctes("", "s4a", "s5", "s6", extra=_CHAIN_SQL).replace("WITH ", "WITH ", 1))
+@register("chain_zone_products", S.with_ctes("", "s4a", "s5", "zones", extra=_CHAIN_SQL))
 def chain_zone_products(t: Tables):
     """Daily flow: point overlay -> zone pixels -> factorised zonal mean ->
     region roll-up -> zone and region product tables (SWE, HS; ROF absent)."""
     s = S.s5(t)
     p = zone_products_from_points(s.where(F.col("src") == "archive"), s.where(F.col("src") == "latest"),
-                                  S.s4a(t), S.s6(t.spark), AS_OF, PIXEL)
+                                  S.s4a(t), S.zones(t), AS_OF, PIXEL)
     return p.select("level", "zone", "date",
                     *[rnd(c).alias(c) if c[0] == "Q" else F.col(c) for c in p.columns[3:-1]], "FC")
 
@@ -99,21 +96,18 @@ def hourly_forcing(runs: DataFrame, reanalysis: DataFrame, run_keys: list[str],
     latest = P.latest_run(fc, ["lat_i", "lon_i", "time"], "run")
     both = M.concat(reanalysis.select("lat_i", "lon_i", "time", value, F.lit(1).alias("prio")),
                     latest.select("lat_i", "lon_i", "time", value, F.lit(2).alias("prio")))
-    merged = M.priority_merge(both, ["lat_i", "lon_i", "time"], [value])
-    src = both.groupBy("lat_i", "lon_i", "time").agg(
-        F.min(F.when(F.col(value).isNotNull(), F.col("prio"))).alias("src_prio"))
-    return merged.join(src, ["lat_i", "lon_i", "time"])
+    return M.priority_merge(both, ["lat_i", "lon_i", "time"], [value], source="src_prio")
 
 
 def _s2_cell_to_grid(cell):
-    """S2 cell = user_id % 10 maps to S1 (lat_i, lon_i) = (cell % 5, cell div 5)."""
-    return (cell % 5).cast("int"), F.floor(cell / 5).cast("int")
+    """S2 cells are users, as the cells of S1."""
+    return (cell % S.GRID_ROWS).cast("int"), F.floor(cell / S.GRID_ROWS).cast("int")
 
 
 def _forcing_sql() -> str:
     from firn.plans.q_forcing import _W02
     return _W02 + f""",
-  fc AS (SELECT CAST(cell % 5 AS INT) AS lat_i, CAST(cell // 5 AS INT) AS lon_i,
+  fc AS (SELECT CAST(cell % {S.GRID_ROWS} AS INT) AS lat_i, CAST(cell // {S.GRID_ROWS} AS INT) AS lon_i,
                 CAST(run_date AS TIMESTAMP) + to_hours(CAST(hour AS BIGINT)) AS time, run_date AS run, rate AS tp FROM h),
   lt AS (SELECT lat_i, lon_i, time, tp FROM (
            SELECT *, row_number() OVER (PARTITION BY lat_i, lon_i, time ORDER BY run DESC) AS rn FROM fc) WHERE rn = 1),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from firn.functions.numeric import rnd, rnd_sql
@@ -64,10 +65,12 @@ def p05_level_geopotential(t: Tables):
 
 
 @register("p06_level_hpa", q("""
-SELECT source, lat_i, lon_i, time, plev / 100 AS level FROM s1_surface"""))
+SELECT source, lat_i, lon_i, time, plev / 100 AS level,
+       row_number() OVER (PARTITION BY source, lat_i, lon_i, CAST(time AS DATE) ORDER BY plev, time) AS rank FROM s1_surface"""))
 def p06_level_hpa(t: Tables):
-    """Pressure levels in hPa, ascending."""
-    return P.to_hpa(S.s1_surface(t)).select(*KEYS, "level").orderBy("level", *KEYS)
+    """Pressure levels in hPa, ascending; ``rank`` shows the order inside a cell's day."""
+    day = Window.partitionBy("source", "lat_i", "lon_i", F.to_date("time")).orderBy("level", "time")
+    return (P.to_hpa(S.s1_surface(t)).select(*KEYS, "level").withColumn("rank", F.row_number().over(day).cast("bigint")))
 
 
 @register("p07_allow_list", q("""
@@ -128,15 +131,33 @@ def w03_hindcast_day(t: Tables):
     return d.select(*RUN, F.col("hour").cast("int").alias("hour"), rnd("rate").alias("rate"), "label_date")
 
 
-@register("w04_latest_run", q("""
-SELECT source, lat_i, lon_i, time, value, prio AS run FROM (
-  SELECT *, row_number() OVER (PARTITION BY lat_i, lon_i, time ORDER BY prio DESC) AS rn
-  FROM s1 WHERE source IN ('daily_fc', 'cont_fc')) WHERE rn = 1""", "s1"))
+_W04 = """
+SELECT CASE run WHEN 2 THEN 'daily_fc' ELSE 'cont_fc' END AS source, lat_i, lon_i, time, value, run FROM (
+  SELECT lat_i, lon_i, time, value, prio AS run, row_number() OVER (PARTITION BY lat_i, lon_i, time ORDER BY prio {order}) AS rn
+  FROM s1 WHERE source IN ('daily_fc', 'cont_fc')) WHERE rn = 1"""
+
+
+def forecast_rows(t: Tables):
+    """Both forecast sources with their run number; the source's name follows from it."""
+    return (S.s1(t).where(F.col("source").isin("daily_fc", "cont_fc"))
+            .select("lat_i", "lon_i", "time", "value", F.col("prio").alias("run")))
+
+
+def with_source(df):
+    name = F.when(F.col("run") == 2, "daily_fc").otherwise("cont_fc")
+    return df.select(name.alias("source"), "lat_i", "lon_i", "time", "value", "run")
+
+
+@register("w04_latest_run", q(_W04.format(order="DESC"), "s1"))
 def w04_latest_run(t: Tables):
     """Per (cell, valid time) the whole row of the latest forecast run."""
-    s = (S.s1(t).where(F.col("source").isin("daily_fc", "cont_fc"))
-         .select("source", "lat_i", "lon_i", "time", "value", F.col("prio").alias("run")))
-    return P.latest_run(s, ["lat_i", "lon_i", "time"], "run")
+    return with_source(P.latest_run(forecast_rows(t), ["lat_i", "lon_i", "time"], "run"))
+
+
+@register("w04_first_run", q(_W04.format(order="ASC"), "s1"))
+def w04_first_run(t: Tables):
+    """As coded: the row that comes first in run order stays."""
+    return with_source(P.latest_run(forecast_rows(t), ["lat_i", "lon_i", "time"], "run", prefer="first"))
 
 
 @register("a06_dedupe_first", q("""
@@ -146,7 +167,5 @@ SELECT source, lat_i, lon_i, time, value FROM (
   FROM s1 WHERE source IN ('daily_fc', 'cont_fc')) WHERE rn = 1""", "s1"))
 def a06_dedupe_first(t: Tables):
     """Forecast merge dedupe: the first file in name order (continuous) wins."""
-    s = (S.s1(t).where(F.col("source").isin("daily_fc", "cont_fc"))
-         .select("source", "lat_i", "lon_i", "time", "value"))
-    rank = F.when(F.col("source") == "cont_fc", 1).otherwise(2)
-    return P.first_in_order(s, ["lat_i", "lon_i", "time"], rank)
+    rank = F.when(F.col("run") == 3, 1).otherwise(2)
+    return with_source(P.first_in_order(forecast_rows(t), ["lat_i", "lon_i", "time"], rank)).drop("run")

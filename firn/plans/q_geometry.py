@@ -23,27 +23,28 @@ def q(body: str, *names: str, extra: str = "") -> str:
 
 def _inside_sql(dx: float, dy: float) -> str:
     return f"""
-zp AS (SELECT e.zone, p.pixel FROM s4a p JOIN s6 e
+zp AS (SELECT e.zone, p.pixel FROM s4a p JOIN zones e
          ON ((e.y1 <= p.y + {dy}) <> (e.y2 <= p.y + {dy}))
         AND p.x + {dx} < e.x1 + (p.y + {dy} - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
        GROUP BY e.zone, p.pixel HAVING count(*) % 2 = 1)"""
 
 
-@register("j11_zone_pixels", q("SELECT zone, pixel FROM zp", "s4a", "s6", extra=_inside_sql(0.0, 0.0)))
+@register("j11_zone_pixels", q("SELECT zone, pixel FROM zp", "s4a", "zones", extra=_inside_sql(0.0, 0.0)))
 def j11_zone_pixels(t: Tables):
-    """Pixels whose centre lies in each zone (scanline fill, equi-joins only)."""
-    return G.zone_pixels(S.s6(t.spark), S.s4a(t), PIXEL).select("zone", "pixel")
+    """Pixels whose centre lies in each zone (scanline fill, equi-joins only);
+    hand-made zones and a tile zone for every block of the grid."""
+    return G.zone_pixels(S.zones(t), S.s4a(t), PIXEL).select("zone", "pixel")
 
 
-@register("j11_corner_as_center", q("SELECT zone, pixel FROM zp", "s4a", "s6",
+@register("j11_corner_as_center", q("SELECT zone, pixel FROM zp", "s4a", "zones",
                                     extra=_inside_sql(-PIXEL / 2, PIXEL / 2)))
 def j11_corner_as_center(t: Tables):
     """Same with the upper-left corner tested (half-pixel NW shift as coded)."""
-    return G.zone_pixels(S.s6(t.spark), S.s4a(t), PIXEL, coord="corner_as_center").select("zone", "pixel")
+    return G.zone_pixels(S.zones(t), S.s4a(t), PIXEL, coord="corner_as_center").select("zone", "pixel")
 
 
 _A01P = _inside_sql(0.0, 0.0) + f""",
-zn AS (SELECT DISTINCT zone FROM s6),
+zn AS (SELECT DISTINCT zone FROM zones),
 dt AS (SELECT DISTINCT date FROM s4b),
 v AS (SELECT zp.zone, s4b.date, s4b.swe FROM zp JOIN s4a USING (pixel) JOIN s4b USING (cluster))
 """
@@ -56,13 +57,11 @@ GROUP BY dt.date, zn.zone"""
 
 
 def polygon_inputs(t: Tables):
-    edges = S.s6(t.spark)
-    zones = Z.zones_of(edges)
-    zp = G.zone_pixels(edges, S.s4a(t), PIXEL)
-    return zp, zones
+    edges = S.zones(t)
+    return G.zone_pixels(edges, S.s4a(t), PIXEL), edges.select("zone")
 
 
-@register("a01_polygon_zonal_mean", q(_A01P_BODY, "s4a", "s4b", "s6", extra=_A01P))
+@register("a01_polygon_zonal_mean", q(_A01P_BODY, "s4a", "s4b", "zones", extra=_A01P))
 def a01_polygon_zonal_mean(t: Tables):
     """Daily zonal mean of SWE over polygon pixels; an empty zone is NULL."""
     zp, zones = polygon_inputs(t)
@@ -73,7 +72,7 @@ def a01_polygon_zonal_mean(t: Tables):
     return zm.select("date", "zone", rnd("mean").alias("mean"))
 
 
-@register("m02_factorised_mean", q(_A01P_BODY, "s4a", "s4b", "s6", extra=_A01P))
+@register("m02_factorised_mean", q(_A01P_BODY, "s4a", "s4b", "zones", extra=_A01P))
 def m02_factorised_mean(t: Tables):
     """The same zonal mean from per-(zone, cluster) pixel counts; no pixel x day table."""
     zp, zones = polygon_inputs(t)
@@ -81,42 +80,40 @@ def m02_factorised_mean(t: Tables):
     return zm.select("date", "zone", rnd("mean").alias("mean"))
 
 
-# Margin (m) of the nation rectangles around their pixel centres.
-MARGIN = 123.0
+# Margin (m) of the nation rectangles around their pixel centres; shift (m) of their second part.
+MARGIN, PART_SHIFT = 123.0, 100_000.0
 
 
 def nation_rectangles(t: Tables):
     """Per nation the rectangle around its customers' pixel centres, in
-    metres: the zone polygons of io11, derived from the tables."""
+    metres, and a second part of the same shape further east."""
     px = S.s4a(t).join(t.customer.select(F.col("c_custkey").alias("pixel"), "c_nationkey"), "pixel")
     px = px.join(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("zone"),
                                  "n_regionkey"), "c_nationkey")
     b = px.groupBy("zone", "n_regionkey").agg(
         (F.min("x") - MARGIN).alias("x0"), (F.max("x") + MARGIN).alias("x1"),
         (F.min("y") - MARGIN).alias("y0"), (F.max("y") + MARGIN).alias("y1"))
-    return b.select("zone", F.col("n_regionkey").cast("string").alias("region"), "x0", "x1", "y0", "y1")
+    b = b.withColumn("dx", F.explode(F.array(F.lit(0.0), F.lit(PART_SHIFT))))
+    return b.select("zone", F.col("n_regionkey").cast("string").alias("region"), (F.col("x0") + F.col("dx")).alias("x0"),
+                    (F.col("x1") + F.col("dx")).alias("x1"), "y0", "y1")
 
 
 def wgs84_rings(t: Tables):
-    """Nation rectangles as closed lon/lat rings (what a polygon file
+    """Nation rectangles as closed lon/lat rings, two for each zone (what a polygon file
     without CRS holds): NW, NE, SE, SW, NW."""
-    r = nation_rectangles(t)
-    corners = F.array(*[F.struct(F.lit(i).alias("i"), F.col(x).alias("x"), F.col(y).alias("y"))
-                        for i, (x, y) in enumerate((("x0", "y1"), ("x1", "y1"), ("x1", "y0"),
-                                                    ("x0", "y0"), ("x0", "y1")))])
-    v = r.select("zone", "region", F.explode(corners).alias("c"))
-    lon, lat = tm_inverse(F.col("c.x"), F.col("c.y"))
-    v = v.select("zone", "region", F.struct(F.col("c.i").alias("i"), lon.alias("lon"), lat.alias("lat")).alias("p"))
-    g = v.groupBy("zone", "region").agg(F.sort_array(F.collect_list("p")).alias("_r"))
-    return g.select("zone", "region",
-                    F.transform("_r", lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("ring"))
+    def vertex(x, y):
+        lon, lat = tm_inverse(F.col(x), F.col(y))
+        return F.struct(lon.alias("lon"), lat.alias("lat"))
+    corners = [("x0", "y1"), ("x1", "y1"), ("x1", "y0"), ("x0", "y0"), ("x0", "y1")]
+    return nation_rectangles(t).select("zone", "region", F.array(*[vertex(x, y) for x, y in corners]).alias("ring"))
 
 
 _RECT_SQL = f"""
 , px AS (SELECT s4a.x, s4a.y, n_name AS zone, CAST(n_regionkey AS VARCHAR) AS region
          FROM s4a JOIN customer ON pixel = c_custkey JOIN nation ON c_nationkey = n_nationkey),
-  b AS (SELECT zone, region, min(x) - {MARGIN} AS x0, max(x) + {MARGIN} AS x1,
+  r AS (SELECT zone, region, min(x) - {MARGIN} AS x0, max(x) + {MARGIN} AS x1,
                min(y) - {MARGIN} AS y0, max(y) + {MARGIN} AS y1 FROM px GROUP BY zone, region),
+  b AS (SELECT * FROM r UNION ALL SELECT zone, region, x0 + {PART_SHIFT}, x1 + {PART_SHIFT}, y0, y1 FROM r),
   e AS (SELECT zone, region, 1 AS edge, x0 AS x1, y1 AS y1, x1 AS x2, y1 AS y2 FROM b
         UNION ALL SELECT zone, region, 2, x1, y1, x1, y0 FROM b
         UNION ALL SELECT zone, region, 3, x1, y0, x0, y0 FROM b
@@ -127,7 +124,7 @@ _RECT_SQL = f"""
 SELECT zone, region, CAST(edge AS INT) AS edge, round(x1, 2) AS x1, round(y1, 2) AS y1,
        round(x2, 2) AS x2, round(y2, 2) AS y2 FROM e""", "s4a", extra=_RECT_SQL))
 def io11_zone_load(t: Tables):
-    """Zone rings stored in WGS84 (no CRS), loaded and projected to grid
+    """Two-part zones stored as WGS84 rings (no CRS), loaded and projected to grid
     metres, split into numbered edges."""
     e = G.ring_to_edges(G.project_rings(wgs84_rings(t)))
     return e.select("zone", "region", "edge", *[F.round(c, 2).alias(c) for c in ("x1", "y1", "x2", "y2")])

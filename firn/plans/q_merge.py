@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from firn.functions.numeric import rnd, rnd_sql
@@ -89,6 +90,15 @@ def j04_forecast_overlay(t: Tables):
     return M.overlay(by_source(t, "reanalysis"), by_source(t, "cont_fc"))
 
 
+@register("j04_overlay_corrected", q("""
+, b AS (SELECT min(time) AS lo, max(time) AS hi FROM s1 WHERE source = 'cont_fc')
+SELECT source, lat_i, lon_i, time, value FROM s1, b WHERE source = 'reanalysis' AND (time < lo OR time > hi)
+UNION ALL SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source = 'cont_fc'"""))
+def j04_overlay_corrected(t: Tables):
+    """The corrected overlay: earlier rows outside the forecast's range kept, none inside."""
+    return M.overlay(by_source(t, "reanalysis"), by_source(t, "cont_fc"), corrected=True)
+
+
 _J05 = """
 , r AS (SELECT lat_i, lon_i, time, value FROM s1 WHERE source = 'reanalysis'),
   d AS (SELECT lat_i, lon_i, time, value FROM s1 WHERE source = 'daily_fc')"""
@@ -113,6 +123,20 @@ def j05_conflicts(t: Tables):
     return M.merge_conflicts(by_source(t, "reanalysis", c), by_source(t, "daily_fc", c), CELL_TIME, ["value"])
 
 
+@register("j05_conflict_variables", q("""
+SELECT r.lat_i, r.lon_i, r.time, CASE v WHEN 'value' THEN r.value WHEN 't2m' THEN r.t2m ELSE r.sp END AS left_value,
+       CASE v WHEN 'value' THEN d.value WHEN 't2m' THEN d.t2m ELSE d.sp END AS right_value, v AS variable
+FROM (SELECT * FROM s1_surface WHERE source = 'reanalysis') r
+JOIN (SELECT * FROM s1_surface WHERE source = 'daily_fc') d ON r.lat_i = d.lat_i AND r.lon_i = d.lon_i AND r.time = d.time,
+     (SELECT unnest(['value', 't2m', 'sp']) AS v)
+WHERE left_value <> right_value""", "s1_surface"))
+def j05_conflict_variables(t: Tables):
+    """Conflicts of three variables from one join."""
+    v = ["value", "t2m", "sp"]
+    s = S.s1_surface(t).select("source", *CELL_TIME, *v)
+    return M.merge_conflicts(s.where(F.col("source") == "reanalysis"), s.where(F.col("source") == "daily_fc"), CELL_TIME, v)
+
+
 @register("u01_concat", q("""
 SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source = 'reanalysis'
 UNION ALL SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source = 'daily_fc'"""))
@@ -122,32 +146,73 @@ def u01_concat(t: Tables):
 
 
 @register("so04_merge_time", q("""
-SELECT source, lat_i, lon_i, time, value FROM s1 WHERE source IN ('daily_fc', 'cont_fc')"""))
+SELECT source, lat_i, lon_i, time, value,
+       row_number() OVER (PARTITION BY lat_i, lon_i, CAST(time AS DATE) ORDER BY time, source) AS rank
+FROM s1 WHERE source IN ('daily_fc', 'cont_fc')"""))
 def so04_merge_time(t: Tables):
-    """Time-ordered merge of both forecast sources; duplicates not removed."""
-    return M.merge_time(by_source(t, "daily_fc"), by_source(t, "cont_fc"))
+    """Time-ordered merge of both forecast sources; duplicates not removed.  ``rank`` shows the
+    order inside a cell's day."""
+    both = M.merge_time(by_source(t, "daily_fc"), by_source(t, "cont_fc"), ties=("lat_i", "lon_i", "source"))
+    day = Window.partitionBy("lat_i", "lon_i", F.to_date("time")).orderBy("time", "source")
+    return both.withColumn("rank", F.row_number().over(day).cast("bigint"))
+
+
+# Offsets of the targets from a cell's node, in cells: the node itself, a point on
+# each grid line, one inside, and one before the first row.
+OFFSETS = ((0.0, 0.0), (0.0, 0.25), (0.5, 0.0), (0.5, 0.75), (-1.0, 0.5))
 
 
-def regrid_targets(spark):
-    """Target points of the common grid: lat 33..45 by 3, lon 60..80 by 10."""
-    i = F.col("id")
-    return spark.range(15).select(i.alias("t_id"), (F.lit(33.0) + F.lit(3.0) * F.floor(i / 3)).cast("double").alias("t_lat"),
-                                  (F.lit(60.0) + F.lit(10.0) * (i % 3)).cast("double").alias("t_lon"))
+def regrid_targets(t: Tables):
+    """Target points around every cell of the S1 grid; those of the last rows and columns lie on its edge or outside."""
+    cells = S.s1(t).select("lat_i", "lon_i").distinct()
+    off = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y, x in OFFSETS])).alias("o")
+    return cells.select("*", off).select((F.lit(S.LAT0) + F.lit(S.DLAT) * (F.col("lat_i") + F.col("o.y"))).alias("t_lat"),
+                                         (F.lit(S.LON0) + F.lit(S.DLON) * (F.col("lon_i") + F.col("o.x"))).alias("t_lon")).distinct()
 
 
-@register("j19_bilinear", q(f"""
-, tg AS (SELECT range AS t_id, CAST(33.0 + 3.0 * (range // 3) AS DOUBLE) AS t_lat,
-                CAST(60.0 + 10.0 * (range % 3) AS DOUBLE) AS t_lon FROM range(15)),
-  f AS (SELECT *, (t_lat - 32.0) / 3.5 AS fy, (t_lon - 59.0) / 22.0 AS fx FROM tg),
-  c AS (SELECT t_id, t_lat, t_lon, CAST(floor(fy) AS INT) + di AS lat_i, CAST(floor(fx) AS INT) + dj AS lon_i,
+def _regrid_sql(source: str, name: str, targets: str) -> str:
+    return f"""
+  {name}_f AS (SELECT t_lat, t_lon, (t_lat - {S.LAT0}) / {S.DLAT} AS fy, (t_lon - {S.LON0}) / {S.DLON} AS fx FROM {targets}),
+  {name}_c AS (SELECT t_lat, t_lon, CAST(floor(fy) AS INT) + di AS lat_i, CAST(floor(fx) AS INT) + dj AS lon_i,
                (CASE WHEN di = 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END)
                * (CASE WHEN dj = 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) AS w
-        FROM f, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) d(di, dj))
-SELECT t_id, t_lat, t_lon, time, CASE WHEN count(value) = 4 THEN {rnd_sql('sum(w * value)')} END AS value
-FROM c JOIN (SELECT * FROM s1 WHERE source = 'reanalysis') r USING (lat_i, lon_i)
-GROUP BY t_id, t_lat, t_lon, time"""))
+        FROM {name}_f, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) d(di, dj)),
+  {name}_g AS (SELECT t_lat, t_lon, time, sum(w * value) AS value, count(value) AS n
+        FROM {name}_c JOIN (SELECT * FROM s1 WHERE source = '{source}') r USING (lat_i, lon_i) WHERE w > 0
+        GROUP BY t_lat, t_lon, time),
+  {name}_n AS (SELECT t_lat, t_lon, count(*) AS need FROM {name}_c WHERE w > 0 GROUP BY t_lat, t_lon),
+  {name} AS (SELECT n.t_lat, n.t_lon, h.time, CASE WHEN g.n = n.need THEN g.value END AS value
+        FROM {name}_n n CROSS JOIN (SELECT DISTINCT time FROM s1 WHERE source = '{source}') h
+        LEFT JOIN {name}_g g ON g.t_lat = n.t_lat AND g.t_lon = n.t_lon AND g.time = h.time)"""
+
+
+_TARGETS = f"""
+, tg AS (SELECT DISTINCT {S.LAT0} + {S.DLAT} * (lat_i + oy) AS t_lat, {S.LON0} + {S.DLON} * (lon_i + ox) AS t_lon
+         FROM (SELECT DISTINCT lat_i, lon_i FROM s1),
+              (VALUES {', '.join(f'({y}::DOUBLE, {x}::DOUBLE)' for y, x in OFFSETS)}) o(oy, ox)),"""
+
+
+@register("j19_bilinear", q(f"SELECT t_lat, t_lon, time, {rnd_sql('value')} AS value FROM rg",
+                            extra=_TARGETS + _regrid_sql("reanalysis", "rg", "tg")))
 def j19_bilinear(t: Tables):
-    """Reanalysis regridded bilinearly to a common grid; NULL where a corner is missing."""
+    """Reanalysis regridded bilinearly: targets on nodes, grid lines, inside cells and outside;
+    NULL where a corner that counts is missing."""
     src = by_source(t, "reanalysis", ["lat_i", "lon_i", "time", "value"])
-    out = M.bilinear_regrid(src, regrid_targets(t.spark), ["time"], "value", 32.0, 3.5, 59.0, 22.0)
+    out = M.bilinear_regrid(src, regrid_targets(t), "value", S.LAT0, S.DLAT, S.LON0, S.DLON)
     return out.withColumn("value", rnd("value"))
+
+
+@register("j04_regrid_overlay", q(f"""
+, b AS (SELECT greatest((SELECT min(time) FROM e), (SELECT min(time) FROM rg)) AS o0,
+               least((SELECT max(time) FROM e), (SELECT max(time) FROM rg)) AS o1)
+SELECT t_lat, t_lon, time, value FROM e, b WHERE o1 <= o0 OR time <= o0 - INTERVAL 1 HOUR
+UNION ALL SELECT t_lat, t_lon, time, {rnd_sql('value')} FROM rg""", extra=f"""
+, e AS (SELECT {S.LAT0} + {S.DLAT} * (lat_i + 0.5::DOUBLE) AS t_lat, lon AS t_lon, time, value FROM s1 WHERE source = 'reanalysis'),
+  eg AS (SELECT DISTINCT t_lat, t_lon FROM e),""" + _regrid_sql("cont_fc", "rg", "eg")))
+def j04_regrid_overlay(t: Tables):
+    """Continuous forecast interpolated to the grid of the earlier data (half a row further north), then overlaid."""
+    e = S.s1(t).where(F.col("source") == "reanalysis").select(
+        (F.lit(S.LAT0) + F.lit(S.DLAT) * (F.col("lat_i") + F.lit(0.5))).alias("t_lat"), F.col("lon").alias("t_lon"), "time", "value")
+    fc = by_source(t, "cont_fc", ["lat_i", "lon_i", "time", "value"])
+    fc_on_grid = M.bilinear_regrid(fc, e.select("t_lat", "t_lon").distinct(), "value", S.LAT0, S.DLAT, S.LON0, S.DLON)
+    return M.overlay(e, fc_on_grid.withColumn("value", rnd("value")))

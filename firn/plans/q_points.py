@@ -3,6 +3,7 @@ S5 (archive and latest point series)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from firn.functions.geodesy import tm_forward_sql
@@ -15,10 +16,10 @@ from firn.sources import textio
 from firn.sources.tables import Tables
 
 VARS = ["swe", "snd", "rof", "gst"]
-# The J12 target grid (degrees) and the source pixel size (m).
-TARGET = dict(lon0=66.625, lat_top=40.64, res=0.005, n_lon=54, n_lat=38)
-PIXEL = 500.0
-_S5_DESC = ", ".join(f"{c} DESC" for c in S.S5_ORDER)
+# The J12 target grid (degrees; its rows follow the pixel rows), the height of a
+# target cell and the source pixel size (m).
+TARGET = dict(lon0=66.625, lat_top=40.64, res=0.005, n_lon=54)
+TARGET_M, PIXEL = 555, 500.0
 
 
 def q(body: str, *names: str, extra: str = "") -> str:
@@ -30,14 +31,16 @@ def s5_split(t: Tables):
     return s.where(F.col("src") == "archive"), s.where(F.col("src") == "latest")
 
 
-@register("a07_keep_last", q(f"""
+@register("a07_keep_last", q("""
 SELECT src, prio, cluster, date, swe, snd FROM (
-  SELECT *, row_number() OVER (PARTITION BY cluster, date ORDER BY prio DESC, {_S5_DESC}) AS rn FROM s5)
-WHERE rn = 1""", "s5"))
+  SELECT *, row_number() OVER (PARTITION BY cluster, date ORDER BY prio DESC, ord DESC) AS rn FROM s5)
+WHERE rn = 1 OR cluster NOT IN (SELECT cluster FROM s5 GROUP BY cluster HAVING count(DISTINCT src) = 2)""", "s5"))
 def a07_keep_last(t: Tables):
-    """Archive overlaid by latest: whole row of the last copy per (cluster, date)."""
-    a, l = s5_split(t)
-    return PT.keep_last(a, l, ["cluster", "date"]).drop("ord")
+    """Archive overlaid by latest: whole row of the last copy per (cluster, date) of points that both
+    have; points of one input unchanged."""
+    a, l = (x.drop("src") for x in s5_split(t))
+    src = F.when(F.col("prio") == 2, "latest").otherwise("archive")
+    return PT.keep_last(a, l, ["cluster", "date"]).select(src.alias("src"), "prio", "cluster", "date", "swe", "snd")
 
 
 @register("a07_one_sided", q("SELECT src, prio, cluster, date, swe, snd FROM s5 WHERE src = 'archive'", "s5"))
@@ -68,33 +71,52 @@ def u02_point_names(t: Tables):
 
 @register("so01_natural_sort", q("""
 SELECT name, array_to_string(list_transform(regexp_extract_all(name, '([0-9]+|[^0-9]+)', 1),
-         lambda x: CASE WHEN regexp_full_match(x, '[0-9]+') THEN lpad(x, 20, '0') ELSE lower(x) END), '|') AS sort_key
-FROM (SELECT DISTINCT CASE WHEN cluster % 3 = 0 THEN 'fsm_pt_' ELSE 'FSM_pt_' END || CAST(cluster AS VARCHAR) AS name FROM s5)""", "s5"))
+         lambda x: CASE WHEN regexp_full_match(x, '[0-9]+')
+           THEN length(length(ltrim(x[:-2], '0') || x[-1])::VARCHAR) || length(ltrim(x[:-2], '0') || x[-1])::VARCHAR || ':' || ltrim(x[:-2], '0') || x[-1]
+           ELSE lower(x) END), '|') AS sort_key
+FROM (SELECT DISTINCT CASE WHEN cluster % 3 = 0 THEN 'fsm_pt_' ELSE 'FSM_pt_' END || CASE WHEN cluster % 5 = 0 THEN '10000000000000000000' ELSE '' END
+      || CAST(cluster AS VARCHAR) AS name FROM s5)""", "s5"))
 def so01_natural_sort(t: Tables):
     """Point names in natural order (digit runs numeric, case folded)."""
     c = F.col("cluster")
     names = S.s5(t).select(F.concat(F.when(c % 3 == 0, "fsm_pt_").otherwise("FSM_pt_"),
-                                    c.cast("string")).alias("name")).distinct()
+                                    F.when(c % 5 == 0, "1" + "0" * 19).otherwise(""), c.cast("string")).alias("name")).distinct()
     return names.select("name", PT.natural_sort_key(F.col("name")).alias("sort_key")).orderBy("sort_key")
 
 
 @register("so02_hydro_sort", q("""
-SELECT cluster, date, swe, snd, CAST(CASE WHEN month(date) < 9 THEN month(date) + 12 ELSE month(date) END AS INT) AS hydro_month,
-       CAST(day(date) AS INT) AS dom
-FROM s5 WHERE src = 'archive'""", "s5"))
+SELECT *, row_number() OVER (PARTITION BY cluster, hydro_month, dom ORDER BY ord) AS rank FROM (
+  SELECT cluster, date, swe, snd, CAST(CASE WHEN month(date) < 9 THEN month(date) + 12 ELSE month(date) END AS INT) AS hydro_month,
+         CAST(day(date) AS INT) AS dom, ord FROM s5 WHERE src = 'archive')""", "s5"))
 def so02_hydro_sort(t: Tables):
-    """Archive series in hydrological order (Sep first, year ignored, stable)."""
+    """Archive series in hydrological order (Sep first, year ignored, stable); ``rank`` shows the order
+    among the rows of one calendar day."""
     a, _ = s5_split(t)
-    return PT.hydro_sort(a, ["cluster"], "date", "ord").select("cluster", "date", "swe", "snd", "hydro_month", "dom")
+    day = Window.partitionBy("cluster", "hydro_month", "dom").orderBy("ord")
+    return (PT.hydro_sort(a, ["cluster"], "date", "ord")
+            .select("cluster", "date", "swe", "snd", "hydro_month", "dom", "ord", F.row_number().over(day).cast("bigint").alias("rank")))
+
+
+# What the text queries leave out, to show how a missing value is written.
+_NULLED = "CASE WHEN day(date) % 7 = 0 THEN NULL ELSE {v} END"
+
+
+def gappy_series(t: Tables):
+    """S4b with no snd on every seventh day of the month."""
+    return S.s4b(t).withColumn("snd", F.when(F.dayofmonth("date") % 7 != 0, F.col("snd")))
+
+
+def _text_value(v: str) -> str:
+    return rnd_sql(_NULLED.format(v=v) if v == "snd" else v)
 
 
 @register("io03_text_roundtrip", q(f"""
-SELECT cluster, CAST(date AS TIMESTAMP) AS time, {', '.join(f"{rnd_sql(v)} AS {v}" for v in VARS)} FROM s4b""", "s4b"))
+SELECT cluster, CAST(date AS TIMESTAMP) AS time, {', '.join(f"{_text_value(v)} AS {v}" for v in VARS)} FROM s4b""", "s4b"))
 def io03_text_roundtrip(t: Tables):
-    """Cluster series written as per-point whitespace text and parsed back."""
+    """Cluster series with missing values written as per-point whitespace text and parsed back."""
     path = textio.scratch_path(t.spark, "points")
-    s = S.s4b(t).select(PT.point_name(F.col("cluster")).alias("point"),
-                        F.col("date").cast("timestamp_ntz").alias("time"), *VARS)
+    s = gappy_series(t).select(PT.point_name(F.col("cluster")).alias("point"),
+                               F.col("date").cast("timestamp_ntz").alias("time"), *VARS)
     textio.write_point_text(s, path, "point", "time", VARS)
     back = textio.read_point_text(t.spark, path, VARS)
     return back.select("cluster", "time", *[rnd(v).alias(v) for v in VARS])
@@ -165,8 +187,8 @@ def j15_cluster_to_pixel(t: Tables):
 
 _EX, _NY = tm_forward_sql("t_lon", "t_lat")
 _J12 = f"""
-, tg AS (SELECT CAST(range // {TARGET['n_lon']} AS INT) AS t_row, CAST(range % {TARGET['n_lon']} AS INT) AS t_col
-         FROM range({TARGET['n_lon'] * TARGET['n_lat']})),
+, tr AS (SELECT DISTINCT CAST(row_i * {int(PIXEL)} // {TARGET_M} AS INT) AS t_row FROM s4a),
+  tg AS (SELECT t_row, CAST(unnest(range({TARGET['n_lon']})) AS INT) AS t_col FROM tr),
   tc AS (SELECT t_row, t_col, {TARGET['lon0']} + (t_col + 0.5) * {TARGET['res']} AS t_lon,
                 {TARGET['lat_top']} - (t_row + 0.5) * {TARGET['res']} AS t_lat FROM tg),
   org AS (SELECT min(x) - {PIXEL / 2} AS x_left, max(y) + {PIXEL / 2} AS y_top FROM s4a),
@@ -182,28 +204,53 @@ def j12_reproject(t: Tables):
     px = S.s4a(t)
     o = px.agg(F.struct(F.min("x").alias("x"), F.max("y").alias("y"))).scalar()
     x_left, y_top = o.getField("x") - F.lit(PIXEL / 2), o.getField("y") + F.lit(PIXEL / 2)
-    tg = R.target_grid(t.spark, **TARGET)
-    m = R.reproject_nearest(tg, px.select("row_i", "col_i", "cluster"), x_left, y_top, PIXEL)
+    rows = px.select(F.floor(F.col("row_i") * int(PIXEL) / TARGET_M).cast("int").alias("t_row")).distinct()
+    m = R.reproject_nearest(R.target_grid(rows, **TARGET), px.select("row_i", "col_i", "cluster"), x_left, y_top, PIXEL)
     j = R.cluster_to_pixel(m, S.s4b(t).select("cluster", "date", "swe"))
     return j.select("t_row", "t_col", "date", rnd("swe").alias("swe"))
 
 
-@register("m01_cluster_pixels")
-def m01_cluster_pixels(t: Tables):
-    """Pixels clustered by seven standardised features (k=10, seed 2);
-    rows-only check: labels depend on the algorithm."""
+# Pixels per cluster of M01.
+MEMBERS = 50
+
+
+def clustered(t: Tables):
     from firn.operators.cluster import cluster_pixels
-    assigned, _ = cluster_pixels(S.s7(t), "pixel", [f"f{i}" for i in range(7)], k=10)
-    return assigned
+    return cluster_pixels(S.s7(t), "pixel", [f"f{i}" for i in range(7)], members=MEMBERS)
 
 
-@register("io04_text_sink", q("SELECT cluster, count(*) AS n_lines FROM s4b GROUP BY cluster", "s4b"))
+@register("m01_cluster_pixels", q("SELECT pixel, true AS in_range, true AS nearest FROM s7", "s7"))
+def m01_cluster_pixels(t: Tables):
+    """Pixels clustered by seven standardised features; labels depend on the algorithm, so what is checked
+    is that every pixel has one valid cluster and is nearest to its own centre."""
+    assigned, centroids, k = clustered(t)
+    return assigned.select("pixel", F.col("cluster").between(0, k - 1).alias("in_range"), "nearest")
+
+
+@register("m01_centroids", q("SELECT count(*) AS n_pixels, true AS means_match FROM s7", "s7"))
+def m01_centroids(t: Tables):
+    """The centroids are the means of their members: their weighted mean is that of all pixels, and their sizes add up."""
+    assigned, centroids, _ = clustered(t)
+    cols = [f"f{i}" for i in range(7)]
+    whole = S.s7(t).agg(F.struct(*[F.avg(c).alias(c) for c in cols])).scalar()
+    n = F.sum("n_pixels")
+    match = F.lit(True)
+    for c in cols:
+        match = match & (F.abs(F.sum(F.col(c) * F.col("n_pixels")) / n - whole.getField(c)) < 1e-9)
+    return centroids.agg(n.alias("n_pixels"), match.alias("means_match"))
+
+
+@register("io04_text_sink", q(f"""
+SELECT cluster, count(*) AS n_lines, {', '.join(f"count({_text_value(v)}) AS n_{v}, {rnd_sql(f'sum({_text_value(v)})')} AS {v}" for v in VARS)}
+FROM s4b GROUP BY cluster""", "s4b"))
 def io04_text_sink(t: Tables):
-    """Lines written per point file by the whitespace text sink."""
+    """Lines and values written per point file by the whitespace text sink."""
     path = textio.scratch_path(t.spark, "points-sink")
-    s = S.s4b(t).select(PT.point_name(F.col("cluster")).alias("point"),
-                        F.col("date").cast("timestamp_ntz").alias("time"), *VARS)
+    s = gappy_series(t).select(PT.point_name(F.col("cluster")).alias("point"),
+                               F.col("date").cast("timestamp_ntz").alias("time"), *VARS)
     textio.write_point_text(s, path, "point", "time", VARS)
-    back = t.spark.read.text(path)
+    field = F.split("value", " ")
+    value = {v: F.when(field[4 + k] != textio.MISSING, rnd(field[4 + k].cast("double"))) for k, v in enumerate(VARS)}
     cl = F.regexp_extract(F.col("point"), r"_(\d+)$", 1).cast("bigint")
-    return back.groupBy(cl.alias("cluster")).agg(F.count(F.lit(1)).alias("n_lines"))
+    return t.spark.read.text(path).groupBy(cl.alias("cluster")).agg(
+        F.count(F.lit(1)).alias("n_lines"), *[x for v in VARS for x in (F.count(value[v]).alias(f"n_{v}"), rnd(F.sum(value[v])).alias(v))])

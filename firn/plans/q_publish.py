@@ -3,6 +3,7 @@ rasters, publish paths, allow-list, skip-published and bundles."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,10 +87,14 @@ def io02_date_from_name(t: Tables):
     return FL.dated_files(product_file_names(t))
 
 
-@register("so03_sort_by_date", q("SELECT name, date FROM nd WHERE date IS NOT NULL", "s3", extra=_NAMES))
+@register("so03_sort_by_date", q("""
+SELECT name, date, row_number() OVER (PARTITION BY year(date), month(date) ORDER BY date, name) AS rank
+FROM nd WHERE date IS NOT NULL""", "s3", extra=_NAMES))
 def so03_sort_by_date(t: Tables):
-    """Raster files ordered by the date in their name."""
-    return FL.dated_files(product_file_names(t)).orderBy("date", "name")
+    """Raster files ordered by the date in their name; ``rank`` shows the order inside a month."""
+    files = FL.dated_files(product_file_names(t)).orderBy("date", "name")
+    month = Window.partitionBy(F.year("date"), F.month("date")).orderBy("date", "name")
+    return files.withColumn("rank", F.row_number().over(month).cast("bigint"))
 
 
 def _zone_schema_cols(t: Tables):
@@ -98,11 +103,10 @@ def _zone_schema_cols(t: Tables):
 
 @register("io05_wide_csv_scan", zm_sql(f"SELECT date, zone, {rnd_sql('mean')} AS mean FROM zm WHERE variable = 'SWE'"))
 def io05_wide_csv_scan(t: Tables):
-    """Wide SWE table written as CSV with header, scanned back to long."""
+    """Wide SWE table written as CSV with header, zones in reverse order, scanned back to long by name."""
     zones = _zone_schema_cols(t)
-    wide = QZ.a03_pivot_wide(t)
     path = scratch_path(t.spark, "wide-csv")
-    FL.write_wide_csv(wide, path)
+    FL.write_wide_csv(QZ.a03_pivot_wide(t).select("date", *reversed(zones)), path)
     return FL.read_wide_csv(t.spark, path, "date", zones)
 
 
@@ -110,9 +114,8 @@ def io05_wide_csv_scan(t: Tables):
 def io06_wide_csv_sink(t: Tables):
     """One wide CSV table per variable (one write job), read back to long."""
     zones = _zone_schema_cols(t)
-    zm, _ = QZ.zone_means(t)
-    wide = (zm.withColumn("mean", rnd("mean")).groupBy("variable", "date")
-            .pivot("zone", zones).agg(F.first("mean")))
+    v = QZ.product_values(t).select("variable", "date", "zone", Z.nodata_to_null(F.col("value")).alias("value"))
+    wide = v.groupBy("variable", "date").pivot("zone", zones).agg(rnd(F.avg("value")))
     path = scratch_path(t.spark, "wide-csv-by-var")
     FL.write_wide_csv(wide, path, by=["variable"])
     return FL.read_wide_csv(t.spark, path, "date", zones, extra=["variable"])
@@ -123,7 +126,7 @@ def io07_zone_tsv(t: Tables):
     """Per-zone product written as tab-separated files, read back."""
     prod = QZ.j14_zone_product(t)
     path = scratch_path(t.spark, "zone-tsv")
-    FL.write_zone_tsv(prod, path)
+    FL.write_zone_tsv(prod, path, within=["date"])
     fields = [T.StructField("date", T.DateType())] + [
         T.StructField(c, T.DoubleType()) for c in prod.columns[2:-1]] + [T.StructField("FC", T.BooleanType())]
     back = t.spark.read.option("sep", "\t").option("header", True).schema(T.StructType(fields)).csv(path)
@@ -148,16 +151,17 @@ FROM (SELECT date, variable, value FROM s4a JOIN s4b USING (cluster)
       UNPIVOT INCLUDE NULLS (value FOR variable IN (swe, snd, rof, gst)))
 GROUP BY 1, 2, 3, 4""", "s4a", "s4b"))
 def io09_raster_per_day(t: Tables):
-    """Daily pixel rasters written one folder per (variable, date), read back."""
+    """Daily pixel rasters written to one folder per (variable, month), a day's rows together in it, read back."""
     px = R.cluster_to_pixel(S.s4a(t), S.s4b(t))
     long = px.unpivot(["pixel", "row_i", "col_i", "date"], ["swe", "snd", "rof", "gst"], "var", "value")
     _, unit = R.product_names(F.col("var"))
-    long = long.select("pixel", "row_i", "col_i", "value", F.upper("var").alias("variable"), "date", unit.alias("unit"))
+    long = long.select("pixel", "row_i", "col_i", "value", F.upper("var").alias("variable"),
+                       F.date_format("date", "yyyyMM").alias("month"), "date", unit.alias("unit"))
     path = scratch_path(t.spark, "rasters")
-    FL.write_partitioned(long, path, ["variable", "date"], within=["row_i", "col_i"])
+    FL.write_partitioned(long, path, ["variable", "month"], within=["date", "row_i", "col_i"])
     back = t.spark.read.parquet(path)
     name = F.concat_ws("_", F.col("variable"), F.date_format("date", "yyyyMMdd"))
-    return (back.groupBy("variable", F.col("date").cast("date").alias("date"), name.alias("name"), "unit")
+    return (back.groupBy("variable", "date", name.alias("name"), "unit")
             .agg(F.count(F.lit(1)).alias("n_pixels"), F.count("value").alias("n_valid")))
 
 

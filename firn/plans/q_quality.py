@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from firn.functions.timecols import ntz
@@ -17,7 +18,8 @@ LATEST_AVAILABLE = "2024-01-24"
 BACKFILL_AS_OF = "2024-02-02"
 RECENT_AS_OF = "2024-01-25 10:30:00"
 SIM_AS_OF = "2024-01-25"
-# The two reanalysis file classes (lon_i 0 -> PLEV, 1 -> SURF).
+ARCHIVE_START = "2024-01-03"
+# The two reanalysis file classes (even lon_i -> PLEV, odd -> SURF).
 FILE_CLASSES = ("PLEV", "SURF")
 
 
@@ -27,7 +29,7 @@ def s1d(t: Tables):
 
 def reanalysis_classes(t: Tables):
     r = S.s1(t).where(F.col("source") == "reanalysis")
-    return r.select(F.when(F.col("lon_i") == 0, "PLEV").otherwise("SURF").alias("file_class"),
+    return r.select(F.when(F.col("lon_i") % 2 == 0, "PLEV").otherwise("SURF").alias("file_class"),
                     F.to_date("time").alias("date")).distinct()
 
 
@@ -123,11 +125,13 @@ def a09_last_time(t: Tables):
 
 
 @register("a10_days_first_seen", q("""
-SELECT source, CAST(time AS DATE) AS date, min(time) AS first_time FROM s1 GROUP BY 1, 2"""))
+SELECT source, date, first_time, row_number() OVER (PARTITION BY source ORDER BY first_time) AS rank
+FROM (SELECT source, CAST(time AS DATE) AS date, min(time) AS first_time FROM s1 GROUP BY 1, 2)"""))
 def a10_days_first_seen(t: Tables):
-    """Distinct days with their first timestamp (order by first_time)."""
-    return (s1d(t).groupBy("source", "date").agg(F.min("time").alias("first_time"))
-            .orderBy("first_time", "source"))
+    """Distinct days of each source in the order of their first timestamp (``rank``)."""
+    days = s1d(t).groupBy("source", "date").agg(F.min("time").alias("first_time"))
+    by_time = Window.partitionBy("source").orderBy("first_time")  # one row a day
+    return days.withColumn("rank", F.row_number().over(by_time).cast("bigint"))
 
 
 _MONTHS = """
@@ -158,7 +162,7 @@ def a12_missing_steps(t: Tables):
 
 
 _CLASSES = """
-c AS (SELECT DISTINCT CASE WHEN lon_i = 0 THEN 'PLEV' ELSE 'SURF' END AS file_class, CAST(time AS DATE) AS date
+c AS (SELECT DISTINCT CASE WHEN lon_i % 2 = 0 THEN 'PLEV' ELSE 'SURF' END AS file_class, CAST(time AS DATE) AS date
       FROM s1 WHERE source = 'reanalysis')"""
 
 
@@ -226,17 +230,34 @@ def p13_trim_day(t: Tables):
     return Q.trim_after(s.where(F.col("source") == "daily_fc"), last, day_boundary=True)
 
 
-@register("p14_sim_window", q(f"""
+_P14 = """
 SELECT s1.source, lat_i, lon_i, time, value FROM s1
 JOIN (SELECT source, max(time) FILTER (WHERE hour(time) = 23) AS last_full FROM s1 GROUP BY source) l USING (source)
-WHERE time BETWEEN TIMESTAMP '{SIM_AS_OF} 00:00:00' - INTERVAL 7 DAY AND last_full"""))
+WHERE time BETWEEN {start} AND last_full"""
+
+
+@register("p13_trim_day_corrected", q("""
+SELECT source, lat_i, lon_i, time, value FROM s1
+WHERE source = 'daily_fc' AND CAST(time AS DATE) > (SELECT CAST(max(time) AS DATE) FROM s1 WHERE source = 'reanalysis')"""))
+def p13_trim_day_corrected(t: Tables):
+    """Hindcast from the first day that the reanalysis does not touch (corrected: no day from both)."""
+    s = S.s1(t).select("source", "lat_i", "lon_i", "time", "value")
+    last = s.where(F.col("source") == "reanalysis").agg(F.max("time")).scalar()
+    return Q.trim_after(s.where(F.col("source") == "daily_fc"), last, day_boundary="next")
+
+
+@register("p14_sim_window", q(_P14.format(start=f"TIMESTAMP '{SIM_AS_OF} 00:00:00' - INTERVAL 7 DAY")))
 def p14_sim_window(t: Tables):
     """Forecast simulation window: as_of - 7 days .. last full day, per source."""
     s = S.s1(t).select("source", "lat_i", "lon_i", "time", "value")
-    lf = Q.last_full_day(s, ["source"])
-    start = Q.add_days(ntz(f"{SIM_AS_OF} 00:00:00"), -7)
-    return (s.join(lf, "source")
-            .where(F.col("time").between(start, F.col("last_full"))).drop("last_full"))
+    return Q.simulation_window(s, ["source"], Q.add_days(ntz(f"{SIM_AS_OF} 00:00:00"), -7))
+
+
+@register("p14_archive_window", q(_P14.format(start=f"TIMESTAMP '{ARCHIVE_START} 00:00:00'")))
+def p14_archive_window(t: Tables):
+    """Archive simulation window: a start date .. last full day, per source."""
+    s = S.s1(t).select("source", "lat_i", "lon_i", "time", "value")
+    return Q.simulation_window(s, ["source"], ntz(f"{ARCHIVE_START} 00:00:00"))
 
 
 @register("p18_hours_since_start", q("""

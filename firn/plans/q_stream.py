@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from firn.functions.numeric import rnd, rnd_sql
 from firn.plans.registry import register
 from firn.sources import standins as S
 from firn.sources.tables import Tables
@@ -13,65 +14,94 @@ from firn.streaming import drops as D
 
 # Delivery lag of each source in days (drop day = data day + lag).
 DELIVERY_LAG = {"reanalysis": 5, "daily_fc": 0, "cont_fc": -2}
-LOOKBACK_DAYS = 7
-DROP_EVERY = 3
+# Days that a revision reaches back, days between drops, files in a micro-batch, parts a drop is dealt to.
+LOOKBACK_DAYS, DROP_EVERY, FILES_PER_BATCH, BATCHES = 7, 4, 8, 4
+# Longer than the span from the first to the last event of the drops, whatever order they are read in.
+WATERMARK = "45 days"
 
 
-def write_drops(t: Tables):
-    """S1 rows written as one file group per delivery day."""
+def write_drops(t: Tables, path: str) -> None:
+    """S1 rows in files by delivery day; a folder for each of ``BATCHES`` spans of days."""
     lag = F.create_map(*[x for k, v in DELIVERY_LAG.items() for x in (F.lit(k), F.lit(v))])
     s = S.s1(t).select("source", "prio", "lat_i", "lon_i", "time", "value",
                        F.date_add(F.to_date("time"), F.element_at(lag, F.col("source"))).alias("drop_day"))
-    path = scratch_path(t.spark, "drops")
-    s.repartitionByRange("drop_day", "lat_i", "lon_i", "time").write.parquet(path)
-    return path, s.schema
+    s.repartitionByRange(BATCHES * FILES_PER_BATCH, "drop_day", "lat_i", "lon_i", "time").write.parquet(path)
 
 
-@register("t01_stream_dedupe", S.with_ctes("SELECT DISTINCT lat_i, lon_i, time FROM s1", "s1"))
+def drop_stream(t: Tables, name: str):
+    path = scratch_path(t.spark, name)
+    write_drops(t, path)
+    return D.read_drops(t.spark, path, t.spark.read.parquet(path).schema, max_files=FILES_PER_BATCH)
+
+
+@register("t01_stream_dedupe", S.with_ctes("""
+SELECT lat_i, lon_i, time, true AS from_a_source FROM s1 GROUP BY ALL""", "s1"))
 def t01_stream_dedupe(t: Tables):
-    """Drops streamed with a 7-day watermark; each (cell, time) kept once."""
-    path, schema = write_drops(t)
-    stream = D.read_drops(t.spark, path, schema)
+    """Drops streamed in several batches; each (cell, time) kept once, with a value that one of its sources delivered."""
     out = scratch_path(t.spark, "t01-out")
-    d = D.dedupe_stream(stream, ["lat_i", "lon_i"])
+    d = D.dedupe_stream(drop_stream(t, "drops"), ["lat_i", "lon_i"], delay=WATERMARK)
     D.run_to_end(d.writeStream.format("parquet").option("path", out), scratch_path(t.spark, "t01-ckpt"))
-    return t.spark.read.parquet(out).select("lat_i", "lon_i", "time")
+    kept = t.spark.read.parquet(out).select("lat_i", "lon_i", "time", "source", "value")
+    s = S.s1(t).select("lat_i", "lon_i", "time", "source", F.col("value").alias("delivered"))
+    j = kept.join(s, ["lat_i", "lon_i", "time", "source"], "left")
+    return j.select("lat_i", "lon_i", "time", F.col("value").eqNullSafe(F.col("delivered")).alias("from_a_source"))
 
 
-@register("t02_rolling_revision", S.with_ctes(
-    "SELECT lat_i, lon_i, time, min_by(value, prio) AS value FROM s1 GROUP BY ALL", "s1"))
-def t02_rolling_revision(t: Tables):
-    """Every drop re-delivers the last 7 days; day partitions are rebuilt
-    per micro-batch (reanalysis over forecast, newest delivery first)."""
+def revision_drops(t: Tables):
+    """A drop every four days, each with the seven days up to it.  A later delivery
+    of a forecast differs by a hundredth a drop; reanalysis comes only with the last drop of a day."""
     s = S.s1(t).select("source", "prio", "lat_i", "lon_i", "time", "value", F.to_date("time").alias("day"))
     first = s.agg(F.min("day")).scalar()
-    # a drop every 3 days from first+6; each carries the 7 days up to it
-    k_lo = F.ceil(F.datediff(F.col("day"), first) / DROP_EVERY - 2).cast("int")
-    k_hi = F.floor((F.datediff(F.col("day"), first) + LOOKBACK_DAYS - 1) / DROP_EVERY - 2).cast("int")
-    k_lo = F.greatest(k_lo, F.lit(0))
-    d = (s.where(k_lo <= k_hi).withColumn("drop_no", F.explode(F.sequence(k_lo, k_hi)))
-         .withColumn("drop_day", F.date_add(first, F.col("drop_no") * DROP_EVERY + 6)))
-    path = scratch_path(t.spark, "revision-drops")
-    d.repartitionByRange("drop_no", "lat_i", "lon_i", "time").write.parquet(path)
-    store = D.RevisionStore(t.spark, scratch_path(t.spark, "revision-store"), ["lat_i", "lon_i", "time"], ["value"])
-    stream = D.read_drops(t.spark, path, d.schema, max_files=1)
-    D.run_to_end(stream.writeStream.foreachBatch(store.apply), scratch_path(t.spark, "t02-ckpt"))
-    return store.read().select("lat_i", "lon_i", "time", "value")
+    since = F.datediff(F.col("day"), first)
+    # drop k is on day 4k + 6; it holds the days from 4k to 4k + 6
+    k_lo = F.greatest(F.ceil((since - (LOOKBACK_DAYS - 1)) / DROP_EVERY).cast("int"), F.lit(0))
+    k_hi = F.floor(since / DROP_EVERY).cast("int")
+    d = s.withColumn("k_hi", k_hi).withColumn("drop_no", F.explode(F.sequence(k_lo, k_hi)))
+    d = d.where((F.col("source") != "reanalysis") | (F.col("drop_no") == F.col("k_hi")))
+    value = F.when(F.col("source") == "reanalysis", F.col("value")).otherwise(F.col("value") + F.col("drop_no") / 100)
+    return d.select("source", "prio", "lat_i", "lon_i", "time", value.alias("value"), "day", "drop_no",
+                    F.date_add(first, F.col("drop_no") * DROP_EVERY + 6).alias("drop_day"))
+
+
+_DROPS = f"""
+f AS (SELECT min(CAST(time AS DATE)) AS first FROM s1),
+d AS (SELECT source, prio, lat_i, lon_i, time, CAST(time AS DATE) AS day, value,
+             unnest(range(greatest(CAST(ceil((CAST(time AS DATE) - first - {LOOKBACK_DAYS - 1}) / {DROP_EVERY}.0) AS INT), 0),
+                          CAST(floor((CAST(time AS DATE) - first) / {DROP_EVERY}.0) AS INT) + 1)) AS drop_no,
+             CAST(floor((CAST(time AS DATE) - first) / {DROP_EVERY}.0) AS INT) AS k_hi FROM s1, f),
+r AS (SELECT lat_i, lon_i, time, prio, drop_no,
+             CASE WHEN source = 'reanalysis' THEN value ELSE value + drop_no / 100 END AS value
+      FROM d WHERE source <> 'reanalysis' OR drop_no = k_hi)"""
+
+
+@register("t02_rolling_revision", S.with_ctes(f"""
+SELECT lat_i, lon_i, time, {rnd_sql('value')} AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY lat_i, lon_i, time ORDER BY prio, drop_no DESC) AS rn FROM r) WHERE rn = 1""",
+                                              "s1", extra=_DROPS))
+def t02_rolling_revision(t: Tables):
+    """Every drop re-delivers the last 7 days with changed forecasts; day partitions are rebuilt
+    per micro-batch, a drop each (reanalysis over forecast, newest delivery first)."""
+    d = revision_drops(t)
+    drops, landing = scratch_path(t.spark, "revision-drops"), scratch_path(t.spark, "revision-landing")
+    d.withColumn("part", F.col("drop_no")).hint("rebalance", "part").write.partitionBy("part").parquet(drops)
+    written = t.spark.read.parquet(drops).drop("part")
+    store = D.RevisionStore(t.spark, scratch_path(t.spark, "revision-store"), ["lat_i", "lon_i", "time"], ["value"],
+                            lookback=LOOKBACK_DAYS)
+    checkpoint = scratch_path(t.spark, "t02-ckpt")
+    for k in range((written.agg(F.max("drop_no")).first()[0] or 0) + 1):  # a drop lands, the stream takes it up
+        written.where(F.col("drop_no") == k).write.mode("append").parquet(landing)
+        stream = D.read_drops(t.spark, landing, written.schema)
+        D.run_to_end(stream.writeStream.foreachBatch(store.apply), checkpoint)
+    return store.read().select("lat_i", "lon_i", "time", rnd("value").alias("value"))
 
 
 @register("t03_day_completeness", S.with_ctes("""
 SELECT source, CAST(time AS DATE) AS day, count(DISTINCT time) AS n_hours, count(DISTINCT time) = 24 AS complete
 FROM s1 GROUP BY 1, 2""", "s1"))
 def t03_day_completeness(t: Tables):
-    """Hours present per source and tumbling day from the drop stream."""
-    path, schema = write_drops(t)
-    stream = D.read_drops(t.spark, path, schema)
-    agg = D.day_completeness_stream(stream, ["source"])
-    out = scratch_path(t.spark, "t03-out")
-
-    def sink(df, epoch):
-        df.write.mode("overwrite").parquet(out)
-    D.run_to_end(agg.writeStream.outputMode("complete").foreachBatch(sink), scratch_path(t.spark, "t03-ckpt"))
-    r = t.spark.read.parquet(out)
-    return r.select("source", F.to_date("w.start").alias("day"), "n_hours",
-                    (F.col("n_hours") == 24).alias("complete"))
+    """Hours present per source and tumbling day from the drop stream, batch by batch in update mode."""
+    agg = D.day_completeness_stream(drop_stream(t, "drops"), ["source"], delay=WATERMARK)
+    agg = agg.select("source", F.to_date("w.start").alias("day"), "n_hours")
+    days = D.LatestDays(t.spark, scratch_path(t.spark, "t03-out"), ["source", "day"])
+    D.run_to_end(agg.writeStream.outputMode("update").foreachBatch(days.apply), scratch_path(t.spark, "t03-ckpt"))
+    return days.read().select("source", "day", "n_hours", (F.col("n_hours") == 24).alias("complete"))

@@ -35,7 +35,7 @@ def product_values(t: Tables):
 
 def zone_means(t: Tables):
     zr = zone_region(t)
-    return Z.zonal_mean(product_values(t), Z.zones_of(zr)), zr
+    return Z.zonal_mean(product_values(t), zr), zr
 
 
 # ---- DuckDB twins ---------------------------------------------------------
@@ -73,14 +73,23 @@ def a02_region_mean(t: Tables):
     return r.select("variable", "date", "region", rnd("mean").alias("mean"))
 
 
+# The zone names of the driver's nation table, the columns of the wide tables' SQL.
+ZONES = tuple(f"NATION_{k}" for k in range(25))
+_WIDE = ", ".join(f"max(mean) FILTER (WHERE zone = '{z}') AS {z}" for z in ZONES)
+
+
 @register("a03_pivot_wide", _zm_sql(f"""
-SELECT * FROM (PIVOT (SELECT date, zone, {rnd_sql('mean')} AS mean FROM zm WHERE variable = 'SWE')
-               ON zone USING first(mean) GROUP BY date)"""))
+SELECT date, {_WIDE} FROM (SELECT date, zone, {rnd_sql('mean')} AS mean FROM zm WHERE variable = 'SWE') GROUP BY date"""))
 def a03_pivot_wide(t: Tables):
     """Wide SWE table: date plus one column per zone."""
-    zm, zr = zone_means(t)
-    zm = zm.where(F.col("variable") == "SWE").withColumn("mean", rnd("mean"))
-    return Z.pivot_wide(zm, Z.zones_of(zr))
+    return Z.pivot_wide(swe_means(t), Z.zones_of(zone_region(t)))
+
+
+def swe_means(t: Tables):
+    """Zone means of SWE where there are any; a wide table needs no rows for empty zone-days."""
+    v = product_values(t).where(F.col("variable") == "SWE")
+    v = v.select("date", "zone", Z.nodata_to_null(F.col("value")).alias("value"))
+    return v.groupBy("date", "zone").agg(rnd(F.avg("value")).alias("mean"))
 
 
 @register("p09_water_year", S.with_ctes("""
@@ -112,17 +121,13 @@ def p15_nodata_null(t: Tables):
                  F.count(Z.nodata_to_null(F.col("value"))).alias("n_valid")))
 
 
-_PRODUCT_COLS = ", ".join(f"{rnd_sql(v.lower() + '.mean')} AS {q}_{v}" for q in Z.QUANTILES for v in Z.PRODUCT_VARIABLES)
+_PRODUCT_COLS = ", ".join(rnd_sql(f"max(mean) FILTER (WHERE variable = '{v}')") + f" AS {q}_{v}"
+                         for q in Z.QUANTILES for v in Z.PRODUCT_VARIABLES)
 
 
 @register("j14_zone_product", _zm_sql(f"""
-, swe AS (SELECT zone, date, mean FROM zm WHERE variable = 'SWE'),
-  hs AS (SELECT zone, date, mean FROM zm WHERE variable = 'HS'),
-  rof AS (SELECT zone, date, mean FROM zm WHERE variable = 'ROF')
-SELECT swe.zone, swe.date, {_PRODUCT_COLS},
-       swe.date >= DATE '{AS_OF}' AS FC
-FROM swe JOIN hs ON swe.zone = hs.zone AND swe.date = hs.date
-         JOIN rof ON swe.zone = rof.zone AND swe.date = rof.date"""))
+SELECT zone, date, {_PRODUCT_COLS}, date >= DATE '{AS_OF}' AS FC
+FROM zm GROUP BY zone, date HAVING count(DISTINCT variable) = 3"""))
 def j14_zone_product(t: Tables):
     """Per-catchment product: Q5/Q50/Q95 copies of SWE, HS, ROF + FC flag."""
     zm, _ = zone_means(t)
@@ -131,14 +136,9 @@ def j14_zone_product(t: Tables):
 
 
 @register("j14_region_product", _zm_sql(f"""
-, rm AS (SELECT variable, date, region AS zone, avg(mean) AS mean FROM zm JOIN zr USING (zone) GROUP BY 1, 2, 3),
-  swe AS (SELECT zone, date, mean FROM rm WHERE variable = 'SWE'),
-  hs AS (SELECT zone, date, mean FROM rm WHERE variable = 'HS'),
-  rof AS (SELECT zone, date, mean FROM rm WHERE variable = 'ROF')
-SELECT swe.zone AS region, swe.date, {_PRODUCT_COLS},
-       swe.date >= DATE '{AS_OF}' AS FC
-FROM swe JOIN hs ON swe.zone = hs.zone AND swe.date = hs.date
-         JOIN rof ON swe.zone = rof.zone AND swe.date = rof.date"""))
+, rm AS (SELECT variable, date, region, avg(mean) AS mean FROM zm JOIN zr USING (zone) GROUP BY 1, 2, 3)
+SELECT region, date, {_PRODUCT_COLS}, date >= DATE '{AS_OF}' AS FC
+FROM rm GROUP BY region, date HAVING count(DISTINCT variable) = 3"""))
 def j14_region_product(t: Tables):
     """Per-region product table from the region roll-up (no second scan)."""
     zm, zr = zone_means(t)
@@ -152,8 +152,7 @@ SELECT date FROM zm WHERE variable = 'SWE' INTERSECT SELECT date FROM zm WHERE v
 INTERSECT SELECT date FROM zm WHERE variable = 'ROF'"""))
 def u04_common_dates(t: Tables):
     """Dates present for all three variables."""
-    zm, _ = zone_means(t)
-    return Z.common_dates(*[zm.where(F.col("variable") == v) for v in Z.PRODUCT_VARIABLES])
+    return Z.common_dates(product_values(t), Z.PRODUCT_VARIABLES)
 
 
 @register("p20_fixed_columns", _zm_sql(f"""

@@ -16,6 +16,8 @@ from firn.sources.tables import Tables
 # Bounds of the S1 sources.
 S1_REANALYSIS_END = "2024-01-21 16:00:00"
 S1_CONT_FC_START = "2024-01-18 00:00:00"
+# The S1 grid; one cell per user, GRID_ROWS rows, columns as many as users need.
+GRID_ROWS, LAT0, DLAT, LON0, DLON = 5, 32.0, 3.5, 59.0, 1.0
 # The eight pressure levels (hPa) of the level cube.
 LEVELS_HPA = (1000, 925, 850, 700, 600, 500, 400, 300)
 
@@ -24,21 +26,19 @@ def s1(t: Tables) -> DataFrame:
     """Three-source hourly forcing: source, prio, lat_i, lon_i, lat, lon, time, value."""
     e = t.events.select("event_id", "ts", "user_id", "event_type", "value")
     et, ts = F.col("event_type"), F.col("ts")
-    keep = (((et == "view") & (ts < ntz(S1_REANALYSIS_END))) | (et == "click")
-            | ((et == "purchase") & (ts >= ntz(S1_CONT_FC_START))))
-    src = (F.when(et == "view", "reanalysis").when(et == "click", "daily_fc")
-           .otherwise("cont_fc"))
-    prio = F.when(et == "view", 1).when(et == "click", 2).otherwise(3)
-    lat_i = (F.col("user_id") % 5).cast("int")
-    lon_i = (F.floor(F.col("user_id") / 5).cast("int") % 2).cast("int")
-    g = (e.where(keep)
-         .select("event_id", "value", trunc_hour(ts).alias("time"), lat_i.alias("lat_i"),
-                 lon_i.alias("lon_i"), src.alias("source"), prio.alias("prio"))
+    # every event belongs to a source: what lies outside a source's span is daily hindcast
+    src = (F.when((et == "view") & (ts < ntz(S1_REANALYSIS_END)), "reanalysis")
+           .when(et.isin("purchase", "error") & (ts >= ntz(S1_CONT_FC_START)), "cont_fc").otherwise("daily_fc"))
+    prio = F.when(src == "reanalysis", 1).when(src == "daily_fc", 2).otherwise(3)
+    lat_i = (F.col("user_id") % GRID_ROWS).cast("int")
+    lon_i = F.floor(F.col("user_id") / GRID_ROWS).cast("int")
+    g = (e.select("event_id", "value", trunc_hour(ts).alias("time"), lat_i.alias("lat_i"),
+                  lon_i.alias("lon_i"), src.alias("source"), prio.alias("prio"))
          .groupBy("source", "prio", "lat_i", "lon_i", "time")
          .agg(F.min_by("value", "event_id").alias("value")))
     return g.select("source", "prio", "lat_i", "lon_i",
-                    (F.lit(32) + F.lit(3.5) * F.col("lat_i")).cast("double").alias("lat"),
-                    (F.lit(59) + F.lit(22.0) * F.col("lon_i")).cast("double").alias("lon"),
+                    (F.lit(LAT0) + F.lit(DLAT) * F.col("lat_i")).alias("lat"),
+                    (F.lit(LON0) + F.lit(DLON) * F.col("lon_i")).alias("lon"),
                     "time", "value")
 
 
@@ -58,7 +58,7 @@ def s2(t: Tables) -> DataFrame:
     h = F.hour("ts")
     step = F.when(h < 12, F.floor(h / 3).cast("int") * 3).otherwise(
         F.lit(12) + F.floor((h - 12) / 6).cast("int") * 6)
-    b = (t.events.select(F.to_date("ts").alias("run_date"), (F.col("user_id") % 10).alias("cell"),
+    b = (t.events.select(F.to_date("ts").alias("run_date"), F.col("user_id").alias("cell"),
                          step.alias("step"), "value")
          .groupBy("run_date", "cell", "step").agg(F.sum("value").alias("v")))
     from pyspark.sql import Window as W
@@ -130,25 +130,25 @@ def s4b(t: Tables) -> DataFrame:
                  F.avg("l_discount").alias("rof"), F.avg("l_tax").alias("gst")))
 
 
-# Columns giving S5 a total order inside each input (file position stand-in).
-S5_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
-            "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
+# Of ten points, one is in the archive only and one in the latest run only.
+ARCHIVE_ONLY, LATEST_ONLY = 3, 7
 
 
 def s5(t: Tables) -> DataFrame:
     """Archive and latest point series: src, prio, cluster, date, swe, snd, ord.
 
-    ``ord`` is a struct of the original columns and orders rows like the
-    position in the file would; no global row number is needed.
+    ``ord`` is one long that orders the rows of an input like their position in the file would.
     """
     li = t.lineitem
-    latest = F.col("l_returnflag") == "R"
+    point = F.col("l_suppkey") % 10
+    latest = (point != ARCHIVE_ONLY) & ((point == LATEST_ONLY) | (F.col("l_returnflag") == "R"))
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     return li.select(
         F.when(latest, "latest").otherwise("archive").alias("src"),
         F.when(latest, 2).otherwise(1).alias("prio"),
         F.col("l_suppkey").alias("cluster"), F.to_date("l_shipdate").alias("date"),
         F.col("l_quantity").alias("swe"), F.col("l_extendedprice").alias("snd"),
-        F.struct(*S5_ORDER).alias("ord"))
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * F.lit(1 << 24) + cents).alias("ord"))
 
 
 # Zone polygon edges of the S6 stand-in (x1, y1, x2, y2 in metres).
@@ -172,6 +172,30 @@ def s6(spark) -> DataFrame:
                                  "zone string, region string, edge int, x1 double, y1 double, x2 double, y2 double")
 
 
+# Pixel rows and columns of a tile zone, its margin (m) around the pixel centres.
+TILE_ROWS, TILE_COLS, MARGIN = 8, 10, 123.0
+
+
+def tile_rectangles(t: Tables) -> DataFrame:
+    """A rectangle around the pixel centres of each tile of the grid: zone, region, x0, x1, y0, y1."""
+    r, c = (F.floor(F.col("row_i") / TILE_ROWS).cast("int"), F.floor(F.col("col_i") / TILE_COLS).cast("int"))
+    b = s4a(t).groupBy(r.alias("r"), c.alias("c")).agg(
+        (F.min("x") - MARGIN).alias("x0"), (F.max("x") + MARGIN).alias("x1"),
+        (F.min("y") - MARGIN).alias("y0"), (F.max("y") + MARGIN).alias("y1"))
+    return b.select(F.concat(F.lit("T_"), "r", F.lit("_"), "c").alias("zone"),
+                    F.concat(F.lit("TR"), F.col("r") % 3).alias("region"), "x0", "x1", "y0", "y1")
+
+
+def zones(t: Tables) -> DataFrame:
+    """All zone polygon edges: the hand-made S6 zones and a rectangle for each tile of the pixel grid."""
+    corners = (("x0", "y1"), ("x1", "y1"), ("x1", "y0"), ("x0", "y0"))
+    edges = F.array(*[F.struct(F.lit(k + 1).alias("edge"), F.col(x).alias("x1"), F.col(y).alias("y1"),
+                               F.col(corners[(k + 1) % 4][0]).alias("x2"), F.col(corners[(k + 1) % 4][1]).alias("y2"))
+                      for k, (x, y) in enumerate(corners)])
+    tiles = tile_rectangles(t).select("zone", "region", F.explode(edges).alias("e")).select("zone", "region", "e.*")
+    return s6(t.spark).unionByName(tiles)
+
+
 def s7(t: Tables) -> DataFrame:
     """Seven features per pixel for clustering: pixel, f0..f6."""
     e = F.col("embedding")
@@ -188,23 +212,21 @@ _S6_VALUES = ",\n ".join(
 
 SQL = {
     "s1": f"""
-SELECT source, prio, CAST(lat_i AS INT) AS lat_i, CAST(lon_i AS INT) AS lon_i,
-       CAST(32 + 3.5 * lat_i AS DOUBLE) AS lat, CAST(59 + 22.0 * lon_i AS DOUBLE) AS lon, time,
+SELECT source, prio, lat_i, lon_i, {LAT0} + {DLAT} * lat_i::DOUBLE AS lat, {LON0} + {DLON} * lon_i::DOUBLE AS lon, time,
        min_by(value, event_id) AS value
-FROM (SELECT event_id, value,
-             CAST(date_trunc('hour', ts) AS TIMESTAMP) AS time,
-             CAST(user_id % 5 AS INT) AS lat_i, CAST(floor(user_id / 5) AS INT) % 2 AS lon_i,
-             CASE event_type WHEN 'view' THEN 'reanalysis' WHEN 'click' THEN 'daily_fc' ELSE 'cont_fc' END AS source,
-             CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS prio
-      FROM events
-      WHERE (event_type = 'view' AND ts < TIMESTAMP '{S1_REANALYSIS_END}')
-         OR event_type = 'click'
-         OR (event_type = 'purchase' AND ts >= TIMESTAMP '{S1_CONT_FC_START}')) e
+FROM (SELECT *, CASE source WHEN 'reanalysis' THEN 1 WHEN 'daily_fc' THEN 2 ELSE 3 END AS prio
+      FROM (SELECT event_id, value,
+                   CAST(date_trunc('hour', ts) AS TIMESTAMP) AS time,
+                   CAST(user_id % {GRID_ROWS} AS INT) AS lat_i, CAST(user_id // {GRID_ROWS} AS INT) AS lon_i,
+                   CASE WHEN event_type = 'view' AND ts < TIMESTAMP '{S1_REANALYSIS_END}' THEN 'reanalysis'
+                        WHEN event_type IN ('purchase', 'error') AND ts >= TIMESTAMP '{S1_CONT_FC_START}' THEN 'cont_fc'
+                        ELSE 'daily_fc' END AS source
+            FROM events)) e
 GROUP BY source, prio, lat_i, lon_i, time""",
     "s2": """
 SELECT run_date, cell, step,
        sum(v) OVER (PARTITION BY run_date, cell ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc
-FROM (SELECT CAST(ts AS DATE) AS run_date, user_id % 10 AS cell,
+FROM (SELECT CAST(ts AS DATE) AS run_date, user_id AS cell,
              CASE WHEN hour(ts) < 12 THEN CAST(floor(hour(ts) / 3) AS INT) * 3
                   ELSE 12 + CAST(floor((hour(ts) - 12) / 6) AS INT) * 6 END AS step,
              sum(value) AS v
@@ -229,19 +251,24 @@ SELECT l_suppkey AS cluster, CAST(l_shipdate AS DATE) AS date,
        avg(l_extendedprice) AS swe, avg(l_quantity) AS snd, avg(l_discount) AS rof, avg(l_tax) AS gst
 FROM lineitem
 GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
-    "s5": """
-SELECT CASE WHEN l_returnflag = 'R' THEN 'latest' ELSE 'archive' END AS src,
-       CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END AS prio,
-       l_suppkey AS cluster, CAST(l_shipdate AS DATE) AS date,
-       l_quantity AS swe, l_extendedprice AS snd,
-       l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_discount, l_tax, l_returnflag
-FROM lineitem""",
+    "s5": f"""
+SELECT CASE WHEN latest THEN 'latest' ELSE 'archive' END AS src, CASE WHEN latest THEN 2 ELSE 1 END AS prio,
+       l_suppkey AS cluster, CAST(l_shipdate AS DATE) AS date, l_quantity AS swe, l_extendedprice AS snd,
+       (l_orderkey * 8 + l_linenumber) * {1 << 24} + CAST(round(l_extendedprice * 100) AS BIGINT) AS ord
+FROM (SELECT *, l_suppkey % 10 <> {ARCHIVE_ONLY} AND (l_suppkey % 10 = {LATEST_ONLY} OR l_returnflag = 'R') AS latest FROM lineitem)""",
     "s6": f"""
 SELECT zone, region, CAST(edge AS INT) AS edge, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1,
        CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2
 FROM (VALUES
  {_S6_VALUES}
 ) AS t(zone, region, edge, x1, y1, x2, y2)""",
+    "zones": f"""
+SELECT * FROM s6 UNION ALL
+SELECT zone, region, unnest([1, 2, 3, 4]) AS edge, unnest([x0, x1, x1, x0]) AS x1, unnest([y1, y1, y0, y0]) AS y1,
+       unnest([x1, x1, x0, x0]) AS x2, unnest([y1, y0, y0, y1]) AS y2
+FROM (SELECT 'T_' || (row_i // {TILE_ROWS}) || '_' || (col_i // {TILE_COLS}) AS zone, 'TR' || (row_i // {TILE_ROWS}) % 3 AS region,
+             min(x) - {MARGIN} AS x0, max(x) + {MARGIN} AS x1, min(y) - {MARGIN} AS y0, max(y) + {MARGIN} AS y1
+      FROM s4a GROUP BY row_i // {TILE_ROWS}, col_i // {TILE_COLS})""",
     "s7": """
 SELECT vec_id AS pixel, CAST(embedding[1] AS DOUBLE) AS f0, CAST(embedding[2] AS DOUBLE) AS f1,
        CAST(embedding[3] AS DOUBLE) AS f2, CAST(embedding[4] AS DOUBLE) AS f3, CAST(embedding[5] AS DOUBLE) AS f4,
@@ -260,10 +287,12 @@ FROM s1"""
 def with_ctes(body: str, *names: str, extra: str = "") -> str:
     """``WITH`` clause for the listed stand-ins (plus ``extra`` CTE text)
     followed by ``body``; a body starting with ``,`` adds more CTEs."""
-    order = ["s1", "s1_surface", "s2", "s3", "s4a", "s4b", "s5", "s6", "s7"]
+    order = ["s1", "s1_surface", "s2", "s3", "s4a", "s4b", "s5", "s6", "zones", "s7"]
     need = set(names)
     if "s1_surface" in need:
         need.add("s1")
+    if "zones" in need:
+        need |= {"s4a", "s6"}
     parts = [f"{n} AS ({SQL[n]})" for n in order if n in need]
     if extra.strip():
         parts.append(extra.strip().lstrip(","))
