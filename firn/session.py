@@ -25,7 +25,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", "16g").config("spark.ui.showConsoleProgress", "false")
+    b = b.config("spark.driver.memory", "12g").config("spark.ui.showConsoleProgress", "false")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -33,16 +33,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
-    unset (local tests) create a scratch folder of our own."""
+    """The shared folder for checkpoints and intermediate tables: the one the context has,
+    else the cluster's ``spark.checkpoint.dir``.  Only a local session without either (tests)
+    gets a folder of its own; on a cluster that is an error, as executors could not see each other's files."""
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:
+        return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="firn-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:  # set at start-up on a cluster
-        sc.setCheckpointDir(d)
-    return d
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="firn-ckpt-")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir()
 
 
 def scale_conf(input_bytes: int, shuffle_fraction: float = 0.3,
@@ -53,11 +57,11 @@ def scale_conf(input_bytes: int, shuffle_fraction: float = 0.3,
     the expected shuffle volume (``shuffle_fraction`` of the input after
     pruning and map-side aggregation); AQE coalesces small partitions and
     splits skewed ones at runtime, so the count is an upper bound.  E.g.
-    100 TB read, 30 % shuffled -> 122,880 initial partitions.
+    100 TB read, 30 % shuffled -> 122,880 initial partitions.  There is no upper limit: a
+    larger input gets more reducers, not larger ones.
     """
     import math
     n = max(200, math.ceil(input_bytes * shuffle_fraction / target_partition_bytes))
-    n = min(n, 200_000)
     mb = target_partition_bytes >> 20
     return {
         "spark.sql.shuffle.partitions": str(n),

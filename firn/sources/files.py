@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from firn.functions.names import date_from_name
 
@@ -19,13 +18,14 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parqu
                       within: list[str] | None = None, **options) -> None:
     """Partitioned write to a new path.
 
-    Rows are range-partitioned on the partition columns and then on
-    ``within``: each task covers a contiguous slice, so it writes into one
-    or two folders (not every task into every folder), and a very large
-    folder (a day holding a third of the data) is split over many tasks
-    instead of landing on one."""
-    within = within or []
-    w = df.repartitionByRange(*by, *within).write.mode("errorifexists").partitionBy(*by)
+    A ``REBALANCE`` on the partition columns brings a folder's rows together without a sampling
+    pass; adaptive execution joins small folders in one task and splits a large one (a day holding
+    a third of the data) over many.  Rows are sorted by ``within`` inside a task's folder, so
+    ranges of these columns skip row groups."""
+    out = df.hint("rebalance", *by)
+    if within:
+        out = out.sortWithinPartitions(*by, *within)
+    w = out.write.mode("errorifexists").partitionBy(*by)
     for k, v in options.items():
         w = w.option(k, v)
     w.format(fmt).save(path)
@@ -43,26 +43,28 @@ def dated_files(names: DataFrame, name_col: str = "name") -> DataFrame:
 
 
 def write_wide_csv(wide: DataFrame, path: str, by: list[str] | None = None) -> None:
-    """Wide table sink with header (IO06), optionally one folder per variable."""
-    w = wide.write.mode("errorifexists").option("header", True)
+    """Wide table sink with header (IO06), optionally one folder per variable, whose rows are brought together."""
     if by:
-        w = w.partitionBy(*by)
-    w.csv(path)
+        write_partitioned(wide, path, by, "csv", header=True)
+    else:
+        wide.write.mode("errorifexists").option("header", True).csv(path)
 
 
-def read_wide_csv(spark: SparkSession, path: str, key: str, columns: list[str],
-                  key_type: T.DataType = T.DateType(), extra: list[str] | None = None,
+def read_wide_csv(spark: SparkSession, path: str, key: str, columns: list[str] | None = None,
+                  key_type: str = "date", extra: list[str] | None = None,
                   zone_col: str = "zone", value_col: str = "mean") -> DataFrame:
     """Wide CSV scan (``key`` + one column per zone) back to the long table
-    (IO05).  An explicit schema avoids inference; the long form never has
-    duplicated column names."""
-    schema = T.StructType([T.StructField(key, key_type)] + [T.StructField(c, T.DoubleType()) for c in columns])
-    wide = spark.read.option("header", True).schema(schema).csv(path)  # partition columns appended
-    return wide.unpivot([key] + (extra or []), columns, zone_col, value_col)
+    (IO05).  Columns go by the names in the header, in whatever order they
+    stand; ``columns`` selects zones (an absent one is an error), all by default.  Nothing but the header is read
+    ahead.  Files of one path have the same header."""
+    wide = spark.read.option("header", True).csv(path)  # text columns; partition columns appended
+    extra = extra or []
+    zones = columns or [c for c in wide.columns if c not in (key, *extra)]
+    typed = wide.select(F.col(key).cast(key_type).alias(key), *extra, *[F.col(f"`{c}`").cast("double").alias(c) for c in zones])
+    return typed.unpivot([key] + extra, zones, zone_col, value_col)
 
 
-def write_zone_tsv(product: DataFrame, path: str, zone_col: str = "zone") -> None:
+def write_zone_tsv(product: DataFrame, path: str, zone_col: str = "zone", within: list[str] | None = None) -> None:
     """Per-zone tab-separated product files (IO07): one write job, one
-    folder per zone, instead of a loop over zones."""
-    (product.write.mode("errorifexists").partitionBy(zone_col)
-     .option("sep", "\t").option("header", True).csv(path))
+    folder per zone whose rows are brought together, instead of a loop over zones."""
+    write_partitioned(product, path, [zone_col], "csv", within, sep="\t", header=True)

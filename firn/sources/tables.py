@@ -11,7 +11,7 @@ TABLES = ("region nation customer supplier part orders lineitem events "
 
 # Schemas already read from parquet footers, per session and path: later
 # reads pass them in and skip footer inference.
-_SCHEMAS: dict[tuple[int, str], object] = {}
+_SCHEMAS: dict[tuple[str, str], object] = {}
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -21,7 +21,7 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     path = table_path(sf_dir, name)
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     schema = _SCHEMAS.get(key)
     if schema is not None:
         return spark.read.schema(schema).parquet(path)

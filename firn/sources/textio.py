@@ -11,21 +11,28 @@ from firn.functions.names import cluster_from_name
 from firn.session import ensure_checkpoint_dir
 
 
+# How a missing value is written.
+MISSING = "nan"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared ``spark.checkpoint.dir`` (never a
-    machine-local temp folder on a cluster)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/firn-io/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the shared checkpoint folder (never a
+    machine-local temp folder on a cluster), removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/firn-io-{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
 
 
 def write_point_text(df: DataFrame, path: str, point_col: str, time_col: str,
                      variables: list[str]) -> None:
     """One space-delimited file set per point, columns year month day hour
     then the variables, no header; the helper column is dropped (IO04).
+    A NULL is written as ``nan``, so every line has all columns.
     Written to a new path: Spark must not overwrite what it reads."""
     t = F.col(time_col)
     line = F.concat_ws(" ", F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
-                       *[F.col(v).cast("string") for v in variables])
+                       *[F.coalesce(F.col(v).cast("string"), F.lit(MISSING)) for v in variables])
     # range-partitioned on (point, time): a task writes into one or two
     # point folders instead of all of them, and a very long point series
     # is split over several tasks (several part files in its folder)
@@ -35,11 +42,11 @@ def write_point_text(df: DataFrame, path: str, point_col: str, time_col: str,
 
 def read_point_text(spark: SparkSession, path: str, variables: list[str]) -> DataFrame:
     """Parse whitespace text into (cluster, time, variables...) (IO03); the
-    cluster id comes from the file path (``..._pt_<id>``)."""
+    cluster id comes from the file path (``..._pt_<id>``); ``nan`` is NULL."""
     raw = spark.read.option("recursiveFileLookup", "true").text(path)
     f = F.split(F.trim(F.col("value")), r"\s+")
     num = lambda i: f.getItem(i).cast("int")
     return raw.select(
         cluster_from_name(F.regexp_extract(F.col("_metadata.file_path"), r"(_pt_\d+)", 1)).alias("cluster"),
         F.make_timestamp_ntz(num(0), num(1), num(2), num(3), F.lit(0), F.lit(0)).alias("time"),
-        *[f.getItem(4 + i).cast("double").alias(v) for i, v in enumerate(variables)])
+        *[F.when(F.lower(f.getItem(4 + i)) != MISSING, f.getItem(4 + i).cast("double")).alias(v) for i, v in enumerate(variables)])

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firn.operators.merge import priority_merge
+from firn.operators.common import best_row
 
 
 def read_drops(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -20,7 +20,9 @@ def read_drops(spark: SparkSession, path: str, schema, max_files: int | None = N
 
 def dedupe_stream(drops: DataFrame, keys: list[str], event_time: str = "time",
                   delay: str = "7 days") -> DataFrame:
-    """Each (key, time) kept once while within the watermark."""
+    """Each (key, time) kept once while within the watermark (T01).  The copy that
+    arrives first wins; inside one batch, equal keys are one row of that batch.  A copy that comes later than
+    ``delay`` behind the newest event is dropped as late, so ``delay`` must cover the delivery lag."""
     ts = F.col(event_time).cast("timestamp")
     return (drops.withColumn("_evt", ts).withWatermark("_evt", delay)
             .dropDuplicatesWithinWatermark([*keys, event_time]).drop("_evt"))
@@ -28,13 +30,30 @@ def dedupe_stream(drops: DataFrame, keys: list[str], event_time: str = "time",
 
 def day_completeness_stream(drops: DataFrame, keys: list[str], event_time: str = "time",
                             delay: str = "7 days") -> DataFrame:
-    """Hours present per tumbling day and key; complete when 24.
-    Distinct hours: a watermarked dropDuplicates, then a windowed count."""
+    """Hours present per tumbling day and key (T03), for output mode ``update``:
+    a batch emits the days it changed, and days behind the watermark leave the state.
+    The hours of a day are bits of one long, so copies do not count and the state of a day is one number."""
     hr = F.col(event_time).cast("timestamp")
-    d = (drops.select(*keys, F.date_trunc("hour", hr).alias("_hr")).withWatermark("_hr", delay)
-         .dropDuplicates([*keys, "_hr"]))
-    return (d.groupBy(*keys, F.window("_hr", "1 day").alias("w"))
-            .agg(F.count(F.lit(1)).alias("n_hours")))
+    d = drops.select(*keys, F.date_trunc("hour", hr).alias("_hr")).withWatermark("_hr", delay)
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.hour("_hr")))
+    return d.groupBy(*keys, F.window("_hr", "1 day").alias("w")).agg(F.bit_count(bits).cast("bigint").alias("n_hours"))
+
+
+class LatestDays:
+    """Table of the newest state per (key, day) from an ``update`` stream (T03): each batch
+    appends the days it touched under its epoch, and a read takes the newest epoch of a day.  A repeated epoch
+    replaces its own folder, so a retried batch changes nothing."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str]):
+        self.spark, self.root, self.keys = spark, root.rstrip("/"), keys
+
+    def apply(self, batch: DataFrame, epoch: int) -> None:
+        (batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(self.root))
+
+    def read(self) -> DataFrame:
+        t = self.spark.read.parquet(self.root)
+        return best_row(t, self.keys, F.col("epoch")).drop("epoch")
 
 
 def run_to_end(query_builder, checkpoint: str):
@@ -49,49 +68,55 @@ class RevisionStore:
     """Rolling revision of a day-partitioned table.
 
     Each micro-batch re-delivers recent days.  Only the days it touches are
-    rebuilt: the stored rows of those days and the new rows are merged
-    (priority per variable, J01; newer delivery first inside a priority,
-    A07) into a staging folder for the epoch, and the staged days then
-    replace their partitions with dynamic partition overwrite.  Older days
-    are never read or rewritten.
+    rebuilt: stored and new rows of those days are merged per variable, by source priority
+    and inside a priority by the newest delivery (J01, A07), in one aggregate.  Every variable keeps the
+    rank of the value it holds, so a later delivery is compared with that value and
+    not with whatever else its row holds.  Rows of days more than ``lookback``
+    days before the newest day of the batch are not revised.  The rebuilt days
+    are staged for the epoch and then replace their partitions with dynamic partition
+    overwrite; the stage of the epoch before is removed.  Older days are never read or rewritten.
     """
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], variables: list[str],
-                 day_col: str = "day", prio: str = "prio", drop_col: str = "drop_no"):
+                 day_col: str = "day", prio: str = "prio", drop_col: str = "drop_no", lookback: int = 7):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.variables = keys, variables
-        self.day_col, self.prio, self.drop_col = day_col, prio, drop_col
+        self.day_col, self.prio, self.drop_col, self.lookback = day_col, prio, drop_col, lookback
         self.table = f"{self.root}/table"
 
-    def _stored(self, days: list) -> DataFrame | None:
-        from pyspark.errors import AnalysisException
-        try:
-            t = self.spark.read.parquet(self.table)
-        except AnalysisException as e:  # first batch: nothing stored yet
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                return None
-            raise
-        return t.where(F.col(self.day_col).isin(days))
+    def _exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
     def apply(self, batch: DataFrame, epoch: int) -> None:
-        days = [r[0] for r in batch.select(self.day_col).distinct().collect()]  # <= lookback days
-        if not days:
+        newest = batch.agg(F.max(self.day_col)).first()[0]
+        if newest is None:
             return
-        cols = [*self.keys, self.day_col, self.prio, self.drop_col, *self.variables]
-        new = batch.select(*cols)
-        old = self._stored(days)
-        rows = new if old is None else old.select(*cols).unionByName(new)
-        # newest delivery first inside a priority: order (prio asc, drop desc)
-        rank = F.col(self.prio) * F.lit(1 << 32) - F.col(self.drop_col)
-        merged = priority_merge(rows.withColumn("_rank", rank), [*self.keys, self.day_col],
-                                self.variables, prio="_rank")
-        keep = rows.groupBy(*self.keys, self.day_col).agg(
-            F.min(self.prio).alias(self.prio), F.max(self.drop_col).alias(self.drop_col))
-        staged = merged.join(keep, [*self.keys, self.day_col])
+        day = F.col(self.day_col)
+        # rank: least priority first, newest delivery first inside it
+        rank = F.col(self.prio).cast("bigint") * F.lit(1 << 32) - F.col(self.drop_col)
+        new = batch.where(day > F.date_sub(F.lit(newest), self.lookback)).select(
+            *self.keys, self.day_col, *self.variables,
+            *[F.when(F.col(v).isNotNull(), rank).alias(f"{v}_rank") for v in self.variables])
+        rows = new
+        if self._exists(self.table):
+            touched = new.select(self.day_col).distinct()
+            # the range prunes day partitions, the join leaves the touched ones
+            old = (self.spark.read.parquet(self.table).where(day > F.date_sub(F.lit(newest), self.lookback))
+                   .join(touched, self.day_col, "left_semi"))
+            rows = new.unionByName(old.select(*new.columns))
+        merged = rows.groupBy(*self.keys, self.day_col).agg(
+            *[F.min_by(v, f"{v}_rank").alias(v) for v in self.variables],
+            *[F.min(f"{v}_rank").alias(f"{v}_rank") for v in self.variables])
         stage = f"{self.root}/staging/epoch={epoch}"
-        staged.write.mode("overwrite").parquet(stage)
-        (self.spark.read.parquet(stage).write.mode("overwrite")
+        merged.write.mode("overwrite").parquet(stage)
+        (self.spark.read.parquet(stage).hint("rebalance", self.day_col).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(self.day_col).parquet(self.table))
+        self._remove(f"{self.root}/staging/epoch={epoch - 1}")
+
+    def _remove(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.table)
+        return self.spark.read.parquet(self.table).select(*self.keys, self.day_col, *self.variables)
