@@ -21,7 +21,8 @@ HEADLINE = [
     "a01_zonal_mean", "a02_region_mean", "a03_pivot_wide", "j14_zone_product", "j17_rolling_bundle",
     "j01_priority_merge", "j07_missing_hours", "w02_interpolate", "a07_keep_last", "j15_cluster_to_pixel",
     "j12_reproject", "j11_zone_pixels", "m02_factorised_mean", "a01_polygon_zonal_mean", "io06_wide_csv_sink",
-    "t02_rolling_revision", "chain_zone_products", "chain_hourly_forcing",
+    "t02_rolling_revision", "chain_zone_products", "chain_hourly_forcing", "io09_raster_per_day", "io03_text_roundtrip",
+    "io04_text_sink", "t01_stream_dedupe", "t03_day_completeness",
 ]
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from firn.functions.geodesy import tm_inverse
@@ -25,7 +26,10 @@ def test_keep_last_with_line_numbers(spark):
                                (2, dt.date(2025, 1, 1), 1, 1, 7.0), (2, dt.date(2025, 1, 1), 1, 3, 8.0)], sch)
     l = spark.createDataFrame([(1, dt.date(2025, 1, 1), 2, 1, 5.0)], sch)
     got = {r.cluster: r.swe for r in PT.keep_last(a, l, ["cluster", "date"], order="line_no").collect()}
-    assert got == {1: 5.0, 2: 8.0}
+    assert got[1] == 5.0
+    # point 2 is in the archive only: it passes through with its duplicate
+    both = PT.keep_last(a, l, ["cluster", "date"], order="line_no")
+    assert sorted(r.swe for r in both.where("cluster = 2").collect()) == [7.0, 8.0]
 
 
 def test_wgs84_zone_to_factorised_mean(spark):
@@ -43,5 +47,12 @@ def test_wgs84_zone_to_factorised_mean(spark):
     assert sorted(r.pixel for r in zp.collect()) == [0, 1, 2, 4, 5, 6, 8, 9, 10]
     ser = spark.createDataFrame([(0, "SWE", dt.date(2025, 1, 1), 1.0), (1, "SWE", dt.date(2025, 1, 1), 3.0)],
                                 "cluster int, variable string, date date, value double")
-    zm = G.factorised_zonal_mean(zp, ser, ["variable", "date"], "value", Z.zones_of(ll)).first()
+    zm = G.factorised_zonal_mean(zp, ser, ["variable", "date"], "value", ll).first()
+    # the same ring in two rows is two parts that cancel; a ring inside it is a hole
+    hole = [(300400.0, 4499600.0), (300600.0, 4499600.0), (300600.0, 4499400.0), (300400.0, 4499400.0)]
+    grid = spark.createDataFrame([("Z", "R", ring), ("Z", "R", hole)], z.schema)
+    holed = G.zone_pixels(G.ring_to_edges(G.project_rings(grid, crs="EPSG:32642")), px, res=500.0)
+    assert sorted(r.pixel for r in holed.collect()) == [0, 1, 2, 4, 6, 8, 9, 10]
+    with pytest.raises(ValueError):
+        G.project_rings(grid, crs="EPSG:3857")
     assert abs(zm.mean - 15.0 / 9.0) < 1e-12   # 6 pixels of cluster 0, 3 of cluster 1

@@ -21,6 +21,6 @@ def test_scale_conf_bounds():
     small, big = scale_conf(10 ** 6), scale_conf(100 * 2 ** 40)
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert big["spark.sql.shuffle.partitions"] == "122880"
-    assert scale_conf(10 ** 18)["spark.sql.shuffle.partitions"] == "200000"
+    assert int(scale_conf(10 ** 18)["spark.sql.shuffle.partitions"]) > 1_000_000  # no upper limit
     assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == big["spark.sql.shuffle.partitions"]
     assert "RocksDB" in big["spark.sql.streaming.stateStore.providerClass"]

@@ -37,8 +37,10 @@ def test_recent_days_boundary_and_empty(spark):
     got = [r.date.day for r in Q.recent_days(f, "2024-01-25 10:30:00").collect()]
     assert got == [17]
     assert [r.date.day for r in Q.recent_days(f, "2024-01-25 00:00:00").collect()] == [16, 17]
-    with pytest.raises(ValueError):
-        Q.recent_days(f, "2024-03-01 00:00:00")
+    late = Q.recent_days(f, "2024-03-01 00:00:00")  # nothing runs yet
+    with pytest.raises(Exception, match="no files"):
+        late.collect()
+    assert Q.recent_days(f, "2024-03-01 00:00:00", require_rows=False).collect() == []
 
 
 def test_overlay_single_instant_keeps_both(spark):
@@ -71,8 +73,8 @@ def test_merge_null_cellwise_vs_whole_row(spark):
     df = spark.createDataFrame(rows, "k int, prio int, v double, w double")
     j = M.priority_merge(df, ["k"], ["v", "w"]).first()
     assert (j.v, j.w) == (5.0, 1.0)
-    a = df.withColumn("ord", F.struct(F.lit(0).alias("o")))
-    kl = PT.keep_last(a.where("prio < 3"), a.where("prio = 3"), ["k"]).first()
+    a = df.withColumn("ord", F.lit(0))
+    kl = PT.keep_last(a.where("prio < 3"), a.where("prio = 3"), ["k"], point="k").first()
     assert (kl.v, kl.w) == (7.0, None)
 
 
@@ -189,7 +191,10 @@ def test_keep_last_keys_unique(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     s = S.s5(t)
     k = PT.keep_last(s.where("src = 'archive'"), s.where("src = 'latest'"), ["cluster", "date"])
-    assert k.count() == k.select("cluster", "date").distinct().count()
+    both = k.where(~(F.col("cluster") % 10).isin(S.ARCHIVE_ONLY, S.LATEST_ONLY))
+    assert both.count() == both.select("cluster", "date").distinct().count()
+    alone = s.where((F.col("cluster") % 10).isin(S.ARCHIVE_ONLY, S.LATEST_ONLY))
+    assert alone.count() == k.count() - both.count() > alone.select("cluster", "date").distinct().count()
 
 
 def test_allow_list_raises(spark):
@@ -198,3 +203,60 @@ def test_allow_list_raises(spark):
     with pytest.raises(Exception):
         PB.assert_allowed(d).collect()
     assert PB.assert_allowed(d.where("parameter = 'SWE'")).count() == 1
+
+
+def test_text_roundtrip_with_nulls(spark):
+    from firn.sources import textio
+    rows = [("FSM_pt_7", ts("2024-01-01T00:00"), None, 2.0, 3.0), ("FSM_pt_7", ts("2024-01-01T01:00"), 1.0, None, None)]
+    d = spark.createDataFrame(rows, "point string, time timestamp_ntz, swe double, snd double, rof double")
+    path = textio.scratch_path(spark, "nulls")
+    textio.write_point_text(d, path, "point", "time", ["swe", "snd", "rof"])
+    back = textio.read_point_text(spark, path, ["swe", "snd", "rof"]).orderBy("time").collect()
+    assert [tuple(r)[2:] for r in back] == [(None, 2.0, 3.0), (1.0, None, None)] and {r.cluster for r in back} == {7}
+
+
+def test_wide_csv_goes_by_header(spark):
+    from firn.sources.textio import scratch_path
+    path = scratch_path(spark, "header")
+    spark.createDataFrame([(dt.date(2024, 1, 1), 2.0, 1.0)], "date date, B double, A double").write.option("header", True).csv(path)
+    got = {r.zone: r.mean for r in FL.read_wide_csv(spark, path, "date", ["A", "B"]).collect()}
+    assert got == {"A": 1.0, "B": 2.0} == {r.zone: r.mean for r in FL.read_wide_csv(spark, path, "date").collect()}
+
+
+def test_bilinear_edges_and_outside(spark):
+    src = spark.createDataFrame([(i, j, ts("2024-01-01T00:00"), 10.0 * i + j) for i in (0, 1) for j in (0, 1)],
+                                "lat_i int, lon_i int, time timestamp_ntz, value double")
+    at = {(0.0, 0.0): 0.0, (1.0, 1.0): 11.0, (1.0, 0.5): 10.5, (0.5, 1.0): 6.0, (0.5, 0.5): 5.5, (2.0, 0.0): None, (1.5, 0.5): None}
+    got = M.bilinear_regrid(src, spark.createDataFrame(list(at), "t_lat double, t_lon double"), "value", 0.0, 1.0, 0.0, 1.0)
+    assert {(r.t_lat, r.t_lon): r.value for r in got.collect()} == at
+
+
+def test_overlay_corrected(spark):
+    e = spark.createDataFrame([("e", dt.datetime(2024, 1, d), 1.0) for d in range(1, 11)], "src string, time timestamp_ntz, value double")
+    f = spark.createDataFrame([("f", dt.datetime(2024, 1, d), 2.0) for d in range(5, 9)], "src string, time timestamp_ntz, value double")
+    out = M.overlay(e, f, corrected=True)
+    assert sorted(r.time.day for r in out.where("src = 'e'").collect()) == [1, 2, 3, 4, 9, 10]
+
+
+def test_outer_merge_conflict_raises(spark):
+    import pytest
+    a = spark.createDataFrame([(1, 1.0), (2, None)], "k int, value double")
+    b = spark.createDataFrame([(1, 2.0), (2, 3.0)], "k int, value double")
+    assert sorted(map(tuple, M.outer_merge(a, b, ["k"], ["value"]).collect())) == [(1, 1.0), (2, 3.0)]
+    with pytest.raises(Exception, match="conflicting"):
+        M.outer_merge(a, b, ["k"], ["value"], on_conflict="error").collect()
+
+
+def test_natural_sort_of_long_digit_runs(spark):
+    names = ["p_100000000000000000002", "p_99999999999999999999", "p_100000000000000000001", "p_007", "p_7a"]
+    d = spark.createDataFrame([(n,) for n in names], "name string").withColumn("k", PT.natural_sort_key(F.col("name")))
+    got = [r.name for r in d.orderBy("k").collect()]
+    assert got == ["p_007", "p_7a", "p_99999999999999999999", "p_100000000000000000001", "p_100000000000000000002"]
+
+
+def test_conflicting_knots_fail(spark):
+    import pytest
+    d = spark.createDataFrame([(0, 0, 1.0), (0, 0, 1.0), (0, 3, 2.0)], "r int, step int, acc double")
+    assert P.deaccumulate(d, ["r"], "acc").count() == 2
+    with pytest.raises(Exception, match="different values"):
+        P.deaccumulate(d.union(spark.createDataFrame([(0, 3, 5.0)], d.schema)), ["r"], "acc").collect()

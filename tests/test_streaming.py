@@ -38,13 +38,13 @@ def test_dedupe_across_drops(spark):
 def test_revision_touches_only_redelivered_days(spark):
     store = D.RevisionStore(spark, scratch_path(spark, "t-store"), ["lat_i", "lon_i", "time"], ["value"])
     store.apply(rows(spark, [r(1, 0, 1.0, 2, 0), r(2, 0, 2.0, 2, 0), r(3, 0, 3.0, 2, 0)]), 0)
-    day1 = [f for f in os.listdir(store.table) if f.startswith("day=2024-01-01")]
-    before = os.listdir(os.path.join(store.table, day1[0]))
+    day1 = [f for f in os.listdir(store.table.removeprefix("file:")) if f.startswith("day=2024-01-01")]
+    before = os.listdir(os.path.join(store.table.removeprefix("file:"), day1[0]))
     # drop 1 revises day 3 (newer forecast) and brings reanalysis for day 2
     store.apply(rows(spark, [r(3, 0, 30.0, 2, 1), r(2, 0, 20.0, 1, 1), r(2, 0, 99.0, 2, 1)]), 1)
     got = {x.time.day: x.value for x in store.read().collect()}
     assert got == {1: 1.0, 2: 20.0, 3: 30.0}
-    assert os.listdir(os.path.join(store.table, day1[0])) == before
+    assert os.listdir(os.path.join(store.table.removeprefix("file:"), day1[0])) == before
 
 
 def test_day_completeness_counts_distinct_hours(spark):
@@ -52,10 +52,34 @@ def test_day_completeness_counts_distinct_hours(spark):
     data = [r(1, h, 1.0) for h in range(24)] + [r(1, 5, 2.0)] + [r(2, h, 1.0) for h in range(10)]
     rows(spark, data).write.parquet(src)
     agg = D.day_completeness_stream(D.read_drops(spark, src, rows(spark, data[:1]).schema), ["lat_i"])
-    out = scratch_path(spark, "t-cmp-out")
+    agg = agg.select("lat_i", F.to_date("w.start").alias("day"), "n_hours")
+    days = D.LatestDays(spark, scratch_path(spark, "t-cmp-out"), ["lat_i", "day"])
+    ck = scratch_path(spark, "t-cmp-ck")
+    D.run_to_end(agg.writeStream.outputMode("update").foreachBatch(days.apply), ck)
+    assert {x.day: x.n_hours for x in days.read().collect()} == {dt.date(2024, 1, 1): 24, dt.date(2024, 1, 2): 10}
+    # a second drop completes day 2 and starts day 3; day 1 is not written again
+    rows(spark, [r(2, h, 1.0) for h in range(8, 24)] + [r(3, 0, 1.0)]).write.mode("append").parquet(src)
+    D.run_to_end(agg.writeStream.outputMode("update").foreachBatch(days.apply), ck)
+    assert {x.day: x.n_hours for x in days.read().collect()} == {
+        dt.date(2024, 1, 1): 24, dt.date(2024, 1, 2): 24, dt.date(2024, 1, 3): 1}
+    touched = spark.read.parquet(days.root).where("epoch > 0").select("day").distinct()
+    assert {x.day for x in touched.collect()} == {dt.date(2024, 1, 2), dt.date(2024, 1, 3)}
 
-    def sink(df, epoch):
-        df.write.mode("overwrite").parquet(out)
-    D.run_to_end(agg.writeStream.outputMode("complete").foreachBatch(sink), scratch_path(spark, "t-cmp-ck"))
-    got = {x.day: x.n_hours for x in spark.read.parquet(out).select(F.to_date("w.start").alias("day"), "n_hours").collect()}
-    assert got == {dt.date(2024, 1, 1): 24, dt.date(2024, 1, 2): 10}
+
+def test_revision_ranks_each_variable(spark):
+    """A reanalysis that lacks a variable does not freeze its forecast."""
+    schema = "k int, day date, prio int, drop_no int, a double, b double"
+    day = dt.date(2024, 1, 1)
+    store = D.RevisionStore(spark, scratch_path(spark, "t-vars"), ["k"], ["a", "b"])
+    for epoch, row in enumerate([(1, day, 2, 0, 10.0, 1.0), (1, day, 1, 1, None, 5.0), (1, day, 2, 2, 20.0, 9.0)]):
+        store.apply(spark.createDataFrame([row], schema), epoch)
+    got = store.read().first()
+    assert (got.a, got.b) == (20.0, 5.0)
+
+
+def test_revision_looks_back_so_far_only(spark):
+    store = D.RevisionStore(spark, scratch_path(spark, "t-back"), ["lat_i", "lon_i", "time"], ["value"], lookback=2)
+    store.apply(rows(spark, [r(1, 0, 1.0, 2, 0), r(2, 0, 2.0, 2, 0)]), 0)
+    store.apply(rows(spark, [r(1, 0, 9.0, 2, 1), r(3, 0, 3.0, 2, 1)]), 1)  # day 1 is two days behind day 3
+    assert {x.time.day: x.value for x in store.read().collect()} == {1: 1.0, 2: 2.0, 3: 3.0}
+    assert not os.path.exists(os.path.join(store.root.removeprefix("file:"), "staging/epoch=0"))
