@@ -1,10 +1,7 @@
-import os
-import sys
+"""Documents with odd rows, as fixtures for the tests of this folder."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 ROWS = [
     (1, "The quick brown fox jumps over the lazy dog and runs far away from the old red barn", "en", "a", 10),
     (2, "The quick brown fox jumps over the lazy dog and runs far away from the old red barn", "en", "a", 10),
@@ -42,9 +39,3 @@ def clashing_docs(spark, odd_docs):
     names = ("id", "size", "row", "found", "slot", "shard", "hash", "target", "kept", "spans", "n_words", "score",
              "component", "taken", "text_key", "host", "cell")
     return odd_docs.withColumns({n: F.lit("x") for n in names})
-
-
-def table(spark, tmp_path, name, df):
-    """A folder with one table of the driver's names."""
-    df.write.mode("overwrite").parquet(str(tmp_path / f"{name}.parquet"))
-    return str(tmp_path)

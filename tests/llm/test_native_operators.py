@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import ROWS
 from firn.llm import chat, html_extract, mixing, queries, sharding, url_rules
+from odd import ROWS, clashing_docs, no_docs, odd_docs  # noqa: F401
 
 # URL rules
 

@@ -7,6 +7,7 @@ import pytest
 import brute
 import corpus_pipeline
 from firn.llm import mixing
+from odd import odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

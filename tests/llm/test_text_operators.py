@@ -10,8 +10,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import brute
-from conftest import ROWS
 from firn.llm import components, decontaminate, exact_dedup, language_id, maxent_lm, near_dedup
+from odd import ROWS, clashing_docs, no_docs, odd_docs  # noqa: F401
 
 
 # exact dedup
