@@ -17,7 +17,7 @@ feature; the next weights are the changes averaged by those counts.  Each traini
 document is in exactly one round, so all tokens are learned from once.
 
 Counts of all words are exact.  Words among the ``EXACT`` and the next most frequent,
-``HEAD`` in all, are looked up in the tasks; the rest are joined with the counts
+``HEAD`` in all at most, are looked up in the tasks; the rest are joined with the counts
 in a shuffle.  Words are known by a 64-bit hash.
 
 Scale: the tasks hold ``HEAD`` counts and the weights (about 6 MB), both of fixed size.
@@ -51,7 +51,8 @@ PAIRS = 1 << 12
 CLASS_ROWS = 1 + 2 * SYMBOLS + PAIRS  # bias, last word, word before, both
 MEMBER_LAST, MEMBER_SKIP = 1 << 14, 1 << 13
 MEMBER_ROWS = CLASSES + MEMBER_LAST + MEMBER_SKIP  # a bias a class, then hashed (feature, class)
-BATCH = 4096
+BATCH = 4096  # tokens scored at once
+STEP = 8192  # tokens of a training step
 SLICES = 16
 END = b"\n"  # no word has white space
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -127,22 +128,29 @@ def first_weights(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return of_class, of_member
 
 
-def class_features(last: np.ndarray, skip: np.ndarray) -> np.ndarray:
+def class_features(last: np.ndarray, skip: np.ndarray) -> tuple:
+    """Rows of the class weights; the bias is row 0, a slice for all tokens alike."""
     both = (last * 40503 + skip * 30011) % PAIRS
-    return np.stack((np.zeros_like(last), 1 + last, 1 + SYMBOLS + skip, 1 + 2 * SYMBOLS + both))
+    return slice(0, 1), 1 + last, 1 + SYMBOLS + skip, 1 + 2 * SYMBOLS + both
 
 
-def member_features(last: np.ndarray, skip: np.ndarray, of: np.ndarray) -> np.ndarray:
-    return np.stack((of, CLASSES + (last * 31337 + of * 7919) % MEMBER_LAST,
-                     CLASSES + MEMBER_LAST + (skip * 28657 + of * 6007) % MEMBER_SKIP))
+def member_features(last: np.ndarray, skip: np.ndarray, of: np.ndarray) -> tuple:
+    return (of, CLASSES + (last * 31337 + of * 7919) % MEMBER_LAST,
+            CLASSES + MEMBER_LAST + (skip * 28657 + of * 6007) % MEMBER_SKIP)
 
 
-def log_softmax(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    z = weights[features[0]]
-    for f in features[1:]:
-        z = z + weights[f]
+def _sums(weights: np.ndarray, features: tuple) -> np.ndarray:
+    """Summed weights of each token's features, less their maximum."""
+    z = weights.take(features[-1], axis=0)
+    for f in features[:-1]:
+        z += weights[f] if isinstance(f, slice) else weights.take(f, axis=0)
     z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
+
+
+def log_softmax_at(weights: np.ndarray, features: tuple, answer: np.ndarray) -> np.ndarray:
+    z = _sums(weights, features)
+    return z[np.arange(len(answer)), answer] - np.log(np.exp(z, out=z).sum(axis=1)) if len(answer) else np.empty(0)
 
 
 def _history(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,36 +174,46 @@ def log_probs(symbols, last, skip, of_class, of_member) -> np.ndarray:
     for a in range(0, len(seen), BATCH):
         b = slice(a, a + BATCH)
         c, m = s[b] // MEMBERS, s[b] % MEMBERS
-        row = np.arange(len(c))
-        out[b] = (log_softmax(of_class, class_features(last[b], skip[b]))[row, c]
-                  + log_softmax(of_member, member_features(last[b], skip[b], c))[row, m])
+        out[b] = (log_softmax_at(of_class, class_features(last[b], skip[b]), c)
+                  + log_softmax_at(of_member, member_features(last[b], skip[b], c), m))
     return out[back] / math.log(10)
 
 
 class Trainer:
-    """AdaGrad over mini-batches from given weights; remembers how often each feature was seen."""
+    """AdaGrad over mini-batches from given weights, with one step size for each
+    feature; remembers how often each feature was seen."""
 
     def __init__(self, of_class, of_member, rate: float):
         self.weights = (of_class.copy(), of_member.copy())
-        self.squares = tuple(np.full(w.shape, 1e-2, np.float32) for w in self.weights)
+        self.squares = tuple(np.full(len(w), 1e-2, np.float32) for w in self.weights)
         self.seen = tuple(np.zeros(len(w), np.int64) for w in self.weights)
         self.rate = rate
 
-    def _step(self, k: int, features: np.ndarray, answer: np.ndarray) -> None:
+    def _step(self, k: int, features: tuple, answer: np.ndarray) -> None:
         w = self.weights[k]
-        error = np.exp(log_softmax(w, features))
+        error = _sums(w, features)
+        np.exp(error, out=error)
+        error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(answer)), answer] -= 1
         for f in features:
-            order = np.argsort(f, kind="stable")
-            rows, at = np.unique(f[order], return_index=True)
-            gradient = np.add.reduceat(error[order], at, axis=0)
-            self.squares[k][rows] += gradient * gradient
-            w[rows] -= self.rate * gradient / np.sqrt(self.squares[k][rows])
-            self.seen[k][rows] += np.diff(np.append(at, len(f)))
+            if isinstance(f, slice):
+                rows, gradient, times = f, error.sum(axis=0, keepdims=True), len(answer)
+            else:
+                order = f.argsort(kind="stable")
+                f = f[order]
+                at = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
+                rows, times = f[at], np.diff(at, append=len(f))
+                # two floats as one complex number: additions are the same, and fewer
+                pairs = error.take(order, axis=0).view(np.complex64)
+                gradient = np.add.reduceat(pairs, at, axis=0).view(np.float32)
+            self.squares[k][rows] += np.einsum("ij,ij->i", gradient, gradient)
+            gradient *= (self.rate / np.sqrt(self.squares[k][rows]))[:, None]
+            w[rows] -= gradient
+            self.seen[k][rows] += times
 
     def learn(self, symbols, last, skip) -> None:
-        for a in range(0, len(symbols), BATCH):
-            b = slice(a, a + BATCH)
+        for a in range(0, len(symbols), STEP):
+            b = slice(a, a + STEP)
             c = symbols[b] // MEMBERS
             self._step(0, class_features(last[b], skip[b]), c)
             self._step(1, member_features(last[b], skip[b], c), symbols[b] % MEMBERS)
@@ -222,7 +240,7 @@ def _train(vocabulary: Vocabulary, of_class, of_member, rate: float, lanes: int)
                 any_text = True
                 held.append(token_hashes(text, hashes))
                 n += len(held[-1])
-                if n >= 16 * BATCH:
+                if n >= 32 * STEP:
                     learn()
                     held, n = [], 0
         if held:
@@ -248,7 +266,7 @@ def _sum_messages(messages: pd.DataFrame) -> pd.DataFrame:
                          "change": [change.astype(np.float32).tobytes()]})
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = 2, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = 2, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """Weights after ``rounds`` rounds over disjoint shares of ``texts`` (column text)."""
     weights = first_weights(vocabulary.tokens)
     lanes = max(1, math.isqrt(texts.rdd.getNumPartitions()))
@@ -296,12 +314,29 @@ def _score(vocabulary: Vocabulary, of_class, of_member):
     return run
 
 
+def head_words(counts: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndarray]:
+    """The words that occur most often, by falling count, and their counts.  Counts fall into
+    steps of a sixteenth of a power of two; the words of as many whole steps as hold ``most`` words
+    at most are fetched, so what reaches the driver is bounded whatever the number of tasks."""
+    step = F.floor(F.log2("times") * 16).cast("int")
+    sizes = sorted(((r["step"], r["n"]) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, n = None, 0
+    for at, size in sizes:
+        if n + size > most:
+            break
+        least, n = at, n + size
+    if least is None:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    top = counts.where(step >= least).select("word", "times").toPandas().sort_values(["times", "word"], ascending=[False, True])
+    return top["word"].to_numpy(np.int64), top["times"].to_numpy(np.int64)
+
+
 def held_out(doc_id: Column) -> Column:
     return fold(doc_id) == 1
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2,
-                    rate: float = 0.1) -> DataFrame:
+                    rate: float = 0.5) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per
     document; learned from the documents that are not held out."""
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
@@ -309,8 +344,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = rows.where("not held_out").select("text")
     counts = stored(texts.mapInArrow(_count_tokens, "word long, times long").groupBy("word")
                     .agg(F.sum("times").alias("times")), "lm-counts")
-    top = counts.orderBy(F.desc("times"), "word").limit(HEAD).toPandas()
-    words, times = top["word"].to_numpy(np.int64), top["times"].to_numpy(np.int64)
+    words, times = head_words(counts)
     symbol = F.pmod("word", F.lit(MEMBERS))
     # the rest of the words by hashed symbol; the exact ones taken out again
     tail = counts.groupBy(symbol.alias("s")).agg(F.sum("times").alias("tokens"), F.count("*").alias("types")).collect()
