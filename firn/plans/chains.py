@@ -83,7 +83,8 @@ def hourly_forcing(runs: DataFrame, reanalysis: DataFrame, run_keys: list[str],
                    switch: int = 144, acc: str = "acc", value: str = "tp") -> DataFrame:
     """Forecast runs -> rates (W01) -> hourly values (W02) -> valid times ->
     latest run per cell and hour (W04) -> reanalysis over forecast (J01).
-    Shuffles: knots on (run, cell) once, hours on (cell, time) once."""
+    Shuffles: knots on (run, cell, step), where copies of a knot are combined on the
+    map side, then on (run, cell) for the windows; hours on (cell, time) for the latest run and the merge."""
     from firn.operators import forcing as P
     from firn.operators import merge as M
     rate = P.deaccumulate(runs, run_keys, acc, switch=switch).select(*run_keys, "step", "rate")
