@@ -6,17 +6,20 @@
    chunks of 4.  Two signatures that differ in at most 23 of the 48 have, by pigeonhole,
    a chunk with at most one difference.  So every chunk is enumerated with each one of
    its 4 values left out: 48 keys a class.  All pairs under the threshold share a key.
-3. Round one links each class to the class with the least id that it
-   shares most keys with.  Full sets confirm the links, and components are built.
-4. Round two looks only at keys whose classes still are in different components,
-   and compares signatures there, in blocks.  Pairs whose signatures agree in enough
-   places are confirmed on full sets too.  Pairs inside a component add nothing to it,
-   so the components are those of all links.
+3. Round one compares each class with up to ``tries`` hubs: of each of its keys the class whose
+   keys are the most common, which is the one that others were copied from if any is.  Full sets confirm
+   the links, and components are built.
+4. Round two takes the keys whose classes still are in different components.  A class of n
+   shingles of which u occur in no other such class overlaps with none by more than n - u, and two classes
+   overlap by no more than their shingles do in each of 256 hashed buckets; classes and
+   pairs that these bounds exclude are left out, which loses nothing.  The rest are compared by
+   signature, in blocks; pairs that agree in enough places are confirmed on full sets too.  Each pair comes up in
+   the first of its keys only.  Pairs inside a component add nothing to it, so the components are those of all links.
 
 A pair at similarity 0.75 differs in 12 of 48 values on average; the chance that it
 shares no key is (1 - p)^12 with p = 0.74, about 1e-7.
 
-Scale: no pair is made inside a component, and a key's least id is combined on the map side.
+Scale: no pair is made inside a component, and a key's hub is found on the map side.
 A key with more than ``block`` classes is dealt over block pairs, so no task takes a whole key.
 Sets are rebuilt from the texts of linked classes only; they are never collected.
 
@@ -28,12 +31,10 @@ are copies of each other; empty input gives no rows.
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firn.llm.common import stored
@@ -41,6 +42,7 @@ from firn.llm.components import connected_components
 
 SHINGLE = 5
 VALUES, CHUNK = 48, 4  # signature length; values in a chunk
+BUCKETS = 256
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240607)
@@ -111,8 +113,8 @@ def signature_keys(signatures: np.ndarray) -> np.ndarray:
     return np.concatenate(keys, axis=1)
 
 
-def _as_matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, VALUES)
+def _as_matrix(column, width: int = VALUES) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, width)
 
 
 def _keys(batches):
@@ -132,24 +134,49 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
 
 
-def _close_pairs(agree: int, cells: int = 4_000_000):
-    """Rows (key, i, j, side, component, id, signature) sorted by (key, i, j): pairs of
-    different components, one from block i and one from block j, whose signatures agree in ``agree`` places."""
-    def of(side, component, ids, sig):
-        left, right = (np.flatnonzero(side <= 1), np.flatnonzero(side >= 1))
-        step = max(1, cells // max(1, len(right) * VALUES))
+def _bucket_counts(batches):
+    """How many of a set's shingles fall into each bucket; not used for sets of over 65535, whose counts may not fit."""
+    for batch in batches:
+        counts = [np.bincount(np.asarray(x, np.int64) & (BUCKETS - 1), minlength=BUCKETS).astype(np.uint16).tobytes() for x in batch.column(1).to_numpy(zero_copy_only=False)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.binary())], names=["id", "buckets"])
+
+
+def _close_pairs(agree: int, percent: int, cells: int = 1_000_000):
+    """Rows (key, i, j, side, component, id, n, most, signature, buckets) sorted by (key, i, j): pairs of
+    different components, one from block i and one from block j, that can overlap enough (``most`` bounds a
+    set's overlap with any other, the buckets that of a pair) and whose signatures agree in ``agree`` places."""
+    def enough(both, n, m):  # 100 both >= percent (n + m - both)
+        return (100 + percent) * both >= percent * (n + m)
+
+    def of(key, side, component, ids, n, most, sig, buckets):
+        left, right = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)
+        step = max(1, cells // max(1, len(right)))
         for a in range(0, len(left), step):
             l = left[a:a + step]
-            same = (sig[l][:, None, :] == sig[right][None, :, :]).sum(axis=2)
-            x, y = np.nonzero((same >= agree) & (component[l][:, None] != component[right][None, :]))
-            x, y = ids[l[x]], ids[right[y]]
-            yield np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), 1), axis=0)
+            able = enough(np.minimum(most[l][:, None], most[right][None, :]), n[l][:, None], n[right][None, :])
+            x, y = np.nonzero(able & (component[l][:, None] != component[right][None, :]))
+            x, y = l[x], right[y]
+            for b in range(0, len(x), cells // VALUES):
+                u, v = x[b:b + cells // VALUES], y[b:b + cells // VALUES]
+                same = sig[u] == sig[v]
+                close = same.sum(axis=1) >= agree
+                u, v, same = u[close], v[close], same[close].reshape(-1, VALUES // CHUNK, CHUNK)
+                # the first key of the pair: its first chunk with one difference at most
+                chunk = (same.sum(axis=2) >= CHUNK - 1).argmax(axis=1)
+                first = chunk * CHUNK + same[np.arange(len(chunk)), chunk].argmin(axis=1)
+                u, v = u[first == key >> 48], v[first == key >> 48]
+                for c in range(0, len(u), cells // BUCKETS):
+                    s, t = u[c:c + cells // BUCKETS], v[c:c + cells // BUCKETS]
+                    fits = enough(np.minimum(buckets[s], buckets[t]).sum(axis=1, dtype=np.int64), n[s], n[t])
+                    fits |= np.minimum(n[s], n[t]) > 65535
+                    s, t = ids[s[fits]], ids[t[fits]]
+                    yield np.stack((np.minimum(s, t), np.maximum(s, t)), 1)
 
     def run(batches):
         rest = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            rest = pa.concat_tables([rest, table]) if rest is not None else table
+            rest = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
             yield from cut(rest, False)
             at = starts(rest)
             rest = rest.slice(at[-1]) if len(at) else rest
@@ -157,10 +184,10 @@ def _close_pairs(agree: int, cells: int = 4_000_000):
             yield from cut(rest, True)
 
     def starts(table):
-        group = [table.column(c).to_numpy() for c in ("key", "i", "j")]
         new = np.zeros(table.num_rows, bool)
         new[:1] = True
-        for g in group:
+        for c in ("key", "i", "j"):
+            g = table.column(c).to_numpy()
             new[1:] |= g[1:] != g[:-1]
         return np.flatnonzero(new)
 
@@ -169,22 +196,24 @@ def _close_pairs(agree: int, cells: int = 4_000_000):
         if not table.num_rows:
             return
         at = np.append(starts(table), table.num_rows)
-        side, component, ids = (table.column(c).to_numpy() for c in ("side", "component", "id"))
-        sig = _as_matrix(table.column("signature"))
+        columns = [table.column(c).to_numpy() for c in ("key", "side", "component", "id", "n", "most")]
+        sig, buckets = _as_matrix(table.column("signature")), _as_matrix(table.column("buckets"), BUCKETS)
         found = [np.empty((0, 2), np.int64)]
         for a, b in zip(at[:-1], at[1:] if end else at[1:-1]):
-            for pairs in of(side[a:b], component[a:b], ids[a:b], sig[a:b]):
-                if len(pairs):
-                    found.append(pairs)
+            key, *rest = (c[a:b] for c in columns)
+            found += of(int(key[0]), *rest, sig[a:b], buckets[a:b])
         found = np.unique(np.concatenate(found), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
     return run
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets overlap enough.  ``docs`` has unique id and text."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-wanted")
-    sets = stored(docs.join(wanted, "id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "near-sets")
+def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(id, shingles)`` of the documents in ``ids``; ``docs`` has unique id and text."""
+    return stored(docs.join(stored(ids, "near-wanted"), "id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "near-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets overlap enough."""
     a, b = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), sets.select(
         F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -192,12 +221,16 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = 75) -> DataFrame
             .where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b"))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
-               agree: int = 20, block: int = 1024) -> DataFrame:
+               agree: int = 22, block: int = 1024, tries: int = 3) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per document.
 
-    ``agree``: signatures that agree in fewer of the 48 values aren't compared further in
-    round two; at similarity 0.75 36 agree on average, and fewer than 20 with a chance under 1e-6.
+    ``agree``: classes whose signatures agree in fewer of the 48 values aren't confirmed in
+    round two; at similarity 0.75 36 agree on average, and fewer than 22 with a chance of about 1e-5.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = stored(texts.mapInArrow(_signatures, SIGNATURE), "near-signatures")
@@ -205,32 +238,40 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = stored(signed.where("n_shingles > 0 and id is not null").groupBy(*alike)
                      .agg(F.min("id").alias("rep"), F.first("signature").alias("signature")), "near-classes")
     keyed = classes.select("rep", "signature").mapInArrow(_keys, "key long, id long")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("hub")).where("n > 1")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(keyed.join(shared, "key"), "near-members")
-
-    stars = members.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("keys"))
-    nearest = stored(stars.groupBy("id").agg(F.max_by("hub", F.struct("keys", -F.col("hub"))).alias("hub"))
-                     .select(F.col("hub").alias("a"), F.col("id").alias("b")), "near-stars")
     # one row per class: copies of an id would double the pairs
     reps = texts.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     reps = reps.dropDuplicates(["id"]) if _repeated(signed) else reps
-    first = stored(confirmed(nearest, reps, percent), "near-links")
+
+    common = members.groupBy("id").agg(F.sum("n").alias("common"))
+    ranked = members.join(common, "id")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("common", (-F.col("id")).alias("id"))).alias("hub"))
+    stars = (members.join(hubs.select("key", (-F.col("hub.id")).alias("hub")), "key").where("id <> hub")
+             .groupBy("id", "hub").agg(F.count("*").alias("keys")))
+    best = Window.partitionBy("id").orderBy(F.desc("keys"), "hub")  # at most as many rows as a class has keys
+    nearest = stored(stars.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= tries)
+                     .select(F.col("hub").alias("a"), F.col("id").alias("b")), "near-stars")
+    first = stored(confirmed(nearest, shingle_sets(reps, _ends(nearest)), percent), "near-links")
     one = connected_components(first)
 
     placed = stored(members.join(one, "id", "left").select(
-        "key", "n", "id", F.coalesce("component", "id").alias("component")), "near-placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    g = F.ceil(F.col("n") / block).cast("long")
-    mine = F.pmod(F.xxhash64("id"), g)
-    dealt = (placed.join(mixed.select("key"), "key", "left_semi").withColumn("mine", mine)
+        "key", "id", F.coalesce("component", "id").alias("component")), "near-placed")
+    open_keys = stored(placed.join(_mixed(placed), "key", "left_semi"), "near-open")
+    sets = shingle_sets(reps, open_keys.select("id").distinct())
+    able = stored(_able(sets, classes, percent), "near-able")
+    left = open_keys.join(able, "id")
+    left = left.join(_mixed(left), "key")
+    g = F.ceil(F.col("members") / block).cast("long")
+    dealt = (left.withColumn("mine", F.pmod(F.xxhash64("id"), g))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), g - 1)))
              .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
                      F.when(F.col("mine") == F.col("other"), 1).when(F.col("mine") < F.col("other"), 0).otherwise(2)
-                     .alias("side"), "component", "id"))
-    dealt = dealt.join(classes.select(F.col("rep").alias("id"), "signature"), "id")
-    pairs = (dealt.select("key", "i", "j", "side", "component", "id", "signature").repartition("key", "i", "j")
-             .sortWithinPartitions("key", "i", "j").mapInArrow(_close_pairs(agree), "a long, b long").distinct())
-    second = confirmed(stored(pairs, "near-pairs"), reps, percent)
+                     .alias("side"), "component", "id", "n", "most", "signature", "buckets"))
+    pairs = (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+             .mapInArrow(_close_pairs(agree, percent), "a long, b long"))
+    pairs = stored(pairs, "near-pairs")
+    second = confirmed(pairs, sets.join(_ends(pairs), "id", "left_semi"), percent)
     whole = connected_components(first.union(second))
 
     member = classes.join(whole, classes["rep"] == whole["id"], "left").select(
@@ -241,6 +282,26 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.col("id").eqNullSafe(component).alias("kept"))
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The keys whose classes are in different components, and how many classes they have."""
+    return (placed.groupBy("key").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
+            .where("low < high").select("key", "members"))
+
+
+def _able(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``(id, n, most, signature, buckets)`` of the classes that can link to another one of ``sets``:
+    ``most`` of the n shingles also occur in others of them."""
+    alone = (sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
+             .agg(F.count("*").alias("times"), F.min("id").alias("id")).where("times = 1")
+             .groupBy("id").agg(F.count("*").alias("alone")))
+    n = F.col("n_shingles")
+    most = n - F.coalesce("alone", F.lit(0))
+    return (sets.mapInArrow(_bucket_counts, "id long, buckets binary")
+            .join(classes.select(F.col("rep").alias("id"), "n_shingles", "signature"), "id")
+            .join(alone, "id", "left").where(100 * most >= percent * n)
+            .select("id", n.alias("n"), most.alias("most"), "signature", "buckets"))
+
+
 def _repeated(signed: DataFrame) -> bool:
     """Whether an id occurs twice."""
     return not signed.where("id is not null").groupBy("id").count().where("count > 1").isEmpty()
