@@ -137,7 +137,8 @@ def _sets(batches):
 def _bucket_counts(batches):
     """How many of a set's shingles fall into each bucket; not used for sets of over 65535, whose counts may not fit."""
     for batch in batches:
-        counts = [np.bincount(np.asarray(x, np.int64) & (BUCKETS - 1), minlength=BUCKETS).astype(np.uint16).tobytes() for x in batch.column(1).to_numpy(zero_copy_only=False)]
+        sets = batch.column(1).to_numpy(zero_copy_only=False)
+        counts = [np.bincount(np.asarray(x, np.int64) & (BUCKETS - 1), minlength=BUCKETS).astype(np.uint16).tobytes() for x in sets]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.binary())], names=["id", "buckets"])
 
 
