@@ -47,6 +47,7 @@ from firn.llm.url_rules import url_host
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small "
              "span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+FORMS = {"form", "fieldset", "dialog"}  # some sites wrap whole pages in them
 RAW = set("script style noscript template textarea title iframe object svg math canvas xmp noembed noframes".split())
 BOILERPLATE = set("nav footer aside form button select menu dialog head fieldset datalist audio video".split()) | RAW
 LANDMARKS = ("article", "main")
@@ -69,7 +70,7 @@ def _hash(*parts) -> int:
 
 
 class _Element:
-    __slots__ = ("name", "path", "noise", "key", "landmark")
+    __slots__ = ("name", "path", "key", "parent", "strict", "hint", "chars", "noise", "landmark")
 
     def __init__(self, name: str, attrs: str, parent: "_Element | None"):
         found = {}
@@ -77,15 +78,19 @@ class _Element:
             found[(k or bare).lower()] = next((v for v in values if v), "")
         label = f"{found.get('class', '')} {found.get('id', '')}".strip()
         words = {w.lower() for w in _WORD.findall(label)}
-        self.name = name
-        self.noise = bool(parent and parent.noise) or name in BOILERPLATE or _hidden(found) or (
-            name not in ("html", "body", "main") and (bool(words & NOISE) or found.get("role", "").lower() in NOISE_ROLES))
-        inside = parent.landmark if parent else None
-        if name == "header" or "header" in words:  # the head of an article has its title
-            self.noise |= not (inside or words & {"article", "entry", "post", "content"})
+        content = bool(words & {"article", "entry", "post", "content"})
+        self.name, self.parent, self.chars = name, parent, 0
+        self.strict = bool(parent and parent.strict) or name in BOILERPLATE - FORMS or _hidden(found)
+        self.hint = 0  # 1: a listed word in a compound name, 2: a name that is listed
+        if name not in ("html", "body", "main"):
+            if name in FORMS or words & NOISE or found.get("role", "").lower() in NOISE_ROLES:
+                whole = not words & NOISE or NOISE & set(label.lower().split())
+                self.hint = 2 if whole else 1
+            elif (name == "header" or "header" in words) and not content:
+                self.hint = 3 if name == "header" or "header" in label.lower().split() else 4  # not inside a landmark
         self.path = (parent.path if parent else "") + "/" + name + ("." + re.sub(r"\d+", "#", " ".join(label.split())) if label else "")
         self.key = _hash("tag", self.path)
-        self.landmark = self.key if name in LANDMARKS and not self.noise and not inside else inside
+        self.noise, self.landmark = self.strict, None
 
 
 def _hidden(attrs: dict) -> bool:
@@ -99,6 +104,7 @@ class Page:
     def __init__(self, html: str):
         self.tokens: list[int] = []  # keys of tags and text nodes in order
         self.blocks: list[tuple] = []  # (text, holder, landmark, holders above, noise, characters outside links, text keys)
+        self._elements: list[_Element] = []
         self.paths: dict[int, str] = {}
         self._stack: list[_Element] = []
         self._text: list[str] = []
@@ -124,6 +130,7 @@ class Page:
                     self._close(name)
                     skip_to = end.end() if end else len(html)
         self._end_block()
+        self._settle()
 
     def _open(self, name: str, attrs: str) -> None:
         if name not in INLINE:
@@ -137,6 +144,7 @@ class Page:
         self.paths[element.key] = element.path
         if name not in VOID and not attrs.endswith("/"):
             self._stack.append(element)
+            self._elements.append(element)
 
     def _imply_ends(self, name: str) -> None:
         ends = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"),
@@ -176,10 +184,54 @@ class Page:
         if text:
             holders = [e for e in self._stack if e.name not in INLINE and e.name not in LEAVES]
             top = self._stack[-1] if self._stack else None
-            self.blocks.append((text, holders[-1].key if holders else 0, top.landmark if top else None,
-                                frozenset(e.key for e in holders), bool(top and top.noise), self._plain, tuple(self._keys)))
+            self.blocks.append((text, holders[-1].key if holders else 0, top, frozenset(e.key for e in holders), False,
+                                self._plain, tuple(self._keys)))
         self._text, self._keys, self._plain = [], [], 0
 
+    def _mark(self) -> int:
+        """Noise and landmark of every element; the characters that are not noise."""
+        for e in self._elements:
+            up = e.parent
+            inside = up.landmark if up else None
+            e.noise = e.strict or bool(up and up.noise) or e.hint in (1, 2) or (e.hint > 2 and not inside)
+            e.landmark = inside or (e if e.name in LANDMARKS and not e.noise else None)
+        return sum(b[5] for b in self.blocks if not (b[2] and b[2].noise))
+
+    def _settle(self) -> None:
+        """Names are hints: one falls where it would hide the page's landmark or most of the text around it."""
+        hinted = [e for e in self._elements if e.hint and not e.strict]
+        if hinted:
+            total = 0
+            for b in self.blocks:
+                if not (b[2] and b[2].strict):
+                    total += b[5]
+                    if b[2]:
+                        b[2].chars += b[5]
+            for e in reversed(self._elements):
+                if e.parent and not e.strict:
+                    e.parent.chars += e.chars
+            unmarked = self._mark()
+            if not any(b[2] and b[2].landmark and not b[2].noise for b in self.blocks):
+                best = max((e for e in self._elements if e.name in LANDMARKS and not e.strict and e.chars),
+                           key=lambda e: e.chars, default=None)
+                if best and best.chars >= unmarked:
+                    while best:
+                        best.hint, best = 0, best.parent
+            for e in hinted:
+                around = e.parent
+                while around and around.name not in LANDMARKS:
+                    around = around.parent
+                if e.hint in (1, 4) and 2 * e.chars > (around.chars if around else total):
+                    e.hint = 0
+        self._mark()
+        if hinted and all(b[2] and b[2].noise for b in self.blocks):
+            for e in hinted:
+                e.hint = 0
+            self._mark()
+        self.blocks = [(b[0], b[1], b[2].landmark.key if b[2] and b[2].landmark else None, b[3],
+                        bool(b[2] and b[2].noise), *b[5:]) for b in self.blocks]
+        self._elements, self._stack = [], []
+
     def slots(self, template_texts: frozenset = frozenset()) -> dict[int, int]:
         """Characters outside of links, boilerplate and template texts by the element that holds them."""
         mass: dict[int, int] = defaultdict(int)

@@ -252,3 +252,20 @@ def test_equivalence_classes_of_a_host(spark):
     once = next(c for c in by_class.values() if tags["article"] in c)
     assert {tags["h1"], tags["nav"], tags["footer"]} <= once and tags["p"] not in once
     assert any(tags["p"] in c and len(c) == 2 for c in by_class.values())  # the tag and its end
+
+
+@pytest.mark.parametrize("wrapper", ["wrapper has-sidebar", "no-sidebar", "page-with-banner", "menu-open", "post comment-open", "has-header"])
+def test_listed_words_on_wrappers_hide_no_article(wrapper):
+    story = "<h1>Title</h1><p>The story has words enough to be most of the page.</p>"
+    want = "Title\nThe story has words enough to be most of the page."
+    for body in (f"<div class='{wrapper}'><article>{story}</article></div>", f"<article class='{wrapper}'>{story}</article>",
+                 f"<article><div class='{wrapper}'>{story}</div></article>", f"<div class='{wrapper}'>{story}</div><div>(c)</div>",
+                 f"<div id='overlay'>{story}</div>", f"<form>{story}</form>"):
+        for outside in ("", "<div class='ad'>Buy this</div>"):
+            assert html_extract.Page(page(1, body + outside)[2]).main_text({}, frozenset()).startswith(want), body
+
+
+def test_listed_names_are_noise_beside_an_article():
+    body = ("<article><p>Short story.</p><div class='share'>Share this with all your friends, every one of them</div></article>"
+            "<div class='related'><article><p>Another story, longer than the one of this page, on and on.</p></article></div>")
+    assert html_extract.Page(page(1, body)[2]).main_text({}, frozenset()) == "Short story."
