@@ -4,21 +4,27 @@
    theirs.  For every (host, token) the pages' occurrences are combined into one
    vector signature: an exclusive or of hash(page, times) with the number of pages and the total.
 2. Tokens of a host with one signature have one occurrence vector: they are an
-   equivalence class.  Classes on at least ``support`` of a host's pages form its template.
+   equivalence class.  Support is absolute: tags on ``least_pages`` pages, texts on as many pages of different content.
+   A text belongs to the template if its class holds a tag, or if it is on ``support`` of the pages that have its
+   element, so a layout has its template however many pages the host has beside it.
    A class is valid on a page if its tokens stand there in the class's order
    (by mean position), and if it nests: its gaps hold other classes whole.  Invalid classes are ignored.
 3. What valid classes leave are slots.  Slot text is summed by the element that holds
-   it, outside of links and boilerplate elements; the element with most of it on the
-   host is where the articles are.  Where a page has an ``article`` or ``main`` around
-   that element, its whole inside is the article.  Elsewhere, texts that belong to the template
-   are dropped from it.
+   it (an ``article`` or ``main`` for all inside it), outside of links and boilerplate elements; of a page's
+   elements, that with the most template-free text on a page of the host has the article, and a landmark decides ties.
+   Texts of the template are dropped from it.  Where that would leave less than a quarter, only texts of classes with
+   tags on over half of the host's pages are dropped, since the rest may be an article that was copied.
+
+Names of classes and ids are hints: a listed word marks an element as boilerplate unless that hides the page's landmark
+or, inside a compound name, most of the text around it; all hints fall where they leave no text.
 
 Blocks end at block-level tags; character references are decoded, white space in
 a block becomes one space, and blocks are joined by one line end.
 
 Scale: tokens are combined in the tasks and on the map side, so a hot host costs one row per token
-and task; text nodes seen on fewer than ``least_pages`` pages drop out before anything is joined by host.
-A host's template has at most (tokens of a page) / ``support`` tokens.
+and task; tokens seen on fewer than ``least_pages`` pages drop out before anything is joined by host.
+A host's template is bounded by its distinct tag paths: a class with a tag has at most a page's texts, and an element
+at most (texts of a page) / ``support`` others.
 Pages are joined with templates by host: broadcast where the table of templates is small,
 else a join whose large partitions the planner can split.
 
@@ -106,6 +112,7 @@ class Page:
         self.blocks: list[tuple] = []  # (text, holder, landmark, holders above, noise, characters outside links, text keys)
         self._elements: list[_Element] = []
         self.paths: dict[int, str] = {}
+        self.parents: dict[int, int] = {}  # element of a text token
         self._stack: list[_Element] = []
         self._text: list[str] = []
         self._keys: list[int] = []
@@ -176,6 +183,7 @@ class Page:
             key = _hash("text", self._stack[-1].path if self._stack else "", " ".join(said.split()))
             self.tokens.append(key)
             self._keys.append(key)
+            self.parents[key] = self._stack[-1].key if self._stack else 0
             if not any(e.name == "a" for e in reversed(self._stack[-4:])):
                 self._plain += len(said)
 
@@ -240,20 +248,38 @@ class Page:
                 mass[landmark or holder] += plain
         return mass
 
-    def main_text(self, ranked: dict[int, int], template_texts: frozenset) -> str:
-        """``ranked``: mass of holders over the host's pages."""
-        mass = self.slots(template_texts) or self.slots()
+    def content(self) -> int:
+        """Of the texts outside of noise: equal on copies of a page."""
+        return _hash("page", *[b[0] for b in self.blocks if not b[4]])
+
+    def held(self) -> dict[int, tuple[int, int]]:
+        """Text tokens with the element whose slot they are in, and their share of a block's characters."""
+        found: dict[int, tuple[int, int]] = {}
+        for _, holder, landmark, _, noise, plain, keys in self.blocks:
+            for key in keys:
+                if not noise:
+                    found[key] = (landmark or holder, plain // len(keys))
+        return found
+
+    def main_text(self, ranked: dict[int, float], sure: frozenset, likely: frozenset = frozenset()) -> str:
+        """``ranked``: mass of holders on a page of the host; ``sure`` and ``likely``: texts of the template."""
+        texts = sure | likely
+        mass = self.slots(texts) or self.slots()
         if not mass:
             return ""
         landmarks = {b[2] for b in self.blocks if b[2] and not b[4]}
-        at = max(landmarks & mass.keys() or mass, key=lambda k: (ranked.get(k, 0), mass[k], -k))
+        at = max(mass, key=lambda k: (ranked.get(k, mass[k]), mass[k], k in landmarks, -k))
         inside = [b for b in self.blocks if not b[4] and (at == b[2] or at == b[1] or at in b[3])]
-        if at not in landmarks:
-            inside = [b for b in inside if not (b[6] and template_texts.issuperset(b[6]))] or inside
+        for known in (texts, sure):
+            left = [b for b in inside if not (b[6] and known.issuperset(b[6]))]
+            # where little is left, the text is a copy of other pages' rather than a template
+            if left and (known == sure or 4 * sum(len(b[0]) for b in left) >= sum(len(b[0]) for b in inside)):
+                return "\n".join(b[0] for b in left)
         return "\n".join(b[0] for b in inside)
 
 
-_COUNTS = "host string, token long, pages long, times long, vector long, place double, mass long, is_text boolean"
+_COUNTS = ("host string, token long, pages long, times long, vector long, place double, mass long, is_text boolean, "
+           "parent long, holder long, seen long, seen2 long")
 
 
 def _count_tokens(batches):
@@ -261,43 +287,71 @@ def _count_tokens(batches):
     for batch in batches:
         sums: dict[tuple, list] = {}
 
-        def add(host, token, times, page, place, mass, is_text):
-            row = sums.setdefault((host, token), [0, 0, 0, 0.0, 0, is_text])
+        def add(host, token, times, page, place, mass, is_text, parent, holder, seen, seen2):
+            row = sums.setdefault((host, token), [0, 0, 0, 0.0, 0, is_text, parent, holder, 0, 0])
             row[0] += 1
             row[1] += times
             row[2] ^= _hash(page, times)
             row[3] += place
             row[4] += mass
+            row[8] |= seen
+            row[9] |= seen2
         for a in range(0, batch.num_rows, 256):
             part = batch.slice(a, 256)
             for host, key, html in zip(*(part.column(c).to_pylist() for c in range(3))):
                 page = Page(html)
-                mass, places = page.slots(), defaultdict(list)
+                mass, places, held = page.slots(), defaultdict(list), page.held()
+                content = page.content()
+                bits = [(1 << n) - (1 << 64 if n == 63 else 0) for n in (content & 63, content >> 6 & 63)]
                 for k, token in enumerate(page.tokens):
                     places[token].append(k)
-                add(host, 0, 1, key, 0.0, 0, False)
+                add(host, 0, 1, key, 0.0, 0, False, 0, 0, 0, 0)
                 for token, at in places.items():
-                    add(host, token, len(at), key, at[0] / len(page.tokens), mass.get(token, 0),
-                        token not in page.paths)
+                    is_text = token in page.parents
+                    holder, chars = held.get(token, (0, 0))
+                    add(host, token, len(at), key, at[0] / len(page.tokens), chars if is_text else mass.get(token, 0),
+                        is_text, page.parents.get(token, 0), holder, *bits)
         rows = [(h, t, *v) for (h, t), v in sums.items()]
         if rows:
             cols = list(zip(*rows))
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=[c.split()[0] for c in _COUNTS.split(", ")])
+            schema = pa.schema([(c.split()[0], _KINDS[c.split()[1]]) for c in _COUNTS.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, schema.types)], schema=schema)
+
+
+_KINDS = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
 
 
 def host_templates(pages: DataFrame, support: float = 0.3, least_pages: int = 3) -> DataFrame:
-    """``(host, tokens, classes, places, masses, texts)``, parallel arrays; ``pages`` has host, key and html."""
+    """``(host, tokens, classes, places, masses, texts)``, parallel arrays; ``pages`` has host, key and html.
+
+    ``masses`` of elements are means over the pages that have them, without the template's texts; ``texts`` is 2 for
+    texts that are sure to be template, 1 for likely ones, else 0."""
     counts = stored(pages.select("host", "key", "html").mapInArrow(_count_tokens, _COUNTS).groupBy("host", "token").agg(
         F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.bit_xor("vector").alias("vector"),
-        F.sum("place").alias("place"), F.sum("mass").alias("mass"), F.first("is_text").alias("is_text"))
-        .where(F.col("pages") >= least_pages), "html-tokens")
+        F.sum("place").alias("place"), F.sum("mass").alias("mass"), F.first("is_text").alias("is_text"),
+        F.max("parent").alias("parent"), F.max("holder").alias("holder"), F.bit_or("seen").alias("seen"),
+        F.bit_or("seen2").alias("seen2")).where(F.col("pages") >= least_pages), "html-tokens")
+    counts = counts.withColumn("class", F.xxhash64("vector", "pages", "times"))
     hosts = counts.where("token = 0").select("host", F.col("pages").alias("of"))
-    frequent = counts.where("token <> 0").join(hosts, "host").where(F.col("pages") >= support * F.col("of"))
-    one = F.struct("token", F.xxhash64("vector", "pages", "times").alias("class"), (F.col("place") / F.col("pages")).alias("place"),
-                   "mass", ((F.col("times") == F.col("pages")) & F.col("is_text")).alias("text"))
-    grouped = frequent.groupBy("host").agg(F.sort_array(F.collect_list(one)).alias("t"))
+    counts = counts.join(hosts, "host").where(F.col("pages") >= support * F.col("of")).drop("of")
+    tags = counts.where("token <> 0 AND NOT is_text")
+    # different contents: at least as many as either half of their hash has values
+    apart = F.greatest(F.bit_count("seen"), F.bit_count("seen2")) >= least_pages
+    texts = counts.where(F.col("is_text") & (F.col("times") == F.col("pages")) & apart)
+    elements = tags.select("host", F.col("token").alias("parent"), F.col("pages").alias("parent_pages"))
+    tagged = tags.select("host", "class").distinct().withColumn("tagged", F.lit(True))
+    texts = (texts.join(elements, ["host", "parent"], "left").join(tagged, ["host", "class"], "left").join(hosts, "host")
+             .withColumn("tagged", F.coalesce("tagged", F.lit(False)))
+             .where(F.col("tagged") | (F.col("pages") >= support * F.coalesce("parent_pages", "of")))
+             .withColumn("text", F.when(F.col("tagged") & (2 * F.col("pages") > F.col("of")), 2).otherwise(1)))
+    said = texts.groupBy("host", F.col("holder").alias("token")).agg(F.sum("mass").alias("said"))
+    tags = tags.join(said, ["host", "token"], "left").withColumn(
+        "mass", F.greatest(F.lit(0), F.col("mass") - F.coalesce("said", F.lit(0)))).withColumn("text", F.lit(0))
+    one = F.struct("token", "class", (F.col("place") / F.col("pages")).alias("place"),
+                   (F.col("mass") / F.col("pages")).alias("mass"), "text")
+    columns = ["host", "token", "class", "place", "pages", "mass", "text"]
+    both = tags.select(columns).unionByName(texts.withColumn("mass", F.lit(0).cast("long")).select(columns))
+    grouped = both.groupBy("host").agg(F.sort_array(F.collect_list(one)).alias("t"))
     return grouped.select("host", F.col("t.token").alias("tokens"), F.col("t.class").alias("classes"),
                           F.col("t.place").alias("places"), F.col("t.mass").alias("masses"), F.col("t.text").alias("texts"))
 
@@ -306,8 +360,9 @@ class Template:
     """A host's classes, each in order, and the mass of its elements."""
 
     def __init__(self, tokens=(), classes=(), places=(), masses=(), texts=()):
-        self.ranked = {t: m for t, m in zip(tokens, masses) if m}
+        self.ranked = dict(zip(tokens, masses))
         self.texts = {t for t, x in zip(tokens, texts) if x}
+        self.sure = frozenset(t for t, x in zip(tokens, texts) if x == 2)
         self.classes = defaultdict(list)
         for _, c, t in sorted(zip(places, classes, tokens)):
             self.classes[c].append(t)
@@ -363,6 +418,7 @@ def extract(pages: DataFrame, keep: list[str], url_col: str = "url", html_col: s
                             known.clear()
                         known[host] = Template(*(part.column(c + 3)[k].as_py() or () for c in range(len(names))))
                     page, template = Page(html), known[host]
-                    out.append(page.main_text(template.ranked, template.valid_texts(page)))
+                    valid = template.valid_texts(page)
+                    out.append(page.main_text(template.ranked, valid & template.sure, valid))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string())], names=schema.names)
     return rows.join(templates, "host", "left").select("row", "host", "html", *names).mapInArrow(run, schema)

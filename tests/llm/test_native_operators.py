@@ -269,3 +269,36 @@ def test_listed_names_are_noise_beside_an_article():
     body = ("<article><p>Short story.</p><div class='share'>Share this with all your friends, every one of them</div></article>"
             "<div class='related'><article><p>Another story, longer than the one of this page, on and on.</p></article></div>")
     assert html_extract.Page(page(1, body)[2]).main_text({}, frozenset()) == "Short story."
+
+
+def story(k):
+    return f"<h1>Title {k}</h1><p>Body of story {k} with words w{k} x{k} y{k}.</p><p>More of it: a{k} b{k}.</p>"
+
+
+def story_text(k):
+    return f"Title {k}\nBody of story {k} with words w{k} x{k} y{k}.\nMore of it: a{k} b{k}."
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_host_wide_text_leaves_articles(spark, tag):
+    strip = "<div class=qx>Tell your friends of this page</div>"
+    rows = [page(k, f"<{tag}><p>Our daily story</p>{story(k)}{strip}<p>Write to us</p></{tag}>") for k in range(8)]
+    assert main_texts(spark, rows) == {k: story_text(k) for k in range(8)}
+
+
+def test_holder_with_most_text_wins_over_a_landmark(spark):
+    rows = [page(k, f"<article class=teaser><p>See no. {k}</p></article><div class=zz>{story(k)}</div>") for k in range(5)]
+    assert main_texts(spark, rows) == {k: story_text(k) for k in range(5)}
+
+
+def test_copied_articles_keep_their_text(spark):
+    rows = [page(k, f"<article>{story(k)}</article>") for k in range(20)]
+    rows += [page(k, f"<p>No. {k}</p><article>{story(99)}<p>Copy {k}</p></article>") for k in range(20, 32)]
+    rows += [page(k, f"<article>{story(77)}<table><tr><td>cell</table></article>") for k in range(32, 40)]
+    got = main_texts(spark, rows)
+    for k in range(20):
+        assert got[k] == story_text(k)
+        if k < 12:
+            assert got[k + 20] == f"{story_text(99)}\nCopy {k + 20}"
+        if k < 8:
+            assert got[k + 32] == f"{story_text(77)}\ncell"
