@@ -333,7 +333,6 @@ def host_templates(pages: DataFrame, support: float = 0.3, least_pages: int = 3)
         F.bit_or("seen2").alias("seen2")).where(F.col("pages") >= least_pages), "html-tokens")
     counts = counts.withColumn("class", F.xxhash64("vector", "pages", "times"))
     hosts = counts.where("token = 0").select("host", F.col("pages").alias("of"))
-    counts = counts.join(hosts, "host").where(F.col("pages") >= support * F.col("of")).drop("of")
     tags = counts.where("token <> 0 AND NOT is_text")
     # different contents: at least as many as either half of their hash has values
     apart = F.greatest(F.bit_count("seen"), F.bit_count("seen2")) >= least_pages

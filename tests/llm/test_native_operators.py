@@ -302,3 +302,21 @@ def test_copied_articles_keep_their_text(spark):
             assert got[k + 20] == f"{story_text(99)}\nCopy {k + 20}"
         if k < 8:
             assert got[k + 32] == f"{story_text(77)}\ncell"
+
+
+@pytest.mark.parametrize("own", [True, False])
+def test_layouts_of_a_large_host(spark, own):
+    """Six layouts, none on 30% of the host's pages; with classes of their own, or one class and texts of their own."""
+    rows = []
+    for k in range(60):
+        n = "abcdef"[k % 6] if own else ""
+        rows.append(page(k, f"<div class=top{n}><p>Layout {k % 6} of our site</p></div><div class=mid{n}><div class=in{n}>{story(k)}</div>"
+                            f"<div class=un{n}>Kept by the desk of layout {k % 6}</div></div>" + f"<div class=own{k % 6}></div>"))
+    assert main_texts(spark, rows) == {k: story_text(k) for k in range(60)}
+    small = rows[0::6]
+    assert main_texts(spark, small) == {r[0]: story_text(r[0]) for r in small}
+
+
+def test_text_of_a_layout_inside_articles(spark):
+    rows = [page(k, f"<article class=lay{'abcde'[k % 5]}>{story(k)}<p>Desk {k % 5} tells you more</p></article>") for k in range(50)]
+    assert main_texts(spark, rows) == {k: story_text(k) for k in range(50)}
