@@ -8,8 +8,9 @@ are those whose cap / weight is at most the level that the rest would get.
 
 A source's target is then taken as whole repetitions of all its documents
 plus a fraction: documents in a seeded order (md5 of seed and id) until the
-words left are used up; the last of them is taken in part, so a source's
-taken words equal its target rounded to a whole word.
+words left are used up; the last of them is counted in part, so a source's
+taken words equal its target rounded to a whole word.  ``mixed_documents`` emits
+whole texts only: that last document once more or not, whichever is nearer.
 
 Scale: the order is cut in two steps, so no task sees a whole source: sums
 per (source, first 12 bits of the hash) give the words before each cell, and
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firn.llm.common import SPACE, stored, word_count
+from firn.llm.common import stored, word_count
 
 CELL_HEX = 3  # hex digits of the order's hash that name a cell: 4096 cells
 
@@ -85,20 +86,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     **how) -> DataFrame:
-    """The columns of ``docs``, each row as often as the mix takes it: whole
-    repetitions, and for the one document per source that is taken in part a
-    row with its first words.  Rows that share an id are taken alike."""
+    """The columns of ``docs``, each row as often as the mix takes it, with its whole text.  The one document
+    per source that is taken in part comes once more if at least half of it is taken, so a source's words are within half
+    of that document of the target.  Rows that share an id are taken alike."""
     taken = (mix(docs, id_col, text_col, source_col, **how)
              .groupBy("doc_id", "size").agg(F.max("taken").alias("taken")).where("taken > 0"))
     size = F.col("m.size")
-    whole = F.floor(F.col("m.taken") / size)
-    part = F.col("m.taken") - whole * size
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col(f"d.`{text_col}`"), F.lit(f"([^{SPACE}]+)")),
-                                 1, F.col("_words").cast("int")), " ")
+    times = F.floor((2 * F.col("m.taken") + size) / (2 * size)).cast("int")
     rows = docs.alias("d").join(taken.alias("m"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("m.doc_id"))
                                 & (word_count(F.col(f"d.`{text_col}`")) == size))
-    rows = rows.select("d.*", F.explode(F.concat(
-        F.array_repeat(F.lit(0), whole.cast("int")),
-        F.when(part > 0, F.array(part.cast("int"))).otherwise(F.array().cast("array<int>")))).alias("_words")).alias("d")
-    return rows.select(*[(F.when(F.col("_words") > 0, first).otherwise(F.col(f"d.`{c}`")).alias(c)
-                          if c == text_col else F.col(f"d.`{c}`")) for c in docs.columns])
+    return (rows.select("d.*", F.explode(F.array_repeat(F.lit(0), times)).alias("_words")).alias("d")
+            .select(*[F.col(f"d.`{c}`") for c in docs.columns]))

@@ -103,6 +103,25 @@ def test_mixed_documents_hold_the_taken_words(spark):
         assert all(texts[i].startswith(x) for x in got[i])
 
 
+def test_mixed_documents_emit_whole_texts_near_the_target(spark):
+    rnd = random.Random(9)
+    rows = [(k, " \t".join(f"w{j}" for j in range(rnd.randrange(1, 40))), rnd.choice("abcd")) for k in range(200)]
+    rows += [(200, "long\n\n" * 9000 + "end", "e"), (201, "short  text", "e"), (202, "one " * 500, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts, longest, target, got = {i: t for i, t, _ in rows}, Counter(), {}, Counter()
+    sizes = Counter()
+    for i, t, s in rows:
+        sizes[s] += len(t.split())
+        longest[s] = max(longest[s], len(t.split()))
+    target, times = targets(sizes), Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        assert r.text == texts[r.doc_id]
+        got[r.source] += len(r.text.split())
+        times[r.doc_id] += 1
+    assert max(times.values()) <= 2
+    assert all(abs(got[s] - target[s]) <= longest[s] / 2 + 1 for s in sizes)
+
+
 # chat
 
 def log(spark, rows):
