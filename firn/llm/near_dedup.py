@@ -12,9 +12,9 @@
 4. Round two takes the keys whose classes still are in different components.  A class of n
    shingles of which u occur in no other such class overlaps with none by more than n - u, and two classes
    overlap by no more than their shingles do in each of 256 hashed buckets; classes and
-   pairs that these bounds exclude are left out, which loses nothing.  The rest are compared by
-   signature, in blocks; pairs that agree in enough places are confirmed on full sets too.  Each pair comes up in
-   the first of its keys only.  Pairs inside a component add nothing to it, so the components are those of all links.
+   pairs that these bounds exclude are left out, which loses nothing.  The rest are formed
+   in blocks and confirmed on full sets too, however many places of their signatures agree: sharing a key is the only
+   threshold on signatures.  Each pair comes up in the first of its keys only.  Pairs inside a component add nothing to it, so the components are those of all links.
 
 A pair at similarity 0.75 differs in 12 of 48 values on average; the chance that it
 shares no key is (1 - p)^12 with p = 0.74, about 1e-7.
@@ -142,10 +142,10 @@ def _bucket_counts(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.binary())], names=["id", "buckets"])
 
 
-def _close_pairs(agree: int, percent: int, cells: int = 1_000_000):
+def _close_pairs(percent: int, cells: int = 1_000_000):
     """Rows (key, i, j, side, component, id, n, most, signature, buckets) sorted by (key, i, j): pairs of
     different components, one from block i and one from block j, that can overlap enough (``most`` bounds a
-    set's overlap with any other, the buckets that of a pair) and whose signatures agree in ``agree`` places."""
+    set's overlap with any other, the buckets that of a pair)."""
     def enough(both, n, m):  # 100 both >= percent (n + m - both)
         return (100 + percent) * both >= percent * (n + m)
 
@@ -159,9 +159,7 @@ def _close_pairs(agree: int, percent: int, cells: int = 1_000_000):
             x, y = l[x], right[y]
             for b in range(0, len(x), cells // VALUES):
                 u, v = x[b:b + cells // VALUES], y[b:b + cells // VALUES]
-                same = sig[u] == sig[v]
-                close = same.sum(axis=1) >= agree
-                u, v, same = u[close], v[close], same[close].reshape(-1, VALUES // CHUNK, CHUNK)
+                same = (sig[u] == sig[v]).reshape(-1, VALUES // CHUNK, CHUNK)
                 # the first key of the pair: its first chunk with one difference at most
                 chunk = (same.sum(axis=2) >= CHUNK - 1).argmax(axis=1)
                 first = chunk * CHUNK + same[np.arange(len(chunk)), chunk].argmin(axis=1)
@@ -227,12 +225,8 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
-               agree: int = 22, block: int = 1024, tries: int = 3) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, one row per document.
-
-    ``agree``: classes whose signatures agree in fewer of the 48 values aren't confirmed in
-    round two; at similarity 0.75 36 agree on average, and fewer than 22 with a chance of about 1e-5.
-    """
+               block: int = 1024, tries: int = 3) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)``, one row per document."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = stored(texts.mapInArrow(_signatures, SIGNATURE), "near-signatures")
     alike = ["n_shingles", "set_a", "set_b"]
@@ -270,7 +264,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      F.when(F.col("mine") == F.col("other"), 1).when(F.col("mine") < F.col("other"), 0).otherwise(2)
                      .alias("side"), "component", "id", "n", "most", "signature", "buckets"))
     pairs = (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-             .mapInArrow(_close_pairs(agree, percent), "a long, b long"))
+             .mapInArrow(_close_pairs(percent), "a long, b long"))
     pairs = stored(pairs, "near-pairs")
     second = confirmed(pairs, sets.join(_ends(pairs), "id", "left_semi"), percent)
     whole = connected_components(first.union(second))

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -95,6 +96,20 @@ def test_signature_pigeonhole():
         assert set(near_dedup.signature_keys(a)[0]) & set(near_dedup.signature_keys(b)[0])
 
 
+def test_pairs_of_one_key_need_no_more_agreement():
+    """Two signatures that agree in 3 of 48 values only, but share a key, and whose sets may be equal."""
+    rng = np.random.default_rng(7)
+    a = rng.integers(0, 1 << 15, near_dedup.VALUES).astype(np.uint16)
+    b = a + np.uint16(1 << 15)
+    b[:3] = a[:3]  # the key of chunk 0 without its value 3
+    assert set(near_dedup.signature_keys(a[None])[0]) & set(near_dedup.signature_keys(b[None])[0])
+    buckets = np.ones(near_dedup.BUCKETS, np.uint16).tobytes()
+    columns = {"key": [3 << 48] * 2, "i": [0] * 2, "j": [0] * 2, "side": [1] * 2, "component": [1, 2], "id": [1, 2], "n": [256] * 2,
+               "most": [256] * 2, "signature": [a.tobytes(), b.tobytes()], "buckets": [buckets] * 2}
+    found = [r for out in near_dedup._close_pairs(75)([pa.RecordBatch.from_pydict(columns)]) for r in out.to_pylist()]
+    assert {(r["a"], r["b"]) for r in found} == {(1, 2)}
+
+
 def test_components(spark):
     rnd = random.Random(1)
     links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 460)] + [(5, 5), (None, 3)]
