@@ -6,11 +6,12 @@ n-grams are compared with each profile: an n-gram costs the difference of its ra
 ``size`` where the profile lacks it.  The language with the least total wins;
 the score is one less the total over the largest possible.
 
-Profiles are learned from labelled rows: for every language all rows, or where there are more
+Profiles are learned from labelled rows: for every language all its distinct texts, or where there are more
 than ``per_language`` a sample of about that many by a hash of the text (whole texts).  This
 bound is the only one; every document is judged on its whole text.
 
-Scale: learning is one small grouped count; judging is a narrow pass with the
+Scale: distinct texts are counted by a 64-bit hash, and copies of drawn texts are joined on the map side; learning
+is one small grouped count; judging is a narrow pass with the
 profiles (``size`` n-grams a language) in the tasks.
 
 Defined cases: null text or a text without letters is ``und`` with score 0, as is
@@ -73,16 +74,23 @@ def _count(batches):
                                               pa.array(times, pa.int64())], names=["lang", "gram", "times"])
 
 
-def learn_profiles(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", size: int = SIZE,
-                   per_language: int = 4000) -> dict[str, np.ndarray]:
-    """Each language's n-grams by falling frequency."""
-    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    share = {r["lang"]: per_language / r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
-             if r["n"] > per_language}
+def sampled_texts(rows: DataFrame, per_language: int) -> DataFrame:
+    """Distinct texts of each language (columns lang and text), about ``per_language`` where there are more.
+    A text is drawn by its hash and kept once, so copies change neither the draw nor a profile."""
+    texts = rows.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("n"))
+    share = {r["lang"]: per_language / r["n"] for r in texts.collect() if r["n"] > per_language}
     if share:
         part = F.create_map(*[F.lit(x) for k in sorted(share) for x in (k, share[k])])
         at = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000
         rows = rows.where(at < F.coalesce(F.try_element_at(part, F.col("lang")), F.lit(1.0)))
+    return rows.distinct()
+
+
+def learn_profiles(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", size: int = SIZE,
+                   per_language: int = 4000) -> dict[str, np.ndarray]:
+    """Each language's n-grams by falling frequency."""
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
+    rows = sampled_texts(rows, per_language)
     counts = rows.mapInArrow(_count, "lang string, gram long, times long").groupBy("lang", "gram").agg(F.sum("times").alias("times"))
     by_times = Window.partitionBy("lang").orderBy(F.desc("times"), "gram")
     top = counts.withColumn("rank", F.row_number().over(by_times)).where(F.col("rank") <= size)

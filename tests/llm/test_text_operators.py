@@ -254,3 +254,15 @@ def test_exact_dedup_hot_group(spark):
                                     F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("text"))
     out = exact_dedup.exact_dedup(docs)
     assert out.where("kept").count() == 4001 and out.where("group_size = 2000 and keep_id = 5997").count() == 2000
+
+
+def test_language_sample_holds_its_bound_and_copies_do_not_rule(spark):
+    rnd = random.Random(5)
+    rows = [("en", " ".join(rnd.choice(("the", "and", "of", "with", "that")) for _ in range(8)) + f" {chr(97 + k % 26)}{chr(97 + k // 26)}") for k in range(600)]
+    rows += [("en", "zzqx zzqx zzqx zzqx zzqx zzqx zzqx zzqx")] * 400
+    df = spark.createDataFrame(rows, "lang string, text string")
+    assert 60 <= language_id.sampled_texts(df, 100).count() <= 150
+    once = spark.createDataFrame(list(dict.fromkeys(rows)), df.schema)
+    for per_language in (100, 4000):
+        a, b = (language_id.learn_profiles(x, per_language=per_language)["en"] for x in (df, once))
+        assert a.tolist() == b.tolist()
