@@ -126,7 +126,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = rf"""
-WITH d AS (SELECT doc_id, source, md5('mix:' || coalesce(doc_id::varchar, '')) AS o,
+WITH RECURSIVE d AS (SELECT doc_id, source, md5('mix:' || coalesce(doc_id::varchar, '')) AS o,
              coalesce(len(regexp_extract_all(text, '[^{SPACE}]+')), 0)::bigint AS size FROM documents),
 s AS (SELECT source, sum(size)::bigint AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
       FROM d GROUP BY source),
@@ -137,13 +137,27 @@ l AS (SELECT *, (sum(source_size) OVER ())::double * 1.5 AS budget, sum(weight)
 c AS (SELECT *, (budget - caps) / (all_w - ws) AS level, cap / weight <= (budget - caps) / (all_w - ws) AS clamped FROM l),
 t AS (SELECT source, source_size, CASE WHEN clamped THEN cap
         ELSE weight * (SELECT arg_min(level, ws) FROM c WHERE NOT clamped) END AS target FROM c),
-x AS (SELECT *, floor(target + 0.5)::bigint AS words,
+x AS (SELECT *, floor(target + 0.5)::bigint AS goal,
         CASE WHEN source_size > 0 THEN floor(target + 0.5)::bigint // source_size ELSE 0 END AS whole FROM t),
-y AS (SELECT d.doc_id, d.size, x.source_size, x.target, x.whole, x.words - x.whole * x.source_size
-        - coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY o, d.doc_id, d.size
+g AS (SELECT a.source, doc_id, o, size, n, n * size AS words, source_size, target, whole,
+        goal - whole * source_size AS extra, n * size * 256 > source_size AS large
+      FROM (SELECT source, doc_id, o, size, count(*) AS n FROM d GROUP BY ALL) a
+      JOIN x ON a.source IS NOT DISTINCT FROM x.source),
+b AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY length(bin(words)) DESC, o, doc_id, size) AS k FROM g WHERE large),
+f AS (SELECT source, 0::bigint AS k, 0::bigint AS seen, 0::bigint AS used, false AS more FROM x
+      UNION ALL
+      SELECT b.source, b.k, f.seen + b.words,
+        f.used + CASE WHEN (2.0::double * f.used + b.words) * b.source_size <= 2.0::double * (f.seen + b.words) * b.extra THEN b.words ELSE 0 END,
+        (2.0::double * f.used + b.words) * b.source_size <= 2.0::double * (f.seen + b.words) * b.extra
+      FROM f JOIN b ON f.source IS NOT DISTINCT FROM b.source AND b.k = f.k + 1),
+y AS (SELECT g.*, extra - coalesce(u.used, 0) - coalesce(sum(words) OVER (PARTITION BY g.source ORDER BY o, doc_id, size
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remain
-      FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source)
-SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, remain)))::bigint AS taken FROM y
+      FROM g LEFT JOIN (SELECT source, max(used) AS used FROM f GROUP BY source) u ON g.source IS NOT DISTINCT FROM u.source
+      WHERE NOT large),
+z AS (SELECT doc_id, size, n, source_size, target, whole + (remain > 0 AND 2 * remain >= words)::int AS times FROM y
+      UNION ALL
+      SELECT doc_id, size, n, source_size, target, whole + f.more::int FROM b JOIN f ON f.source IS NOT DISTINCT FROM b.source AND f.k = b.k)
+SELECT doc_id, size, source_size, target, (times * size)::bigint AS taken FROM (SELECT *, unnest(range(n)) AS r FROM z)
 """
 
 
