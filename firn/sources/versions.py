@@ -74,11 +74,15 @@ class VersionedStore:
         manifest = self._pointer(self.version() if version is None else version).get(table)
         return json.loads(self._read_text(f"{self.path}/{table}/manifest/{manifest}")) if manifest else {}
 
-    def read(self, table: str, version: int | None = None, only: list[str] | None = None) -> DataFrame:
-        """The table as of a version (the last); ``only`` names the partition folders wanted."""
+    def read(self, table: str, version: int | None = None, only: list[str] | None = None, staged: bool = False) -> DataFrame:
+        """The table as of a version (the last), or as this writer has staged it; ``only`` names the partition folders wanted."""
         _, schema = self.tables[table]
         root = f"{self.path}/{table}/data"
-        paths = [f"{root}/version={v}/{f}" for f, v in self.folders(table, version).items() if only is None or f in only]
+        if staged and table in self._staged:
+            folders = json.loads(self._read_text(f"{self.path}/{table}/manifest/{self._staged[table]}"))
+        else:
+            folders = self.folders(table, version)
+        paths = [f"{root}/version={v}/{f}" for f, v in folders.items() if only is None or f in only]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", root).parquet(*paths).select(*schema.names)
