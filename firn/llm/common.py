@@ -20,14 +20,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     The files go when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/firn-{name}-{uuid.uuid4().hex}"
+    path = shared_folder(spark, name)
     df.write.parquet(path)
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder; it goes when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/firn-{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

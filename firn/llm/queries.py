@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firn.llm import chat, decontaminate, exact_dedup, html_extract, language_id, maxent_lm, mixing, near_dedup, sharding, url_rules
+from firn.llm import (chat, decontaminate, exact_dedup, fill_in_middle, html_extract, language_id, line_dedup, maxent_lm, mixing, near_dedup,
+                      sharding, url_rules)
 from firn.llm.common import SPACE
 
 from firn.sources.tables import read_table
@@ -207,6 +208,53 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that three or more of them hold."""
+    docs = read_table(spark, sf_dir, "documents")
+    index = line_dedup.LineIndex(spark, min_docs=3, min_chars=20)
+    index.insert(docs)
+    return index.strip(docs, ["doc_id"]).select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+l AS (SELECT r, doc_id, unnest(w) AS line, unnest(range(len(w))) AS k FROM d),
+x AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, max(doc_id) AS keeper FROM x WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT r) >= 3),
+y AS (SELECT r, doc_id, k, line, c.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS dropped FROM x LEFT JOIN c USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count_if(dropped)::bigint AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT dropped), '')) AS kept_sha256
+FROM y GROUP BY r
+"""
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut, form and digests of every document's fill-in-the-middle output."""
+    made = fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    restored = fill_in_middle.restore(F.col("output"), F.col("form"))
+    return made.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored, 256).alias("restored_sha256"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+             sha256('1:' || coalesce(doc_id::varchar, '')) AS h FROM documents),
+e AS (SELECT doc_id, text, u, len(u)::bigint AS n, ('0x' || h[1:8])::bigint % (len(u) + 1) AS x, ('0x' || h[9:16])::bigint % (len(u) + 1) AS y,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::bigint % 100 >= 90 THEN 'plain'
+             WHEN ('0x' || h[25:32])::bigint % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT doc_id, text, n, form, array_to_string(u[1:least(x, y)], '') AS pre,
+        array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS mid, array_to_string(u[greatest(x, y) + 1:], '') AS suf FROM e)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
 def load() -> tuple[dict, dict]:
-    found = {f.__name__: f for f in (op1_html_extract, op2_decontaminate, op3_exact_dedup, op4_near_dedup, op5_language_id, op6_lm_score, op7_url_rules, op8_mixing, op9_chat_format, op10_sharding)}
-    return found, {"op1_html_extract": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op7_url_rules": OP7_SQL, "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL}
+    found = {f.__name__: f for f in (
+        op1_html_extract, op2_decontaminate, op3_exact_dedup, op4_near_dedup, op5_language_id, op6_lm_score, op7_url_rules, op8_mixing,
+        op9_chat_format, op10_sharding, op11_line_dedup, op13_fill_in_middle)}
+    return found, {"op1_html_extract": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op7_url_rules": OP7_SQL,
+                   "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL, "op11_line_dedup": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
