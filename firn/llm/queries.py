@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firn.llm import (chat, decontaminate, exact_dedup, fill_in_middle, html_extract, language_id, line_dedup, maxent_lm, mixing, near_dedup,
-                      sharding, url_rules)
+                      sharding, spelling, url_rules)
 from firn.llm.common import SPACE
 
 from firn.sources.tables import read_table
@@ -229,6 +229,37 @@ FROM y GROUP BY r
 """
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents (one run in 31 misspelt), their near words, form and root."""
+    return spelling.group_variants(spelling.count_words(read_table(spark, sf_dir, "documents"), misspell=31))
+
+
+# crc32 by its table of 256 (from the reversed polynomial); near words by the strings with one code point cut out.
+OP12_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT b::bigint AS b, b::bigint AS v, 0 AS k FROM range(256) t(b)
+  UNION ALL SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(v ORDER BY b) AS t FROM bits WHERE k = 8),
+r AS (SELECT coalesce(doc_id::varchar, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]{7,}')) AS run FROM documents),
+u AS (SELECT id, run, count(*) AS n FROM r GROUP BY ALL),
+h AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(id || ':' || run, ''),
+          lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::bigint] ELSE [192 + (unicode(c)::bigint >> 6), 128 + (unicode(c)::bigint & 63)] END))),
+          lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) AS h FROM u, tab),
+m AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::bigint AS n FROM m WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+c AS (SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS cut FROM (SELECT *, unnest(range(1, length(word) + 1)) AS k FROM w)),
+p AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM c a JOIN c b ON a.k = b.k AND a.cut = b.cut AND a.word <> b.word
+      UNION SELECT c.word, c.n, w.word, w.n FROM c JOIN w ON c.cut = w.word
+      UNION SELECT w.word, w.n, c.word, c.n FROM c JOIN w ON c.cut = w.word),
+f AS (SELECT word, n, count(*) AS n_near, arg_min(near, (-near_n, near)) AS best, max(near_n) AS best_n FROM p GROUP BY ALL),
+g AS (SELECT word, n_near, CASE WHEN best_n >= 10 * n THEN best END AS form, CASE WHEN best_n >= 10 * n THEN best_n END AS form_n FROM f),
+o AS (SELECT word, word AS root, 0 AS hops FROM w UNION ALL SELECT o.word, g.form, hops + 1 FROM o JOIN g ON o.root = g.word WHERE g.form IS NOT NULL)
+SELECT w.word, g.form, o.root, w.n, coalesce(g.n_near, 0) AS n_near, g.form_n
+FROM w LEFT JOIN g USING (word) JOIN (SELECT word, arg_max(root, hops) AS root FROM o GROUP BY word) o USING (word)
+"""
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut, form and digests of every document's fill-in-the-middle output."""
     made = fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
@@ -255,6 +286,7 @@ FROM p
 def load() -> tuple[dict, dict]:
     found = {f.__name__: f for f in (
         op1_html_extract, op2_decontaminate, op3_exact_dedup, op4_near_dedup, op5_language_id, op6_lm_score, op7_url_rules, op8_mixing,
-        op9_chat_format, op10_sharding, op11_line_dedup, op13_fill_in_middle)}
+        op9_chat_format, op10_sharding, op11_line_dedup, op12_spelling_variants, op13_fill_in_middle)}
     return found, {"op1_html_extract": OP1_SQL, "op2_decontaminate": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op7_url_rules": OP7_SQL,
-                   "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL, "op11_line_dedup": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
+                   "op8_mixing": OP8_SQL, "op9_chat_format": OP9_SQL, "op11_line_dedup": OP11_SQL,
+                   "op12_spelling_variants": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
