@@ -87,14 +87,38 @@ def last_full_day(series: DataFrame, keys: list[str], time: str = "time") -> Dat
 
 def month_completeness(series: DataFrame, keys: list[str], time: str = "time") -> DataFrame:
     """Per monthly file: hours expected from the first day 00:00 to the last
-    day 23:00 of its month, hours present, hours missing (J08, A12).  Times are
-    whole hours, so one aggregate of distinct hours tells how many are missing."""
+    day 23:00 of its month, hours present, hours missing (J08, A12).  A row counts
+    if its time is one of the expected hours, so one off the hour hides no gap, nor does a copy."""
     month = F.trunc(F.col(time), "month")
-    present = series.groupBy(*keys, month.alias("month")).agg(F.count_distinct(time).alias("n_present"))
+    present = series.groupBy(*keys, month.alias("month")).agg(_expected_hours(time).alias("n_present"))
+    return _completeness(present)
+
+
+def _expected_hours(time: str) -> Column:
+    on_the_hour = F.date_trunc("hour", F.col(time)) == F.col(time)
+    return F.count_distinct(F.when(on_the_hour, F.col(time)))
+
+
+def _completeness(present: DataFrame) -> DataFrame:
     missing = (F.lit(24) * F.dayofmonth(F.last_day("month")) - F.col("n_present")).cast("bigint")
     return present.withColumn("n_missing", missing).withColumn("complete", F.col("n_missing") == 0)
 
 
+def file_completeness(units: DataFrame, rows: DataFrame, keys: list[str], month: str = "month",
+                      time: str = "time") -> DataFrame:
+    """J08 and A12 by file: a row for every file listed in ``units`` (``keys`` and ``month`` name it, ``reason`` says
+    what is wrong with it), also where nothing of it can be read.  Only times inside the file's own month count.
+    ``reason`` becomes ``missing hours`` for a readable file with gaps; the bad files are those with a reason."""
+    inside = rows.where(F.trunc(F.col(time), "month") == F.col(month))
+    present = inside.groupBy(*keys, month).agg(_expected_hours(time).alias("n_present"))
+    j = units.select(*keys, month, "reason").alias("u").join(
+        present.alias("p"), [F.col(f"u.{k}").eqNullSafe(F.col(f"p.{k}")) for k in (*keys, month)], "left")
+    j = _completeness(j.select(*[F.col(f"u.{k}") for k in keys], F.col(f"u.{month}").alias("month"), "u.reason",
+                               F.coalesce("p.n_present", F.lit(0)).alias("n_present")))
+    reason = F.coalesce("reason", F.when(~F.col("complete"), "missing hours"))
+    return j.select(*keys, F.col("month").alias(month), "n_present", "n_missing", reason.alias("reason"))
+
+
 def missing_days(day_classes: DataFrame, classes: tuple[str, str], first_class: str,
                  latest: str, class_col: str = "file_class", day_col: str = "date") -> DataFrame:
     """Days from the first day of ``first_class`` to ``latest`` that lack

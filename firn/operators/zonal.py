@@ -70,6 +70,17 @@ def zonal_mean(values: DataFrame, zones: DataFrame, keys=("variable", "date"),
     return every_zone(means, zones, keys, zone_col, key_rows)
 
 
+def zonal_mean_of_files(values: DataFrame, units: DataFrame, zones: DataFrame, key: str = "variable", month: str = "month",
+                        date_col: str = "date", zone_col: str = "zone", value_col: str = "value") -> DataFrame:
+    """A01 from rasters in monthly files: ``values`` are the rows of the good ones, ``units`` lists all files with a
+    ``reason`` for the bad ones.  A bad file has no rows to tell its days, so it stands for every day of the month
+    in its name; all zones are NULL on these days."""
+    days = F.explode(F.sequence(F.col(month), F.last_day(month), F.expr("INTERVAL 1 DAY")))
+    lost = units.where("reason IS NOT NULL").select(key, days.alias(date_col))
+    present = values.select(key, date_col).distinct().union(lost)
+    return zonal_mean(values, zones, (key, date_col), zone_col, value_col, key_rows=present)
+
+
 def region_mean(zone_means: DataFrame, zone_region: DataFrame, keys=("variable", "date"),
                 zone_col: str = "zone", region_col: str = "region") -> DataFrame:
     """Plain mean of catchment means per region, NULLs skipped.
