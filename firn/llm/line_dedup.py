@@ -43,6 +43,13 @@ from firn.sources.versions import VersionedStore
 STRIPPED = " \t\n\x0b\x0c\r"
 KEY = "struct<h1:long,h2:long>"
 SLOTS = 4  # of a bucket
+ROWS = 512  # of an Arrow batch that a task works on at once
+
+
+def _pieces(batches):
+    for b in batches:
+        for k in range(0, b.num_rows, ROWS):
+            yield b.slice(k, ROWS)
 
 
 # keys of lines
@@ -59,7 +66,7 @@ def line_keys(texts: pa.Array, min_chars: int) -> tuple[pa.Array, np.ndarray, np
 
 def _postings(min_chars: int):
     def keyed(batches):
-        for b in batches:
+        for b in _pieces(batches):
             _, offsets, at, h = line_keys(b.column("text"), min_chars)
             row = np.searchsorted(offsets, at, "right") - 1
             order = np.lexsort((h[:, 1], h[:, 0], row))
@@ -185,7 +192,7 @@ def _new_filter(key: tuple, keys: pd.DataFrame) -> pd.DataFrame:
 
 def _suspects(block):
     def test(batches):
-        for b in batches:
+        for b in _pieces(batches):
             lists = b.column("lines")
             keys, offsets = lists.flatten(), lists.offsets.to_numpy()
             h1, h2 = (np.ascontiguousarray(keys.field(k).to_numpy()) for k in (0, 1))
@@ -198,7 +205,7 @@ def _suspects(block):
 
 def _rebuild(min_chars: int):
     def rebuild(batches):
-        for b in batches:
+        for b in _pieces(batches):
             texts, drops = pc.fill_null(b.column("text"), ""), b.column("drops")
             hit = np.flatnonzero(drops.is_valid().to_numpy(zero_copy_only=False))
             gone = [{(d["h1"], d["h2"]) for d in x} for x in drops.take(pa.array(hit)).to_pylist()]
