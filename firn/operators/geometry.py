@@ -61,15 +61,8 @@ def project_rings(zones: DataFrame, ring: str = "ring", keys=("zone", "region"),
     return zones.select(*keys, F.transform(ring, vertex).alias(ring))
 
 
-def zone_pixels(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "center",
-                zone: str = "zone", row: str = "row_i", col: str = "col_i") -> DataFrame:
-    """Pixels whose test point lies inside each zone (J11), as
-    (zone, pixel columns...).  Crossing rule: edge counts for a point
-    (x, y) when (y1 <= y) <> (y2 <= y) and x < x1 + (y - y1)(x2 - x1)/(y2 - y1);
-    odd count = inside.  ``coord='center'`` tests the pixel centre;
-    ``'corner_as_center'`` tests the upper-left corner, the half-pixel
-    north-west shift of the operational chain.  Overlapping zones each
-    get the pixel."""
+def _intervals(edges: DataFrame, pixels: DataFrame, res: float, coord: str, zone: str, row: str, col: str):
+    """Inside intervals [a, b) per zone and pixel row, pixels with their test points, and the grid."""
     shift_x, shift_y = (0.0, 0.0) if coord == "center" else (-res / 2, res / 2)
     px = pixels.select("*", (F.col("x") + shift_x).alias("_px"), (F.col("y") + shift_y).alias("_py"))
     # grid of test points: y_r = y_top - r*res, x_c = x_left + c*res
@@ -77,8 +70,7 @@ def zone_pixels(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "c
     g = px.agg(F.struct(F.max(F.col("_py") + F.col(row) * res).alias("y_top"),
                         F.min(F.col("_px") - F.col(col) * res).alias("x_left"),
                         F.max(row).alias("max_row"), F.max(col).alias("max_col"))).scalar()
-    y_top, x_left = g.getField("y_top"), g.getField("x_left")
-    max_row, max_col = g.getField("max_row"), g.getField("max_col")
+    y_top, max_row = g.getField("y_top"), g.getField("max_row")
     lo, hi = F.least("y1", "y2"), F.greatest("y1", "y2")
     # candidate rows (one row of margin each side), clipped to the grid
     r_first = F.greatest(F.floor((y_top - hi) / res).cast("int"), F.lit(0))
@@ -92,6 +84,36 @@ def zone_pixels(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "c
     w = Window.partitionBy(zone, row).orderBy("xc")
     pairs = (cr.withColumn("_k", F.floor((F.row_number().over(w) - 1) / 2))
              .groupBy(zone, row, "_k").agg(F.min("xc").alias("a"), F.max("xc").alias("b")))
+    return pairs, px, g
+
+
+def zone_runs(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "center",
+              zone: str = "zone", row: str = "row_i", col: str = "col_i") -> DataFrame:
+    """The cover of each zone in run lengths: (zone, row, first, last), columns inclusive.  The rule is that of
+    ``zone_pixels``; no row per pixel inside, so the cover of a large zone is as long as it is high."""
+    pairs, _, g = _intervals(edges, pixels, res, coord, zone, row, col)
+    left = g.getField("x_left")
+
+    def first_at(x):
+        """Least column whose test point is at x or east of it; the quotient may be off by one."""
+        c = F.floor((x - left) / res).cast("int")
+        return c + F.when(left + c * res >= x, 0).when(left + (c + 1) * res >= x, 1).otherwise(2)
+    runs = pairs.select(zone, row, F.greatest(first_at(F.col("a")), F.lit(0)).alias("first"),
+                        F.least(first_at(F.col("b")) - 1, g.getField("max_col")).alias("last"))
+    return runs.where("first <= last")
+
+
+def zone_pixels(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "center",
+                zone: str = "zone", row: str = "row_i", col: str = "col_i") -> DataFrame:
+    """Pixels whose test point lies inside each zone (J11), as
+    (zone, pixel columns...).  Crossing rule: edge counts for a point
+    (x, y) when (y1 <= y) <> (y2 <= y) and x < x1 + (y - y1)(x2 - x1)/(y2 - y1);
+    odd count = inside.  ``coord='center'`` tests the pixel centre;
+    ``'corner_as_center'`` tests the upper-left corner, the half-pixel
+    north-west shift of the operational chain.  Overlapping zones each
+    get the pixel."""
+    pairs, px, g = _intervals(edges, pixels, res, coord, zone, row, col)
+    x_left, max_col = g.getField("x_left"), g.getField("max_col")
     c_first = F.greatest(F.floor((F.col("a") - x_left) / res).cast("int"), F.lit(0))
     c_last = F.least(F.floor((F.col("b") - x_left) / res).cast("int") + 1, max_col)
     cand = (pairs.where(c_first <= c_last)
@@ -101,16 +123,39 @@ def zone_pixels(edges: DataFrame, pixels: DataFrame, res: float, coord: str = "c
     return inside.select(zone, *pixels.columns)
 
 
-def factorised_zonal_mean(zone_pixel: DataFrame, series: DataFrame, keys: list[str],
+def cluster_weights(runs: DataFrame, pixels: DataFrame, zone: str = "zone", cluster: str = "cluster",
+                    row: str = "row_i", col: str = "col_i") -> DataFrame:
+    """(zone, cluster, n): pixels of each cluster inside each zone, from run lengths.
+
+    A pixel row is one record with the ordered columns of each of its clusters, which are their prefix counts: a
+    run holds those up to its last column less those before its first.  A run meets one record and gives one row
+    for each cluster in it, so no pixel of its inside is ever a row.  A record is as wide as the grid."""
+    columns = pixels.groupBy(row, cluster).agg(F.sort_array(F.collect_list(col)).alias("cols"))
+    records = columns.groupBy(row).agg(F.collect_list(F.struct(cluster, "cols")).alias("clusters"))
+
+    def upto(cols, limit):
+        return F.size(F.filter(cols, lambda c: c <= limit))
+    inside = F.transform("clusters", lambda p: F.struct(
+        p[cluster].alias(cluster), (upto(p["cols"], F.col("last")) - upto(p["cols"], F.col("first") - 1)).alias("n")))
+    met = runs.join(records, row).select(zone, F.explode(F.filter(inside, lambda p: p["n"] > 0)).alias("p"))
+    return met.groupBy(zone, F.col(f"p.{cluster}").alias(cluster)).agg(F.sum("p.n").alias("n"))
+
+
+def pixel_weights(zone_pixel: DataFrame, zone: str = "zone", cluster: str = "cluster") -> DataFrame:
+    """The same weights counted from a table of zone pixels."""
+    return zone_pixel.groupBy(zone, cluster).agg(F.count(F.lit(1)).alias("n"))
+
+
+def factorised_zonal_mean(weights: DataFrame, series: DataFrame, keys: list[str],
                           value: str, zones: DataFrame, zone: str = "zone",
                           cluster: str = "cluster") -> DataFrame:
     """Zonal mean of cluster values spread over pixels without building the
-    pixel x day table (M02): weights n(zone, cluster) are counted once,
-    then sum(n*v)/sum(n) over non-NULL v per key and zone.  Equal to the mean
-    over pixels; zones of ``zones`` without pixels or values are NULL."""
-    n = zone_pixel.groupBy(zone, cluster).agg(F.count(F.lit(1)).alias("_n"))
-    j = series.select(cluster, *keys, value).join(n, cluster)
+    pixel x day table (M02): with the weights n(zone, cluster),
+    sum(n*v)/sum(n) over non-NULL v per key and zone.  Equal to the mean
+    over pixels; zones of ``zones`` without pixels or values are NULL.  The series is read once: a
+    cluster outside of all zones keeps its rows with a NULL zone, which carry their keys."""
+    j = series.select(cluster, *keys, value).join(weights, cluster, "left")
     v = F.col(value)
     means = j.groupBy(*keys, zone).agg(
-        (F.sum(F.col("_n") * v) / F.sum(F.when(v.isNotNull(), F.col("_n")))).alias("mean"))
-    return every_zone(means, zones, keys, zone, key_rows=series)
+        (F.sum(F.col("n") * v) / F.sum(F.when(v.isNotNull(), F.col("n")))).alias("mean"))
+    return every_zone(means, zones, keys, zone)

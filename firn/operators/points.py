@@ -18,16 +18,18 @@ def keep_last(archive: DataFrame | None, latest: DataFrame | None, keys: list[st
 
     The rule holds per point, as each point is a file: a point that only one input has passes
     through unchanged, duplicates kept.  ``order`` is a long below 2^61 that gives the
-    file order.  The winner is a partial+final aggregate over one long rank, so copies of a hot key
+    file order.  Which inputs have a point is one aggregate, joined once; a row of a one-sided point is then a group of
+    its own.  The winner is a partial+final aggregate over one long rank, so copies of a hot key
     are combined on the map side, by hash where the columns have fixed widths.
     """
     if archive is None or latest is None:
         return archive if latest is None else latest
-    both = archive.select(point).distinct().join(latest.select(point).distinct(), point, "left_semi")
-    rows = archive.unionByName(latest)
+    sides = archive.select(point, F.lit(1).alias("_side")).union(latest.select(point, F.lit(2).alias("_side")))
+    sides = sides.groupBy(point).agg(F.bit_or("_side").alias("_sides"))
+    rows = archive.unionByName(latest).join(sides, point)
+    alone = F.when(F.col("_sides") < 3, F.monotonically_increasing_id())
     rank = F.col(prio).cast("bigint") * F.lit(1 << 61) + F.col(order)
-    merged = best_row(rows.join(both, point, "left_semi"), keys, rank)
-    return merged.unionByName(rows.join(both, point, "left_anti").select(*rows.columns))
+    return best_row(rows.withColumn("_alone", alone).drop("_sides"), [*keys, "_alone"], rank).select(*archive.columns)
 
 
 # Name prefix of point series files.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from firn.functions.timecols import date_lit, water_year, water_year_bounds
 from firn.operators.common import distinct_values
+from firn.sources.textio import stored
 
 # The nodata sentinel of the rasters.
 NODATA = -9999.0
@@ -38,15 +39,17 @@ def filter_water_year(df: DataFrame, year: int, date_col: str = "date",
 
 
 def every_zone(means: DataFrame, zones: DataFrame, keys=("variable", "date"), zone_col: str = "zone",
-               key_rows: DataFrame | None = None, date_col: str = "date") -> DataFrame:
-    """A row for every zone of ``zones`` and every key present, NULL where ``means`` has none.
+               date_col: str = "date") -> DataFrame:
+    """A row for every zone of ``zones`` and every key in ``means``, NULL where ``means`` has none.
+    A key that has no zone at all stands in ``means`` with a NULL zone.
 
-    The zones generate the days between the first and the last key, which are
-    joined to the keys by date and to the means by key and zone: equi-joins only, and the list of
-    zones stays a table.  ``key_rows`` names keys that must appear even where no zone has a value."""
+    ``means`` is stored first, as keys, their span and the values all come from it.  The zones generate the days
+    between the first and the last key, which are joined to the keys by date and to the means by key and
+    zone: equi-joins only, and the list of zones stays a table."""
     keys = list(keys)
-    present = (means if key_rows is None else key_rows).select(*keys).distinct()
-    span = present.agg(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
+    means = stored(means.select(*keys, zone_col, "mean"), "zone-means")
+    present = means.select(*keys).distinct()
+    span = means.agg(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
     days = F.sequence(span.getField("lo"), span.getField("hi"), F.expr("INTERVAL 1 DAY"))
     grid = (zones.select(zone_col).where(F.col(zone_col).isNotNull()).distinct().where(span.getField("lo").isNotNull())
             .withColumn(date_col, F.explode(days)).join(present, date_col))
@@ -62,12 +65,15 @@ def zonal_mean(values: DataFrame, zones: DataFrame, keys=("variable", "date"),
     ``values`` carries one row per (pixel, key) already tagged with its zone
     (a pixel in overlapping zones appears once per zone).  The mean is a
     partial+final aggregate, so a hot zone is combined map-side, and stays long: the number of zones
-    is not limited.
+    is not limited.  ``key_rows`` names keys that must appear even where no zone has a value.
     """
     keys = list(keys)
     v = values.select(*keys, zone_col, nodata_to_null(F.col(value_col)).alias(value_col))
+    if key_rows is not None:
+        none = [F.lit(None).cast(v.schema[c].dataType).alias(c) for c in (zone_col, value_col)]
+        v = v.unionByName(key_rows.select(*keys).distinct().select(*keys, *none))
     means = v.groupBy(*keys, zone_col).agg(F.avg(value_col).alias("mean"))
-    return every_zone(means, zones, keys, zone_col, key_rows)
+    return every_zone(means, zones, keys, zone_col)
 
 
 def zonal_mean_of_files(values: DataFrame, units: DataFrame, zones: DataFrame, key: str = "variable", month: str = "month",

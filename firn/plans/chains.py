@@ -23,7 +23,7 @@ CHAIN_VARIABLES = ("SWE", "HS")
 
 def zone_products_from_points(archive: DataFrame, latest: DataFrame, pixels: DataFrame, edges: DataFrame,
                               as_of: str, res: float, variables=("swe", "snd")) -> DataFrame:
-    """archive (+) latest (A07) -> zone pixels (J11) -> factorised zonal
+    """archive (+) latest (A07) -> zone runs (J11) -> factorised zonal
     mean (M02 = J15 -> A01 without the pixel x day table) -> region
     roll-up (A02) -> product rows with quantile copies and FC (J13, J14,
     P16, P20) for both levels.  Shuffles: the overlay on (cluster, date),
@@ -32,10 +32,10 @@ def zone_products_from_points(archive: DataFrame, latest: DataFrame, pixels: Dat
     long = kl.unpivot(["cluster", "date"], list(variables), "var", "value")
     name, _ = R.product_names(F.col("var"))
     long = long.select("cluster", "date", name.alias("variable"), "value")
-    zp = G.zone_pixels(edges, pixels, res)
+    weights = G.cluster_weights(G.zone_runs(edges, pixels, res), pixels)
     zr = edges.select("zone", "region").distinct()
-    # both levels read the zone means; Spark computes their exchange once
-    zm = G.factorised_zonal_mean(zp, long, ["variable", "date"], "value", zr)
+    # both levels read the zone means, which stand in a stored table
+    zm = G.factorised_zonal_mean(weights, long, ["variable", "date"], "value", zr)
     rm = Z.region_mean(zm, zr).withColumnRenamed("region", "zone")
     cols = ["zone", "date"] + [f"{q}_{v}" for q in Z.QUANTILES for v in Z.PRODUCT_VARIABLES] + ["FC"]
     out = []

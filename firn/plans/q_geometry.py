@@ -43,6 +43,29 @@ def j11_corner_as_center(t: Tables):
     return G.zone_pixels(S.zones(t), S.s4a(t), PIXEL, coord="corner_as_center").select("zone", "pixel")
 
 
+@register("j11_zone_runs", q("""
+SELECT zone, row_i, min(col_i) AS first, max(col_i) AS last, count(*) AS n_pixels
+FROM (SELECT zone, row_i, col_i, col_i - row_number() OVER (PARTITION BY zone, row_i ORDER BY col_i) AS grp FROM zp JOIN s4a USING (pixel))
+GROUP BY zone, row_i, grp""", "s4a", "zones", extra=_inside_sql(0.0, 0.0)))
+def j11_zone_runs(t: Tables):
+    """The same cover in run lengths: first and last column of each run of a pixel row, and its pixels.  Runs are cut to
+    the columns that the grid's row has (its first pixel and the end of its last row are missing)."""
+    pixels = S.s4a(t)
+    runs = G.zone_runs(S.zones(t), pixels, PIXEL)
+    rows = pixels.groupBy("row_i").agg(F.min("col_i").alias("lo"), F.max("col_i").alias("hi"))
+    cut = runs.join(rows, "row_i").select("zone", "row_i", F.greatest("first", "lo").alias("first"), F.least("last", "hi").alias("last"))
+    cut = cut.where("first <= last")
+    return cut.withColumn("n_pixels", (F.col("last") - F.col("first") + 1).cast("bigint"))
+
+
+@register("m02_cluster_weights", q("SELECT zone, cluster, count(*) AS n FROM zp JOIN s4a USING (pixel) GROUP BY ALL",
+                                   "s4a", "zones", extra=_inside_sql(0.0, 0.0)))
+def m02_cluster_weights(t: Tables):
+    """Pixels of each cluster in each zone, as differences of prefix counts at the ends of runs."""
+    pixels = S.s4a(t)
+    return G.cluster_weights(G.zone_runs(S.zones(t), pixels, PIXEL), pixels)
+
+
 _A01P = _inside_sql(0.0, 0.0) + f""",
 zn AS (SELECT DISTINCT zone FROM zones),
 dt AS (SELECT DISTINCT date FROM s4b),
@@ -74,9 +97,10 @@ def a01_polygon_zonal_mean(t: Tables):
 
 @register("m02_factorised_mean", q(_A01P_BODY, "s4a", "s4b", "zones", extra=_A01P))
 def m02_factorised_mean(t: Tables):
-    """The same zonal mean from per-(zone, cluster) pixel counts; no pixel x day table."""
-    zp, zones = polygon_inputs(t)
-    zm = G.factorised_zonal_mean(zp, S.s4b(t), ["date"], "swe", zones)
+    """The same zonal mean from per-(zone, cluster) pixel counts; no pixel x day table and no row per zone pixel."""
+    edges, pixels = S.zones(t), S.s4a(t)
+    weights = G.cluster_weights(G.zone_runs(edges, pixels, PIXEL), pixels)
+    zm = G.factorised_zonal_mean(weights, S.s4b(t), ["date"], "swe", edges.select("zone"))
     return zm.select("date", "zone", rnd("mean").alias("mean"))
 
 

@@ -24,6 +24,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, kept in the shared scratch folder and read from there: what several branches of a plan
+    need is not computed for each, and the planner knows its size.  Survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_point_text(df: DataFrame, path: str, point_col: str, time_col: str,
                      variables: list[str]) -> None:
     """One space-delimited file set per point, columns year month day hour

@@ -47,7 +47,7 @@ def test_wgs84_zone_to_factorised_mean(spark):
     assert sorted(r.pixel for r in zp.collect()) == [0, 1, 2, 4, 5, 6, 8, 9, 10]
     ser = spark.createDataFrame([(0, "SWE", dt.date(2025, 1, 1), 1.0), (1, "SWE", dt.date(2025, 1, 1), 3.0)],
                                 "cluster int, variable string, date date, value double")
-    zm = G.factorised_zonal_mean(zp, ser, ["variable", "date"], "value", ll).first()
+    zm = G.factorised_zonal_mean(G.pixel_weights(zp), ser, ["variable", "date"], "value", ll).first()
     # the same ring in two rows is two parts that cancel; a ring inside it is a hole
     hole = [(300400.0, 4499600.0), (300600.0, 4499600.0), (300600.0, 4499400.0), (300400.0, 4499400.0)]
     grid = spark.createDataFrame([("Z", "R", ring), ("Z", "R", hole)], z.schema)

@@ -13,7 +13,7 @@ from conftest import SF_SMALL
 registry.load_all()
 # windows on partitions that are bounded by construction: a run's steps (run, cell), the crossings of a pixel
 # row (zone, row), the rows of a cell's day, a point's calendar day, a month's files, a source's days
-BOUNDED_WINDOWS = {"w01_deaccumulate", "w02_interpolate", "w03_hindcast_day", "j11_zone_pixels",
+BOUNDED_WINDOWS = {"w01_deaccumulate", "w02_interpolate", "w03_hindcast_day", "j11_zone_pixels", "j11_zone_runs", "m02_cluster_weights",
                    "j11_corner_as_center", "a01_polygon_zonal_mean", "m02_factorised_mean",
                    "chain_hourly_forcing", "chain_zone_products", "p06_level_hpa", "so04_merge_time",
                    "so02_hydro_sort", "so03_sort_by_date", "a10_days_first_seen"}
