@@ -40,7 +40,7 @@ class VersionedStore:
 
     def _names(self, path: str) -> list[str]:
         fs, p = self._fs(path)
-        return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
 
     def _write_text(self, path: str, text: str) -> None:
         fs, p = self._fs(path)
