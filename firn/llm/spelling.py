@@ -10,7 +10,7 @@
    of their grams, at the same distance from the start (before the edit) or from the end (behind it).
 4. List merging: with all grams in one order, rarest first, the first shared gram is among the first bound + 1 of both
    words.  Only these lists are merged, by one join on (gram, side, place); the long lists behind them are never read.
-5. The pairs of the merged lists are verified by their edit distance.
+5. The pairs of the merged lists are verified: sizes and hashes of quarters first (an edit leaves three alone), then the edit distance.
 
 With 3 <= gram length <= least word length - 1, a word of least length has more grams than its bound, so
 no word needs another way.  ``group_variants`` then takes for each word its near word of most occurrences as form, if that has
@@ -28,12 +28,14 @@ code points are left out; empty input gives no rows; extra columns of ``docs``,
 from __future__ import annotations
 
 from collections import Counter
+from zlib import crc32
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firn.llm.common import stored
+from firn.llm.common import shuffle_partitions, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LETTERS = r"[A-Za-zÀ-ÿ]"
@@ -92,35 +94,62 @@ def lists_to_merge(word: str, frequent: dict[str, int], longest: int) -> list[tu
     return sorted(parts, key=lambda x: (frequent.get(x[1], 0), x[1], x[0]))[:affected(parts) + 1]
 
 
+def quarters(word: str) -> int:
+    """6-bit hashes of a word's quarters (bits 0 to 23), and of its quarters as the longer of two words: the first three where the
+    shorter has them (bits 24 to 41), the last three one place on (42 to 59).
+
+    An edit is in one quarter of the shorter word.  The others are the same: at the same places, or, behind an
+    inserted code point, one place on."""
+    n = len(word)
+    own, cut = [n * k // 4 for k in range(5)], [(n - 1) * k // 4 for k in range(5)]
+    parts = ([word[own[k]:own[k + 1]] for k in range(4)] + [word[cut[k]:cut[k + 1]] for k in range(3)]
+             + [word[cut[k] + 1:cut[k + 1] + 1] for k in range(1, 4)])
+    return sum((crc32(p.encode()) & 63) << (6 * k) for k, p in enumerate(parts))
+
+
+def _list(gram: str, side: int, place: int) -> int:
+    """64-bit hash that names a list; its last bit is the side."""
+    return (xxhash.xxh3_64_intdigest(f"{place} {gram}") >> 1 << 1 | side) - (1 << 63)
+
+
 def _lists(frequent, longest: int):
     def entries(frames):
         for f in frames:
             rows = []
             for word, n in zip(f["word"], f["n"]):
-                size = len(word)
+                size, sig = len(word), quarters(word)
                 for p, g in lists_to_merge(word, frequent.value, longest):
-                    rows.append((g, 0, p, word, size, n))
-                    rows.append((g, 1, size - p, word, size, n))
-            yield pd.DataFrame(rows, columns=["gram", "side", "place", "word", "size", "n"])
+                    rows.append((_list(g, 0, p), word, size, n, sig))
+                    rows.append((_list(g, 1, size - p), word, size, n, sig))
+            yield pd.DataFrame(rows, columns=["list", "word", "size", "n", "sig"])
     return entries
 
 
+# Words of equal size come by the lists from the start alone.  All quarters but one agree, whichever it is.
+SAME = "a.size = b.size AND a.list & 1 = 0 AND a.word < b.word AND ({})".format(
+    " OR ".join(f"(a.sig ^ b.sig) & {(1 << 24) - 1 - (63 << 6 * k)} = 0" for k in range(4)))
+LONGER = "a.size + 1 = b.size AND ({})".format(" OR ".join(
+    f"((a.sig ^ shiftright(b.sig, 24)) & {(1 << 6 * k) - 1} = 0 AND (shiftright(a.sig, 6) ^ shiftright(b.sig, 42)) & {(1 << 18) - (1 << 6 * k)} = 0)"
+    for k in range(4)))
+
+
 def near_pairs(words: DataFrame, least: int = 7, frequent: int = 64, dictionary: int = 1 << 18) -> DataFrame:
     """``(word, n, near, near_n)``: every pair of words at edit distance 1, once; ``words`` has ``word`` and ``n``,
     distinct words of ``least`` code points or more."""
     longest = least - 1
-    words = stored(words.select("word", "n"), "spelling-words")
+    spark = words.sparkSession
+    words = stored(words.select("word", "n").repartition(shuffle_partitions(spark), "word"), "spelling-words")
     found = words.agg(F.sum((F.length("word") + 2) * (longest - SHORTEST + 1))).first()[0] or 0
     frequent = max(frequent, -(-found // dictionary))
     counted = (words.select(F.explode(grams(F.col("word"), longest)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
                .where(F.col("n") > frequent))
-    index = words.sparkSession.sparkContext.broadcast({r.gram: r.n for r in counted.collect()})  # at most ``dictionary`` grams
-    lists = stored(words.mapInPandas(_lists(index, longest), "gram string, side int, place int, word string, size int, n long"), "spelling-lists")
-    a, b = lists.alias("a"), lists.alias("b")
-    one = F.col("a.side") == 0
-    merged = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.side") == F.col("b.side")) & (F.col("a.place") == F.col("b.place"))
-                    & ((F.col("a.size") + 1 == F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & one & (F.col("a.word") < F.col("b.word")))))
-    return (merged.where(F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1)
+    index = spark.sparkContext.broadcast({r.gram: r.n for r in counted.collect()})  # at most ``dictionary`` grams
+    lists = stored(words.mapInPandas(_lists(index, longest), "list long, word string, size int, n long, sig long"), "spelling-lists")
+    index.destroy()
+    # the case keeps the dear test behind the cheap ones; as a filter it would be moved before them
+    near = f"CASE WHEN ({SAME}) OR ({LONGER}) THEN levenshtein(a.word, b.word, 1) = 1 ELSE false END"
+    merged = lists.alias("a").join(lists.alias("b"), F.expr(f"a.list = b.list AND {near}"))
+    return (merged
             .select("a.word", "a.n", F.col("b.word").alias("near"), F.col("b.n").alias("near_n")).distinct())
 
 

@@ -90,6 +90,13 @@ def test_lists_to_merge_share_a_gram_for_near_words():
         assert shared and len(x) <= S.affected(S.decompose(a, frequent, 6)) + 1 <= len(S.decompose(a, frequent, 6))
 
 
+def test_quarters_agree_for_near_words(spark):
+    pairs = sorted(tuple(sorted(p, key=lambda w: (len(w), w))) for p in plain_pairs(vocabulary(3000, 6)))
+    rows = [((2, len(a), a, S.quarters(a)), (len(b), b, S.quarters(b))) for a, b in pairs]
+    ab = spark.createDataFrame(rows, "a struct<list:long,size:int,word:string,sig:long>, b struct<size:int,word:string,sig:long>")
+    assert ab.where(F.expr(f"({S.SAME}) OR ({S.LONGER})")).count() == len(rows) > 500
+
+
 def test_forms_and_roots(spark):
     words = vocabulary(1500, 11) | {"international": 3000, "internationa": 200, "internationaal": 300, "nternationa": 20, "nternationaz": 2}
     frame = spark.createDataFrame(list(words.items()), "word string, n long")
