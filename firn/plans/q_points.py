@@ -210,34 +210,51 @@ def j12_reproject(t: Tables):
     return j.select("t_row", "t_col", "date", rnd("swe").alias("swe"))
 
 
-# Pixels per cluster of M01.
-MEMBERS = 50
+# Pixels per cluster of M01, its seed and number of mini-batches.
+MEMBERS, SEED, MINI_BATCHES = 50, 2, 4
+FEATURES = [f"f{i}" for i in range(7)]
+
+
+def _draw_sql(use: str, col: str = "id") -> str:
+    return f"('0x' || substr(md5('{SEED}:{use}:' || {col}::varchar), 1, 8))::bigint"
+
+
+def _nearest_sql(points: str, centres: str) -> str:
+    """Every point against every centre."""
+    gap = " + ".join(f"(p.z[{i}] - c.z[{i}]) * (p.z[{i}] - c.z[{i}])" for i in range(1, 8))
+    return f"SELECT p.id, p.z, arg_min(c.cluster, ({gap}, c.cluster)) AS cluster FROM {points} p, {centres} c GROUP BY p.id, p.z"
+
+
+def _clusters_sql() -> str:
+    """Mini-batch k-means round by round, nearest centres by brute force."""
+    unit = ", ".join(f"coalesce(floor(({f} - avg({f}) OVER ()) / nullif(stddev_samp({f}) OVER (), 0) * 65536.0 + 0.5)::bigint, 0)" for f in FEATURES)
+    ctes = [f"pt AS (SELECT pixel AS id, [{unit}] AS z FROM s7)",
+            f"c0 AS (SELECT id AS cluster, 0::bigint AS n, z FROM pt WHERE {_draw_sql('seed')} % {MEMBERS} = 0 OR id = (SELECT arg_min(id, ({_draw_sql('seed')}, id)) FROM pt))"]
+    for k in range(MINI_BATCHES):
+        at = ", ".join(f"CASE WHEN m > 0 THEN floor((n * c.z[{i}] + s[{i}])::double / (n + m))::bigint ELSE c.z[{i}] END" for i in range(1, 8))
+        ctes += [f"p{k} AS (SELECT * FROM pt WHERE {_draw_sql('batch')} % {MINI_BATCHES} = {k})", f"n{k} AS ({_nearest_sql(f'p{k}', f'c{k}')})",
+                 f"m{k} AS (SELECT cluster, count(*) AS m, [{', '.join(f'sum(z[{i}])::bigint' for i in range(1, 8))}] AS s FROM n{k} GROUP BY cluster)",
+                 f"c{k + 1} AS (SELECT c.cluster, n + coalesce(m, 0) AS n, [{at}] AS z FROM c{k} c LEFT JOIN m{k} USING (cluster))"]
+    return ",\n".join([*ctes, f"lab AS ({_nearest_sql('pt', f'c{MINI_BATCHES}')})"])
 
 
 def clustered(t: Tables):
     from firn.operators.cluster import cluster_pixels
-    return cluster_pixels(S.s7(t), "pixel", [f"f{i}" for i in range(7)], members=MEMBERS)
+    return cluster_pixels(S.s7(t), "pixel", FEATURES, members=MEMBERS, seed=SEED, batches=MINI_BATCHES)
 
 
-@register("m01_cluster_pixels", q("SELECT pixel, true AS in_range, true AS nearest FROM s7", "s7"))
+@register("m01_cluster_pixels", q("SELECT id AS pixel, cluster FROM lab", "s7", extra=_clusters_sql()))
 def m01_cluster_pixels(t: Tables):
-    """Pixels clustered by seven standardised features; labels depend on the algorithm, so what is checked
-    is that every pixel has one valid cluster and is nearest to its own centre."""
-    assigned, centroids, k = clustered(t)
-    return assigned.select("pixel", F.col("cluster").between(0, k - 1).alias("in_range"), "nearest")
+    """Pixels clustered by seven standardised features; the same rounds by brute force give the same labels."""
+    return clustered(t)[0].select("pixel", "cluster")
 
 
-@register("m01_centroids", q("SELECT count(*) AS n_pixels, true AS means_match FROM s7", "s7"))
+@register("m01_centroids", q(f"""
+SELECT cluster, count(*) AS n_pixels, {', '.join(f"{rnd_sql(f'avg({f})')} AS {f}" for f in FEATURES)}
+FROM lab JOIN s7 ON id = pixel GROUP BY cluster""", "s7", extra=_clusters_sql()))
 def m01_centroids(t: Tables):
-    """The centroids are the means of their members: their weighted mean is that of all pixels, and their sizes add up."""
-    assigned, centroids, _ = clustered(t)
-    cols = [f"f{i}" for i in range(7)]
-    whole = S.s7(t).agg(F.struct(*[F.avg(c).alias(c) for c in cols])).scalar()
-    n = F.sum("n_pixels")
-    match = F.lit(True)
-    for c in cols:
-        match = match & (F.abs(F.sum(F.col(c) * F.col("n_pixels")) / n - whole.getField(c)) < 1e-9)
-    return centroids.agg(n.alias("n_pixels"), match.alias("means_match"))
+    """Means of the raw member features and number of members of each cluster."""
+    return clustered(t)[1].select("cluster", "n_pixels", *[rnd(f).alias(f) for f in FEATURES])
 
 
 @register("io04_text_sink", q(f"""
