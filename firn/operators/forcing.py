@@ -104,7 +104,8 @@ def interpolate_hourly(knots: DataFrame, run_keys: list[str], value: str, step:
     """Piecewise-linear hourly values between irregular knots.
 
     Equals the chained 6h->3h->1h interpolations; each knot emits the
-    hours up to (not including) the next knot, the last knot itself.
+    hours up to (not including) the next knot, the last knot itself.  Every knot keeps its value; hours between
+    knots of which one is NULL are NULL.
     Only knots are shuffled; the hours are generated after the shuffle.
     """
     w = Window.partitionBy(*run_keys).orderBy(step)
@@ -114,7 +115,8 @@ def interpolate_hourly(knots: DataFrame, run_keys: list[str], value: str, step:
         F.sequence(F.col(step), F.col("_s2") - 1))
     k = k.withColumn(out_step, F.explode(hrs))
     frac = (F.col(out_step) - F.col(step)) / (F.col("_s2") - F.col(step))
-    v = F.when(F.col("_s2").isNull(), F.col(value)).otherwise(
+    # at a knot its own value, also where the next knot has none
+    v = F.when(F.col("_s2").isNull() | (F.col(out_step) == F.col(step)), F.col(value)).otherwise(
         F.col(value) + (F.col("_v2") - F.col(value)) * frac)
     return k.select(*run_keys, out_step, v.alias(value))
 

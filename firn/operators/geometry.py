@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firn.functions.geodesy import tm_forward
+from firn.functions import crs as C
 from firn.operators.zonal import every_zone
 
 
@@ -39,26 +39,21 @@ def ring_to_edges(zones: DataFrame, ring: str = "ring", keys=("zone", "region"),
                     F.col(f"_e.b.{x}").alias("x2"), F.col(f"_e.b.{y}").alias("y2"))
 
 
-# Names of the coordinate systems that zone files come in.
-WGS84 = ("EPSG:4326", "OGC:CRS84", "WGS84")
-GRID_CRS = ("EPSG:32642",)
+# Fixed value: the coordinate system of the pixel grid.
+GRID_CRS = "EPSG:32642"
 
 
-def project_rings(zones: DataFrame, ring: str = "ring", keys=("zone", "region"),
-                  crs: str | None = None) -> DataFrame:
-    """Zone rings in grid metres (IO11).  Rings in lon/lat (WGS84, also assumed when ``crs`` is
-    None, as a file without one) are projected in place, vertex by vertex, without a shuffle; rings
-    already in the grid's system pass through; another ``crs`` is refused.  A zone may have
+def project_rings(zones: DataFrame, ring: str = "ring", keys=("zone", "region"), crs: str | None = None,
+                  grid: str = GRID_CRS) -> DataFrame:
+    """Zone rings in grid metres (IO11).  ``crs`` is the code of the file's system (WGS84 when None, as a file without
+    one): vertices are points (lon, lat) of a geographic system or (x, y) of a projected one.  They are taken to WGS84 and
+    projected to ``grid`` in place, vertex by vertex, without a shuffle; rings already in the grid's
+    system pass through; an unknown code is refused.  A zone may have
     any number of rows, one for each ring (parts and holes)."""
-    if crs is not None and crs.upper() in GRID_CRS:
+    if crs is not None and crs.upper() == grid.upper():
         return zones.select(*keys, ring)
-    if crs is not None and crs.upper() not in WGS84:
-        raise ValueError(f"no conversion from {crs}; give WGS84 or {GRID_CRS[0]}")
-
-    def vertex(p):
-        ex, ny = tm_forward(p["lon"], p["lat"])
-        return F.struct(ex.alias("x"), ny.alias("y"))
-    return zones.select(*keys, F.transform(ring, vertex).alias(ring))
+    lonlat = C.to_lonlat(F.col(ring), C.by_code(crs))
+    return zones.select(*keys, C.from_lonlat(lonlat, C.by_code(grid)).alias(ring))
 
 
 def _intervals(edges: DataFrame, pixels: DataFrame, res: float, coord: str, zone: str, row: str, col: str):

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from firn.functions import crs as C
+from firn.functions import geodesy as GD
 from firn.functions.geodesy import tm_inverse
 from firn.functions.numeric import rnd, rnd_sql
 from firn.operators import geometry as G
@@ -152,3 +154,40 @@ def io11_zone_load(t: Tables):
     metres, split into numbered edges."""
     e = G.ring_to_edges(G.project_rings(wgs84_rings(t)))
     return e.select("zone", "region", "edge", *[F.round(c, 2).alias(c) for c in ("x1", "y1", "x2", "y2")])
+
+
+# Systems that zone files come in: the next UTM zone, another ellipsoid and datum, a conic.
+FILE_SYSTEMS = ("EPSG:32643", "EPSG:28412", "EPSG:3034")
+
+
+def rings_in(t: Tables, code: str):
+    """The nation rectangles' rings as a file in another system would have them."""
+    crs = C.by_code(code)
+    ring = F.col("ring")
+    if crs.shift:  # WGS84 to the datum: the reverse shift, three times for what its linear form leaves
+        def there(p):
+            return F.struct(*[c.alias(n) for c, n in zip(GD.to_geocentric(p["lon"], p["lat"], **C.Crs().axes), "XYZ")])
+        want, now = F.transform(ring, there), F.transform(ring, there)
+        for _ in range(3):
+            now = F.zip_with(want, now, lambda w, q: F.struct(*[
+                (q[n] + w[n] - c).alias(n) for c, n in zip(GD.helmert(q["X"], q["Y"], q["Z"], crs.shift), "XYZ")]))
+
+        def back(p):
+            lon, lat = GD.from_geocentric(p["X"], p["Y"], p["Z"], **crs.axes)
+            return F.struct(lon.alias("lon"), lat.alias("lat"))
+        ring = F.transform(now, back)
+    plain = C.Crs(crs.ellipsoid, crs.projection, crs.params)
+    return wgs84_rings(t).select("zone", "region", C.from_lonlat(ring, plain).alias("ring"))
+
+
+@register("io11_any_crs", q("""
+SELECT crs, zone, region, CAST(edge AS INT) AS edge, round(x1, 2) AS x1, round(y1, 2) AS y1,
+       round(x2, 2) AS x2, round(y2, 2) AS y2 FROM e CROSS JOIN (SELECT unnest(['""" + "', '".join(FILE_SYSTEMS) + """']) AS crs)""", "s4a", extra=_RECT_SQL))
+def io11_any_crs(t: Tables):
+    """The same zones from files in three other systems, each to the centimetre in grid metres."""
+    out = None
+    for code in FILE_SYSTEMS:
+        e = G.ring_to_edges(G.project_rings(rings_in(t, code), crs=code))
+        e = e.select(F.lit(code).alias("crs"), "zone", "region", "edge", *[F.round(c, 2).alias(c) for c in ("x1", "y1", "x2", "y2")])
+        out = e if out is None else out.unionByName(e)
+    return out

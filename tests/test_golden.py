@@ -132,6 +132,12 @@ def test_interpolation_hits_every_knot(spark):
     assert all(out[s] == v for _, s, v in knots)
 
 
+def test_interpolation_hits_a_knot_before_a_null(spark):
+    d = spark.createDataFrame([(1, 0, 1.0), (1, 3, 4.0), (1, 6, None), (1, 9, 7.0)], "r int, step int, v double")
+    out = {x.hour: x.v for x in P.interpolate_hourly(d, ["r"], "v").collect()}
+    assert out == {0: 1.0, 1: 2.0, 2: 3.0, 3: 4.0, 4: None, 5: None, 6: None, 7: None, 8: None, 9: 7.0}
+
+
 def test_natural_sort(spark):
     d = spark.createDataFrame([("FSM_pt_10",), ("FSM_pt_2",), ("fsm_pt_1",)], "name string")
     got = [r.name for r in d.orderBy(PT.natural_sort_key(F.col("name"))).collect()]
