@@ -19,7 +19,8 @@ string.  That string is the only thing that grows with a conversation.
 
 Defined cases: null text is empty, a null role is an empty role, a null
 conv_id is a conversation of its own; an unknown or null kind counts as
-``message``; equal rows of a log are one delivery; a log without rows gives no
+``message``; equal rows of a log are one delivery; of rows of one message with the same ``seq`` all texts stand, in order
+of text; very long texts are rendered whole; other columns of a log are not read, whatever their names; a log without rows gives no
 conversation.
 """
 
@@ -106,6 +107,12 @@ def read_back(formatted: Column) -> Column:
     return F.transform(parts, turn)
 
 
+def loss_text(formatted: Column, spans: Column) -> Column:
+    """What the loss mask covers: the text under each span of the rendered string, unescaped, in order, nothing between."""
+    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(
+        formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+
+
 def format_chats(log: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """A log folded and rendered: ``(conv_id, formatted, loss_spans)``."""
     return render(fold_messages(log), loss_role)

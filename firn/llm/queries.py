@@ -180,7 +180,7 @@ def conversation_log(rows: DataFrame) -> DataFrame:
 def chat_digests(chats: DataFrame) -> DataFrame:
     turns = chat.read_back(F.col("formatted"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
     return (chats.withColumn("turns", turns).withColumn("loss", loss)
             .select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
                     F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),

@@ -214,6 +214,27 @@ def test_round_trip_of_control_strings(spark):
         assert digests[c].turns_sha256 == hashlib.sha256("".join(f"{r[4]}\n{r[5]}\n" for r in rows if r[0] == c).encode()).hexdigest()
 
 
+def test_loss_digest_is_read_under_the_mask(spark):
+    rows = [(1, 1, 1, "message", "user", "ask <s> me"), (1, 2, 2, "message", "assistant", "an <|im_end|> answer"), (1, 3, 3, "message", "assistant", "é\U0001f600")]
+    chats = chat.format_chats(log(spark, rows))
+    right = queries.chat_digests(chats).first()
+    assert right.loss_chars == len("an <|im_end|> answeré\U0001f600")
+    for wrong in ("transform(loss_spans, s -> struct(s.start + 1 AS start, s.length AS length))", "slice(loss_spans, 1, 1)", "reverse(loss_spans)",
+                  "transform(loss_spans, s -> struct(s.start AS start, s.length + 1 AS length))"):
+        other = queries.chat_digests(chats.withColumn("loss_spans", F.expr(wrong))).first()
+        assert other.loss_sha256 != right.loss_sha256 and other.turns_sha256 == right.turns_sha256
+
+
+def test_chat_long_texts_and_clashing_names(spark):
+    long = "word <s> é " * 60_000
+    rows = [(1, 1, 1, "message", "user", long), (1, 2, 2, "message", "assistant", long), (1, 3, 3, "message", "assistant", "end")]
+    names = ("head", "body", "at", "first_seq", "loss", "formatted", "reset", "n_turns", "turns")
+    clashing = log(spark, rows).withColumns({n: F.lit("x") for n in names})
+    chats = chat.format_chats(clashing)
+    assert turns(chats) == {1: [(r[4], r[5]) for r in rows]}
+    assert queries.chat_digests(chats).first().loss_sha256 == hashlib.sha256((long + "end").encode()).hexdigest()
+
+
 def test_chat_empty(spark):
     assert chat.format_chats(log(spark, [])).collect() == []
 
