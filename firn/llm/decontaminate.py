@@ -13,15 +13,15 @@ Phrases are the windows of ``window`` consecutive words of every item; a
 shorter item is one phrase.  Words are ``[0-9a-z]`` and all code points over
 0x7F, after lower-casing A-Z.
 
-Scale: one narrow pass over the documents, without a shuffle.  Items go
-to the tasks in blocks of at most ``block_bytes`` of text, one narrow stage
-each, so neither driver nor tasks hold more than a block.  A task holds one
-shard's rows and index.
+Scale: one narrow pass over the documents, without a shuffle.  More items than
+``block_bytes`` of text go to the tasks in blocks, one stored pass each, one after the other, so neither driver nor tasks hold
+more than a block (ids that share a hash go together, an item is never cut); hits are then merged by text and joined to
+the rows.  A task holds one shard's rows and index.
 
 Defined cases: null or empty text has no words; null items and items without
 words have no phrase; a null item_id counts as an empty id; copies of an item
 count once per id; repeated rows are treated alike; input columns travel inside a struct, so
-their names can't clash; empty tables give empty or clean results.
+their names can't clash; very long texts are searched whole; empty tables give empty or clean results.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firn.llm.common import stored
+
 # Everything that isn't part of a word turns to a space, A-Z to a-z.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32
                for b in range(256))
@@ -233,12 +235,16 @@ def _search(phrases: Phrases, shard_words: int, shard_bytes: int):
     return run
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int):
-    """The items as lists of (id, text), each of about ``block_bytes`` at most."""
+def block_count(items: DataFrame, text_col: str, block_bytes: int) -> int:
+    """In how many blocks of about ``block_bytes`` at most the items go to the tasks."""
+    total = items.agg(F.sum(F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 32)).first()[0] or 0
+    return -(-total // block_bytes)
+
+
+def item_blocks(items: DataFrame, id_col: str, text_col: str, blocks: int):
+    """The items as lists of (id, text), one block after the other."""
     rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
                         F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("text"))
-    total = rows.agg(F.sum(F.length("text") + 32)).first()[0] or 0
-    blocks = -(-total // block_bytes)
     for k in range(blocks):
         yield [(r.id, bytes(r.text)) for r in rows.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()]
 
@@ -248,23 +254,38 @@ def find_phrases(docs: DataFrame, items: DataFrame, keep: list[str], text_col: s
                  shard_words: int = 1_000_000, shard_bytes: int = 32 << 20, block_bytes: int = 8 << 20) -> DataFrame:
     """``row`` (a struct of the columns in ``keep``), n_words, spans (merged, in words) and items."""
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text_col).alias("text"))
-    none = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("text", T.StringType())])
-    found = []
-    for k, block in enumerate(item_blocks(items, item_id, item_text, block_bytes)):
-        phrases = Phrases(block, window)
-        rows = rows.mapInArrow(_search(phrases, shard_words, shard_bytes), T.StructType([*none, T.StructField("found", _FOUND)]))
-        # the next block's stage carries what was found so far inside its row
-        rows = rows.select(F.struct("row", "found").alias("row"), "text")
-        none = T.StructType([T.StructField("row", rows.schema["row"].dataType), none["text"]])
-        found.append("row" + ".row" * k)
-    if not found:
-        words = F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))
-        return rows.select("row", words.cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"),
-                           F.expr("cast(array() as array<string>)").alias("items"))
-    spans = F.flatten(F.array(*[f"{p}.found.spans" for p in found]))
-    return rows.select(F.col("row" + ".row" * len(found)).alias("row"), F.col("row.found.n_words").alias("n_words"),
-                       (F.col("row.found.spans") if len(found) == 1 else merge_spans(spans)).alias("spans"),
-                       F.array_distinct(F.flatten(F.array(*[f"{p}.found.items" for p in found]))).alias("items"))
+    sizes = block_count(items, item_text, block_bytes)
+    if sizes <= 1:
+        phrases = Phrases(next(item_blocks(items, item_id, item_text, 1), []), window)
+        found = _pass(rows, phrases, shard_words, shard_bytes)
+        return found.select("row", "found.n_words", "found.spans", "found.items")
+    return _in_passes(rows, items, item_id, item_text, sizes, window, shard_words, shard_bytes)
+
+
+def _pass(rows: DataFrame, phrases: Phrases, shard_words: int, shard_bytes: int) -> DataFrame:
+    schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType()), T.StructField("found", _FOUND)])
+    return rows.mapInArrow(_search(phrases, shard_words, shard_bytes), schema)
+
+
+def _in_passes(rows: DataFrame, items: DataFrame, item_id: str, item_text: str, blocks: int, window: int, shard_words: int,
+               shard_bytes: int) -> DataFrame:
+    """One stored pass over the texts for each block of items.  What is found depends on the text alone, so a pass
+    keeps (128-bit hash of the text, spans, items) of texts with hits; these are merged by hash and joined to the rows."""
+    text = F.coalesce("text", F.lit(""))
+    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    keyed, hits = rows.select(key.alias("row"), "text"), None
+    for k, block in enumerate(item_blocks(items, item_id, item_text, blocks)):
+        found = _pass(keyed, Phrases(block, window), shard_words, shard_bytes).where(F.size("found.spans") > 0)
+        found = stored(found.select(F.col("row").alias("key"), F.lit(k).alias("block"), "found.spans", "found.items"), "phrase-hits")
+        hits = found if hits is None else hits.union(found)
+    hits = hits.groupBy("key.a", "key.b", "block").agg(F.any_value("spans").alias("spans"), F.any_value("items").alias("items"))
+    hits = hits.groupBy("a", "b").agg(merge_spans(F.flatten(F.collect_list("spans"))).alias("spans"),
+                                      F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    words = F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
+    out = rows.select("row", words.alias("n_words"), key.alias("key")).alias("r").join(
+        hits.alias("h"), (F.col("r.key.a") == F.col("h.a")) & (F.col("r.key.b") == F.col("h.b")), "left")
+    return out.select("r.row", "r.n_words", F.coalesce("h.spans", F.expr("cast(array() as array<struct<start:int,end:int>>)")).alias("spans"),
+                      F.coalesce("h.items", F.expr("cast(array() as array<string>)")).alias("items"))
 
 
 def merge_spans(spans):
