@@ -2,7 +2,8 @@
 
 1. A page is read into tokens: tags with their path of elements, and text nodes with
    theirs.  For every (host, token) the pages' occurrences are combined into one
-   vector signature: an exclusive or of hash(page, times) with the number of pages and the total.
+   vector signature: an exclusive or and a sum (which repeated pages don't cancel) of hash(page, times) with the number of
+   pages and the total.
 2. Tokens of a host with one signature have one occurrence vector: they are an
    equivalence class.  Support is absolute: tags on ``least_pages`` pages, texts on as many pages of different content.
    A text belongs to the template if its class holds a tag, or if it is on ``support`` of the pages that have its
@@ -10,13 +11,15 @@
    A class is valid on a page if its tokens stand there in the class's order
    (by mean position), and if it nests: its gaps hold other classes whole.  Invalid classes are ignored.
 3. What valid classes leave are slots.  Slot text is summed by the element that holds
-   it (an ``article`` or ``main`` for all inside it), outside of links and boilerplate elements; of a page's
-   elements, that with the most template-free text on a page of the host has the article, and a landmark decides ties.
+   it (an ``article`` or ``main`` for all inside it), outside of links and boilerplate elements.  A landmark with more
+   template-free text on a page of the host than any other holder has the article; else the least element that has nine
+   tenths of that text, with what the elements around it hold themselves.
    Texts of the template are dropped from it.  Where that would leave less than a quarter, only texts of classes with
    tags on over half of the host's pages are dropped, since the rest may be an article that was copied.
 
 Names of classes and ids are hints: a listed word marks an element as boilerplate unless that hides the page's landmark
-or, inside a compound name, most of the text around it; all hints fall where they leave no text.
+or, by all elements of its path together, most of the text around it (three quarters for a name that is listed as a whole;
+the listed name of a part of a page, such as comments, stays); all hints fall where they leave no text.
 
 Blocks end at block-level tags; character references are decoded, white space in
 a block becomes one space, and blocks are joined by one line end.
@@ -30,7 +33,8 @@ else a join whose large partitions the planner can split.
 
 Defined cases: null or empty html has the empty text; a null url or one without a
 host belongs to the host ""; hosts with fewer than ``least_pages`` pages have no template, and the page
-alone decides; repeated pages are treated alike; unclosed or stray tags are tolerated, and a page cut off in the
+alone decides; repeated pages are treated alike; very long pages are read whole; input columns travel inside a struct, so their names
+can't clash; unclosed or stray tags are tolerated, and a page cut off in the
 middle gives what it has.
 """
 
@@ -63,6 +67,8 @@ NOISE = set("ad ads advert adverts advertisement advertising sponsor sponsored b
             "notices sidebar comment comments disqus reply replies respond share sharing social related recommended promo "
             "promotion newsletter subscribe signup login menu nav navbar navigation breadcrumb breadcrumbs footer masthead "
             "toolbar popup modal overlay widget pagination pager skip hidden copyright".split())
+# Of these, the words that may as well name a layout; the others name a part of a page.
+LAYOUT = set("banner hidden masthead modal notice notices overlay popup skip toolbar widget".split())
 NOISE_ROLES = set("navigation banner contentinfo complementary search dialog alert menu form".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|"
@@ -76,7 +82,7 @@ def _hash(*parts) -> int:
 
 
 class _Element:
-    __slots__ = ("name", "path", "key", "parent", "strict", "hint", "chars", "noise", "landmark")
+    __slots__ = ("name", "path", "key", "parent", "strict", "hint", "part", "chars", "noise", "landmark")
 
     def __init__(self, name: str, attrs: str, parent: "_Element | None"):
         found = {}
@@ -88,6 +94,7 @@ class _Element:
         self.name, self.parent, self.chars = name, parent, 0
         self.strict = bool(parent and parent.strict) or name in BOILERPLATE - FORMS or _hidden(found)
         self.hint = 0  # 1: a listed word in a compound name, 2: a name that is listed
+        self.part = bool(words & NOISE - LAYOUT)
         if name not in ("html", "body", "main"):
             if name in FORMS or words & NOISE or found.get("role", "").lower() in NOISE_ROLES:
                 whole = not words & NOISE or NOISE & set(label.lower().split())
@@ -109,7 +116,7 @@ class Page:
 
     def __init__(self, html: str):
         self.tokens: list[int] = []  # keys of tags and text nodes in order
-        self.blocks: list[tuple] = []  # (text, holder, landmark, holders above, noise, characters outside links, text keys)
+        self.blocks: list[tuple] = []  # (text, holder's key, landmark, holder, noise, characters outside links, text keys)
         self._elements: list[_Element] = []
         self.paths: dict[int, str] = {}
         self.parents: dict[int, int] = {}  # element of a text token
@@ -190,10 +197,9 @@ class Page:
     def _end_block(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            holders = [e for e in self._stack if e.name not in INLINE and e.name not in LEAVES]
+            holder = next((e for e in reversed(self._stack) if e.name not in INLINE and e.name not in LEAVES), None)
             top = self._stack[-1] if self._stack else None
-            self.blocks.append((text, holders[-1].key if holders else 0, top, frozenset(e.key for e in holders), False,
-                                self._plain, tuple(self._keys)))
+            self.blocks.append((text, holder.key if holder else 0, top, holder, False, self._plain, tuple(self._keys)))
         self._text, self._keys, self._plain = [], [], 0
 
     def _mark(self) -> int:
@@ -205,8 +211,27 @@ class Page:
             e.landmark = inside or (e if e.name in LANDMARKS and not e.noise else None)
         return sum(b[5] for b in self.blocks if not (b[2] and b[2].noise))
 
+    def _lift(self, hinted: list[_Element], total: int) -> None:
+        """A name falls that would hide too much of the text around it, all elements of one path together: most of it for a
+        listed word in a compound name, three quarters for a listed name or a compound that names a part of a page.  The
+        listed name of a part stays."""
+        groups: dict[tuple, list] = defaultdict(list)
+        for e in hinted:
+            around = e.parent
+            while around and around.name not in LANDMARKS:
+                around = around.parent
+            groups[around, e.path].append(e)
+        for (around, _), alike in groups.items():
+            e, chars = alike[0], sum(x.chars for x in alike)
+            text = around.chars if around else total
+            if e.hint == 2 and e.part or e.hint == 3:
+                continue
+            if 4 * chars > 3 * text or (e.hint != 2 and not e.part and 2 * chars > text):
+                for x in alike:
+                    x.hint = 0
+
     def _settle(self) -> None:
-        """Names are hints: one falls where it would hide the page's landmark or most of the text around it."""
+        """Names are hints: one falls where it would hide the page's landmark or too much of the text around it."""
         hinted = [e for e in self._elements if e.hint and not e.strict]
         if hinted:
             total = 0
@@ -225,12 +250,7 @@ class Page:
                 if best and best.chars >= unmarked:
                     while best:
                         best.hint, best = 0, best.parent
-            for e in hinted:
-                around = e.parent
-                while around and around.name not in LANDMARKS:
-                    around = around.parent
-                if e.hint in (1, 4) and 2 * e.chars > (around.chars if around else total):
-                    e.hint = 0
+            self._lift(hinted, total)
         self._mark()
         if hinted and all(b[2] and b[2].noise for b in self.blocks):
             for e in hinted:
@@ -269,7 +289,10 @@ class Page:
             return ""
         landmarks = {b[2] for b in self.blocks if b[2] and not b[4]}
         at = max(mass, key=lambda k: (ranked.get(k, mass[k]), mass[k], k in landmarks, -k))
-        inside = [b for b in self.blocks if not b[4] and (at == b[2] or at == b[1] or at in b[3])]
+        if at in landmarks:
+            inside = [b for b in self.blocks if not b[4] and at == b[2]]
+        else:
+            inside = self._article(ranked, mass, texts)
         for known in (texts, sure):
             left = [b for b in inside if not (b[6] and known.issuperset(b[6]))]
             # where little is left, the text is a copy of other pages' rather than a template
@@ -277,9 +300,41 @@ class Page:
                 return "\n".join(b[0] for b in left)
         return "\n".join(b[0] for b in inside)
 
+    def _article(self, ranked: dict[int, float], mass: dict[int, int], texts: frozenset) -> list[tuple]:
+        """Blocks of the least element that holds nine tenths of the slots' mass, each holder counted by its mass on the host's
+        pages; and those that the elements around it hold themselves, such as a title before the article's sections.
+        Landmarks are articles of their own, which had less."""
+        outside = [b for b in self.blocks if not b[4] and not b[2]]
+        weight: dict[_Element, float] = defaultdict(float)
+        total = 0.0
+        for b in outside:
+            if mass.get(b[1]) and not (b[6] and texts.issuperset(b[6])):
+                w = b[5] * ranked.get(b[1], mass[b[1]]) / mass[b[1]]
+                total += w
+                e = b[3]
+                while e:
+                    weight[e] += w
+                    e = e.parent
+        if not total and ranked:  # the host's pages have no text of their own
+            return self._article({}, mass, texts)
+        most = [e for e, w in weight.items() if w >= 0.9 * total]
+        if not most:  # texts outside of all elements
+            return outside
+        at = min(most, key=lambda e: (weight[e], -len(e.path)))
+        above, e = set(), at.parent
+        while e:
+            above.add(e)
+            e = e.parent
+
+        def in_it(e):
+            while e and e is not at:
+                e = e.parent
+            return e is at
+        return [b for b in outside if b[3] in above or b[3] is None or in_it(b[3])]
+
 
 _COUNTS = ("host string, token long, pages long, times long, vector long, place double, mass long, is_text boolean, "
-           "parent long, holder long, seen long, seen2 long")
+           "parent long, holder long, seen long, seen2 long, vector2 long")
 
 
 def _count_tokens(batches):
@@ -288,10 +343,12 @@ def _count_tokens(batches):
         sums: dict[tuple, list] = {}
 
         def add(host, token, times, page, place, mass, is_text, parent, holder, seen, seen2):
-            row = sums.setdefault((host, token), [0, 0, 0, 0.0, 0, is_text, parent, holder, 0, 0])
+            row = sums.setdefault((host, token), [0, 0, 0, 0.0, 0, is_text, parent, holder, 0, 0, 0])
+            vector = _hash(page, times)
             row[0] += 1
             row[1] += times
-            row[2] ^= _hash(page, times)
+            row[2] ^= vector
+            row[10] += vector & 0xFFFFFFF
             row[3] += place
             row[4] += mass
             row[8] |= seen
@@ -324,26 +381,27 @@ _KINDS = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "bo
 def host_templates(pages: DataFrame, support: float = 0.3, least_pages: int = 3) -> DataFrame:
     """``(host, tokens, classes, places, masses, texts)``, parallel arrays; ``pages`` has host, key and html.
 
-    ``masses`` of elements are means over the pages that have them, without the template's texts; ``texts`` is 2 for
+    ``masses`` of elements are means over the pages that have them, without texts that different pages share; ``texts`` is 2 for
     texts that are sure to be template, 1 for likely ones, else 0."""
     counts = stored(pages.select("host", "key", "html").mapInArrow(_count_tokens, _COUNTS).groupBy("host", "token").agg(
         F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.bit_xor("vector").alias("vector"),
         F.sum("place").alias("place"), F.sum("mass").alias("mass"), F.first("is_text").alias("is_text"),
         F.max("parent").alias("parent"), F.max("holder").alias("holder"), F.bit_or("seen").alias("seen"),
-        F.bit_or("seen2").alias("seen2")).where(F.col("pages") >= least_pages), "html-tokens")
-    counts = counts.withColumn("class", F.xxhash64("vector", "pages", "times"))
+        F.bit_or("seen2").alias("seen2"), F.sum("vector2").alias("vector2")).where(F.col("pages") >= least_pages), "html-tokens")
+    counts = counts.withColumn("class", F.xxhash64("vector", "vector2", "pages", "times"))
     hosts = counts.where("token = 0").select("host", F.col("pages").alias("of"))
     tags = counts.where("token <> 0 AND NOT is_text")
     # different contents: at least as many as either half of their hash has values
     apart = F.greatest(F.bit_count("seen"), F.bit_count("seen2")) >= least_pages
     texts = counts.where(F.col("is_text") & (F.col("times") == F.col("pages")) & apart)
+    # texts of several pages are no evidence of an article, whether they make it into the template or not
+    said = texts.groupBy("host", F.col("holder").alias("token")).agg(F.sum("mass").alias("said"))
     elements = tags.select("host", F.col("token").alias("parent"), F.col("pages").alias("parent_pages"))
     tagged = tags.select("host", "class").distinct().withColumn("tagged", F.lit(True))
     texts = (texts.join(elements, ["host", "parent"], "left").join(tagged, ["host", "class"], "left").join(hosts, "host")
              .withColumn("tagged", F.coalesce("tagged", F.lit(False)))
              .where(F.col("tagged") | (F.col("pages") >= support * F.coalesce("parent_pages", "of")))
              .withColumn("text", F.when(F.col("tagged") & (2 * F.col("pages") > F.col("of")), 2).otherwise(1)))
-    said = texts.groupBy("host", F.col("holder").alias("token")).agg(F.sum("mass").alias("said"))
     tags = tags.join(said, ["host", "token"], "left").withColumn(
         "mass", F.greatest(F.lit(0), F.col("mass") - F.coalesce("said", F.lit(0)))).withColumn("text", F.lit(0))
     one = F.struct("token", "class", (F.col("place") / F.col("pages")).alias("place"),

@@ -33,7 +33,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firn.llm.common import stored, word_count
+from firn.llm.common import shuffle_partitions, stored, word_count
 
 ROWS_PER_CELL = 4096  # aimed at, of a source that has all rows
 LARGE = 256  # documents of more than this part of their source are large
@@ -77,7 +77,9 @@ def repetitions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     goal = F.floor(F.col("target") + 0.5)
     src = stored(src.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(0))
                  .withColumn("extra", goal - F.col("whole") * F.col("source_size")), "mix-sources")
-    digits = max(1, math.ceil(math.log(max(1, sized.count()) / ROWS_PER_CELL, 16)))
+    # cells enough to keep a window short, and to deal one source to every task
+    cells = max(sized.count() / ROWS_PER_CELL, 4 * shuffle_partitions(docs.sparkSession))
+    digits = max(1, math.ceil(math.log(cells, 16)))
     rows = (sized.alias("d").join(src.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
             .select("d.*", *[F.col(f"s.{c}") for c in ("source_size", "target", "whole", "extra")])
             .withColumn("cell", F.substring("order", 1, digits))

@@ -328,6 +328,16 @@ def test_pages_odd_rows(spark):
     assert main_texts(spark, []) == {}
 
 
+def test_pages_with_clashing_names_and_repeats(spark):
+    rows = [page(k // 2, f"<p>Our daily story</p><div class=in>{story(k // 2)}</div>") for k in range(12)]  # each page twice
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    names = ("row", "host", "key", "token", "tokens", "texts", "main_text", "mass")
+    got = html_extract.extract(df.withColumns({n: F.lit("x") for n in names}), ["page_id", "host", "row"]).collect()
+    assert sorted((r.row.page_id, r.main_text, r.row.host) for r in got) == sorted((k // 2, story_text(k // 2), "x") for k in range(12))
+    classes = html_extract.host_templates(df.select(F.lit("h").alias("host"), "html", F.xxhash64("html").alias("key"))).first().classes
+    assert len(set(classes)) > 1
+
+
 def test_equivalence_classes_of_a_host(spark):
     rows = [page(k, f"<nav>menu</nav><article><h1>t{k}</h1>" + f"<p>p{k}</p>" * (k + 1) + "</article><footer>foot</footer>") for k in range(5)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").select(
@@ -354,6 +364,29 @@ def test_listed_words_on_wrappers_hide_no_article(wrapper):
             assert html_extract.Page(page(1, body + outside)[2]).main_text({}, frozenset()).startswith(want), body
 
 
+LINE = "A sentence of the article about the weather in the hills that goes on for a while, so that it counts. "
+
+
+@pytest.mark.parametrize("body", [
+    "<article><h1>T</h1>{0}{1}{2}</article>|<div class='elementor-widget'>", "<div id=c><h1>T</h1>{0}{1}{2}</div>|<div class='elementor-widget'>",
+    "<div id=c><h1>T</h1>{0}{1}{2}</div>|<div class='comment-free'>", "<div class='overlay'><h1>T</h1>{0}{1}{2}</div><div>short</div>|<div>",
+    "<div class='notice content'><h1>T</h1>{0}{1}{2}</div><div>short</div>|<div>", "<form id=aspnetForm><div><h1>T</h1>{0}{1}{2}</div></form><div>short</div>|<div>",
+    "<div id=c><h1>T</h1><section class=intro>{0}</section><section class=body>{1}</section><section class=outlook>{2}</section></div>|<div>",
+    "<div id=c><h1>T</h1>{0}{1}{2}</div>|<div class='text-block'>", "<div id=c><h1>T</h1><div class=body>{0}{1}{2}</div></div>|<div>"])
+def test_layouts_lose_no_part_of_the_article(spark, body):
+    """Alike blocks with listed words, listed names around whole pages, sections without a landmark; alone and on a host."""
+    body, tag = body.split("|")
+    around = "<nav><a href=/>Home</a></nav>{}<div class=sidebar>Weather today</div><div id=comments><div class='comment-body'><p>First!</p></div></div><footer>(c)</footer>"
+
+    def html(k):
+        parts = [f"{tag}<p>{LINE * 2}{word} {k}.</p><p>{word} w{k} x{k}.</p></div>" for word in ("one", "two", "three")]
+        return page(k, around.format(body.format(*parts)))
+    want = {k: "T\n" + "\n".join(f"{LINE * 2}{word} {k}.\n{word} w{k} x{k}." for word in ("one", "two", "three")) for k in range(8)}
+    assert html_extract.Page(html(3)[2]).main_text({}, frozenset()) == want[3]
+    got = main_texts(spark, [html(k) for k in range(8)])
+    assert {k: t.removeprefix("T\n") for k, t in got.items()} == {k: t.removeprefix("T\n") for k, t in want.items()}  # T is on all pages
+
+
 def test_listed_names_are_noise_beside_an_article():
     body = ("<article><p>Short story.</p><div class='share'>Share this with all your friends, every one of them</div></article>"
             "<div class='related'><article><p>Another story, longer than the one of this page, on and on.</p></article></div>")
