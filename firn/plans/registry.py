@@ -33,5 +33,5 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that its queries register."""
-    from firn.plans import (chains, q_faults, q_forcing, q_geometry, q_merge, q_points,  # noqa: F401
+    from firn.plans import (chains, q_catalogue, q_faults, q_forcing, q_geometry, q_merge, q_points,  # noqa: F401
                             q_publish, q_quality, q_stream, q_zonal)
