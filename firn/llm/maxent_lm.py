@@ -16,6 +16,10 @@ AdaGrad steps from the common weights and sends, for each feature, its change an
 feature; the next weights are the changes averaged by those counts.  Each training
 document is in exactly one round, so all tokens are learned from once.
 
+What the two softmaxes learn is of fixed size: words beyond the ``EXACT`` first take n-gram and skip evidence as one of
+``MEMBERS`` hashed symbols only, inside which their own counts decide.  The counts grow with the corpus; the weights don't,
+and they depend a little on how the training documents lie in partitions, as each takes its own steps.
+
 Counts of all words are exact.  Words among the ``EXACT`` and the next most frequent,
 ``HEAD`` in all at most, are looked up in the tasks; the rest are joined with the counts
 in a shuffle.  Words are known by a 64-bit hash.
@@ -26,7 +30,8 @@ What grows (counts, rare words) is only shuffled.  Changes are summed by
 
 Defined cases: null text is empty and has the end token only; with no training
 tokens the base is log10(0.5 / 0.5) a token; repeated rows count and score
-each for itself; empty input gives no rows.
+each for itself; words of equal count are ranked by their hash; very long texts are read whole; empty input gives no rows; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -315,9 +320,9 @@ def _score(vocabulary: Vocabulary, of_class, of_member):
 
 
 def head_words(counts: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndarray]:
-    """The words that occur most often, by falling count, and their counts.  Counts fall into
-    steps of a sixteenth of a power of two; the words of as many whole steps as hold ``most`` words
-    at most are fetched, so what reaches the driver is bounded whatever the number of tasks."""
+    """The ``most`` words that occur most often (all, if there are fewer), by falling count and then by hash, and their
+    counts.  Counts fall into steps of a sixteenth of a power of two; whole steps are fetched as they are, and of the step that
+    would be too many the first words in order, so what reaches the driver is ``most`` words at most."""
     step = F.floor(F.log2("times") * 16).cast("int")
     sizes = sorted(((r["step"], r["n"]) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True)
     least, n = None, 0
@@ -325,9 +330,14 @@ def head_words(counts: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndar
         if n + size > most:
             break
         least, n = at, n + size
-    if least is None:
+    words = counts.select("word", "times")
+    parts = [] if least is None else [words.where(step >= least).toPandas()]
+    cut = [at for at, _ in sizes if least is None or at < least][:1]
+    if cut and n < most:
+        parts.append(words.where(step == cut[0]).orderBy(F.desc("times"), "word").limit(most - n).toPandas())
+    if not parts:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    top = counts.where(step >= least).select("word", "times").toPandas().sort_values(["times", "word"], ascending=[False, True])
+    top = pd.concat(parts).sort_values(["times", "word"], ascending=[False, True])
     return top["word"].to_numpy(np.int64), top["times"].to_numpy(np.int64)
 
 
