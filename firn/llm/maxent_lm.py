@@ -71,10 +71,14 @@ class _WordHashes(dict):
         return h
 
 
-def token_hashes(text: bytes | None, hashes: _WordHashes) -> np.ndarray:
+def tokens_of(text: bytes | None) -> list[bytes]:
     words = (text or b"").translate(_LOWER).split()
     words.append(END)
-    return np.array([hashes[w] for w in words], np.uint64).view(np.int64)
+    return words
+
+
+def token_hashes(text: bytes | None, hashes: _WordHashes) -> np.ndarray:
+    return np.array([hashes[w] for w in tokens_of(text)], np.uint64).view(np.int64)
 
 
 def _texts(batch: pa.RecordBatch, column: int):
@@ -110,6 +114,9 @@ class Vocabulary:
         rank[:] = np.arange(len(words))[order]
         self.symbols = np.where(rank < EXACT, rank, hashed_symbol(self.words))
         self.tokens, self.types = tokens, types
+        # a word's code is its place here, or behind them its hashed symbol
+        self.symbol_of = np.concatenate((self.symbols, EXACT + np.arange(MEMBERS)))
+        self.count_of = np.concatenate((self.counts, np.full(MEMBERS, -1, np.int64)))
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbol of each word, and its count, -1 outside the head."""
@@ -124,6 +131,22 @@ def hashed_symbol(words: np.ndarray) -> np.ndarray:
     return EXACT + (words % MEMBERS)
 
 
+class _WordCodes(dict):
+    """Codes of words, looked up once for each word that a task meets."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.places = {h: k for k, h in enumerate(vocabulary.words.tolist())}
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        h = xxhash.xxh64_intdigest(word)
+        h -= (h >> 63) << 64
+        self[word] = code = self.places.get(h, len(self.places) + h % MEMBERS)
+        return code
+
+
 def first_weights(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All zero but the biases, which give each symbol its frequency."""
     share = (tokens + 0.5).reshape(CLASSES, MEMBERS)
@@ -234,16 +257,16 @@ _MESSAGE = "part int, slice int, lane int, seen binary, change binary"
 
 def _train(vocabulary: Vocabulary, of_class, of_member, rate: float, lanes: int):
     def run(batches):
-        hashes, trainer = _WordHashes(), Trainer(of_class, of_member, rate)
+        codes, trainer = _WordCodes(vocabulary), Trainer(of_class, of_member, rate)
         held, n, any_text = [], 0, False
 
         def learn():
-            symbols = vocabulary.look_up(np.concatenate(held))[0]
+            symbols = vocabulary.symbol_of[np.concatenate(held)]
             trainer.learn(symbols, *_history(symbols, np.array([len(x) for x in held])))
         for batch in batches:
             for text in _texts(batch, 0):
                 any_text = True
-                held.append(token_hashes(text, hashes))
+                held.append(np.array([codes[w] for w in tokens_of(text)], np.int64))
                 n += len(held[-1])
                 if n >= 32 * STEP:
                     learn()
@@ -297,15 +320,17 @@ def _score(vocabulary: Vocabulary, of_class, of_member):
     per_symbol = np.log10(vocabulary.tokens + 0.5 * (vocabulary.types + 1))
 
     def run(batches):
-        hashes, row = _WordHashes(), TaskContext.get().partitionId() << 33
+        codes, hashes, row = _WordCodes(vocabulary), _WordHashes(), TaskContext.get().partitionId() << 33
+        first_rare = len(vocabulary.words)
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                tokens = [token_hashes(t, hashes) for t in part.column(2).cast(pa.binary()).to_pylist()]
+                words = [tokens_of(t) for t in part.column(2).cast(pa.binary()).to_pylist()]
+                tokens = [np.array([codes[w] for w in x], np.int64) for x in words]
                 lengths = np.array([len(t) for t in tokens])
-                words = np.concatenate(tokens)
-                symbols, counts = vocabulary.look_up(words)
-                head = counts >= 0
+                code = np.concatenate(tokens)
+                symbols, counts, head = vocabulary.symbol_of[code], vocabulary.count_of[code], code < first_rare
+                rare = [np.array([hashes[x[k]] for k in np.flatnonzero(t >= first_rare)], np.uint64).view(np.int64) for x, t in zip(words, tokens)]
                 model = log_probs(symbols, *_history(symbols, lengths), of_class, of_member) - per_symbol[symbols]
                 starts = np.concatenate(([0], lengths.cumsum()[:-1]))
                 logs = np.where(head, np.log10(np.maximum(counts, 0) + 0.5), 0.0)
@@ -313,7 +338,7 @@ def _score(vocabulary: Vocabulary, of_class, of_member):
                     pa.array(row + np.arange(len(tokens)), pa.int64()), part.column(0), part.column(1),
                     pa.array(lengths, pa.int64()), pa.array(np.add.reduceat(head.astype(np.int64), starts), pa.int64()),
                     pa.array(np.add.reduceat(logs, starts)), pa.array(np.add.reduceat(model, starts)),
-                    pa.array([w[~h] for w, h in zip(np.split(words, starts[1:]), np.split(head, starts[1:]))], pa.list_(pa.int64()))],
+                    pa.array(rare, pa.list_(pa.int64()))],
                     names=["row", "doc_id", "held_out", "n_tokens", "n_known", "log_counts", "model", "rare"])
                 row += len(tokens)
     return run
