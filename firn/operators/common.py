@@ -16,6 +16,23 @@ def distinct_values(df: DataFrame, col: str, limit: int = MAX_DIMENSION_VALUES)
         raise ValueError(f"{col} has more than {limit} distinct values; keep it long")
     return sorted(v for v in vals if v is not None)
 
+# Rows that one task groups or sorts at most, about; a hash table over them takes some hundred MB.
+TASK_ROWS = 1 << 20
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in as many pieces as ``rows`` need, at least one a core: a task's share stays the same as the input
+    grows.  Unlike the pieces that adaptive execution joins by bytes, these are not joined."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return df.repartition(n, *keys)
+
+
+def join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join in pieces by the number of joined rows, so that an aggregate right after it has a bounded share in each
+    task.  Both sides are read twice (for the number first): pass stored or cheap tables."""
+    n_left, n_right = (d.groupBy(key).agg(F.count(F.lit(1)).alias(f"_n{k}")) for k, d in enumerate((left, right)))
+    rows = n_left.join(n_right, key).agg(F.sum(F.col("_n0") * F.col("_n1"))).first()[0] or 0
+    return spread(left, rows, key).join(spread(right, rows, key), key)
 
 
 def best_row(df: DataFrame, keys: list[str], rank: Column, least: bool = False) -> DataFrame:

@@ -24,6 +24,17 @@ def cluster_to_pixel(pixels: DataFrame, series: DataFrame, cluster: str = "clust
     return pixels.join(series, cluster)
 
 
+def cluster_to_pixel_in_order(pixels: DataFrame, series: DataFrame, order: list[str], cluster: str = "cluster") -> DataFrame:
+    """The same for a ``series`` that is partitioned by cluster, in ``order`` inside each of its pieces.
+
+    The series is sorted before it is spread: its rows, not those of all pixels, and they meet a hash table of a
+    piece's pixels as they come, which keeps their order.  So pixel rows are neither shuffled nor sorted."""
+    # the running number stands between sort and join; without it the optimizer drops a sort below a join
+    s = series.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    j = s.where(F.col("_at") >= 0).join(pixels.hint("shuffle_hash"), cluster)
+    return j.select(*pixels.columns, *[c for c in series.columns if c != cluster])
+
+
 def product_names(var: Column) -> tuple[Column, Column]:
     """(product name, unit) of a model variable; unknown names upper-cased
     with a NULL unit (P17).  A literal map lookup, no join."""

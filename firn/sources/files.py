@@ -15,15 +15,16 @@ CLASS_PATTERNS = {"reanalysis": r"^PLEV_20", "daily_fc": r"^PLEV_FC_20", "cont_f
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], fmt: str = "parquet",
-                      within: list[str] | None = None, **options) -> None:
+                      within: list[str] | None = None, gather: bool = True, **options) -> None:
     """Partitioned write to a new path.
 
     A ``REBALANCE`` on the partition columns brings a folder's rows together without a sampling
     pass; adaptive execution joins small folders in one task and splits a large one (a day holding
     a third of the data) over many.  Rows are sorted by ``within`` inside a task's folder, so
-    ranges of these columns skip row groups."""
-    out = df.hint("rebalance", *by)
-    if within:
+    ranges of these columns skip row groups.  Without ``gather`` each task writes its rows into their
+    folders as they come: for rows that are many times what they were made from and stand in order already."""
+    out = df.hint("rebalance", *by) if gather else df
+    if within and gather:
         out = out.sortWithinPartitions(*by, *within)
     w = out.write.mode("errorifexists").partitionBy(*by)
     for k, v in options.items():

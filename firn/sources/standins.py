@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firn.functions.timecols import ntz, trunc_hour
+from firn.operators.common import spread
 from firn.sources.tables import Tables
 
 # Bounds of the S1 sources.
@@ -123,9 +124,10 @@ def s4a(t: Tables) -> DataFrame:
 def s4b(t: Tables) -> DataFrame:
     """Cluster series over every date: cluster, date, swe, snd, rof, gst.
     (FIXTURES.md cuts it to 30 days; the whole table is used here.)"""
-    sd = F.col("l_shipdate")
-    return (t.lineitem
-            .groupBy(F.col("l_suppkey").alias("cluster"), F.to_date(sd).alias("date"))
+    # few rows share a cluster and day: brought together first, the groups of a task are bounded
+    li = spread(t.lineitem.select(F.col("l_suppkey").alias("cluster"), F.to_date("l_shipdate").alias("date"),
+                                  "l_extendedprice", "l_quantity", "l_discount", "l_tax"), t.lineitem.count(), "cluster")
+    return (li.groupBy("cluster", "date")
             .agg(F.avg("l_extendedprice").alias("swe"), F.avg("l_quantity").alias("snd"),
                  F.avg("l_discount").alias("rof"), F.avg("l_tax").alias("gst")))
 
