@@ -27,12 +27,12 @@ def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
-def join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join in pieces by the number of joined rows, so that an aggregate right after it has a bounded share in each
-    task.  Both sides are read twice (for the number first): pass stored or cheap tables."""
+def join_spread(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Inner or left join in pieces by the number of joined rows, so that an aggregate right after it has a bounded share in
+    each task.  Both sides are read twice (for the number first): pass stored or cheap tables."""
     n_left, n_right = (d.groupBy(key).agg(F.count(F.lit(1)).alias(f"_n{k}")) for k, d in enumerate((left, right)))
-    rows = n_left.join(n_right, key).agg(F.sum(F.col("_n0") * F.col("_n1"))).first()[0] or 0
-    return spread(left, rows, key).join(spread(right, rows, key), key)
+    rows = n_left.join(n_right, key, how).agg(F.sum(F.col("_n0") * F.coalesce("_n1", F.lit(1)))).first()[0] or 0
+    return spread(left, rows, key).join(spread(right, rows, key), key, how)
 
 
 def best_row(df: DataFrame, keys: list[str], rank: Column, least: bool = False) -> DataFrame:

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firn.functions import crs as C
+from firn.operators.common import join_spread
 from firn.operators.zonal import every_zone
+from firn.sources.textio import stored
 
 
 def ring_to_edges(zones: DataFrame, ring: str = "ring", keys=("zone", "region"),
@@ -147,9 +149,11 @@ def factorised_zonal_mean(weights: DataFrame, series: DataFrame, keys: list[str]
     """Zonal mean of cluster values spread over pixels without building the
     pixel x day table (M02): with the weights n(zone, cluster),
     sum(n*v)/sum(n) over non-NULL v per key and zone.  Equal to the mean
-    over pixels; zones of ``zones`` without pixels or values are NULL.  The series is read once: a
+    over pixels; zones of ``zones`` without pixels or values are NULL.  Series and weights are stored, as the number of
+    joined rows is told before they are joined, in pieces that a task can group; a
     cluster outside of all zones keeps its rows with a NULL zone, which carry their keys."""
-    j = series.select(cluster, *keys, value).join(weights, cluster, "left")
+    series, weights = stored(series.select(cluster, *keys, value), "series"), stored(weights, "weights")
+    j = join_spread(series, weights, cluster, "left")
     v = F.col(value)
     means = j.groupBy(*keys, zone).agg(
         (F.sum(F.col("n") * v) / F.sum(F.when(v.isNotNull(), F.col("n")))).alias("mean"))

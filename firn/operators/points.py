@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from firn.functions.names import natural_key
 from firn.functions.timecols import hydro_month
-from firn.operators.common import best_row
+from firn.operators.common import best_row, spread
 
 
 def keep_last(archive: DataFrame | None, latest: DataFrame | None, keys: list[str], point: str = "cluster",
@@ -20,13 +20,15 @@ def keep_last(archive: DataFrame | None, latest: DataFrame | None, keys: list[st
     through unchanged, duplicates kept.  ``order`` is a long below 2^61 that gives the
     file order.  Which inputs have a point is one aggregate, joined once; a row of a one-sided point is then a group of
     its own.  The winner is a partial+final aggregate over one long rank, so copies of a hot key
-    are combined on the map side, by hash where the columns have fixed widths.
+    are combined on the map side, by hash where the columns have fixed widths.  Rows come together by point in
+    pieces of bounded size, where they are grouped.
     """
     if archive is None or latest is None:
         return archive if latest is None else latest
+    both = archive.unionByName(latest)
     sides = archive.select(point, F.lit(1).alias("_side")).union(latest.select(point, F.lit(2).alias("_side")))
     sides = sides.groupBy(point).agg(F.bit_or("_side").alias("_sides"))
-    rows = archive.unionByName(latest).join(sides, point)
+    rows = spread(both, both.count(), point).join(sides, point)
     alone = F.when(F.col("_sides") < 3, F.monotonically_increasing_id())
     rank = F.col(prio).cast("bigint") * F.lit(1 << 61) + F.col(order)
     return best_row(rows.withColumn("_alone", alone).drop("_sides"), [*keys, "_alone"], rank).select(*archive.columns)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firn.functions.geodesy import tm_forward
+from firn.operators.common import join_spread
+from firn.sources.textio import stored
 
 # Model variable -> (product name, unit); others are upper-cased.
 PRODUCT_NAMES = {"swe": ("SWE", "mm"), "snd": ("HS", "m"), "rof": ("ROF", "mm"), "gst": ("GST", "k")}
@@ -24,6 +26,11 @@ def cluster_to_pixel(pixels: DataFrame, series: DataFrame, cluster: str = "clust
     return pixels.join(series, cluster)
 
 
+def cluster_to_pixel_to_group(pixels: DataFrame, series: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """The same for pixel rows that are grouped next: the join is cut by the number of pixel rows.  ``series`` is read twice."""
+    return join_spread(stored(pixels, "pixels"), series, cluster)
+
+
 def cluster_to_pixel_in_order(pixels: DataFrame, series: DataFrame, order: list[str], cluster: str = "cluster") -> DataFrame:
     """The same for a ``series`` that is partitioned by cluster, in ``order`` inside each of its pieces.
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firn.functions.timecols import date_lit, water_year, water_year_bounds
-from firn.operators.common import distinct_values
+from firn.operators.common import distinct_values, spread
 from firn.sources.textio import stored
 
 # The nodata sentinel of the rasters.
@@ -45,7 +45,7 @@ def every_zone(means: DataFrame, zones: DataFrame, keys=("variable", "date"), zo
 
     ``means`` is stored first, as keys, their span and the values all come from it.  The zones generate the days
     between the first and the last key, which are joined to the keys by date and to the means by key and
-    zone: equi-joins only, and the list of zones stays a table."""
+    zone: equi-joins only, in pieces by the number of rows, and the list of zones stays a table."""
     keys = list(keys)
     means = stored(means.select(*keys, zone_col, "mean"), "zone-means")
     present = means.select(*keys).distinct()
@@ -53,6 +53,8 @@ def every_zone(means: DataFrame, zones: DataFrame, keys=("variable", "date"), zo
     days = F.sequence(span.getField("lo"), span.getField("hi"), F.expr("INTERVAL 1 DAY"))
     grid = (zones.select(zone_col).where(F.col(zone_col).isNotNull()).distinct().where(span.getField("lo").isNotNull())
             .withColumn(date_col, F.explode(days)).join(present, date_col))
+    rows = zones.select(zone_col).distinct().count() * present.count()
+    grid, means = (spread(d, rows, *keys, zone_col) for d in (grid, means))
     return grid.join(means, [*keys, zone_col], "left").select(*keys, zone_col, "mean")
 
 

@@ -15,6 +15,7 @@ from firn.operators import zonal as Z
 from firn.plans.registry import register
 from firn.sources import standins as S
 from firn.sources.tables import Tables
+from firn.sources.textio import stored
 
 PIXEL = 500.0
 
@@ -90,8 +91,8 @@ def polygon_inputs(t: Tables):
 def a01_polygon_zonal_mean(t: Tables):
     """Daily zonal mean of SWE over polygon pixels; an empty zone is NULL."""
     zp, zones = polygon_inputs(t)
-    s4b = S.s4b(t)
-    vals = R.cluster_to_pixel(zp, s4b.select("cluster", "date", "swe"))
+    s4b = stored(S.s4b(t).select("cluster", "date", "swe"), "cluster-series")
+    vals = R.cluster_to_pixel_to_group(zp.select("zone", "pixel", "cluster"), s4b)
     zm = Z.zonal_mean(vals.select("date", "zone", F.col("swe").alias("value")), zones, keys=("date",),
                       key_rows=s4b)
     return zm.select("date", "zone", rnd("mean").alias("mean"))
