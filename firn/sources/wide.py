@@ -36,15 +36,21 @@ def zone_chunks(zones: DataFrame, zone_col: str = "zone", per_chunk: int = 1000)
 
 def write_wide_chunks(long: DataFrame, path: str, key: str, zone_col: str = "zone", value_col: str = "mean", per_chunk: int = 1000) -> None:
     """Long -> wide files (IO06): every key of ``long`` in every chunk; a value that is not there is an empty field."""
-    spots = stored(zone_chunks(long, zone_col, per_chunk), "zone-chunks")
+    long = stored(long.select(key, zone_col, value_col), "long")
+    spots = zone_chunks(long, zone_col, per_chunk)
     keys = long.agg(F.sort_array(F.collect_set(key))).scalar()  # dates
-    names = spots.groupBy("chunk").agg(F.sort_array(F.collect_list(zone_col)).alias("names"))
-    values = long.join(spots, zone_col).groupBy("chunk", key).agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col(zone_col), F.col(value_col).cast("string")))).alias("of"))
-    grid = names.withColumn(key, F.explode(keys))
-    cells = F.transform("names", lambda z: F.coalesce(F.try_element_at("of", z), F.lit("")))
-    rows = grid.join(values, ["chunk", key], "left").select("chunk", F.lit(1).alias("_order"), key, F.concat_ws(
-        ",", F.col(key).cast("string"), F.array_join(cells, ",")).alias("value"))
+    names = stored(spots.groupBy("chunk").agg(F.sort_array(F.collect_list(zone_col)).alias("names")), "zone-chunks")
+    places = names.select("chunk", F.posexplode("names").alias("_at", zone_col))
+    # the values of a line in the order of its columns; a column may have one (a map refuses a second)
+    values = long.join(places, zone_col).groupBy("chunk", key).agg(F.sort_array(F.map_entries(F.map_from_entries(F.collect_list(F.struct(
+        F.col("_at"), F.col(value_col).cast("string")))))).alias("of"))
+    grid = names.select("chunk", F.size("names").alias("_width"), F.explode(keys).alias(key))
+    # before each value the commas since the one before, behind the last those to the end: no look-up of each column
+    place = lambda i: F.coalesce(F.get("of", i)["key"], F.lit(-1))
+    cells = F.transform("of", lambda x, i: F.concat(F.repeat(F.lit(","), x["key"] - place(i - 1)), F.coalesce(x["value"], F.lit(""))))
+    line = F.concat(F.coalesce(F.array_join(cells, ""), F.lit("")), F.repeat(F.lit(","), F.col("_width") - 1 - place(F.size("of") - 1)))
+    rows = grid.join(values, ["chunk", key], "left").select("chunk", F.lit(1).alias("_order"), key, F.concat(
+        F.col(key).cast("string"), line).alias("value"))
     header = names.select("chunk", F.lit(0).alias("_order"), F.lit(None).cast(long.schema[key].dataType).alias(key), F.concat_ws(
         ",", F.lit(key), F.array_join(F.transform("names", _quoted), ",")).alias("value"))
     lines = header.unionByName(rows)
@@ -57,7 +63,8 @@ def number_repeats(names: Column) -> Column:
     def numbered(name, k):
         before = F.size(F.filter(F.slice(names, F.lit(1), k), lambda x: x == name))
         return F.when(before > 0, F.concat(name, F.lit("."), before.cast("string"))).otherwise(name)
-    return F.transform(names, numbered)
+    # names that all differ, the usual case, need not be compared with each other
+    return F.when(F.size(F.array_distinct(names)) == F.size(names), names).otherwise(F.transform(names, numbered))
 
 
 def read_wide_chunks(spark: SparkSession, path: str, key: str, key_type: str = "date", zone_col: str = "zone",
