@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firn.operators.common import spread
 from firn.sources.textio import stored
 
 UNIT = 1 << 16  # of a standard deviation
@@ -47,6 +48,9 @@ def nearest_centres(points: DataFrame, centres: DataFrame, n: int, seed: int = 2
     """``(id, z, cluster)`` for ``points`` (id, z): the nearest of ``centres`` (cluster, z) of ``n`` dimensions, the least
     cluster on ties."""
     k = centres.count()
+    # a point may meet every centre: as the input grows the pieces get more, and the pairs in one do not.  Few points meet
+    # more than a quarter
+    points = spread(points, points.count() * k // 4, "id")
     step = max(1, round(k ** 0.5))
     some = centres.where((draw(F.col("cluster"), seed, "pivot") % step == 0) | (F.col("cluster") == centres.agg(F.min("cluster")).scalar()))
     pivots = some.agg(F.collect_list(F.struct("cluster", "z"))).scalar()
