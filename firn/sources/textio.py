@@ -41,10 +41,10 @@ def write_point_text(df: DataFrame, path: str, point_col: str, time_col: str,
     t = F.col(time_col)
     line = F.concat_ws(" ", F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
                        *[F.coalesce(F.col(v).cast("string"), F.lit(MISSING)) for v in variables])
-    # range-partitioned on (point, time): a task writes into one or two
-    # point folders instead of all of them, and a very long point series
-    # is split over several tasks (several part files in its folder)
-    (df.repartitionByRange(point_col, time_col).select(point_col, line.alias("value"))
+    # rebalanced on the point: a task writes into its own point folders instead of all of them, without a sampling pass
+    # that computes the rows twice, and adaptive execution splits a very long point series over several tasks (several
+    # part files in its folder)
+    (df.select(point_col, line.alias("value")).hint("rebalance", point_col)
      .write.partitionBy(point_col).text(path))
 
 
