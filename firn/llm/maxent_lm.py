@@ -22,7 +22,7 @@ and they depend a little on how the training documents lie in partitions, as eac
 
 Counts of all words are exact.  Words among the ``EXACT`` and the next most frequent,
 ``HEAD`` in all at most, are looked up in the tasks; the rest are joined with the counts
-in a shuffle.  Words are known by a 64-bit hash.
+in a shuffle.  Words are known by a 64-bit hash, taken once for each distinct word of a piece of some MB of text.
 
 Scale: the tasks hold ``HEAD`` counts and the weights (about 6 MB), both of fixed size.
 What grows (counts, rare words) is only shuffled.  Changes are summed by
@@ -41,6 +41,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -56,14 +57,15 @@ PAIRS = 1 << 12
 CLASS_ROWS = 1 + 2 * SYMBOLS + PAIRS  # bias, last word, word before, both
 MEMBER_LAST, MEMBER_SKIP = 1 << 14, 1 << 13
 MEMBER_ROWS = CLASSES + MEMBER_LAST + MEMBER_SKIP  # a bias a class, then hashed (feature, class)
-BATCH = 4096  # tokens scored at once
+BLOCK = 1024  # tokens of a softmax at once
 STEP = 8192  # tokens of a training step
 SLICES = 16
 END = b"\n"  # no word has white space
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 class _WordHashes(dict):
+    """Hashes of single words."""
+
     def __missing__(self, word: bytes) -> int:
         if len(self) > 300_000:
             self.clear()
@@ -71,31 +73,55 @@ class _WordHashes(dict):
         return h
 
 
-def tokens_of(text: bytes | None) -> list[bytes]:
-    words = (text or b"").translate(_LOWER).split()
-    words.append(END)
-    return words
-
-
-def token_hashes(text: bytes | None, hashes: _WordHashes) -> np.ndarray:
-    return np.array([hashes[w] for w in tokens_of(text)], np.uint64).view(np.int64)
-
-
-def _texts(batch: pa.RecordBatch, column: int):
-    for a in range(0, batch.num_rows, 512):
-        yield from batch.slice(a, 512).column(column).cast(pa.binary()).to_pylist()
+def _hashes_of(words: pa.Array) -> np.ndarray:
+    words = words.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words with that of ``END`` last, each token's place among them, and each text's number of tokens."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    coded = lists.flatten().dictionary_encode()
+    places = coded.indices.to_numpy()
+    words = lists.value_lengths().to_numpy()
+    empty = pc.index(coded.dictionary, pa.scalar("", coded.dictionary.type)).as_py()  # what stands before or behind white space at an edge
+    if empty >= 0:
+        text = np.repeat(np.arange(len(words)), words)[places == empty]
+        words = words - np.bincount(text, minlength=len(words))
+        places = places[places != empty]
+    lengths = words.astype(np.int64) + 1
+    is_word = np.ones(lengths.sum(), bool)
+    is_word[lengths.cumsum() - 1] = False
+    tokens = np.full(len(is_word), len(coded.dictionary), np.int64)
+    tokens[is_word] = places
+    return np.append(_hashes_of(coded.dictionary), _hashes_of(pa.array([END]))), tokens, lengths
+
+
+def _pieces(batch: pa.RecordBatch, column: int, most: int = 1 << 22):
+    """The batch in runs of rows, cut where its texts pass a multiple of ``most`` bytes."""
+    if not batch.num_rows:
+        return
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = np.flatnonzero(np.diff((sizes.cumsum() - sizes) // most)) + 1
+    edges = [0, *cuts.tolist(), batch.num_rows]
+    for a, b in zip(edges[:-1], edges[1:]):
+        yield batch.slice(a, b - a)
 
 
 def _count_tokens(batches, most: int = 4_000_000):
-    hashes, held, n = _WordHashes(), [], 0
+    held, n = [], 0
 
     def out():
-        words, times = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(words), pa.array(times.astype(np.int64))], names=["word", "times"])
+        words, back = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+        times = np.zeros(len(words), np.int64)
+        np.add.at(times, back, np.concatenate([t for _, t in held]))
+        return pa.RecordBatch.from_arrays([pa.array(words), pa.array(times)], names=["word", "times"])
     for batch in batches:
-        for text in _texts(batch, 0):
-            held.append(token_hashes(text, hashes))
-            n += len(held[-1])
+        for piece in _pieces(batch, 0):
+            hashes, tokens, _ = split_words(piece.column(0))
+            times = np.bincount(tokens, minlength=len(hashes))
+            held.append((hashes[times > 0], times[times > 0]))
+            n += len(tokens)
             if n >= most:
                 yield out()
                 held, n = [], 0
@@ -118,35 +144,22 @@ class Vocabulary:
         self.symbol_of = np.concatenate((self.symbols, EXACT + np.arange(MEMBERS)))
         self.count_of = np.concatenate((self.counts, np.full(MEMBERS, -1, np.int64)))
 
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The symbol of each word, and its count, -1 outside the head."""
+    def codes(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
-            return hashed_symbol(hashes), np.full(len(hashes), -1)
+            return hashes % MEMBERS
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        found = self.words[at] == hashes
-        return np.where(found, self.symbols[at], hashed_symbol(hashes)), np.where(found, self.counts[at], -1)
+        return np.where(self.words[at] == hashes, at, len(self.words) + hashes % MEMBERS)
+
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol of each word, and its count, -1 outside the head."""
+        codes = self.codes(hashes)
+        return self.symbol_of[codes], self.count_of[codes]
 
 
 def hashed_symbol(words: np.ndarray) -> np.ndarray:
     return EXACT + (words % MEMBERS)
 
 
-class _WordCodes(dict):
-    """Codes of words, looked up once for each word that a task meets."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.places = {h: k for k, h in enumerate(vocabulary.words.tolist())}
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        h = xxhash.xxh64_intdigest(word)
-        h -= (h >> 63) << 64
-        self[word] = code = self.places.get(h, len(self.places) + h % MEMBERS)
-        return code
-
-
 def first_weights(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All zero but the biases, which give each symbol its frequency."""
     share = (tokens + 0.5).reshape(CLASSES, MEMBERS)
@@ -167,18 +180,42 @@ def member_features(last: np.ndarray, skip: np.ndarray, of: np.ndarray) -> tuple
             CLASSES + MEMBER_LAST + (skip * 28657 + of * 6007) % MEMBER_SKIP)
 
 
-def _sums(weights: np.ndarray, features: tuple) -> np.ndarray:
-    """Summed weights of each token's features, less their maximum."""
-    z = weights.take(features[-1], axis=0)
+def _exponentials(weights: np.ndarray, features: tuple, rows: slice) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of the summed weights of these tokens' features, less each token's maximum; and the maxima."""
+    z = weights.take(features[-1][rows], axis=0)
     for f in features[:-1]:
-        z += weights[f] if isinstance(f, slice) else weights.take(f, axis=0)
-    z -= z.max(axis=1, keepdims=True)
-    return z
+        z += weights[f] if isinstance(f, slice) else weights.take(f[rows], axis=0)
+    top = z.max(axis=1, keepdims=True)
+    z -= top
+    return np.exp(z, out=z), top
+
+
+def _blocks(n: int):
+    return (slice(a, a + BLOCK) for a in range(0, n, BLOCK))
+
 
+def _softmax(weights: np.ndarray, features: tuple) -> np.ndarray:
+    out = np.empty((len(features[-1]), weights.shape[1]), weights.dtype)
+    for rows in _blocks(len(out)):
+        z, _ = _exponentials(weights, features, rows)
+        np.divide(z, z.sum(axis=1, keepdims=True), out=out[rows])
+    return out
 
-def log_softmax_at(weights: np.ndarray, features: tuple, answer: np.ndarray) -> np.ndarray:
-    z = _sums(weights, features)
-    return z[np.arange(len(answer)), answer] - np.log(np.exp(z, out=z).sum(axis=1)) if len(answer) else np.empty(0)
+
+def _log_normalisers(weights: np.ndarray, features: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's maximum and the logarithm of what its exponentials below that sum to."""
+    top, total = np.empty(len(features[-1]), weights.dtype), np.empty(len(features[-1]), weights.dtype)
+    for rows in _blocks(len(top)):
+        z, most = _exponentials(weights, features, rows)
+        top[rows], total[rows] = most[:, 0], np.log(z.sum(axis=1))
+    return top, total
+
+
+def _sum_at(weights: np.ndarray, features: tuple, answer: np.ndarray) -> np.ndarray:
+    z = weights[features[-1], answer]
+    for f in features[:-1]:
+        z += weights[f.start if isinstance(f, slice) else f, answer]
+    return z
 
 
 def _history(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,19 +229,43 @@ def _history(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.n
     return last, skip
 
 
+def _distinct(in_order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = np.concatenate(([True], in_order[1:] != in_order[:-1]))
+    return in_order[first], first.cumsum() - 1
+
+
 def log_probs(symbols, last, skip, of_class, of_member) -> np.ndarray:
-    """log10 P(symbol | history), in batches; each distinct (history, symbol) is scored once."""
-    key = (last * SYMBOLS + skip) * SYMBOLS + symbols
-    seen, back = np.unique(key, return_inverse=True)
-    s, history = seen % SYMBOLS, seen // SYMBOLS
+    """log10 P(symbol | history).  Each distinct history sums its classes once, each (history, class) its members."""
+    if not len(symbols):
+        return np.empty(0)
+    seen, back = np.unique((last * SYMBOLS + skip) * SYMBOLS + symbols, return_inverse=True)
+    group, group_of = _distinct(seen // MEMBERS)
+    history, history_of = _distinct(group // CLASSES)
     last, skip = history // SYMBOLS, history % SYMBOLS
-    out = np.empty(len(seen))
-    for a in range(0, len(seen), BATCH):
-        b = slice(a, a + BATCH)
-        c, m = s[b] // MEMBERS, s[b] % MEMBERS
-        out[b] = (log_softmax_at(of_class, class_features(last[b], skip[b]), c)
-                  + log_softmax_at(of_member, member_features(last[b], skip[b], c), m))
-    return out[back] / math.log(10)
+    top, total = _log_normalisers(of_class, class_features(last, skip))
+    c, last, skip = group % CLASSES, last[history_of], skip[history_of]
+    log_class = _sum_at(of_class, class_features(last, skip), c) - top[history_of] - total[history_of]
+    top, total = _log_normalisers(of_member, member_features(last, skip, c))
+    features = member_features(last[group_of], skip[group_of], c[group_of])
+    log_member = _sum_at(of_member, features, seen % MEMBERS) - top[group_of] - total[group_of]
+    return (log_class[group_of] + log_member).astype(float)[back] / math.log(10)
+
+
+def _sums_by(rows: np.ndarray, order: np.ndarray, at: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Sums of the rows in ``order``, from each place of ``at`` on for ``times`` rows.  Most features of a step are seen
+    once or twice: these are taken as they are, as each sum of ``reduceat`` costs more than a few additions."""
+    out = rows.take(order[at], axis=0)
+    two = np.flatnonzero(times == 2)
+    out[two] += rows.take(order[at[two] + 1], axis=0)
+    three = np.flatnonzero(times == 3)
+    out[three] += rows.take(order[at[three] + 1], axis=0) + rows.take(order[at[three] + 2], axis=0)
+    more = times > 3
+    if more.any():
+        # two floats as one complex number: additions are the same, and fewer
+        pairs = rows.take(order[np.repeat(more, times)], axis=0).view(np.complex64)
+        starts = times[more].cumsum() - times[more]
+        out[more] = np.add.reduceat(pairs, starts, axis=0).view(np.float32)
+    return out
 
 
 class Trainer:
@@ -219,21 +280,17 @@ class Trainer:
 
     def _step(self, k: int, features: tuple, answer: np.ndarray) -> None:
         w = self.weights[k]
-        error = _sums(w, features)
-        np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
+        error = _softmax(w, features)
         error[np.arange(len(answer)), answer] -= 1
         for f in features:
             if isinstance(f, slice):
                 rows, gradient, times = f, error.sum(axis=0, keepdims=True), len(answer)
             else:
-                order = f.argsort(kind="stable")
+                order = f.astype(np.uint16).argsort(kind="stable")  # sorted by digits
                 f = f[order]
                 at = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
                 rows, times = f[at], np.diff(at, append=len(f))
-                # two floats as one complex number: additions are the same, and fewer
-                pairs = error.take(order, axis=0).view(np.complex64)
-                gradient = np.add.reduceat(pairs, at, axis=0).view(np.float32)
+                gradient = _sums_by(error, order, at, times)
             self.squares[k][rows] += np.einsum("ij,ij->i", gradient, gradient)
             gradient *= (self.rate / np.sqrt(self.squares[k][rows]))[:, None]
             w[rows] -= gradient
@@ -255,24 +312,29 @@ def _slices(n: int):
 _MESSAGE = "part int, slice int, lane int, seen binary, change binary"
 
 
+def _whole_documents(batches, vocabulary: Vocabulary, least: int):
+    """Codes and lengths of whole documents in turn, closed as soon as they have ``least`` tokens."""
+    held, n = [], 0
+    for batch in batches:
+        for piece in _pieces(batch, 0):
+            hashes, tokens, lengths = split_words(piece.column(0))
+            codes, ends, a, start = vocabulary.codes(hashes)[tokens], lengths.cumsum(), 0, 0
+            while (b := int(np.searchsorted(ends, start + least - n)) + 1) <= len(ends):
+                held.append((codes[start:ends[b - 1]], lengths[a:b]))
+                yield tuple(np.concatenate(x) for x in zip(*held))
+                held, n, a, start = [], 0, b, ends[b - 1]
+            held.append((codes[start:], lengths[a:]))
+            n += len(codes) - start
+    if n:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
 def _train(vocabulary: Vocabulary, of_class, of_member, rate: float, lanes: int):
     def run(batches):
-        codes, trainer = _WordCodes(vocabulary), Trainer(of_class, of_member, rate)
-        held, n, any_text = [], 0, False
-
-        def learn():
-            symbols = vocabulary.symbol_of[np.concatenate(held)]
-            trainer.learn(symbols, *_history(symbols, np.array([len(x) for x in held])))
-        for batch in batches:
-            for text in _texts(batch, 0):
-                any_text = True
-                held.append(np.array([codes[w] for w in tokens_of(text)], np.int64))
-                n += len(held[-1])
-                if n >= 32 * STEP:
-                    learn()
-                    held, n = [], 0
-        if held:
-            learn()
+        trainer, any_text = Trainer(of_class, of_member, rate), False
+        for codes, lengths in _whole_documents(batches, vocabulary, 32 * STEP):
+            any_text, symbols = True, vocabulary.symbol_of[codes]
+            trainer.learn(symbols, *_history(symbols, lengths))
         if any_text:
             lane = TaskContext.get().partitionId() % lanes
             for k, start in enumerate((of_class, of_member)):
@@ -320,27 +382,25 @@ def _score(vocabulary: Vocabulary, of_class, of_member):
     per_symbol = np.log10(vocabulary.tokens + 0.5 * (vocabulary.types + 1))
 
     def run(batches):
-        codes, hashes, row = _WordCodes(vocabulary), _WordHashes(), TaskContext.get().partitionId() << 33
+        row = TaskContext.get().partitionId() << 33
         first_rare = len(vocabulary.words)
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                words = [tokens_of(t) for t in part.column(2).cast(pa.binary()).to_pylist()]
-                tokens = [np.array([codes[w] for w in x], np.int64) for x in words]
-                lengths = np.array([len(t) for t in tokens])
-                code = np.concatenate(tokens)
+            for part in _pieces(batch, 2):
+                hashes, tokens, lengths = split_words(part.column(2))
+                code = vocabulary.codes(hashes)[tokens]
                 symbols, counts, head = vocabulary.symbol_of[code], vocabulary.count_of[code], code < first_rare
-                rare = [np.array([hashes[x[k]] for k in np.flatnonzero(t >= first_rare)], np.uint64).view(np.int64) for x, t in zip(words, tokens)]
                 model = log_probs(symbols, *_history(symbols, lengths), of_class, of_member) - per_symbol[symbols]
                 starts = np.concatenate(([0], lengths.cumsum()[:-1]))
                 logs = np.where(head, np.log10(np.maximum(counts, 0) + 0.5), 0.0)
+                known = np.add.reduceat(head.astype(np.int64), starts)
+                rare = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], (lengths - known).cumsum())), pa.int32()),
+                                                pa.array(hashes[tokens[~head]]))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(row + np.arange(len(tokens)), pa.int64()), part.column(0), part.column(1),
-                    pa.array(lengths, pa.int64()), pa.array(np.add.reduceat(head.astype(np.int64), starts), pa.int64()),
-                    pa.array(np.add.reduceat(logs, starts)), pa.array(np.add.reduceat(model, starts)),
-                    pa.array(rare, pa.list_(pa.int64()))],
+                    pa.array(row + np.arange(len(lengths)), pa.int64()), part.column(0), part.column(1),
+                    pa.array(lengths, pa.int64()), pa.array(known, pa.int64()),
+                    pa.array(np.add.reduceat(logs, starts)), pa.array(np.add.reduceat(model, starts)), rare],
                     names=["row", "doc_id", "held_out", "n_tokens", "n_known", "log_counts", "model", "rare"])
-                row += len(tokens)
+                row += len(lengths)
     return run
 
 

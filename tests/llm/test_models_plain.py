@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
@@ -119,3 +120,92 @@ def test_head_words_are_the_first_whatever_the_steps(spark, n, most):
     words, times = M.head_words(rows, most)
     want = sorted(((-r.times, r.word) for r in rows.collect()))[:most]
     assert list(zip((-times).tolist(), words.tolist())) == want
+
+
+def hash_of(word):
+    return int(np.uint64(M._WordHashes()[word]).view(np.int64))
+
+
+def plain_tokens(text):
+    return [hash_of(w) for w in [*(w.encode() for w in brute.words(text or "")), M.END]]
+
+
+ODD_TEXTS = ["", None, "  ", " A b\tc\x0bd\x0ce\rf\ng ", "É À ÀÉ x ÉX", "a\x00b \x1c \x1d\x1e\x1f c", "\x85 z\x7f z", "zz " * 40, "one", "\n", "ZZ one"]
+
+
+def test_words_of_a_piece():
+    for texts in (ODD_TEXTS, [""], ["a b"], [" a"], ODD_TEXTS[::-1]):
+        hashes, tokens, lengths = M.split_words(pa.array(texts, pa.string()))
+        assert len(set(hashes.tolist())) == len(hashes)
+        assert [x.tolist() for x in np.split(hashes[tokens], lengths.cumsum()[:-1])] == [plain_tokens(t) for t in texts]
+
+
+@pytest.mark.parametrize("rows,most", [(1, 1 << 22), (4, 1 << 22), (100, 1 << 22), (100, 1), (100, 20)])
+def test_documents_are_whole_whatever_the_batches(rows, most, monkeypatch):
+    """A training run of documents ends with the one that fills it; batches and pieces decide nothing."""
+    monkeypatch.setattr(M._pieces, "__defaults__", (most,))
+    texts = [t for k in range(9) for t in ODD_TEXTS + [f"w{k} " * (7 * k)]]
+    words = np.unique([h for t in texts for h in plain_tokens(t)])[::2]
+    vocabulary = M.Vocabulary(words, np.arange(len(words), 0, -1), np.ones(M.SYMBOLS), np.ones(M.SYMBOLS))
+    places = {h: k for k, h in enumerate(np.sort(words).tolist())}
+    want, held = [], []
+    for t in texts:
+        held.append([places.get(h, len(words) + h % M.MEMBERS) for h in plain_tokens(t)])
+        if sum(map(len, held)) >= 50:
+            want, held = [*want, held], []
+    batches = [pa.record_batch([pa.array(texts[a:a + rows], pa.string())], names=["text"]) for a in range(0, len(texts), rows)]
+    got = [[x.tolist() for x in np.split(codes, lengths.cumsum()[:-1])] for codes, lengths in M._whole_documents(batches, vocabulary, 50)]
+    assert got == want + ([held] if held else [])
+    counted = Counter()
+    for b in M._count_tokens(batches, 60):
+        counted.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+    assert counted == Counter(h for t in texts for h in plain_tokens(t))
+
+
+class Counted(np.ndarray):
+    rows = 0
+
+    def take(self, rows, axis=None, **more):
+        Counted.rows += len(rows)
+        return np.asarray(self).take(rows, axis=axis, **more)
+
+
+def test_a_history_sums_its_classes_once():
+    """Few histories with many next words: three rows of class weights a history, three of member weights a (history, class)."""
+    rng = np.random.default_rng(6)
+    symbols, last, skip = rng.integers(0, M.SYMBOLS, 6000), rng.integers(0, 5, 6000), rng.integers(0, 4, 6000)
+    of_class = rng.normal(0, 1, (M.CLASS_ROWS, M.CLASSES)).astype(np.float32)
+    of_member = rng.normal(0, 1, (M.MEMBER_ROWS, M.MEMBERS)).astype(np.float32)
+    Counted.rows = 0
+    got = M.log_probs(symbols, last, skip, of_class.view(Counted), of_member)
+    assert Counted.rows <= 3 * 20
+    Counted.rows = 0
+    assert (M.log_probs(symbols, last, skip, of_class, of_member.view(Counted)) == got).all()
+    assert Counted.rows <= 3 * 20 * M.CLASSES
+    for k in range(0, 6000, 200):
+        assert got[k] == pytest.approx(plain_log_prob(symbols[k], last[k], skip[k], of_class, of_member), rel=1e-5)
+    assert len(M.log_probs(symbols[:0], last[:0], skip[:0], of_class, of_member)) == 0
+
+
+def test_a_step_against_plain_sums():
+    """One AdaGrad step, features seen once, a few times and often."""
+    rng = np.random.default_rng(7)
+    rows, features = 300, (slice(0, 1), rng.integers(1, 4, 999), rng.integers(4, 100, 999), 100 + rng.integers(0, 245, 999) ** 2 // 300)
+    w = rng.normal(0, 1, (rows, M.CLASSES)).astype(np.float32)
+    answer = rng.integers(0, M.CLASSES, 999)
+    trainer = M.Trainer(w, w[:, :M.MEMBERS], 0.5)
+    trainer._step(0, features, answer)
+    z = w.astype(float)[0] + sum(w.astype(float)[f] for f in features[1:])
+    error = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True) - np.eye(M.CLASSES)[answer]
+    want, seen = w.astype(float), np.zeros(rows, int)
+    times = Counter()
+    for f in (np.zeros(999, int), *features[1:]):
+        gradient = np.zeros((rows, M.CLASSES))
+        np.add.at(gradient, f, error)
+        squares = 1e-2 + (gradient ** 2).sum(axis=1) + np.where(seen > 0, np.nan, 0)  # no row is in two kinds of features
+        hit = np.flatnonzero(np.bincount(f, minlength=rows))
+        want[hit] -= 0.5 * gradient[hit] / np.sqrt(squares[hit, None])
+        seen += np.bincount(f, minlength=rows)
+        times.update(np.bincount(f)[hit].tolist())
+    assert {1, 2, 3, 4} <= set(times) and max(times) == 999
+    assert (trainer.seen[0] == seen).all() and np.allclose(trainer.weights[0], want, atol=1e-4)
