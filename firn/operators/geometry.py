@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firn.functions import crs as C
-from firn.operators.common import join_spread
-from firn.operators.zonal import every_zone
+from firn.operators.common import BLOCK, Blocks
+from firn.operators.zonal import every_zone_in_blocks
 from firn.sources.textio import stored
 
 
@@ -144,17 +144,22 @@ def pixel_weights(zone_pixel: DataFrame, zone: str = "zone", cluster: str = "clu
 
 
 def factorised_zonal_mean(weights: DataFrame, series: DataFrame, keys: list[str],
-                          value: str, zones: DataFrame, zone: str = "zone",
-                          cluster: str = "cluster") -> DataFrame:
+                          value: str | list[str], zones: DataFrame, zone: str = "zone",
+                          cluster: str = "cluster", blocks: Blocks | None = None) -> DataFrame:
     """Zonal mean of cluster values spread over pixels without building the
     pixel x day table (M02): with the weights n(zone, cluster),
     sum(n*v)/sum(n) over non-NULL v per key and zone.  Equal to the mean
-    over pixels; zones of ``zones`` without pixels or values are NULL.  Series and weights are stored, as the number of
-    joined rows is told before they are joined, in pieces that a task can group; a
-    cluster outside of all zones keeps its rows with a NULL zone, which carry their keys."""
-    series, weights = stored(series.select(cluster, *keys, value), "series"), stored(weights, "weights")
-    j = join_spread(series, weights, cluster, "left")
-    v = F.col(value)
-    means = j.groupBy(*keys, zone).agg(
-        (F.sum(F.col("n") * v) / F.sum(F.when(v.isNotNull(), F.col("n")))).alias("mean"))
-    return every_zone(means, zones, keys, zone)
+    over pixels; zones of ``zones`` without pixels or values are NULL.  Series and weights are stored, counted and
+    joined in blocks of zones and days, where the joined rows are grouped without a shuffle.  Several values of one
+    series are joined once and give a column each, by their names (one: ``mean``).  With ``blocks`` the caller
+    has stored the tables and made the blocks, and the rows keep them for the next step."""
+    values = {value: "mean"} if isinstance(value, str) else {v: v for v in value}
+    own = blocks is None
+    if own:
+        series, weights = stored(series.select(cluster, *keys, *values), "series"), stored(weights, "weights")
+        blocks = Blocks(series, weights, zones, keys, zone)
+    j = blocks.join(series, weights, cluster)
+    means = j.groupBy(BLOCK, *keys, zone).agg(*[
+        (F.sum(F.col("n") * F.col(v)) / F.sum(F.when(F.col(v).isNotNull(), F.col("n")))).alias(name) for v, name in values.items()])
+    out = every_zone_in_blocks(means, blocks, list(values.values()))
+    return out.drop(BLOCK) if own else out

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firn.functions.timecols import date_lit, water_year, water_year_bounds
-from firn.operators.common import distinct_values, spread
+from firn.operators.common import BLOCK, Blocks, block_of, distinct_values, spread
 from firn.sources.textio import stored
 
 # The nodata sentinel of the rasters.
@@ -58,9 +58,16 @@ def every_zone(means: DataFrame, zones: DataFrame, keys=("variable", "date"), zo
     return grid.join(means, [*keys, zone_col], "left").select(*keys, zone_col, "mean")
 
 
+def every_zone_in_blocks(means: DataFrame, blocks: Blocks, values=("mean",)) -> DataFrame:
+    """The same for ``means`` in blocks: a block's zones and keys are joined to its means where they are, so means are
+    neither stored nor shuffled.  The rows stay in their blocks."""
+    on = [BLOCK, *blocks.keys, blocks.zone]
+    return blocks.grid().join(means.hint("shuffle_hash"), on, "left").select(*on, *values)
+
+
 def zonal_mean(values: DataFrame, zones: DataFrame, keys=("variable", "date"),
                zone_col: str = "zone", value_col: str = "value",
-               key_rows: DataFrame | None = None) -> DataFrame:
+               key_rows: DataFrame | None = None, blocks: Blocks | None = None) -> DataFrame:
     """Mean of valid pixel values per key and zone; every zone appears for
     every key present, NULL when it has no valid pixel (A01).
 
@@ -68,9 +75,13 @@ def zonal_mean(values: DataFrame, zones: DataFrame, keys=("variable", "date"),
     (a pixel in overlapping zones appears once per zone).  The mean is a
     partial+final aggregate, so a hot zone is combined map-side, and stays long: the number of zones
     is not limited.  ``key_rows`` names keys that must appear even where no zone has a value.
+    ``values`` in ``blocks`` are grouped and filled up inside them; zones and keys are then those of the blocks.
     """
     keys = list(keys)
-    v = values.select(*keys, zone_col, nodata_to_null(F.col(value_col)).alias(value_col))
+    v = values.select(*block_of(values), *keys, zone_col, nodata_to_null(F.col(value_col)).alias(value_col))
+    if blocks is not None:
+        means = v.groupBy(BLOCK, *keys, zone_col).agg(F.avg(value_col).alias("mean"))
+        return every_zone_in_blocks(means, blocks).drop(BLOCK)
     if key_rows is not None:
         none = [F.lit(None).cast(v.schema[c].dataType).alias(c) for c in (zone_col, value_col)]
         v = v.unionByName(key_rows.select(*keys).distinct().select(*keys, *none))
@@ -90,14 +101,16 @@ def zonal_mean_of_files(values: DataFrame, units: DataFrame, zones: DataFrame, k
 
 
 def region_mean(zone_means: DataFrame, zone_region: DataFrame, keys=("variable", "date"),
-                zone_col: str = "zone", region_col: str = "region") -> DataFrame:
+                zone_col: str = "zone", region_col: str = "region", blocks: Blocks | None = None) -> DataFrame:
     """Plain mean of catchment means per region, NULLs skipped.
-    Not pixel-weighted: each catchment counts once."""
+    Not pixel-weighted: each catchment counts once.  Means in ``blocks`` meet the zone map there and are not shuffled."""
     keys = list(keys)
     zr = zone_region.select(zone_col, region_col).distinct()
+    if blocks is not None:
+        zr = blocks.of_zones(zr).hint("shuffle_hash")
     # the zone map is a small parquet-backed table: the planner broadcasts
     # it from its size statistics (and AQE from its runtime size)
-    return (zone_means.join(zr, zone_col)
+    return (zone_means.join(zr, [*block_of(zr), zone_col])
             .groupBy(*keys, region_col).agg(F.avg("mean").alias("mean")))
 
 
@@ -115,13 +128,13 @@ def zone_product(zone_means: DataFrame, as_of: str, zone_col: str = "zone",
     One row per (zone, date) where every variable has a date row (inner
     semantics of the three-way date join, NULL values kept); the three
     quantile columns carry the same value; FC = date >= as_of.
-    A single conditional aggregate replaces the three joins.
+    A single conditional aggregate replaces the three joins; means in blocks are grouped where they are.
     """
     aggs = []
     for v in variables:
         aggs.append(F.max(F.when(F.col("variable") == v, F.lit(1))).alias(f"_has_{v}"))
         aggs.append(F.max(F.when(F.col("variable") == v, F.col("mean"))).alias(f"_v_{v}"))
-    g = zone_means.where(F.col("variable").isin(*variables)).groupBy(zone_col, "date").agg(*aggs)
+    g = zone_means.where(F.col("variable").isin(*variables)).groupBy(*block_of(zone_means), zone_col, "date").agg(*aggs)
     g = g.where(reduce(lambda a, b: a & b, [F.col(f"_has_{v}").isNotNull() for v in variables]))
     cols = [F.col(f"_v_{v}").alias(f"{q}_{v}") for q in QUANTILES for v in variables]
     return g.select(zone_col, "date", *cols, (F.col("date") >= date_lit(as_of)).alias("FC"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of what runs inside are deleted when it ends, not when the driver's memory is next collected."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once, kept in the shared scratch folder and read from there: what several branches of a plan
-    need is not computed for each, and the planner knows its size.  Survives lost executors."""
+    need is not computed for each, and the planner knows its size.  Survives lost executors.  The shuffles that computed it
+    are of no more use then and leave the disk at once."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
