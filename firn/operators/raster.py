@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firn.functions.geodesy import tm_forward
-from firn.operators.common import join_spread
+from firn.operators.common import Blocks, join_spread
 from firn.sources.textio import stored
 
 # Model variable -> (product name, unit); others are upper-cased.
@@ -26,8 +26,12 @@ def cluster_to_pixel(pixels: DataFrame, series: DataFrame, cluster: str = "clust
     return pixels.join(series, cluster)
 
 
-def cluster_to_pixel_to_group(pixels: DataFrame, series: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """The same for pixel rows that are grouped next: the join is cut by the number of pixel rows.  ``series`` is read twice."""
+def cluster_to_pixel_to_group(pixels: DataFrame, series: DataFrame, cluster: str = "cluster", blocks: Blocks | None = None) -> DataFrame:
+    """The same for pixel rows that are grouped next.  With ``blocks`` of zones and days the join is made inside them, and its rows,
+    one for each pixel and day, need no shuffle to be grouped by zone and day; else it is cut by their number.
+    ``series`` is read twice."""
+    if blocks is not None:
+        return blocks.join(series, pixels, cluster)
     return join_spread(stored(pixels, "pixels"), series, cluster)
 
 

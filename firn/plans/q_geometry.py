@@ -9,6 +9,7 @@ from firn.functions import crs as C
 from firn.functions import geodesy as GD
 from firn.functions.geodesy import tm_inverse
 from firn.functions.numeric import rnd, rnd_sql
+from firn.operators import common as CM
 from firn.operators import geometry as G
 from firn.operators import raster as R
 from firn.operators import zonal as Z
@@ -92,9 +93,11 @@ def a01_polygon_zonal_mean(t: Tables):
     """Daily zonal mean of SWE over polygon pixels; an empty zone is NULL."""
     zp, zones = polygon_inputs(t)
     s4b = stored(S.s4b(t).select("cluster", "date", "swe"), "cluster-series")
-    vals = R.cluster_to_pixel_to_group(zp.select("zone", "pixel", "cluster"), s4b)
-    zm = Z.zonal_mean(vals.select("date", "zone", F.col("swe").alias("value")), zones, keys=("date",),
-                      key_rows=s4b)
+    pixels = stored(zp.select("zone", "pixel", "cluster"), "pixels")
+    blocks = CM.Blocks(s4b, pixels, zones, ["date"])
+    vals = R.cluster_to_pixel_to_group(pixels, s4b, blocks=blocks)
+    zm = Z.zonal_mean(vals.select(CM.BLOCK, "date", "zone", F.col("swe").alias("value")), zones, keys=("date",),
+                      key_rows=s4b, blocks=blocks)
     return zm.select("date", "zone", rnd("mean").alias("mean"))
 
 
