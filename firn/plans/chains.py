@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firn.functions.numeric import rnd, rnd_sql
+from firn.operators import common as CM
 from firn.operators import geometry as G
 from firn.operators import points as PT
 from firn.operators import raster as R
@@ -14,6 +15,7 @@ from firn.operators import zonal as Z
 from firn.plans.registry import register
 from firn.sources import standins as S
 from firn.sources.tables import Tables
+from firn.sources.textio import stored
 
 # Chain parameters.
 AS_OF = "1999-01-01"
@@ -26,17 +28,19 @@ def zone_products_from_points(archive: DataFrame, latest: DataFrame, pixels: Dat
     """archive (+) latest (A07) -> zone runs (J11) -> factorised zonal
     mean (M02 = J15 -> A01 without the pixel x day table) -> region
     roll-up (A02) -> product rows with quantile copies and FC (J13, J14,
-    P16, P20) for both levels.  Shuffles: the overlay on (cluster, date),
-    the zone mean on (variable, date), the roll-ups on small keys."""
+    P16, P20) for both levels.  Shuffles: the overlay on the cluster, its rows
+    and the weights into blocks of zones and days, the roll-up on small keys.  Both variables are joined at once and get
+    long after it, a day having a row of each."""
     kl = PT.keep_last(archive, latest, ["cluster", "date"])
-    long = kl.unpivot(["cluster", "date"], list(variables), "var", "value")
-    name, _ = R.product_names(F.col("var"))
-    long = long.select("cluster", "date", name.alias("variable"), "value")
-    weights = G.cluster_weights(G.zone_runs(edges, pixels, res), pixels)
-    zr = edges.select("zone", "region").distinct()
-    # both levels read the zone means, which stand in a stored table
-    zm = G.factorised_zonal_mean(weights, long, ["variable", "date"], "value", zr)
-    rm = Z.region_mean(zm, zr).withColumnRenamed("region", "zone")
+    series = stored(kl.select("cluster", "date", *variables), "series")
+    weights = stored(G.cluster_weights(G.zone_runs(edges, pixels, res), pixels), "weights")
+    zr = stored(edges.select("zone", "region").distinct(), "zone-regions")
+    blocks = CM.Blocks(series, weights, zr, ["date"])
+    wide = G.factorised_zonal_mean(weights, series, ["date"], list(variables), zr, blocks=blocks)
+    # explode keeps the rows in their blocks, unpivot would not
+    long = F.array(*[F.struct(R.product_names(F.lit(v))[0].alias("variable"), F.col(v).alias("mean")) for v in variables])
+    zm = wide.select(CM.BLOCK, "date", "zone", F.explode(long).alias("_v")).select(CM.BLOCK, "date", "zone", "_v.variable", "_v.mean")
+    rm = Z.region_mean(zm, zr, blocks=blocks).withColumnRenamed("region", "zone")
     cols = ["zone", "date"] + [f"{q}_{v}" for q in Z.QUANTILES for v in Z.PRODUCT_VARIABLES] + ["FC"]
     out = []
     for level, means in (("zone", zm), ("region", rm)):
