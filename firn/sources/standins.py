@@ -121,12 +121,12 @@ def s4a(t: Tables) -> DataFrame:
         (k % n_sup).alias("cluster"))
 
 
-def s4b(t: Tables) -> DataFrame:
-    """Cluster series over every date: cluster, date, swe, snd, rof, gst.
+def s4b(t: Tables, share: int = 1) -> DataFrame:
+    """Cluster series over every date: cluster, date, swe, snd, rof, gst, in pieces of about ``share`` million rows.
     (FIXTURES.md cuts it to 30 days; the whole table is used here.)"""
     # few rows share a cluster and day: brought together first, the groups of a task are bounded
     li = spread(t.lineitem.select(F.col("l_suppkey").alias("cluster"), F.to_date("l_shipdate").alias("date"),
-                                  "l_extendedprice", "l_quantity", "l_discount", "l_tax"), t.lineitem.count(), "cluster")
+                                  "l_extendedprice", "l_quantity", "l_discount", "l_tax"), t.lineitem.count() // share, "cluster")
     return (li.groupBy("cluster", "date")
             .agg(F.avg("l_extendedprice").alias("swe"), F.avg("l_quantity").alias("snd"),
                  F.avg("l_discount").alias("rof"), F.avg("l_tax").alias("gst")))
